@@ -22,5 +22,17 @@ def op5_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_index(write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
+def op7_flac_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .flac import digests, store
+
+    return digests(store(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
