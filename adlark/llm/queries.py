@@ -34,5 +34,11 @@ def op7_flac_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(store(table(spark, sf_dir, "documents")))
 
 
+def op9_ranked_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
