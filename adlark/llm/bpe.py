@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .pieces import BYTE_PATTERN, LOOSE, SPLIT
-from .runtime import prepare
+from .runtime import drop, prepare, stored
 from .words import most_frequent
 
-HEAD_WORDS = 500_000
+HEAD_WORDS = 1_500_000
 LONG_BYTES = 200
 BUCKETS = 16384
 
@@ -149,44 +149,51 @@ def _count(flush: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def _lookup(head, path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of each text as int32, with -1 - k for the k-th of its words that the head lacks."""
-    split, head, ranks = Splitter(), head.value, read_ranks(path)
+    import pyarrow.compute as pc
+
+    split, ranks = Splitter(), read_ranks(path)
+    with pa.ipc.open_stream(head.value) as f:
+        head = f.read_all().combine_chunks()
+    head_words = head["word"].chunk(0) if len(head) else pa.array([], pa.string())
+    head_ids = head["ids"].chunk(0) if len(head) else pa.array([], pa.list_(pa.int32()))
+    head_flat, head_at = head_ids.values.to_numpy(), head_ids.offsets.to_numpy().astype(np.int64) if len(head) else np.zeros(1, np.int64)
     for batch in batches:
         bounds, index, vocab = split.parts(batch.column("text"))
-        known, open_words = [], {}
-        for j, v in enumerate(vocab):
-            ids = head.get(v)
-            if ids is None:
-                words = split.find(v)
-                got = [head.get(w) for w in words]
-                for k, (w, g) in enumerate(zip(words, got)):
-                    if g is None and 4 * len(w) > LONG_BYTES and len(b := w.encode()) > LONG_BYTES:
-                        got[k] = np.array(merge_long(b, ranks), "<i4").tobytes()
-                if None in got:
-                    open_words[j] = list(zip(words, got))
-                    got = [b"\xff\xff\xff\xff" if g is None else g for g in got]
-                ids = b"".join(got)
-            known.append(ids)
-        flat = np.frombuffer(b"".join(known), "<i4")
-        size = np.array([len(x) for x in known], np.int64) >> 2
-        start, each = np.cumsum(size) - size, size[index]
+        found = [split.find(v) for v in vocab]
+        part_words = np.array([len(x) for x in found], np.int64)
+        coded = pa.array([w for x in found for w in x], pa.string()).dictionary_encode()
+        del found
+        word_of, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        at = pc.index_in(words, value_set=head_words)
+        rare = at.is_null().to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, bool)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        size = np.where(rare, 1, np.diff(head_at)[at] if len(head) else 1)
+        start = np.where(rare, len(head_flat), head_at[at])
+        long_ids, n = [np.array([-1], np.int32)], len(head_flat) + 1
+        for k in np.flatnonzero(rare & (pc.binary_length(words).to_numpy() > LONG_BYTES)).tolist():
+            ids = np.array(merge_long(words[k].as_py().encode(), ranks), np.int32)
+            rare[k], start[k], size[k] = False, n, len(ids)
+            long_ids.append(ids)
+            n += len(ids)
+        flat = np.concatenate([head_flat, *long_ids])
+        # a text's parts, their words, their ids
+        first = np.cumsum(part_words) - part_words
+        each = part_words[index]
         ends = np.cumsum(each)
-        ids = flat[np.repeat(start[index] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)].copy()
-        at = np.concatenate([[0], ends])[bounds]
-        has = np.zeros(len(vocab), bool)
-        has[list(open_words)] = True
-        rare: list[list[str]] = [[] for _ in range(len(bounds) - 1)]
-        here = np.flatnonzero(has[index])
-        for d, p in zip((np.searchsorted(bounds, here, side="right") - 1).tolist(), index[here].tolist()):
-            rare[d] += [w for w, g in open_words[p] if g is None]
-        coded = []
-        for d, (a, b) in enumerate(zip(at, at[1:])):
-            if rare[d]:  # number the distinct ones in order of appearance
-                names = {w: k for k, w in enumerate(dict.fromkeys(rare[d]))}
-                holes = a + np.flatnonzero(ids[a:b] == -1)
-                ids[holes] = [-1 - names[w] for w in rare[d]]
-                rare[d] = list(names)
-            coded.append(ids[a:b].tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(coded, pa.binary()), pa.array(rare, pa.list_(pa.string()))], names=["doc_id", "coded", "rare"])
+        text_words = word_of[np.repeat(first[index] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        word_bounds = np.concatenate([[0], ends])[bounds]
+        each = size[text_words]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(start[text_words] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        id_bounds = np.concatenate([[0], ends])[word_bounds]
+        here = np.flatnonzero(rare[text_words])
+        doc = np.searchsorted(word_bounds, here, side="right") - 1
+        pair, number = np.unique(doc * max(len(words), 1) + text_words[here], return_inverse=True)
+        doc_first = np.searchsorted(pair, np.arange(len(bounds)) * max(len(words), 1))
+        ids[np.flatnonzero(ids == -1)] = -1 - (number - doc_first[doc])
+        rare_words = pa.ListArray.from_arrays(pa.array(doc_first.astype(np.int32)), words.take(pa.array(pair % max(len(words), 1))))
+        data, ids = memoryview(ids.astype("<i4").tobytes()), id_bounds.tolist()
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([bytes(data[4 * a : 4 * b]) for a, b in zip(ids, ids[1:])], pa.binary()), rare_words], names=["doc_id", "coded", "rare"])
 
 
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,13 +224,14 @@ def encode(docs: DataFrame, rank_file: str) -> DataFrame:
     ranks = read_ranks(rank_file)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counts = rows.select("text").mapInArrow(lambda b: _count(200_000, b), "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
-    usual = counts.filter((F.octet_length("word") <= LONG_BYTES) & (F.col("c") > 1))
-    head = most_frequent(usual.persist(), HEAD_WORDS).select("word")
-    coded = head.select("word", encode_words("array(word)", ranks)[0].alias("ids")).toArrow()
-    ids = coded["ids"].combine_chunks() if coded.num_rows else pa.array([], pa.list_(pa.int32()))
-    flat, at = ids.values.to_numpy().astype("<i4").tobytes(), ids.offsets.to_numpy().tolist() if len(ids) else [0]
-    table = spark.sparkContext.broadcast({w: flat[4 * a : 4 * b] for w, a, b in zip(coded["word"].to_pylist(), at, at[1:])})
-    usual.unpersist()
+    usual, path = stored(counts.filter((F.octet_length("word") <= LONG_BYTES) & (F.col("c") > 1)), "words")
+    coded = most_frequent(usual, HEAD_WORDS).select("word", encode_words("array(word)", ranks)[0].alias("ids")).toArrow()
+    drop(spark, path)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, coded.schema) as f:
+        f.write_table(coded)
+    table = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    del coded, sink
     found = rows.mapInArrow(lambda b: _lookup(table, rank_file, b), "doc_id long, coded binary, rare array<string>")
     return found.select("doc_id", "coded", encode_words("rare", ranks).alias("rare_ids")).mapInArrow(_fill, "doc_id long, ids binary")
 
