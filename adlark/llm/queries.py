@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .runtime import table
 
+#: For tests; a deployment passes a key of its own.
+PSEUDONYM_KEY = "adlark demonstration key"
+
+
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
 
 def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
@@ -40,5 +49,17 @@ def op9_ranked_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score
+
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def words_of(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """bounds (one more than texts), index of each word in the vocabulary, and the distinct words as binary.
 
     Null and empty texts, and those of white space alone, have no words.
@@ -19,7 +19,7 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     texts = texts.cast(pa.large_string()).fill_null("")
     if len(texts) == 0:
         return np.zeros(1, np.int64), np.zeros(0, np.int64), pa.array([], pa.large_binary())
-    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     bounds = cut.offsets.to_numpy().astype(np.int64)
     words = cut.values.slice(bounds[0], bounds[-1] - bounds[0])
     bounds = bounds - bounds[0]
