@@ -13,6 +13,12 @@ from .runtime import table
 PSEUDONYM_KEY = "adlark demonstration key"
 
 
+def op2_prefix_free_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import removed
+
+    return removed(table(spark, sf_dir, "documents"))
+
+
 def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .neardup import near_duplicates
 
