@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .runtime import table
 
@@ -13,6 +14,12 @@ from .runtime import table
 PSEUDONYM_KEY = "adlark demonstration key"
 
 
+def op1_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_prefix_free_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import removed
 
@@ -68,4 +75,6 @@ def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
+    import corpus_pipeline
+
+    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"pipeline": corpus_pipeline.run}
