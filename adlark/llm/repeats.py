@@ -35,7 +35,7 @@ SPAN = 200
 GRAM = 8
 SEED = MIN - SPAN + 1
 HOT = 2048
-BLOCK_ROWS = 12_000
+BLOCK_ROWS = 3_000
 _POS = np.uint64((1 << 24) - 1)
 _MAP = np.random.default_rng(3).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -107,9 +107,9 @@ def phrases(buf: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows whose texts have 8 MB together, or one longer text in overlapping parts: first row, offset in it, bytes, sizes."""
+    """Runs of rows whose texts have 3 MB together, or one longer text in overlapping parts: first row, offset in it, bytes, sizes."""
     texts = [b or b"" for b in batch.column(column).cast(pa.large_binary()).to_pylist()]
-    a, held, most = 0, 0, 8 << 20
+    a, held, most = 0, 0, 3 << 20
     for i, t in enumerate([*texts, None]):
         if t is None or held + len(t) > most:
             if i > a:
