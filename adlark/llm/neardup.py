@@ -7,9 +7,9 @@ Jaccard similarity of 0.75 share no band of 51 with a probability of about one i
 
 Equal sets are one node from the start. The members of a band are paired with its least member, which links most groups in
 one round and grows with the members, not with their square. Then, in bands that still hold several components, members of
-different components are compared by their registers, block by block, so no pair that shares a band is left out. A pair
-goes on if its estimate, corrected for registers that agree by chance, is within five standard errors of the threshold; what
-is left is confirmed on the full sets of the whole texts.
+different components are compared by their registers, block by block, so no pair that shares a band is left out but
+those whose components are joined already. A pair goes on if its estimate, corrected for registers that agree by
+chance, is within five standard errors of the threshold; what is left is confirmed on the full sets of the whole texts.
 """
 
 from __future__ import annotations
@@ -104,28 +104,24 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def chance(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Probability that registers of disjoint sets of these sizes agree."""
+def octaves(n: np.ndarray) -> np.ndarray:
+    """For sets of these sizes, the probability of each number of leading zeros in a register."""
     edge = 0.5 ** np.arange(0, 41)
     edge[-1] = 0
-    la, lb = np.asarray(na, float)[:, None] / REGISTERS, np.asarray(nb, float)[:, None] / REGISTERS
-    pa_, pb = (np.diff((1 - edge) ** la, axis=1), np.diff((1 - edge) ** lb, axis=1))
-    return (pa_ * pb).sum(axis=1) / (1 << MANTISSA)
+    return np.diff((1 - edge) ** (np.asarray(n, float)[:, None] / REGISTERS), axis=1)
 
 
-def estimates(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard similarities estimated from rows of registers and their standard errors at the threshold."""
+def estimates(ra: np.ndarray, rb: np.ndarray, oa: np.ndarray, ob: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Jaccard similarities estimated from rows of registers and their standard errors at the threshold.
+
+    Registers of disjoint sets agree by chance if leading zeros do, with a probability of 2**-MANTISSA; oa, ob: octaves.
+    """
     used = (ra != EMPTY) | (rb != EMPTY)
     n = np.maximum(used.sum(axis=1), 1)
-    c = chance(na, nb)
+    c = (oa * ob).sum(axis=1) / (1 << MANTISSA)
     return ((((ra == rb) & used).sum(axis=1) / n) - c) / (1 - c), np.sqrt(NUM / DEN * (1 - NUM / DEN) / n)
 
 
-def likely(ra, rb, na, nb) -> np.ndarray:
-    j, error = estimates(ra, rb, na, nb)
-    return j >= NUM / DEN - ERRORS * error
-
-
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether sets given as sorted hashes reach the threshold, in whole numbers."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -155,8 +151,8 @@ def _rows(column) -> np.ndarray:
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            keep = likely(_rows(batch.column("ra")), _rows(batch.column("rb")), batch.column("na").to_numpy(), batch.column("nb").to_numpy())
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+            j, error = estimates(_rows(batch.column("ra")), _rows(batch.column("rb")), octaves(batch.column("na").to_numpy()), octaves(batch.column("nb").to_numpy()))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(j >= NUM / DEN - ERRORS * error))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,27 +161,80 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _compare(block: pd.DataFrame) -> pd.DataFrame:
-    """Likely pairs of different components within a block of a band, or between two of them."""
-    left, right = block[block["side"] == 0], block[block["side"] == 1]
-    ra, rb = _rows(pa.array(left["regs"])), _rows(pa.array(right["regs"]))
-    out = []
-    for i, (doc, comp, n) in enumerate(zip(left["doc_id"], left["comp"], left["n_shingles"])):
-        to = np.flatnonzero((right["comp"] != comp).to_numpy() & (right["doc_id"] > doc).to_numpy()) if left["cell"].iloc[0] else np.flatnonzero((right["comp"] != comp).to_numpy())
+def _link_block(block: pd.DataFrame) -> pd.DataFrame:
+    """Links that join different components within a block of a band, or between two of them.
+
+    Pairs are taken by falling estimate and confirmed on full sets, unless links found before have joined their
+    components already; so there are fewer links than rows, however many pairs are alike.
+    """
+    left = block[block["side"] == 0].reset_index(drop=True)
+    right = left if block["i"].iloc[0] == block["j"].iloc[0] else block[block["side"] == 1].reset_index(drop=True)
+    empty = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    if not len(left) or not len(right):
+        return empty
+    rl, rr = _rows(pa.array(left["regs"])), _rows(pa.array(right["regs"]))
+    ol, orr = octaves(left["n_shingles"].to_numpy()), octaves(right["n_shingles"].to_numpy())
+    cl, cr, found = left["comp"].to_numpy(), right["comp"].to_numpy(), []
+    for i in range(len(left)):
+        to = np.flatnonzero(cr != cl[i])
+        if right is left:
+            to = to[to > i]
         if len(to):
-            ok = to[likely(ra[i][None, :], rb[to], np.full(len(to), n), right["n_shingles"].to_numpy()[to])]
-            out += [(doc, other) for other in right["doc_id"].to_numpy()[ok].tolist()]
+            j, error = estimates(rl[i][None, :], rr[to], ol[i][None, :], orr[to])
+            ok = j >= NUM / DEN - ERRORS * error
+            found.append((j[ok], np.full(int(ok.sum()), i), to[ok]))
+    if not found:
+        return empty
+    est, i, j = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(-est, kind="stable")
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    sets: dict[tuple[int, int], np.ndarray] = {}
+
+    def of(side: int, k: int) -> np.ndarray:
+        if (side, k) not in sets:
+            sets[side, k] = shingle_sets(pa.array([(left, right)[side]["text"][k]]))[0]
+        return sets[side, k]
+
+    out = []
+    for a, b in zip(i[order].tolist(), j[order].tolist()):
+        ra, rb = root(int(cl[a])), root(int(cr[b]))
+        if ra != rb and linked(of(0, a), of(0 if right is left else 1, b)):
+            parent[max(ra, rb)] = min(ra, rb)
+            out.append((int(left["doc_id"][a]), int(right["doc_id"][b])))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _confirmed(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, estimate: bool) -> DataFrame:
-    if estimate:
-        s = lambda x: sketches.select(F.col("doc_id").alias(x), F.col("regs").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}"))
-        pairs = pairs.join(s("a"), "a").join(s("b"), "b").select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimate, "a long, b long")
+def _across(rows: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components of rows (band, doc_id, comp, n) that share a band; blocks of BLOCK rows meet in pairs."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = rows.join(reps.select("doc_id", "regs", "n_shingles"), "doc_id").join(texts, "doc_id").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    spots = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j"), (k < F.col("own")).cast("int").alias("side")))
+    dealt = rows.select("band", "doc_id", "comp", "regs", "n_shingles", "text", F.explode(spots).alias("at")).select("band", "doc_id", "comp", "regs", "n_shingles", "text", "at.i", "at.j", "at.side")
+    return dealt.groupBy("band", "i", "j").applyInPandas(_link_block, "a long, b long")
+
+
+def _confirmed(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    s = lambda x: sketches.select(F.col("doc_id").alias(x), F.col("regs").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}"))
+    pairs = pairs.join(s("a"), "a").join(s("b"), "b").select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimate, "a long, b long")
     t = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
     return pairs.join(t("a"), "a").join(t("b"), "b").select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long")
 
 
+def _open(bands: DataFrame, shared: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows (band, doc_id, comp, n) of bands that still hold several components besides their least member."""
+    label = F.coalesce("comp", "doc_id").alias("comp")
+    rows = bands.join(shared.filter("n > 2"), "band").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "doc_id", label, "n", "a")
+    rest = rows.filter("doc_id != a").drop("a")
+    several = rest.groupBy("band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("band")
+    return rest.join(several, "band")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id) for each row.
 
@@ -207,30 +256,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared, shared_path = stored(bands.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n"), F.max("doc_id").alias("z")).filter("a < z"), "bands")
     cand = bands.join(shared, "band").filter("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
     copies = member.filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links, links_path = stored(_confirmed(cand, reps, texts, True), "confirmed")
+    links, links_path = stored(_confirmed(cand, reps, texts), "confirmed")
     comp, comp_path = components(links)
-    # bands that still hold several components: compare across these, except with the least member, which has been done
-    label = F.coalesce("comp", "doc_id").alias("comp")
-    open_rows = bands.join(shared.filter("n > 2"), "band").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "doc_id", label, "n", "a")
-    spread = open_rows.groupBy("band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("band")
-    left = open_rows.filter("doc_id != a").join(spread, "band")
-    again = left.groupBy("band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("band")
-    todo, todo_path = stored(left.join(again, "band").select("band", "doc_id", "comp", "n"), "open")
-    more = None
-    if todo.limit(1).count():
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-        rows = todo.join(reps.select("doc_id", "regs", "n_shingles"), "doc_id").withColumn("blocks", blocks).withColumn("own", own)
-        spots = F.flatten(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.when(k < F.col("own"), F.array(F.struct(k.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side")))).when(k > F.col("own"), F.array(F.struct(F.col("own").alias("i"), k.alias("j"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(k.alias("i"), k.alias("j"), F.lit(0).alias("side")), F.struct(k.alias("i"), k.alias("j"), F.lit(1).alias("side"))))))
-        dealt = rows.select("band", "doc_id", "comp", "regs", "n_shingles", F.explode(spots).alias("at")).select("*", "at.i", "at.j", "at.side", (F.col("at.i") == F.col("at.j")).alias("cell")).drop("at")
-        pairs = dealt.groupBy("band", "i", "j").applyInPandas(_compare, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
-        more, more_path = stored(_confirmed(pairs, reps, texts, False), "more")
-    all_links = links.union(copies) if more is None else links.union(more).union(copies)
-    comp2, comp2_path = components(all_links)
-    out = result_rows.join(comp2.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    paths = [member_path, reps_path, rows_path, shared_path, links_path, comp_path]
+    for most in (True, False):  # first each document in its fullest open band, which joins most; then all that is open
+        todo, path = stored(_open(bands, shared, comp), "open")
+        paths.append(path)
+        if not todo.limit(1).count():
+            break
+        if most:
+            one = todo.groupBy("doc_id").agg(F.max(F.struct("n", "band")).alias("at")).select("doc_id", "at.band")
+            todo = todo.join(one, ["doc_id", "band"])
+        more, path = stored(_across(todo, reps, texts), "more")
+        links = links.union(more)
+        comp, comp_path = components(links)
+        paths += [path, comp_path]
+    comp, comp_path = components(links.union(copies))
+    out = result_rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("comp", "doc_id")
     final, _ = stored(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")), "near")
-    drop(spark, member_path, reps_path, rows_path, shared_path, links_path, comp_path, todo_path, comp2_path, *([more_path] if more is not None else []))
+    drop(spark, comp_path, *paths)
     return final
 
 
