@@ -44,7 +44,7 @@ def user_features(user_daily: DataFrame, uid: DataFrame, dim: DataFrame, cfg: Co
     return out.select(
         "user_id", "u_total_weighted", "u_recent_weighted", F.col("u_total_pageview").cast("long").alias("u_total_pageview"), zero("u_unique_items"), zero("u_unique_categories"), zero("u_unique_cities"), "u_active_days",
         F.coalesce("u_top_category", F.lit(-1)).alias("u_top_category"), F.coalesce("u_top2_category", F.lit(-1)).alias("u_top2_category"), F.coalesce("u_top_city", F.lit("")).alias("u_top_city"),
-        F.round(F.coalesce("u_avg_dwell", F.lit(0.0)), 4).alias("u_avg_dwell"), _since("_last", cfg).alias("u_days_since_last"), F.when(F.col("u_total_weighted") > 0, 1).otherwise(0).alias("u_is_warm"),
+        F.round(F.coalesce("u_avg_dwell", F.lit(0.0)) + 1e-7, 4).alias("u_avg_dwell"), _since("_last", cfg).alias("u_days_since_last"), F.when(F.col("u_total_weighted") > 0, 1).otherwise(0).alias("u_is_warm"),
         F.round(F.coalesce(F.col("_w1") / F.col("_w"), F.lit(0.0)), 6).alias("u_top_category_share"),
     )
 

@@ -76,7 +76,7 @@ FROM events e JOIN dim l ON l.item_id = CAST(regexp_extract(e.props, '[0-9]+', 0
     "hist": f"SELECT u.*, d.category, d.city_name FROM uid u LEFT JOIN dim d USING (item_id) WHERE u.date < {CUT} AND u.weighted_score > 0",
     "hcat": "SELECT user_id, category, sum(weighted_score) AS w, row_number() OVER (PARTITION BY user_id ORDER BY sum(weighted_score) DESC, category) AS rn FROM hist WHERE category IS NOT NULL GROUP BY user_id, category",
     "uf": f"""SELECT b.user_id, u_total_weighted, u_recent_weighted, CAST(u_total_pageview AS BIGINT) AS u_total_pageview, coalesce(u_unique_items, 0) AS u_unique_items, coalesce(u_unique_categories, 0) AS u_unique_categories, coalesce(u_unique_cities, 0) AS u_unique_cities, u_active_days,
- coalesce(c1.category, -1) AS u_top_category, coalesce(c2.category, -1) AS u_top2_category, coalesce(ct.city_name, '') AS u_top_city, round(coalesce(u_avg_dwell, 0), 4) AS u_avg_dwell, CAST(date_diff('day', last, {CUT}) AS INTEGER) AS u_days_since_last, CASE WHEN u_total_weighted > 0 THEN 1 ELSE 0 END AS u_is_warm, round(coalesce(c1.w / tot.w, 0), 6) AS u_top_category_share
+ coalesce(c1.category, -1) AS u_top_category, coalesce(c2.category, -1) AS u_top2_category, coalesce(ct.city_name, '') AS u_top_city, round(coalesce(u_avg_dwell, 0) + 1e-7::DOUBLE, 4) AS u_avg_dwell, CAST(date_diff('day', last, {CUT}) AS INTEGER) AS u_days_since_last, CASE WHEN u_total_weighted > 0 THEN 1 ELSE 0 END AS u_is_warm, round(coalesce(c1.w / tot.w, 0), 6) AS u_top_category_share
 FROM (SELECT user_id, sum(weighted_score) AS u_total_weighted, sum(CASE WHEN date >= {CUT} - 7 THEN weighted_score ELSE 0.0::DOUBLE END) AS u_recent_weighted, sum(n_pageview) AS u_total_pageview, count(DISTINCT date) AS u_active_days, max(date) AS last FROM ud WHERE date < {CUT} GROUP BY user_id) b
 LEFT JOIN (SELECT user_id, count(DISTINCT item_id) AS u_unique_items, avg(max_dwell) AS u_avg_dwell, count(DISTINCT category) AS u_unique_categories, count(DISTINCT city_name) AS u_unique_cities FROM hist GROUP BY user_id) m USING (user_id)
 LEFT JOIN (SELECT * FROM hcat WHERE rn = 1) c1 USING (user_id) LEFT JOIN (SELECT * FROM hcat WHERE rn = 2) c2 USING (user_id) LEFT JOIN (SELECT user_id, sum(w) AS w FROM hcat GROUP BY user_id) tot USING (user_id)
