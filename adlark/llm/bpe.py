@@ -14,6 +14,7 @@ quadratic time, are merged by a heap in Python; texts with them stay whole.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
 import zlib
@@ -196,29 +197,36 @@ def _lookup(head, path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([bytes(data[4 * a : 4 * b]) for a, b in zip(ids, ids[1:])], pa.binary()), rare_words], names=["doc_id", "coded", "rare"])
 
 
+def _filled(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """Ids of each text, with those of its rare words in their places."""
+    for coded, rare in zip(batch.column("coded"), batch.column("rare_ids")):
+        ids = np.frombuffer(coded.as_py(), "<i4")
+        rare = rare.values if rare.is_valid else None
+        if rare is not None and len(rare):
+            words = [np.array(x.as_py(), "<i4") for x in rare]
+            hole = np.flatnonzero(ids < 0)
+            grown, last = [], 0
+            for h, k in zip(hole.tolist(), (-1 - ids[hole]).tolist()):
+                grown += [ids[last:h], words[k]]
+                last = h + 1
+            ids = np.concatenate([*grown, ids[last:]])
+        yield ids.astype("<u4")
+
+
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for coded, rare in zip(batch.column("coded").to_pylist(), batch.column("rare_ids")):
-            ids = np.frombuffer(coded, "<i4")
-            rare = rare.values if rare.is_valid else None
-            if rare is not None and len(rare):
-                words = [np.array(x.as_py(), "<i4") for x in rare]
-                hole = np.flatnonzero(ids < 0)
-                grown, last = [], 0
-                for h, k in zip(hole.tolist(), (-1 - ids[hole]).tolist()):
-                    grown += [ids[last:h], words[k]]
-                    last = h + 1
-                ids = np.concatenate([*grown, ids[last:]])
-            out.append(ids.astype("<u4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in _filled(batch)], pa.binary())], names=["doc_id", "ids"])
 
 
-def encode(docs: DataFrame, rank_file: str) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit integers) of each whole text, as the ranks' library encodes it.
+def _digests(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pieces = _pieces(path)
+    for batch in batches:
+        rows = [(len(x), hashlib.sha256(x.tobytes()).hexdigest(), hashlib.sha256(decode_ids(x.astype(np.int64), *pieces).tobytes()).hexdigest()) for x in _filled(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    Null and empty texts: no ids. Repeated rows stay. Further columns are ignored. No special tokens.
-    """
+
+def _coded(docs: DataFrame, rank_file: str) -> DataFrame:
+    """doc_id, coded (ids with holes for rare words) and the ids of these words."""
     spark = docs.sparkSession
     prepare(spark)
     ranks = read_ranks(rank_file)
@@ -233,7 +241,15 @@ def encode(docs: DataFrame, rank_file: str) -> DataFrame:
     table = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
     del coded, sink
     found = rows.mapInArrow(lambda b: _lookup(table, rank_file, b), "doc_id long, coded binary, rare array<string>")
-    return found.select("doc_id", "coded", encode_words("rare", ranks).alias("rare_ids")).mapInArrow(_fill, "doc_id long, ids binary")
+    return found.select("doc_id", "coded", encode_words("rare", ranks).alias("rare_ids"))
+
+
+def encode(docs: DataFrame, rank_file: str) -> DataFrame:
+    """doc_id and ids (little-endian unsigned 32-bit integers) of each whole text, as the ranks' library encodes it.
+
+    Null and empty texts: no ids. Repeated rows stay. Further columns are ignored. No special tokens.
+    """
+    return _coded(docs, rank_file).mapInArrow(_fill, "doc_id long, ids binary")
 
 
 def decode_ids(ids: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -268,5 +284,4 @@ def decode(coded: DataFrame, rank_file: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, rank_file: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each whole text."""
-    both = decode(encode(docs, rank_file), rank_file)
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return _coded(docs, rank_file).mapInArrow(lambda b: _digests(rank_file, b), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

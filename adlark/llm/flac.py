@@ -272,8 +272,7 @@ def decode_frame(data: bytes, at: int, info: dict) -> tuple[np.ndarray, int]:
     lead = r.take(8)
     more = 0 if lead < 0x80 else 8 - (lead ^ 0xFF).bit_length() - 1
     r.take(8 * more)
-    n = {1: 192, 6: None, 7: None}.get(size, 576 << size - 2 if size < 6 else 256 << size - 8)
-    n = r.take(8 if size == 6 else 16) + 1 if n is None else n
+    n = r.take(8 if size == 6 else 16) + 1 if size in (6, 7) else 192 if size == 1 else 576 << size - 2 if size < 6 else 256 << size - 8
     r.take({12: 8, 13: 16, 14: 16}.get(rate, 0))
     if crc(data[at : r.at >> 3], 8) != r.take(8):
         raise ValueError("a frame header's checksum is wrong")

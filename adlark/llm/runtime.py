@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parents[1]
-BATCH_ROWS = 2000
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
