@@ -238,8 +238,8 @@ Q = {
     "top_share_items": f"SELECT count(*) AS n, {tops('contacts')} FROM (SELECT *, row_number() OVER (ORDER BY contacts DESC, item_id) AS rn, count(*) OVER () AS n FROM im)",
     "slide_core": f"SELECT *, {rate('pairs_q', 'pairs')} AS q_rate, {rate('pairs_p', 'pairs_q')} AS cr, {rate('users_p', 'users_q')} AS user_cr, {rate('items_p', 'items_q')} AS item_cr FROM (SELECT count(*) AS pairs, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items, count(DISTINCT seller_id) AS sellers, count(DISTINCT user_id) FILTER (is_qualified = 1) AS users_q, count(DISTINCT item_id) FILTER (is_qualified = 1) AS items_q, count(DISTINCT user_id) FILTER (is_qualified_pos = 1) AS users_p, count(DISTINCT item_id) FILTER (is_qualified_pos = 1) AS items_p, CAST(sum(is_qualified) AS BIGINT) AS pairs_q, CAST(sum(is_qualified_pos) AS BIGINT) AS pairs_p FROM pd)",
     "dwell_hist": "SELECT CASE WHEN max_dwell < 5 THEN '00-05' WHEN max_dwell < 15 THEN '05-15' WHEN max_dwell < 30 THEN '15-30' WHEN max_dwell < 60 THEN '30-60' WHEN max_dwell < 180 THEN '60-180' WHEN max_dwell < 600 THEN '180-600' ELSE '600+' END AS dwell_bin, count(*) AS n_pairs, round(avg(CASE WHEN n_pos > 0 THEN 1.0::DOUBLE ELSE 0 END), 6) AS positive_rate FROM pr WHERE n_pageview > 0 AND max_dwell IS NOT NULL GROUP BY dwell_bin",
-    "audit_surface": f"SELECT {GROUP3} AS event_group, surface AS value, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY {GROUP3}), 2) AS pct FROM ev WHERE {WIN} GROUP BY ALL",
-    "audit_device": f"SELECT {GROUP3} AS event_group, device AS value, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY {GROUP3}), 2) AS pct FROM ev WHERE {WIN} GROUP BY ALL",
+    "audit_surface": f"SELECT *, {share('n', 'PARTITION BY event_group')} AS pct FROM (SELECT {GROUP3} AS event_group, surface AS value, count(*) AS n FROM ev WHERE {WIN} GROUP BY ALL)",
+    "audit_device": f"SELECT *, {share('n', 'PARTITION BY event_group')} AS pct FROM (SELECT {GROUP3} AS event_group, device AS value, count(*) AS n FROM ev WHERE {WIN} GROUP BY ALL)",
     "audit_dwell": f"SELECT event_type, count(*) AS n, round(100 * avg(CASE WHEN d = 0 THEN 1.0::DOUBLE ELSE 0 END), 6) AS zero_pct, round(100 * avg(CASE WHEN d < 5 THEN 1.0::DOUBLE ELSE 0 END), 6) AS lt5_pct, round(100 * avg(CASE WHEN d < 30 THEN 1.0::DOUBLE ELSE 0 END), 6) AS lt30_pct, round(quantile_cont(d, 0.5), 6) AS median, round(quantile_cont(d, 0.75), 6) AS p75, round(quantile_cont(d, 0.95), 6) AS p95 FROM (SELECT event_type, coalesce(dwell_time_sec, 0) AS d FROM ev WHERE {WIN}) GROUP BY event_type",
     "audit_session": f"SELECT count(*) AS n_sessions, round(avg(n), 6) AS mean_events, round(quantile_cont(n, 0.5), 6) AS median_events, max(n) AS max_events FROM (SELECT session_id, count(*) AS n FROM ev WHERE {WIN} GROUP BY session_id)",
     "audit_dc_cr": f"SELECT *, round(100 * (1 - n_direct::DOUBLE / nullif(n_full, 0)), 6) AS drop_pct FROM (SELECT count(*) AS n_qualified, CAST(count(*) FILTER (p > 0) AS BIGINT) AS n_full, CAST(count(*) FILTER (k > 0) AS BIGINT) AS n_direct FROM (SELECT max(CASE WHEN event_type = 'pageview' THEN least(greatest(coalesce(dwell_time_sec, 0), 0), 3599.999::DOUBLE) END) AS d, {NPOS} AS p, {NHARD} AS k FROM ev WHERE {WIN} GROUP BY user_id, item_id) WHERE d >= 30)",
