@@ -28,14 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import drop, prepare, stored
+from .runtime import drop, frugal, prepare, stored, tasks
 
 MIN = 400
 SPAN = 200
 GRAM = 8
 SEED = MIN - SPAN + 1
 HOT = 2048
-BLOCK_ROWS = 3_000
+BLOCK_ROWS = 1_000
+BUFFER = 1 << 20
 _POS = np.uint64((1 << 24) - 1)
 _MAP = np.random.default_rng(3).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -107,9 +108,9 @@ def phrases(buf: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows whose texts have 3 MB together, or one longer text in overlapping parts: first row, offset in it, bytes, sizes."""
+    """Runs of rows whose texts have BUFFER bytes together, or one longer text in overlapping parts: first row, offset in it, bytes, sizes."""
     texts = [b or b"" for b in batch.column(column).cast(pa.large_binary()).to_pylist()]
-    a, held, most = 0, 0, 3 << 20
+    a, held, most = 0, 0, BUFFER
     for i, t in enumerate([*texts, None]):
         if t is None or held + len(t) > most:
             if i > a:
@@ -127,6 +128,7 @@ def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.
 
 
 def _parse(full: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frugal()
     for batch in batches:
         for row, skip, buf, size in _batches(batch, "text"):
             text, lo, hi, trigger = phrases(buf, size)
@@ -230,6 +232,7 @@ def _runs(flag: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _sort_block(block: pd.DataFrame) -> pd.DataFrame:
+    frugal()
     block = block.sort_values(["seed", "long"])
     found = repeated(block["bytes"].tolist(), block["n"].tolist(), block["m"].tolist())
     rows = [(uid, lo + a, lo + b) for uid, lo, m, flag in zip(block["uid"], block["lo"], block["m"], found) if m == 1 for a, b in _runs(flag)]
@@ -238,6 +241,7 @@ def _sort_block(block: pd.DataFrame) -> pd.DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each listed phrase of a text."""
+    frugal()
     for batch in batches:
         for text, rows in zip(batch.column("text").cast(pa.large_binary()), batch.column("rows").to_pylist()):
             text, uid = text.as_py(), None
@@ -251,6 +255,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """128-bit names of all strings of phrases."""
+    frugal()
     for batch in batches:
         texts = batch.column("bytes").to_pylist()
         for k in range(0, len(texts), 2000):
@@ -283,8 +288,8 @@ def repeat_starts(rows: DataFrame) -> DataFrame:
     cut = rows.join(by_text, "uid").select("text", "rows").mapInArrow(_cut, "seed long, long long, m long, uid long, lo long, n int, hot boolean, bytes binary")
     pieces, pieces_path = stored(cut, "edges")
     n, hot = pieces.agg(F.count("*"), F.coalesce(F.sum(F.col("hot").cast("long")), F.lit(0))).first()
-    parts = max(1, -(-(n - hot) // BLOCK_ROWS))
-    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(parts))).repartition(parts, "block").groupBy("block").applyInPandas(_sort_block, "uid long, first long, last long")
+    blocks = max(1, -(-(n - hot) // BLOCK_ROWS))
+    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(blocks, tasks(spark)), "block").groupBy("block").applyInPandas(_sort_block, "uid long, first long, last long")
     found = whole.union(sorted_)
     if hot:
         names, names_path = stored(pieces.filter("hot").mapInArrow(_names, "h1 long, h2 long, m long, uid long, first long"), "names")
@@ -307,6 +312,7 @@ def spans_of(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _remove(digest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frugal()
     for batch in batches:
         texts, runs = batch.column("_text").cast(pa.large_binary()).to_pylist(), batch.column("_runs").to_pylist()
         out, sizes, gone, spans = [], [], [], []

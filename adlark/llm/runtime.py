@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import os
 import shutil
 import tempfile
@@ -10,6 +12,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,22 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
 
 
+@functools.cache
+def frugal() -> None:
+    """Once per Python worker: memory that is freed goes back to the system, since Spark keeps workers for later stages.
+
+    By itself glibc raises the size from which it returns blocks up to 32 MB, and Arrow's own pool keeps pages.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
+        libc.malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares (spark.checkpoint.dir); a temporary one of our own only where that is unset."""
     sc = spark.sparkContext
