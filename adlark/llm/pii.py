@@ -136,13 +136,13 @@ def found(text: Column | str) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), 0)
 
 
-def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
-    """All columns of a table, with validated values of `column` replaced, and n_replaced (long).
+def pseudonymise(docs: DataFrame, key: str, column: str = "text", count: str | None = "n_replaced") -> DataFrame:
+    """All columns of a table, with validated values of `column` replaced, and their number (long) as `count`, if that is given.
 
     A null text stays null, an empty one empty; invalid look-alikes stay. Repeated rows stay and agree. A column n_chars
-    follows the text. A column n_replaced of the input gives way. Names that SQL has to quote are allowed.
+    follows the text. A column of the input named as `count` gives way. Names that SQL has to quote are allowed.
     """
-    rest = [c for c in docs.columns if c not in (column, "n_replaced")]
+    rest = [c for c in docs.columns if c not in (column, count)]
     cols = {c: docs[f"`{c}`"] for c in docs.columns}
     text = cols[column].cast("string")
     hit = F.when(text.rlike(HINT), found(text)).otherwise(F.array().cast("array<string>"))
@@ -159,6 +159,8 @@ def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
             out.append(F.col("_out").alias(c))
         elif c == "n_chars":
             out.append(F.when(F.coalesce(changed, F.lit(0)) > 0, F.length("_out").cast("long")).otherwise(F.col(f"c{rest.index(c)}").cast("long")).alias(c))
-        elif c != "n_replaced":
+        elif c != count:
             out.append(F.col(f"c{rest.index(c)}").alias(c))
-    return three.select(*out, F.when(F.col("_text").isNull(), 0).otherwise(changed).cast("long").alias("n_replaced"))
+    if count:
+        out.append(F.when(F.col("_text").isNull(), 0).otherwise(changed).cast("long").alias(count))
+    return three.select(*out)

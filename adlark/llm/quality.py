@@ -102,18 +102,21 @@ def weights(texts: pa.Array, ratio: np.ndarray) -> np.ndarray:
     return out
 
 
-def _weigh(ratio, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _weigh(ratio, text: str, back: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weights(batch.column("_text"), ratio.value))], names=[*batch.schema.names, "_weight"])
+        weight = pa.array(weights(batch.column(text), ratio.value))
+        names = [c for c in batch.schema.names if back or c != text]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), weight], names=[*names, "_weight"])
 
 
-def weighed(docs: DataFrame, ratio) -> DataFrame:
-    """All columns of docs, _weight and _key."""
-    rows = docs.withColumn("_text", F.coalesce("text", F.lit("")))
-    schema = T.StructType([*rows.schema.fields, T.StructField("_weight", T.DoubleType())])
-    rows = rows.mapInArrow(lambda b: _weigh(ratio, b), schema)
-    unit = (F.shiftrightunsigned(F.xxhash64(F.lit(17), "doc_id", "_text"), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-    return rows.withColumn("_key", F.col("_weight") / TEMPERATURE - F.log(-F.log(unit))).drop("_text")
+def weighed(docs: DataFrame, ratio, back: bool = True) -> DataFrame:
+    """The columns of docs as c0, c1, ... in their order, so that no name can clash, and _weight and _key; the text only if it shall come back."""
+    unit = (F.shiftrightunsigned(F.xxhash64(F.lit(17), docs["doc_id"], F.coalesce(docs["text"], F.lit(""))), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    rows = docs.select(*(docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(docs.columns)), unit.alias("_unit"))
+    text = f"c{docs.columns.index('text')}"
+    schema = T.StructType([*(f for f in rows.schema.fields if back or f.name != text), T.StructField("_weight", T.DoubleType())])
+    rows = rows.mapInArrow(lambda b: _weigh(ratio, text, back, b), schema)
+    return rows.withColumn("_key", F.col("_weight") / TEMPERATURE - F.log(-F.log("_unit"))).drop("_unit")
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
@@ -162,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame):
     good = ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good")
     sample, path = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marked.select("doc_id", good, (F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(2)) == 0).alias("learn")), "doc_id"), "labelled")
     ratio = docs.sparkSession.sparkContext.broadcast(log_ratio(counts(sample.filter("good and learn")), counts(docs)))
-    pairs = sample.filter("good is not null and not learn").withColumn("_text", F.col("text")).select("good", "_text").mapInArrow(lambda b: _weigh(ratio, b), "good boolean, _text string, _weight double").select("good", "_weight").toArrow()  # LABELLED rows
+    pairs = sample.filter("good is not null and not learn").select("good", "text").mapInArrow(lambda b: _weigh(ratio, "text", False, b), "good boolean, _weight double").toArrow()  # LABELLED rows
     drop(docs.sparkSession, path)
     w, g = pairs["_weight"].to_numpy(), pairs["good"].to_numpy(zero_copy_only=False).astype(bool)
     return ratio, best_cut(w[g], w[~g])
@@ -172,7 +175,7 @@ def _threshold(docs: DataFrame, labels: DataFrame):
     spark = docs.sparkSession
     prepare(spark)
     ratio, cut = fit(docs, labels)
-    keys, path = stored(weighed(docs.select("doc_id", "text"), ratio).select("_weight", "_key"), "keys")
+    keys, path = stored(weighed(docs.select("doc_id", "text"), ratio, False).select("_weight", "_key"), "keys")
     k = keys.filter(F.col("_weight") >= cut).count()
     least = top_k(keys, k)
     drop(spark, path)
@@ -182,10 +185,10 @@ def _threshold(docs: DataFrame, labels: DataFrame):
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, log_weight, gumbel_key and kept for each row. Null and empty texts have weight 0. Equal rows agree."""
     ratio, cut, least = _threshold(docs, labels)
-    return weighed(docs.select("doc_id", "text"), ratio).select("doc_id", F.col("_weight").alias("log_weight"), F.col("_key").alias("gumbel_key"), (F.col("_key") >= least).alias("kept"))
+    return weighed(docs.select("doc_id", "text"), ratio, False).select(F.col("c0").alias("doc_id"), F.col("_weight").alias("log_weight"), F.col("_key").alias("gumbel_key"), (F.col("_key") >= least).alias("kept"))
 
 
 def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that `score` keeps."""
     ratio, _, least = _threshold(docs, labels)
-    return weighed(docs, ratio).filter(F.col("_key") >= least).select(*docs.columns)
+    return weighed(docs, ratio).filter(F.col("_key") >= least).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))

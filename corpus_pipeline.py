@@ -35,7 +35,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal numbers, dates and addresses."""
-    return pseudonymise(docs, PSEUDONYM_KEY).drop("n_replaced")
+    return pseudonymise(docs, PSEUDONYM_KEY, count=None)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
