@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .runtime import table
+from .sql import oracle_sql  # noqa: F401
 
 #: For tests; a deployment passes a key of its own.
 PSEUDONYM_KEY = "adlark demonstration key"
