@@ -11,9 +11,14 @@ from ..config import DEFAULT as C
 from ..operators import candidates as ca
 from ..operators import eda, evaluation, features, ranking, rollups
 from ..operators import storyline as st
+from ..sources import sinks
 from ..sources import tables as t
 
 
+#: Stages that several later ones read; each is written once per query, so events are not scanned and shuffled again for each reader.
+KEPT = {"item_daily", "uid", "user_category", "pool", "raw", "submission"}
+
+
 class Stages:
     """The tables that queries share, each made from the one before when a query asks for it."""
 
@@ -24,9 +29,14 @@ class Stages:
         if name.startswith("_") or f"make_{name}" not in dir(type(self)):
             raise AttributeError(name)
         if name not in self._made:
-            self._made[name] = getattr(type(self), f"make_{name}")(self)
+            made = self.fresh(name)
+            self._made[name] = sinks.stage(made, name) if name in KEPT else made
         return self._made[name]
 
+    def fresh(self, name: str) -> DataFrame:
+        """A stage that nothing else will read."""
+        return getattr(type(self), f"make_{name}")(self)
+
     def make_events(self):
         return t.events(self.spark, self.dir)
 
@@ -135,9 +145,9 @@ def _variants(s: Stages) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "user_daily": lambda s: s.user_daily,
-    "item_daily": lambda s: _rounded(s.item_daily, "avg_dwell"),
-    "user_item_daily": lambda s: s.uid,
-    "user_category": lambda s: s.user_category,
+    "item_daily": lambda s: _rounded(s.fresh("item_daily"), "avg_dwell"),
+    "user_item_daily": lambda s: s.fresh("uid"),
+    "user_category": lambda s: s.fresh("user_category"),
     "user_category_whole_window": lambda s: rollups.user_attribute(s.events, "category"),
     "user_city": lambda s: s.user_city,
     "event_type_daily": lambda s: rollups.event_type_daily(s.events),
@@ -152,7 +162,7 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "category_pop": lambda s: s.sources[2],
     "city_cat_pop": lambda s: s.sources[3],
     "global_pop": lambda s: s.sources[4],
-    "merge_candidates": lambda s: s.pool,
+    "merge_candidates": lambda s: s.fresh("pool"),
     "user_features": lambda s: s.user_features,
     "item_features": lambda s: s.item_features,
     "pair_features": lambda s: s.pair_features,
@@ -166,10 +176,10 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "group_sizes": lambda s: features.group_sizes(s.pool),
     "linear_scores": lambda s: s.scored.select("user_id", "item_id", "pred_score"),
     "gbt_scores": _gbt,
-    "rerank_raw": lambda s: s.raw,
+    "rerank_raw": lambda s: s.fresh("raw"),
     "rerank_health": lambda s: ranking.rerank_health(s.scored, s.dim),
     "greedy_rerank": lambda s: ranking.greedy_rerank(s.scored, s.dim, C.cutoff),
-    "submission": lambda s: s.submission,
+    "submission": lambda s: s.fresh("submission"),
     "submission_checks": lambda s: ranking.submission_checks(s.submission, s.users, s.dim),
     "recall_ndcg": lambda s: evaluation.recall_ndcg(s.raw, s.gt, C.final_k),
     "candidate_recall": lambda s: evaluation.candidate_recall(s.pool, s.gt),
