@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from adlark.functions import exprs
 from adlark.operators import candidates, evaluation, features, ranking
-from adlark.sources import tables
+from adlark.sources import sinks, tables
 
 DAY = dt.date(2024, 1, 20)
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -196,3 +196,10 @@ def test_verify_slices_hold(spark, data):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_stage_keeps_rows_and_types(spark):
+    df = spark.sql("select 1L as a, date '2024-01-02' as d, cast(null as double) as x union all select 1L, date '2024-01-02', null")
+    back = sinks.stage(df, "test")
+    assert back.dtypes == df.dtypes and sorted(back.collect()) == sorted(df.collect())
+    assert sinks.stage(df.limit(0), "none").count() == 0
