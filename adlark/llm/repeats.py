@@ -4,7 +4,7 @@ A byte is removed if it is covered by a string of MIN bytes that also starts som
 document. Two steps find all starts of such strings.
 
 Parsing, over all documents. A rolling hash of eight bytes picks a trigger for each start: the position of least hash among the
-SPAN starts from there on, the last of several. It depends only on bytes within the string, so equal strings have
+span(MIN) starts from there on, the last of several. It depends only on bytes within the string, so equal strings have
 their triggers at equal places. Starts of one trigger are neighbours; they form a phrase, known by the hash of the bytes
 that all their strings have behind the trigger (the seed) and that of all bytes of their strings (the long hash).
 Phrases whose seed occurs once repeat nowhere. Phrases whose long hash occurs again repeat as a whole. What is left are the
@@ -15,6 +15,9 @@ prefix-free phrases that end at triggers, and a parse. The suffix array of the d
 of all suffixes of the block: by the dictionary suffix up to the next trigger, then by the rank of the parse from there
 on. A string repeats exactly if a neighbour in that order shares its MIN bytes. A seed with more than HOT different phrases
 would make a block too large; its strings are named by a 128-bit hash and counted instead, which any number of tasks share.
+
+Passages of a number of words, whatever their bytes, are found in the same way: a text becomes a string of eight bytes a word,
+a hash of the word, and of the repeated strings of eight times as many bytes those that begin with a word count.
 """
 
 from __future__ import annotations
@@ -29,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import drop, frugal, prepare, stored, tasks
+from .words import words_of
 
 MIN = 400
-SPAN = 200
 GRAM = 8
-SEED = MIN - SPAN + 1
+WORD = 8
 HOT = 2048
 BLOCK_ROWS = 1_000
 BUFFER = 1 << 20
@@ -42,6 +45,11 @@ _MAP = np.random.default_rng(3).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 _BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
+def span(length: int) -> int:
+    """Starts among which a trigger is chosen for strings of `length` bytes; the rest of a string is its seed."""
+    return length // 2
+
+
 class Hashes:
     """Polynomial hashes modulo 2**64 of any range of a buffer, from prefix sums; bytes count as random numbers."""
 
@@ -85,9 +93,9 @@ def grams(buf: np.ndarray) -> np.ndarray:
     return out
 
 
-def phrases(buf: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+def phrases(buf: np.ndarray, size: np.ndarray, length: int = MIN) -> tuple[np.ndarray, ...]:
     """Phrases of texts that lie one after another in a buffer: text, first and last start, trigger (places in the buffer)."""
-    starts = np.maximum(size - MIN + 1, 0)
+    starts = np.maximum(size - length + 1, 0)
     if not starts.sum() or len(buf) > int(_POS):
         if len(buf) > int(_POS):
             raise ValueError("a buffer has 16 MB at most")
@@ -95,8 +103,8 @@ def phrases(buf: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
     base = np.cumsum(size) - size
     key = (grams(buf) & ~_POS) | (_POS - np.arange(len(buf), dtype=np.uint64))
     width = 1
-    while width < SPAN:  # least key of windows twice as wide, up to SPAN
-        step = min(width, SPAN - width)
+    while width < span(length):  # least key of windows twice as wide, up to the span
+        step = min(width, span(length) - width)
         key = np.minimum(key[:-step], key[step:])
         width += step
     text = np.repeat(np.arange(len(size)), starts)
@@ -107,7 +115,7 @@ def phrases(buf: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
     return text[new], at[new], at[last], trigger[new]
 
 
-def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _batches(batch: pa.RecordBatch, column: str, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows whose texts have BUFFER bytes together, or one longer text in overlapping parts: first row, offset in it, bytes, sizes."""
     texts = [b or b"" for b in batch.column(column).cast(pa.large_binary()).to_pylist()]
     a, held, most = 0, 0, BUFFER
@@ -117,7 +125,7 @@ def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.
                 yield a, 0, np.frombuffer(b"".join(texts[a:i]), np.uint8), np.array([len(x) for x in texts[a:i]], np.int64)
             a, held = i, 0
         if t is not None and len(t) > most:
-            for k in range(0, len(t), most - MIN):  # neighbours share MIN - 1 bytes, so each start is in one part
+            for k in range(0, len(t), most - length):  # neighbours share length - 1 bytes, so each start is in one part
                 part = t[k : k + most - 1]
                 yield i, k, np.frombuffer(part, np.uint8), np.array([len(part)], np.int64)
                 if k + most - 1 >= len(t):
@@ -127,21 +135,21 @@ def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.
             held += len(t)
 
 
-def _parse(full: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse(full: bool, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
     for batch in batches:
-        for row, skip, buf, size in _batches(batch, "text"):
-            text, lo, hi, trigger = phrases(buf, size)
+        for row, skip, buf, size in _batches(batch, "text", length):
+            text, lo, hi, trigger = phrases(buf, size, length)
             if not len(text):
                 continue
             h = Hashes(buf)
-            seed = h.of(trigger, trigger + SEED).view(np.int64)
+            seed = h.of(trigger, trigger + length - span(length) + 1).view(np.int64)
             if not full:
                 yield pa.RecordBatch.from_arrays([pa.array(seed)], names=["seed"])
                 continue
             base = (np.cumsum(size) - size)[text]
             uid = batch.column("uid").to_numpy()[row + text]
-            yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(h.of(lo, hi + MIN).view(np.int64)), pa.array(uid), pa.array(lo - base + skip), pa.array((hi - lo + 1).astype(np.int32))], names=["seed", "long", "uid", "lo", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(h.of(lo, hi + length).view(np.int64)), pa.array(uid), pa.array(lo - base + skip), pa.array((hi - lo + 1).astype(np.int32))], names=["seed", "long", "uid", "lo", "n"])
 
 
 # ---------------------------------------------------------------- suffix arrays of a block
@@ -231,15 +239,15 @@ def _runs(flag: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
-def _sort_block(block: pd.DataFrame) -> pd.DataFrame:
+def _sort_block(length: int, block: pd.DataFrame) -> pd.DataFrame:
     frugal()
     block = block.sort_values(["seed", "long"])
-    found = repeated(block["bytes"].tolist(), block["n"].tolist(), block["m"].tolist())
+    found = repeated(block["bytes"].tolist(), block["n"].tolist(), block["m"].tolist(), length)
     rows = [(uid, lo + a, lo + b) for uid, lo, m, flag in zip(block["uid"], block["lo"], block["m"], found) if m == 1 for a, b in _runs(flag)]
     return pd.DataFrame(rows, columns=["uid", "first", "last"], dtype="int64")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each listed phrase of a text."""
     frugal()
     for batch in batches:
@@ -248,12 +256,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if rows:
                 keys = list(rows[0])
                 cols = {k: [r[k] for r in rows] for k in keys}
-                cols["bytes"] = [text[r["lo"] : r["lo"] + r["n"] + MIN - 1] for r in rows]
+                cols["bytes"] = [text[r["lo"] : r["lo"] + r["n"] + length - 1] for r in rows]
                 kind = {"n": pa.int32(), "bytes": pa.binary(), "hot": pa.bool_()}
                 yield pa.RecordBatch.from_arrays([pa.array(cols[k], kind.get(k, pa.int64())) for k in cols], names=list(cols))
 
 
-def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _names(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """128-bit names of all strings of phrases."""
     frugal()
     for batch in batches:
@@ -261,38 +269,38 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(0, len(texts), 2000):
             part = texts[k : k + 2000]
             size = np.array([len(t) for t in part], np.int64)
-            count = size - MIN + 1
+            count = size - length + 1
             buf = np.frombuffer(b"".join(part), np.uint8)
             row = np.repeat(np.arange(len(part)), count)
             at = np.arange(int(count.sum())) + np.repeat(np.cumsum(size) - size - (np.cumsum(count) - count), count)
             rel = at - (np.cumsum(size) - size)[row]
             col = lambda c: batch.column(c).to_numpy()[k : k + 2000][row]
-            yield pa.RecordBatch.from_arrays([pa.array(Hashes(buf).of(at, at + MIN).view(np.int64)), pa.array(Hashes(buf, 1).of(at, at + MIN).view(np.int64)), pa.array(col("m")), pa.array(col("uid")), pa.array(col("lo") + rel)], names=["h1", "h2", "m", "uid", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(Hashes(buf).of(at, at + length).view(np.int64)), pa.array(Hashes(buf, 1).of(at, at + length).view(np.int64)), pa.array(col("m")), pa.array(col("uid")), pa.array(col("lo") + rel)], names=["h1", "h2", "m", "uid", "first"])
 
 
 # ---------------------------------------------------------------- operator
 
 
-def repeat_starts(rows: DataFrame) -> DataFrame:
-    """Runs uid, first, last of starts (byte offsets) of strings of MIN bytes that start elsewhere too; rows: uid, text."""
+def repeat_starts(rows: DataFrame, length: int = MIN) -> DataFrame:
+    """Runs uid, first, last of starts (byte offsets) of strings of `length` bytes that start elsewhere too; rows: uid, text."""
     spark = rows.sparkSession
     prepare(spark)
-    twice = rows.mapInArrow(lambda b: _parse(False, b), "seed long").groupBy("seed").count().filter("count > 1").select("seed")
-    every = rows.mapInArrow(lambda b: _parse(True, b), "seed long, long long, uid long, lo long, n int")
+    twice = rows.mapInArrow(lambda b: _parse(False, length, b), "seed long").groupBy("seed").count().filter("count > 1").select("seed")
+    every = rows.mapInArrow(lambda b: _parse(True, length, b), "seed long, long long, uid long, lo long, n int")
     shared, shared_path = stored(every.join(twice, "seed"), "phrases")
     kinds, kinds_path = stored(shared.groupBy("seed", "long").agg(F.count("*").alias("m"), F.min(F.struct("uid", "lo", "n")).alias("one")), "kinds")
     whole = shared.join(kinds.filter("m > 1").select("seed", "long"), ["seed", "long"]).select("uid", F.col("lo").alias("first"), (F.col("lo") + F.col("n") - 1).alias("last"))
     mixed = kinds.groupBy("seed").agg(F.count("*").alias("k"), F.min("m").alias("least")).filter("k > 1 and least = 1").select("seed", (F.col("k") > HOT).alias("hot"))
     edges = kinds.join(mixed, "seed").select("seed", "long", "m", "one.uid", "one.lo", "one.n", "hot")
     by_text = edges.groupBy("uid").agg(F.collect_list(F.struct("seed", "long", "m", "uid", "lo", "n", "hot")).alias("rows"))  # phrases of one text
-    cut = rows.join(by_text, "uid").select("text", "rows").mapInArrow(_cut, "seed long, long long, m long, uid long, lo long, n int, hot boolean, bytes binary")
+    cut = rows.join(by_text, "uid").select("text", "rows").mapInArrow(lambda b: _cut(length, b), "seed long, long long, m long, uid long, lo long, n int, hot boolean, bytes binary")
     pieces, pieces_path = stored(cut, "edges")
     n, hot = pieces.agg(F.count("*"), F.coalesce(F.sum(F.col("hot").cast("long")), F.lit(0))).first()
     blocks = max(1, -(-(n - hot) // BLOCK_ROWS))
-    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(blocks, tasks(spark)), "block").groupBy("block").applyInPandas(_sort_block, "uid long, first long, last long")
+    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(blocks, tasks(spark)), "block").groupBy("block").applyInPandas(lambda b: _sort_block(length, b), "uid long, first long, last long")
     found = whole.union(sorted_)
     if hot:
-        names, names_path = stored(pieces.filter("hot").mapInArrow(_names, "h1 long, h2 long, m long, uid long, first long"), "names")
+        names, names_path = stored(pieces.filter("hot").mapInArrow(lambda b: _names(length, b), "h1 long, h2 long, m long, uid long, first long"), "names")
         often = names.groupBy("h1", "h2").agg(F.sum("m").alias("c")).filter("c > 1").select("h1", "h2")
         found = found.union(names.filter("m = 1").join(often, ["h1", "h2"]).select("uid", "first", F.col("first").alias("last")))
     out, _ = stored(found, "starts")
@@ -300,24 +308,59 @@ def repeat_starts(rows: DataFrame) -> DataFrame:
     return out
 
 
-def spans_of(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal ranges of bytes that strings of MIN bytes at these runs of starts cover."""
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as strings of WORD bytes for each of their words, a hash of it."""
+    frugal()
+    for batch in batches:
+        bounds, index, vocab = words_of(batch.column("text"))
+        name = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=WORD).digest() for w in vocab.to_pylist()), "<u8")
+        code = name[index].tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array([code[a * WORD : b * WORD] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())], names=["uid", "text"])
+
+
+def passage_starts(rows: DataFrame, words: int) -> DataFrame:
+    """Runs uid, first, last of starts (numbers of words) of passages of so many words that start elsewhere too; rows: uid, text."""
+    prepare(rows.sparkSession)
+    runs = repeat_starts(rows.mapInArrow(_coded, "uid long, text binary"), words * WORD)
+    whole = runs.select("uid", F.ceil(F.col("first") / WORD).cast("long").alias("first"), F.floor(F.col("last") / WORD).cast("long").alias("last"))
+    return whole.filter("first <= last")  # a start inside a word's hash is none
+
+
+def _passages(text: bytes, runs: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
+    """Ranges of bytes of the passages at these runs of words, from the first word's first byte to the last one's last."""
+    white = np.isin(np.frombuffer(text, np.uint8), np.array([9, 10, 11, 12, 13, 32], np.uint8))
+    edge = np.flatnonzero(np.diff(np.r_[True, white, True].astype(np.int8)))
+    return [(int(edge[2 * a]), int(edge[2 * (b + words - 1) + 1])) for a, b in runs]
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for a, b in sorted(runs):
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b + MIN)
+            out[-1][1] = max(out[-1][1], b)
         else:
-            out.append([a, b + MIN])
+            out.append([a, b])
     return [(a, b) for a, b in out]
 
 
-def _remove(digest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def spans_of(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal ranges of bytes that strings of MIN bytes at these runs of starts cover."""
+    return _merged([(a, b + MIN) for a, b in runs])
+
+
+INNER = ("_text", "_runs", "_words")
+
+
+def _remove(digest: bool, words: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
     for batch in batches:
         texts, runs = batch.column("_text").cast(pa.large_binary()).to_pylist(), batch.column("_runs").to_pylist()
+        more = batch.column("_words").to_pylist() if words else [None] * len(texts)
         out, sizes, gone, spans = [], [], [], []
-        for t, r in zip(texts, runs):
+        for t, r, w in zip(texts, runs, more):
             cut = spans_of([(x["first"], x["last"]) for x in r]) if r else []
+            if w:
+                cut = _merged([*cut, *_passages(t, [(x["first"], x["last"]) for x in w], words)])
             kept, at = [], 0
             for a, b in cut:
                 kept.append(t[at:a])
@@ -327,21 +370,24 @@ def _remove(digest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             sizes.append(len(t))
             gone.append(len(t) - len(kept))
             spans.append(len(cut))
-        rest = [batch.column(c) for c in batch.schema.names if c not in ("_text", "_runs")]
-        names = [c for c in batch.schema.names if c not in ("_text", "_runs")]
+        names = [c for c in batch.schema.names if c not in INNER]
+        rest = [batch.column(c) for c in names]
         yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.string()), *(pa.array(x, pa.int64()) for x in (sizes, gone, spans))], names=[*names, "_out", "_n_bytes", "_n_removed", "_n_spans"])
 
 
-def _joined(docs: DataFrame) -> DataFrame:
-    """All columns of docs under numbered names, with _text and _runs."""
+def _joined(docs: DataFrame, words: int | None = None) -> DataFrame:
+    """All columns of docs under numbered names, with _text, _runs and, given a number of words, _words."""
     numbered = docs.select(*(docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(docs.columns)), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("_text"), F.monotonically_increasing_id().alias("uid"))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    runs = repeat_starts(rows).groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("_runs"))
-    return numbered.join(runs, "uid", "left").drop("uid")
+    by_text = lambda runs, name: runs.groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias(name))
+    out = numbered.join(by_text(repeat_starts(rows), "_runs"), "uid", "left")
+    if words:
+        out = out.join(by_text(passage_starts(rows, words), "_words"), "uid", "left")
+    return out.drop("uid")
 
 
 def _schema(joined: DataFrame) -> str:
-    rest = ", ".join(f"{n} {t}" for n, t in joined.dtypes if n not in ("_text", "_runs"))
+    rest = ", ".join(f"{n} {t}" for n, t in joined.dtypes if n not in INNER)
     return f"{rest}, _out string, _n_bytes long, _n_removed long, _n_spans long"
 
 
@@ -353,14 +399,18 @@ def removed(docs: DataFrame) -> DataFrame:
     """
     slim = docs.select("doc_id", "text")
     joined = _joined(slim).drop("c1")
-    out = joined.mapInArrow(lambda b: _remove(True, b), _schema(joined))
+    out = joined.mapInArrow(lambda b: _remove(True, None, b), _schema(joined))
     return out.select(F.col("c0").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_out").alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """All rows and columns of docs; texts lose their repeats. A character that is cut through goes whole. n_chars follows."""
-    joined = _joined(docs).drop(f"c{docs.columns.index('text')}")
-    out = joined.mapInArrow(lambda b: _remove(False, b), _schema(joined))
+def without_repeats(docs: DataFrame, words: int | None = None) -> DataFrame:
+    """All rows and columns of docs; texts lose their repeats. A character that is cut through goes whole. n_chars follows.
+
+    Given a number of words, passages of so many words or more that repeat go too, whatever their bytes; words are those
+    between ASCII white space, and A to Z count as a to z.
+    """
+    joined = _joined(docs, words).drop(f"c{docs.columns.index('text')}")
+    out = joined.mapInArrow(lambda b: _remove(False, words, b), _schema(joined))
     cols = []
     for k, c in enumerate(docs.columns):
         if c == "text":

@@ -17,6 +17,9 @@ from adlark.llm.queries import PSEUDONYM_KEY
 from adlark.llm.repeats import without_repeats
 from adlark.llm.runtime import stored, table
 
+#: Words of the shortest repeated passage that goes.
+PASSAGE = 51
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling keeps."""
@@ -29,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages that occur elsewhere too."""
-    return without_repeats(docs)
+    """All documents, without passages of over 50 words, or of 400 bytes, that occur elsewhere too."""
+    return without_repeats(docs, words=PASSAGE)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
