@@ -1,16 +1,20 @@
 """Log-bilinear language model trained by noise-contrastive estimation in numpy (operator 10).
 
-Tokens are a text's words and one end. Each token belongs to a class: the most frequent tokens have one of their own, the
-others share classes by a hash of their last two bytes. The model predicts a class from the two before it,
+Tokens are a text's words and one end. Every word that occurs COUNT times or more is a unit with vectors of its own, as context
+and as prediction, so the model grows with the corpus; only rarer words share units, by a hash of their last two bytes. The
+softmax has three levels: the most frequent words and the hashes of all others are classes, a class has groups, a group
+has units, about as many of them as there are groups. With h = T1 * r_a + T2 * r_b (diagonal T1, T2) of the two units before,
 
-    s(c | b, a) = (T1 * r_a + T2 * r_b) . q_c + bias_c        (diagonal T1, T2)
+    p(w | b, a) = p(class | h) p(group | class, h) p(w | group, h),    each a softmax of h . q + bias
 
-and a token within its class by its smoothed count, (count + 1) / (class tokens + class words + 1). Its statistics are the
-counts of class triples over all training texts; there are at most CLASSES + 1 squared times CLASSES of these
-whatever the size of the corpus, so training on the driver has a fixed bound. Scores are exact softmax values over all
-classes, by matrix products over all contexts.
+and a rarer word has its smoothed share of its unit, (count + 1) / (tokens + words + 1). Scores are exact.
 
-Counts of frequent words, bounded by HEAD_WORDS, go to each worker; those of all others meet the documents in a join.
+Training starts from a model of the classes alone, fitted on the driver to counted class triples, of which there are at most
+CLASSES + 1 squared times CLASSES. Its vectors are the first ones of the units. Then a pass reads all training tokens: every
+task steps through its own by noise-contrastive estimation, with noise from the same parent at each level, and the tables
+of the tasks are averaged, each row by how often a task used it, in whole numbers, so the order of tasks has no effect.
+
+Words with vectors, and these, go to each worker; the counts of all others meet the documents in a join.
 """
 
 from __future__ import annotations
@@ -25,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import drop, prepare, stored
-from .words import count_words, most_frequent, words_of
+from .words import count_words, words_of
 
 TOP_WORDS, SHAPES = 96, 32
 CLASSES = TOP_WORDS + SHAPES
-HEAD_WORDS = 150_000
+COUNT = 5
+PASSES = 1
 END = b""  # no word is empty
 
 
@@ -112,46 +117,231 @@ def train(cells: np.ndarray, counts: np.ndarray, dim: int = 24, noise: int = 12,
     return LogBilinear(**p)
 
 
-@dataclass
 class Lexicon:
-    """What scoring needs of the corpus: classes of the most frequent tokens, counts of the frequent ones, sums of classes."""
-
-    top: dict[bytes, int]
-    head: dict[bytes, int]
-    tokens: int
-    distinct: int
-    class_total: np.ndarray  # class tokens + class words + 1 for shared classes, 1-count classes need none
+    """Units and their tree: words with vectors, ordered by class and count, and a unit of each shape's rarer words."""
+
+    def __init__(self, words: list[bytes], count: np.ndarray, rare: np.ndarray, tokens: int, distinct: int):
+        """words: those of COUNT or more, most frequent first; rare: tokens + words + 1 of the rarer ones of each class."""
+        self.tokens, self.distinct, self.rare = tokens, distinct, rare
+        kind = np.array([k if k < TOP_WORDS else shape(w) for k, w in enumerate(words)], np.int64)
+        kind = np.concatenate([kind, np.arange(TOP_WORDS, CLASSES)])
+        seen = np.concatenate([count, rare[TOP_WORDS:]]).astype(np.float64)
+        order = np.lexsort((-seen, kind))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.word = dict(zip(words, place.tolist()))
+        self.backed = np.concatenate([np.zeros(TOP_WORDS, np.int64), place[len(words) :]])
+        self.seen = seen[order]
+        self.known = np.where(order < len(words), self.seen, -1).astype(np.int64)
+        self.kind = kind[order]
+        members = np.bincount(self.kind, minlength=CLASSES)
+        first = np.cumsum(members) - members
+        inside = np.arange(len(order)) - first[self.kind]
+        wide = np.maximum(1, np.ceil(np.sqrt(members)).astype(np.int64))
+        groups = -(-members // wide)
+        self.group = (np.cumsum(groups) - groups)[self.kind] + inside // wide[self.kind]
+        self.group_kind = np.repeat(np.arange(CLASSES), groups)
+
+    def units(self, vocab: list[bytes]) -> np.ndarray:
+        return np.array([self.word[w] if w in self.word else self.backed[shape(w)] for w in vocab], np.int64)
 
     def classes(self, vocab: list[bytes]) -> np.ndarray:
-        return np.array([self.top[w] if w in self.top else shape(w) for w in vocab], np.int64)
+        return self.kind[self.units(vocab)]
+
+    def levels(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of classes, groups and units: the parent of each, in order, and how often each occurs."""
+        by = lambda x, n: np.bincount(x, self.seen, n)
+        return [(np.zeros(CLASSES, np.int64), by(self.kind, CLASSES) + 0.5), (self.group_kind, by(self.group, len(self.group_kind))), (self.group, self.seen)]
+
+
+class Tables:
+    """Vectors of a model in one matrix: contexts (units and the start), position weights, then classes, groups and units with a bias last."""
+
+    def __init__(self, lex: Lexicon, rows: np.ndarray):
+        self.rows, n = rows, len(lex.kind)
+        self.cut = np.cumsum([0, n + 1, 2, CLASSES, len(lex.group_kind), n])
+
+    @property
+    def r(self) -> np.ndarray:
+        return self.rows[: self.cut[1], :-1]
+
+    @property
+    def t(self) -> np.ndarray:
+        return self.rows[self.cut[1] : self.cut[2], :-1]
+
+    def q(self, level: int) -> np.ndarray:
+        return self.rows[self.cut[level + 2] : self.cut[level + 3]]
+
+    @classmethod
+    def first(cls, lex: Lexicon, start: LogBilinear) -> Tables:
+        """Those of the class model for all units of a class; groups and units have their share of the parent."""
+        n, dim = len(lex.kind), start.r.shape[1]
+        rows = np.zeros((n + 1 + 2 + CLASSES + len(lex.group_kind) + n, dim + 1), np.float32)
+        out = cls(lex, rows)
+        out.r[:] = start.r[np.append(lex.kind, CLASSES)]
+        out.t[:] = start.t
+        out.q(0)[:] = np.column_stack([start.q, start.bias])
+        for k, (parent, seen) in enumerate(lex.levels()[1:], 1):
+            out.q(k)[:, -1] = np.log(seen / np.bincount(parent, seen)[parent])
+        return out
+
+    def hidden(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        h = self.t[0] * self.r[last] + self.t[1] * self.r[before]
+        return np.column_stack([h, np.ones(len(h), np.float32)])
+
+    def log10(self, lex: Lexicon, before: np.ndarray, last: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """log10 probability of units after contexts."""
+        out = np.zeros(len(unit))
+        at = [lex.kind[unit], lex.group[unit], unit]
+        for level, (parent, _) in enumerate(lex.levels()):
+            size = np.bincount(parent)
+            start = np.cumsum(size) - size
+            up = parent[at[level]]
+            order = np.argsort(up, kind="stable")
+            order = order[size[up[order]] > 1]  # an only child is certain
+            q = self.q(level)
+            edge = np.flatnonzero(np.diff(up[order], prepend=-1, append=-1)) if len(order) else []
+            for a, b in zip(edge[:-1], edge[1:]):
+                p = up[order[a]]
+                part = q[start[p] : start[p] + size[p]].T
+                step = max(256, 4_000_000 // int(size[p]))
+                for k in range(a, b, step):
+                    i = order[k : min(k + step, b)]
+                    x = self.hidden(before[i], last[i]) @ part
+                    x -= x.max(axis=1, keepdims=True)
+                    own = x[np.arange(len(i)), at[level][i] - start[p]]
+                    out[i] += own - np.log(np.exp(x, out=x).sum(axis=1))
+        return out / np.log(10)
+
+
+class Trainer:
+    """Steps of noise-contrastive estimation over tokens, in tables of its own, with a rate that falls as a row is used."""
+
+    def __init__(self, lex: Lexicon, rows: np.ndarray, seed: int, noise: int = 5, rate: float = 0.1):
+        self.lex, self.t, self.noise, self.rate = lex, Tables(lex, rows.copy()), noise, rate
+        self.rng = np.random.default_rng(seed)
+        self.square, self.used = np.ones(len(rows), np.float32), np.zeros(len(rows), np.int64)
+        self.levels = []
+        for parent, seen in lex.levels():
+            cum, size = np.cumsum(seen), np.bincount(parent)
+            end = np.cumsum(size)
+            top = cum[end - 1]
+            low = np.concatenate([[0], top[:-1]])
+            self.levels.append((parent, size, cum, low, top, end - size, end - 1, np.log(noise * seen / (top - low)[parent]).astype(np.float32)))
+
+    def _move(self, row: np.ndarray, grad: np.ndarray) -> None:
+        order = np.argsort(row, kind="stable")
+        row = row[order]
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        own, total = row[first], np.add.reduceat(grad[order], first, axis=0)
+        self.used[own] += np.diff(first, append=len(row))
+        self.square[own] += (total * total).mean(axis=1)
+        self.t.rows[own, : total.shape[1]] -= self.rate * total / np.sqrt(self.square[own])[:, None]
+
+    def step(self, before: np.ndarray, last: np.ndarray, unit: np.ndarray) -> None:
+        t, dim = self.t, self.t.r.shape[1]
+        ra, rb = t.r[last], t.r[before]
+        h = np.column_stack([t.t[0] * ra + t.t[1] * rb, np.ones(len(unit), np.float32)])
+        dh, moves = np.zeros((len(unit), dim), np.float32), []
+        for level, at in enumerate((self.lex.kind[unit], self.lex.group[unit], unit)):
+            parent, size, cum, low, top, first, final, log_kn = self.levels[level]
+            i = np.flatnonzero(size[parent[at]] > 1)
+            if not len(i):
+                continue
+            p = parent[at[i]]
+            drawn = np.searchsorted(cum, low[p][:, None] + self.rng.random((len(i), self.noise)) * (top - low)[p][:, None], side="right")
+            c = np.column_stack([at[i], np.clip(drawn, first[p][:, None], final[p][:, None])])
+            q = t.q(level)[c]
+            g = 1 / (1 + np.exp(-np.clip(np.matmul(q, h[i][:, :, None])[:, :, 0] - log_kn[c], -30, 30)))
+            g[:, 0] -= 1  # the first of each row is data, the others are noise
+            dh[i] += np.matmul(g[:, None, :], q)[:, 0, :dim]
+            moves.append((t.cut[level + 2] + c.ravel(), (g[:, :, None] * h[i][:, None, :]).reshape(-1, dim + 1)))
+        moves.append((np.concatenate([last, before]), np.concatenate([dh * t.t[0], dh * t.t[1]])))
+        moves.append((t.cut[1] + np.arange(2), np.stack([(dh * ra).mean(0), (dh * rb).mean(0)])))
+        for row, grad in moves:
+            self._move(row, grad)
+
+
+POINT = 1 << 12
+ROWS = 4096
+
+
+def _pass(lex, rows, seed: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What one task's tokens changed in the tables: in blocks of ROWS, the rows it used, their use and steps of 1 / POINT."""
+    lex, made = lex.value, None
+    for batch in batches:
+        bounds, _, unit, _ = _sequences(lex, batch.column("text"))
+        made = made or Trainer(lex, rows.value, seed)
+        before, last = _before(bounds, unit, len(lex.kind))
+        order = made.rng.permutation(len(unit))
+        for k in range(0, len(order), 2048):
+            i = order[k : k + 2048]
+            made.step(before[i], last[i], unit[i])
+    if made:
+        used = np.flatnonzero(made.used)
+        edge = np.flatnonzero(np.diff(used // ROWS, prepend=-1, append=-1))
+        for a, b in zip(edge[:-1], edge[1:]):
+            i = used[a:b]
+            steps = np.clip(np.rint((made.t.rows[i] - rows.value[i]) * POINT), -32767, 32767).astype(np.int16)
+            yield pa.RecordBatch.from_arrays([pa.array([i[0] // ROWS]), *(pa.array([x.tobytes()], pa.binary()) for x in (i, made.used[i], steps))], names=["block", "id", "n", "steps"])
+
+
+def _mean(width: int, block: pa.Table) -> pa.Table:
+    """Rows of a block and their mean steps, weighted by use."""
+    first = block["block"][0].as_py()
+    use, total = np.zeros(ROWS, np.int64), np.zeros((ROWS, width), np.int64)
+    for i, n, steps in zip(*(block[c].to_pylist() for c in ("id", "n", "steps"))):
+        i, n = np.frombuffer(i, np.int64) - first * ROWS, np.frombuffer(n, np.int64)
+        use[i] += n
+        total[i] += n[:, None] * np.frombuffer(steps, np.int16).reshape(-1, width)
+    i = np.flatnonzero(use)
+    mean = (total[i] / use[i][:, None] / POINT).astype(np.float32)
+    return pa.table({"id": pa.array([(i + first * ROWS).tobytes()], pa.binary()), "mean": pa.array([mean.tobytes()], pa.binary())})
+
+
+def fit(texts: DataFrame, lex, start: LogBilinear, passes: int = PASSES) -> np.ndarray:
+    """Rows of the tables after passes over all tokens of column text; lex: a broadcast Lexicon."""
+    sc, rows = texts.sparkSession.sparkContext, Tables.first(lex.value, start).rows
+    width = rows.shape[1]
+    for seed in range(passes):
+        held = sc.broadcast(rows)
+        part = texts.mapInArrow(lambda b, held=held, seed=seed: _pass(lex, held, seed, b), "block long, id binary, n binary, steps binary")
+        rows = rows.copy()
+        for r in part.groupBy("block").applyInArrow(lambda t: _mean(width, t), "id binary, mean binary").collect():
+            i = np.frombuffer(r["id"], np.int64)
+            rows[i] += np.frombuffer(r["mean"], np.float32).reshape(len(i), -1)
+        held.destroy()
+    return rows
 
 
 def _sequences(lex: Lexicon, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """bounds, word index and class of each token, and the vocabulary; each text's end is the vocabulary's last word."""
+    """bounds, word index and unit of each token, and the vocabulary; each text's end is the vocabulary's last word."""
     bounds, index, vocab = words_of(texts)
     vocab = [*vocab.to_pylist(), END]
     token = np.insert(index, bounds[1:], len(vocab) - 1)
-    return bounds + np.arange(len(bounds)), token, lex.classes(vocab)[token], vocab
+    return bounds + np.arange(len(bounds)), token, lex.units(vocab)[token], vocab
 
 
-def _contexts(bounds: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """Code of the two classes before each token."""
-    last, before = np.empty_like(cls), np.empty_like(cls)
-    last[1:], before[2:] = cls[:-1], cls[:-2]
+def _before(bounds: np.ndarray, x: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """What stands two and one places before each token; `start` stands before a text."""
+    last, before = np.empty_like(x), np.empty_like(x)
+    last[1:], before[2:] = x[:-1], x[:-2]
     first = bounds[:-1]
-    before[first] = last[first] = CLASSES  # a text has one token at least: its end
+    before[first] = last[first] = start  # a text has one token at least: its end
     second = first[np.diff(bounds) > 1] + 1
-    before[second] = CLASSES
-    return before * (CLASSES + 1) + last
+    before[second] = start
+    return before, last
 
 
 def _triples(lex, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lex = lex.value
     total = np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int64)
     for batch in batches:
-        bounds, _, cls, _ = _sequences(lex, batch.column("text"))
-        if len(cls):
-            cell, n = np.unique(_contexts(bounds, cls) * CLASSES + cls, return_counts=True)
+        bounds, _, unit, _ = _sequences(lex, batch.column("text"))
+        if len(unit):
+            cls = lex.kind[unit]
+            before, last = _before(bounds, cls, CLASSES)
+            cell, n = np.unique((before * (CLASSES + 1) + last) * CLASSES + cls, return_counts=True)
             total[cell] += n
     cell = np.flatnonzero(total)
     for k in range(0, len(cell), 500_000):
@@ -159,26 +349,25 @@ def _triples(lex, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["cell", "n"])
 
 
-def _score(lex, model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    lex, table = lex.value, model.value.table().ravel()
+def _score(lex, rows, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lex = lex.value
+    tables = Tables(lex, rows.value)
     floor = lex.tokens + lex.distinct + 1
     names = ["uid", "doc_id", "salt", "word", "class", "times", "n_tokens", "n_known", "base_score", "score"]
     for batch in batches:
-        bounds, token, cls, vocab = _sequences(lex, batch.column("text"))
+        bounds, token, unit, vocab = _sequences(lex, batch.column("text"))
         n, uid = len(bounds) - 1, batch.column("uid").to_numpy()
         if not n:
             continue
-        count = np.array([lex.head.get(w, -1) for w in vocab], np.int64)
-        kind = lex.classes(vocab)
-        known = count >= 0
-        base = np.where(known, np.log10((np.maximum(count, 0) + 1) / floor), 0.0)
-        inside = np.where(known & (kind >= TOP_WORDS), np.log10((np.maximum(count, 0) + 1) / lex.class_total[kind]), 0.0)
+        own = lex.units(vocab)
+        known, kind = lex.known[own] >= 0, lex.kind[own]
+        base = np.where(known, np.log10((np.maximum(lex.known[own], 0) + 1) / floor), 0.0)
         by_doc = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  each text has a token
-        model_part = table[_contexts(bounds, cls) * CLASSES + cls].astype(np.float64)
+        model_part = tables.log10(lex, *_before(bounds, unit, len(lex.kind)), unit)
         none = pa.nulls(n, pa.binary())
         yield pa.RecordBatch.from_arrays([
             pa.array(uid), batch.column("doc_id"), pa.array((uid % 997 + 1).astype(np.int32)), none, pa.nulls(n, pa.int32()), pa.array(np.zeros(n, np.int64)),
-            pa.array(np.diff(bounds)), pa.array(by_doc(known[token].astype(np.int64))), pa.array(by_doc(base[token])), pa.array(by_doc(model_part + inside[token])),
+            pa.array(np.diff(bounds)), pa.array(by_doc(known[token].astype(np.int64))), pa.array(by_doc(base[token])), pa.array(by_doc(model_part)),
         ], names=names)
         rare = np.flatnonzero(~known[token])
         if len(rare):
@@ -211,27 +400,26 @@ def score(docs: DataFrame) -> DataFrame:
     learnt = rows.filter("not held_out")
     counts, counts_path = stored(count_words(learnt, END), "counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = {bytes(r["word"]): k for k, r in enumerate(counts.orderBy(F.desc("c"), "word").limit(TOP_WORDS).collect())}
-    is_top = F.col("word").isin([F.lit(w) for w in top]) if top else F.lit(False)
+    common = (F.col("c") >= COUNT) | (F.col("word") == F.lit(END))
     kind = (F.crc32(F.expr("substring(word, -2)")) % SHAPES + TOP_WORDS).cast("int")
-    sums = counts.filter(~is_top).groupBy(kind.alias("class")).agg((F.sum("c") + F.count("*")).alias("n")).collect()
-    class_total = np.ones(CLASSES)
-    for r in sums:
-        class_total[r["class"]] += r["n"]
-    head = most_frequent(counts, HEAD_WORDS).toArrow()
-    lex = Lexicon(top, dict(zip(map(bytes, head["word"].to_pylist()), head["c"].to_pylist())), int(tokens), int(distinct), class_total)
-    lex.head |= {w: c for w, c in zip(top, (r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(TOP_WORDS).collect()))}
-    shared = sc.broadcast(lex)
+    rare = np.ones(CLASSES)
+    for r in counts.filter(~common).groupBy(kind.alias("class")).agg((F.sum("c") + F.count("*")).alias("n")).collect():
+        rare[r["class"]] += r["n"]
+    head = counts.filter(common).toArrow()
+    words, often = [bytes(w) for w in head["word"].to_pylist()], head["c"].to_numpy()
+    order = sorted(range(len(words)), key=lambda k: (-often[k], words[k]))
+    shared = sc.broadcast(Lexicon([words[k] for k in order], often[order], rare, int(tokens), int(distinct)))
     cells = learnt.select("text").mapInArrow(lambda b: _triples(shared, b), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    model = sc.broadcast(train(cells["cell"].to_numpy().astype(np.int64), cells["n"].to_numpy()))
+    start = train(cells["cell"].to_numpy().astype(np.int64), cells["n"].to_numpy())
     if not distinct:
         none = rows.select("doc_id", "held_out", F.size(F.split(F.trim("text"), r"[\x20\x09-\x0D]+")).alias("w"), "text")
         empty = F.col("text").rlike(r"^[\x20\x09-\x0D]*$")
         return none.select("doc_id", "held_out", F.when(empty, 1).otherwise(F.col("w") + 1).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_known"), F.lit(0).cast("long").alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
+    model = sc.broadcast(fit(learnt.select("text"), shared, start))
     schema = "uid long, doc_id long, salt int, word binary, class int, times long, n_tokens long, n_known long, base_score double, score double"
     part = rows.select("uid", "doc_id", "text").mapInArrow(lambda b: _score(shared, model, b), schema)
     least = counts.select("word", F.lit(0).alias("salt"), "c")
-    totals = F.lit(class_total.tolist())[F.col("class")]
+    totals = F.lit(rare.tolist())[F.col("class")]
     more = F.coalesce("c", F.lit(0)) + 1
     joined = part.join(least, ["word", "salt"], "left").select(
         "uid", "doc_id", "n_tokens",
