@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import table
+from .runtime import stored, table
 from .sql import oracle_sql  # noqa: F401
 
 #: For tests; a deployment passes a key of its own.
@@ -54,7 +54,7 @@ def op10_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_flac_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .flac import digests, store
 
-    return digests(store(table(spark, sf_dir, "documents")))
+    return digests(stored(store(table(spark, sf_dir, "documents")), "media")[0])
 
 
 def op9_ranked_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
