@@ -4,7 +4,7 @@ What is found and validated is permuted within its format by a keyed Feistel net
 pseudonyms in every document, different ones different pseudonyms, and the pseudonym passes the same validation:
 
     card number   13 to 19 digits with a valid Luhn digit: all but the first and the Luhn digit are permuted
-    phone         North American, with separators: area and exchange stay in 200 to 999
+    phone         North American, with separators: area and exchange stay in 200 to 999; others are permuted among themselves
     SSN           area 001 to 899 but 666, group 01 to 99, serial 0001 to 9999
     IPv4          four octets of at most 255
     IBAN          valid modulo 97: letters and digits of the account are permuted in their classes, check digits follow
@@ -27,7 +27,7 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 YMD = r"(?<![0-9./-])[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?![0-9]|[-/.][0-9])"
 DMY = r"(?<![0-9./-])[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}(?![0-9]|[-/.][0-9])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+PHONE = r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])(?:[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{1,7}|[0-9]{13,19})(?![0-9])"
 PATTERN = "|".join((EMAIL, IBAN, IPV4, YMD, DMY, PHONE, SSN, CARD))
@@ -116,7 +116,11 @@ def pseudonym(m: str, key: str) -> str:
     ten = f"right({_digits(m)}, 10)"
     line = "((int(substring(g, 1, 3)) - 200) * 800L + int(substring(g, 4, 3)) - 200) * 10000L + int(substring(g, 7))"
     again = "concat(cast(200 + v div 8000000 as string), cast(200 + v div 10000 % 800 as string), lpad(cast(v % 10000 as string), 4, '0'))"
-    new_ten = _let("g", ten, _let("v", z.number(line, 80000, 80000, "phone"), again))
+    # area below 200: 200 * 1000 pairs of area and exchange; then exchange below 200: 800 * 200 pairs
+    pair = "if(int(substring(g, 1, 3)) < 200, int(substring(g, 1, 6)), 200000 + (int(substring(g, 1, 3)) - 200) * 200 + int(substring(g, 4, 3)))"
+    odd = "concat(lpad(cast(if(v div 10000 < 200000, v div 10000, (200 + (v div 10000 - 200000) div 200) * 1000 + (v div 10000 - 200000) % 200) as string), 6, '0'), lpad(cast(v % 10000 as string), 4, '0'))"
+    plain, other = _let("v", z.number(line, 80000, 80000, "phone"), again), _let("v", z.number(f"({pair}) * 10000L + int(substring(g, 7))", 60000, 60000, "phone0"), odd)
+    new_ten = _let("g", ten, f"if(substring(g, 1, 1) >= '2' and substring(g, 4, 1) >= '2', {plain}, {other})")
     phone = _refill(m, f"concat(left({_digits(m)}, length({_digits(m)}) - 10), {new_ten})")
     area = "(int(substring(g, 1, 3)) - if(int(substring(g, 1, 3)) > 666, 2, 1))"
     social = f"({area} * 99L + int(substring(g, 4, 2)) - 1) * 9999L + int(substring(g, 6)) - 1"
