@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import documents, drop, prepare, stored
+from .runtime import documents, drop, prepare, stored, tidied, tidy
 from .words import words_of
 
 WORDS = 5
@@ -34,7 +34,7 @@ BAND = 5
 BANDS = REGISTERS // BAND
 NUM, DEN = 75, 100
 ERRORS = 5.0
-BLOCK = 1024
+BLOCK = 512
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -182,7 +182,7 @@ def _link_block(block: pd.DataFrame) -> pd.DataFrame:
         if len(to):
             j, error = estimates(rl[i][None, :], rr[to], ol[i][None, :], orr[to])
             ok = j >= NUM / DEN - ERRORS * error
-            found.append((j[ok], np.full(int(ok.sum()), i), to[ok]))
+            found.append((j[ok].astype(np.float32), np.full(int(ok.sum()), i, np.int32), to[ok].astype(np.int32)))
     if not found:
         return empty
     est, i, j = (np.concatenate(x) for x in zip(*found))
@@ -207,6 +207,9 @@ def _link_block(block: pd.DataFrame) -> pd.DataFrame:
         if ra != rb and linked(of(0, a), of(0 if right is left else 1, b)):
             parent[max(ra, rb)] = min(ra, rb)
             out.append((int(left["doc_id"][a]), int(right["doc_id"][b])))
+    if len(left) * len(right) > 1 << 16:
+        del found, est, i, j, order, sets
+        tidy()
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
@@ -221,9 +224,9 @@ def _across(rows: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     s = lambda x: sketches.select(F.col("doc_id").alias(x), F.col("regs").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}"))
-    pairs = pairs.join(s("a"), "a").join(s("b"), "b").select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimate, "a long, b long")
+    pairs = pairs.join(s("a"), "a").join(s("b"), "b").select("a", "b", "ra", "rb", "na", "nb").mapInArrow(lambda b: tidied(_estimate(b)), "a long, b long")
     t = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
-    return pairs.join(t("a"), "a").join(t("b"), "b").select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long")
+    return pairs.join(t("a"), "a").join(t("b"), "b").select("a", "b", "ta", "tb").mapInArrow(lambda b: tidied(_confirm(b)), "a long, b long")
 
 
 def _open(bands: DataFrame, shared: DataFrame, comp: DataFrame) -> DataFrame:
@@ -244,14 +247,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     texts = documents(docs)
-    sketch, sketch_path = stored(texts.mapInArrow(_sketch, "doc_id long, n_shingles long, set1 long, set2 long, regs binary, bands array<long>"), "sketch", "snappy")
+    sketch, sketch_path = stored(texts.mapInArrow(lambda b: tidied(_sketch(b)), "doc_id long, n_shingles long, set1 long, set2 long, regs binary, bands array<long>"), "sketch", "snappy")
     some = sketch.filter("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("set1", "set2").agg(F.min("doc_id").alias("rep"))
+    # a table of its own, so that the join deals both sides anew and a set with very many copies can be split
+    classes, classes_path = stored(some.groupBy("set1", "set2").agg(F.min("doc_id").alias("rep")), "classes")
     member, member_path = stored(some.select("doc_id", "set1", "set2").join(classes, ["set1", "set2"]).select("doc_id", "rep", "set1", "set2"), "member")
     first = member.filter("doc_id = rep").select("doc_id", "set1", "set2").distinct()
     reps, reps_path = stored(some.join(first, ["doc_id", "set1", "set2"]).select("doc_id", "n_shingles", "regs", "bands"), "reps", "snappy")
     result_rows, rows_path = stored(sketch.select("doc_id", "n_shingles"), "rows")
-    drop(spark, sketch_path)
+    drop(spark, sketch_path, classes_path)
     bands = reps.select("doc_id", F.explode("bands").alias("band"))
     shared, shared_path = stored(bands.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n"), F.max("doc_id").alias("z")).filter("a < z"), "bands")
     cand = bands.join(shared, "band").filter("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
@@ -259,6 +263,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links, links_path = stored(_confirmed(cand, reps, texts), "confirmed")
     comp, comp_path = components(links)
     paths = [member_path, reps_path, rows_path, shared_path, links_path, comp_path]
+    joined = lambda: comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))  # noqa: E731  a link for each document says what all links found so far say
     for most in (True, False):  # first each document in its fullest open band, which joins most; then all that is open
         todo, path = stored(_open(bands, shared, comp), "open")
         paths.append(path)
@@ -268,10 +273,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             one = todo.groupBy("doc_id").agg(F.max(F.struct("n", "band")).alias("at")).select("doc_id", "at.band")
             todo = todo.join(one, ["doc_id", "band"])
         more, path = stored(_across(todo, reps, texts), "more")
-        links = links.union(more)
-        comp, comp_path = components(links)
+        comp, comp_path = components(joined().union(more))
         paths += [path, comp_path]
-    comp, comp_path = components(links.union(copies))
+    comp, comp_path = components(joined().union(copies))
     out = result_rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("comp", "doc_id")
     final, _ = stored(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")), "near")

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pieces import encoder
-from .runtime import documents, prepare, tasks
+from .runtime import documents, prepare, tasks, tidied
 
 CAPACITY = 4096
 GROUP_DOCS = 512
@@ -104,6 +103,6 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     prepare(spark)
     groups = max(1, -(-docs.count() // group_docs))  # reads no column; a group stays small at any size
     rows = documents(docs).withColumn("bin", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))
-    coded = rows.mapInArrow(partial(_encode, tokenizer, end_id), "doc_id long, bin long, ids binary, item int")
+    coded = rows.mapInArrow(lambda b: tidied(_encode(tokenizer, end_id, b)), "doc_id long, bin long, ids binary, item int")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return coded.repartition(max(tasks(spark), 1), "bin").groupBy("bin").applyInPandas(partial(_pack, capacity), schema)
+    return coded.repartition(max(tasks(spark), 1), "bin").groupBy("bin").applyInPandas(lambda g: _pack(capacity, g), schema)

@@ -35,7 +35,7 @@ def byte_alphabet() -> dict[int, str]:
 class PieceEncoder:
     """Encodes texts by a tokenizers JSON file. limit: distinct pieces kept, which bounds a worker's memory."""
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.t = Tokenizer.from_file(path)

@@ -10,6 +10,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -53,11 +54,35 @@ def frugal() -> None:
         pass
 
 
+@functools.cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda n: 0
+
+
+def tidy() -> None:
+    """Give memory that was freed back to the system, since Spark keeps workers for later stages."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def tidied(batches: Iterator) -> Iterator:
+    """The same batches; `tidy` after the last one."""
+    try:
+        yield from batches
+    finally:
+        tidy()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares (spark.checkpoint.dir); a temporary one of our own only where that is unset."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if base is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = getattr(sc, "_adlark_scratch", None)
         if base is None:
             base = sc._adlark_scratch = tempfile.mkdtemp(prefix="adlark-scratch-")
