@@ -22,9 +22,9 @@ def op1_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_prefix_free_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .repeats import removed
+    from .repeats import PASSAGE, removed
 
-    return removed(table(spark, sf_dir, "documents"))
+    return removed(table(spark, sf_dir, "documents"), PASSAGE)
 
 
 def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

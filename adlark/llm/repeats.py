@@ -16,8 +16,12 @@ of all suffixes of the block: by the dictionary suffix up to the next trigger, t
 on. A string repeats exactly if a neighbour in that order shares its MIN bytes. A seed with more than HOT different phrases
 would make a block too large; its strings are named by a 128-bit hash and counted instead, which any number of tasks share.
 
-Passages of a number of words, whatever their bytes, are found in the same way: a text becomes a string of eight bytes a word,
-a hash of the word, and of the repeated strings of eight times as many bytes those that begin with a word count.
+Passages of a number of words, whatever their bytes, are found in the same way: a text becomes a string of words, each known by
+a hash of 64 bits, and a symbol of a string is a word where it is a byte above. `item` is the bytes of a symbol, 1 or WORD;
+lengths and places count symbols.
+
+Equality of phrases as wholes, and of hot strings, is that of polynomial hashes modulo 2**64; strings made to defeat these
+(Thue-Morse words of thousands of symbols) are out of scope.
 """
 
 from __future__ import annotations
@@ -37,12 +41,21 @@ from .words import words_of
 MIN = 400
 GRAM = 8
 WORD = 8
+#: Words of the shortest passage that counts by its words.
+PASSAGE = 51
 HOT = 2048
 BLOCK_ROWS = 1_000
 BUFFER = 1 << 20
 _POS = np.uint64((1 << 24) - 1)
 _MAP = np.random.default_rng(3).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+#: Documents whose occurrences of one phrase travel as one row.
+TOGETHER = 16
+
+
+def symbols(data: bytes, item: int) -> np.ndarray:
+    """Bytes, or hashes of words, of a string."""
+    return np.frombuffer(data, np.uint8 if item == 1 else "<u8")
 
 
 def span(length: int) -> int:
@@ -51,7 +64,7 @@ def span(length: int) -> int:
 
 
 class Hashes:
-    """Polynomial hashes modulo 2**64 of any range of a buffer, from prefix sums; bytes count as random numbers."""
+    """Polynomial hashes modulo 2**64 of any range of a buffer, from prefix sums; bytes count as random numbers, hashes of words as they are."""
 
     def __init__(self, buf: np.ndarray, which: int = 0):
         base = _BASE[which]
@@ -63,7 +76,7 @@ class Hashes:
             power[done : done + k] = power[:k] * np.uint64(pow(base, done, 1 << 64))
             done += k
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_MAP[which][buf] * power[:n], out=self.sums[1:])
+        np.cumsum((_MAP[which][buf] if buf.dtype == np.uint8 else buf * _MAP[which][0]) * power[:n], out=self.sums[1:])
         self.inverse = self._powers(n + 1, pow(base, -1, 1 << 64))
 
     @staticmethod
@@ -81,8 +94,13 @@ class Hashes:
 
 
 def grams(buf: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from each position of a buffer on (the last ones are read as if zeros followed)."""
+    """A hash of the GRAM bytes from each position of a buffer on (the last ones are read as if zeros followed), or of the word there."""
     n = len(buf)
+    if buf.dtype != np.uint8:
+        out = buf * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+        return out
     wide = np.concatenate([buf, np.zeros(16 + -n % 8, np.uint8)])
     out = np.empty(n + -n % 8, np.uint64)
     for k in range(8):
@@ -98,7 +116,7 @@ def phrases(buf: np.ndarray, size: np.ndarray, length: int = MIN) -> tuple[np.nd
     starts = np.maximum(size - length + 1, 0)
     if not starts.sum() or len(buf) > int(_POS):
         if len(buf) > int(_POS):
-            raise ValueError("a buffer has 16 MB at most")
+            raise ValueError("a buffer has 2**24 symbols at most")
         return tuple(np.zeros(0, np.int64) for _ in range(4))
     base = np.cumsum(size) - size
     key = (grams(buf) & ~_POS) | (_POS - np.arange(len(buf), dtype=np.uint64))
@@ -115,19 +133,19 @@ def phrases(buf: np.ndarray, size: np.ndarray, length: int = MIN) -> tuple[np.nd
     return text[new], at[new], at[last], trigger[new]
 
 
-def _batches(batch: pa.RecordBatch, column: str, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows whose texts have BUFFER bytes together, or one longer text in overlapping parts: first row, offset in it, bytes, sizes."""
-    texts = [b or b"" for b in batch.column(column).cast(pa.large_binary()).to_pylist()]
-    a, held, most = 0, 0, BUFFER
+def _batches(batch: pa.RecordBatch, column: str, length: int, item: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows whose texts have BUFFER bytes together, or one longer text in overlapping parts: first row, offset in it, symbols, sizes."""
+    texts = [symbols(b or b"", item) for b in batch.column(column).cast(pa.large_binary()).to_pylist()]
+    a, held, most = 0, 0, BUFFER // item
     for i, t in enumerate([*texts, None]):
         if t is None or held + len(t) > most:
             if i > a:
-                yield a, 0, np.frombuffer(b"".join(texts[a:i]), np.uint8), np.array([len(x) for x in texts[a:i]], np.int64)
+                yield a, 0, np.concatenate(texts[a:i]), np.array([len(x) for x in texts[a:i]], np.int64)
             a, held = i, 0
         if t is not None and len(t) > most:
-            for k in range(0, len(t), most - length):  # neighbours share length - 1 bytes, so each start is in one part
+            for k in range(0, len(t), most - length):  # neighbours share length - 1 symbols, so each start is in one part
                 part = t[k : k + most - 1]
-                yield i, k, np.frombuffer(part, np.uint8), np.array([len(part)], np.int64)
+                yield i, k, part, np.array([len(part)], np.int64)
                 if k + most - 1 >= len(t):
                     break
             a, held = i + 1, 0
@@ -135,18 +153,15 @@ def _batches(batch: pa.RecordBatch, column: str, length: int) -> Iterator[tuple[
             held += len(t)
 
 
-def _parse(full: bool, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse(length: int, item: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
     for batch in batches:
-        for row, skip, buf, size in _batches(batch, "text", length):
+        for row, skip, buf, size in _batches(batch, "text", length, item):
             text, lo, hi, trigger = phrases(buf, size, length)
             if not len(text):
                 continue
             h = Hashes(buf)
             seed = h.of(trigger, trigger + length - span(length) + 1).view(np.int64)
-            if not full:
-                yield pa.RecordBatch.from_arrays([pa.array(seed)], names=["seed"])
-                continue
             base = (np.cumsum(size) - size)[text]
             uid = batch.column("uid").to_numpy()[row + text]
             yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(h.of(lo, hi + length).view(np.int64)), pa.array(uid), pa.array(lo - base + skip), pa.array((hi - lo + 1).astype(np.int32))], names=["seed", "long", "uid", "lo", "n"])
@@ -171,22 +186,24 @@ def ranks(symbols: np.ndarray, left: np.ndarray, limit: int) -> np.ndarray:
     return rank
 
 
-def corpus_order(texts: list[bytes], places: np.ndarray, rate: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """Places (positions in the joined texts) in the order of their suffixes, by prefix-free parsing, and the joined bytes.
+def corpus_order(texts: list[bytes], places: np.ndarray, rate: int = 4, item: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Places (positions in the joined texts) in the order of their suffixes, by prefix-free parsing, and the joined symbols.
 
-    Texts end with a symbol below all bytes. A trigger is a GRAM whose hash has `rate` zero bits at the end.
+    Texts end with a symbol below all others. A trigger is a gram (GRAM bytes or a word) whose hash has `rate` zero bits at
+    the end. Words are ordered by their hashes.
     """
-    size = np.array([len(t) for t in texts], np.int64)
-    buf = np.frombuffer(b"".join(texts), np.uint8)
+    size = np.array([len(t) // item for t in texts], np.int64)
+    buf, gram = symbols(b"".join(texts), item), GRAM if item == 1 else 1
+    number = buf if item == 1 else np.unique(buf, return_inverse=True)[1]
     end = np.cumsum(size)
     text_end = np.repeat(end, size)
     pos = np.arange(len(buf))
-    trigger = ((grams(buf) >> np.uint64(40)) & np.uint64((1 << rate) - 1) == 0) & (pos + GRAM <= text_end)
+    trigger = ((grams(buf) >> np.uint64(40)) & np.uint64((1 << rate) - 1) == 0) & (pos + gram <= text_end)
     first = np.zeros(len(buf), bool)
     first[(end - size)[size > 0]] = True
     begin = np.flatnonzero(trigger | first)
     after = np.r_[begin[1:], len(buf)]
-    stop = np.minimum(after + GRAM, text_end[begin])  # a phrase ends with the next trigger's bytes
+    stop = np.minimum(after + gram, text_end[begin])  # a phrase ends with the next trigger's gram
     closing = after >= text_end[begin]
     stop = np.where(closing, text_end[begin], stop)
     # dictionary: distinct phrases, by two hashes and length; the last of a text has the end symbol too
@@ -197,7 +214,7 @@ def corpus_order(texts: list[bytes], places: np.ndarray, rate: int = 4) -> tuple
     length = (stop - begin + closing)[example]
     start = np.cumsum(length) - length
     inside = np.arange(int(length.sum())) - np.repeat(start, length)
-    symbol = buf[np.minimum(np.repeat(begin[example], length) + inside, len(buf) - 1)].astype(np.int64) + 1
+    symbol = number[np.minimum(np.repeat(begin[example], length) + inside, len(buf) - 1)].astype(np.int64) + 1
     symbol[(start + length - 1)[closing[example]]] = 0
     dictionary = ranks(symbol, np.repeat(length, length) - inside, int(length.max(initial=1)))
     # parse: ranks of phrases; suffixes of the parse end with their text
@@ -211,18 +228,18 @@ def corpus_order(texts: list[bytes], places: np.ndarray, rate: int = 4) -> tuple
     return np.lexsort((rest, alpha)), buf
 
 
-def repeated(texts: list[bytes], starts: list[int], weight: list[int], length: int = MIN) -> list[np.ndarray]:
-    """Which of the first starts[k] starts of text k begin a string of `length` bytes that occurs elsewhere as well.
+def repeated(texts: list[bytes], starts: list[int], weight: list[int], length: int = MIN, item: int = 1) -> list[np.ndarray]:
+    """Which of the first starts[k] starts of text k begin a string of `length` symbols that occurs elsewhere as well.
 
-    A text of weight 2 or more occurs so often itself. Each start has `length` bytes of its text.
+    A text of weight 2 or more occurs so often itself. Each start has `length` symbols of its text.
     """
     count = np.array(starts, np.int64)
-    size = np.array([len(t) for t in texts], np.int64)
+    size = np.array([len(t) // item for t in texts], np.int64)
     base = np.cumsum(size) - size
     places = np.arange(int(count.sum())) + np.repeat(base - (np.cumsum(count) - count), count)
     out = np.repeat(np.array(weight) > 1, count)
     if len(places):
-        order, buf = corpus_order(texts, places)
+        order, buf = corpus_order(texts, places, item=item)
         i = np.arange(1, len(order))
         a, b = places[order[i - 1]], places[order[i]]
         h = Hashes(buf)
@@ -239,16 +256,16 @@ def _runs(flag: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
-def _sort_block(length: int, block: pd.DataFrame) -> pd.DataFrame:
+def _sort_block(length: int, item: int, block: pd.DataFrame) -> pd.DataFrame:
     frugal()
     block = block.sort_values(["seed", "long"])
-    found = repeated(block["bytes"].tolist(), block["n"].tolist(), block["m"].tolist(), length)
+    found = repeated(block["bytes"].tolist(), block["n"].tolist(), block["m"].tolist(), length, item)
     rows = [(uid, lo + a, lo + b) for uid, lo, m, flag in zip(block["uid"], block["lo"], block["m"], found) if m == 1 for a, b in _runs(flag)]
     return pd.DataFrame(rows, columns=["uid", "first", "last"], dtype="int64")
 
 
-def _cut(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each listed phrase of a text."""
+def _cut(length: int, item: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The symbols of each listed phrase of a text."""
     frugal()
     for batch in batches:
         for text, rows in zip(batch.column("text").cast(pa.large_binary()), batch.column("rows").to_pylist()):
@@ -256,21 +273,21 @@ def _cut(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             if rows:
                 keys = list(rows[0])
                 cols = {k: [r[k] for r in rows] for k in keys}
-                cols["bytes"] = [text[r["lo"] : r["lo"] + r["n"] + length - 1] for r in rows]
+                cols["bytes"] = [text[r["lo"] * item : (r["lo"] + r["n"] + length - 1) * item] for r in rows]
                 kind = {"n": pa.int32(), "bytes": pa.binary(), "hot": pa.bool_()}
                 yield pa.RecordBatch.from_arrays([pa.array(cols[k], kind.get(k, pa.int64())) for k in cols], names=list(cols))
 
 
-def _names(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _names(length: int, item: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """128-bit names of all strings of phrases."""
     frugal()
     for batch in batches:
         texts = batch.column("bytes").to_pylist()
         for k in range(0, len(texts), 2000):
             part = texts[k : k + 2000]
-            size = np.array([len(t) for t in part], np.int64)
+            size = np.array([len(t) // item for t in part], np.int64)
             count = size - length + 1
-            buf = np.frombuffer(b"".join(part), np.uint8)
+            buf = symbols(b"".join(part), item)
             row = np.repeat(np.arange(len(part)), count)
             at = np.arange(int(count.sum())) + np.repeat(np.cumsum(size) - size - (np.cumsum(count) - count), count)
             rel = at - (np.cumsum(size) - size)[row]
@@ -281,30 +298,38 @@ def _names(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 # ---------------------------------------------------------------- operator
 
 
-def repeat_starts(rows: DataFrame, length: int = MIN) -> DataFrame:
-    """Runs uid, first, last of starts (byte offsets) of strings of `length` bytes that start elsewhere too; rows: uid, text."""
+def repeat_starts(rows: DataFrame, length: int = MIN, item: int = 1) -> DataFrame:
+    """Runs uid, first, last of starts (numbers of symbols) of strings of `length` symbols that start elsewhere too; rows: uid, text.
+
+    rows must be a stored table, or cost little and give the same rows each time.
+    """
     spark = rows.sparkSession
     prepare(spark)
-    twice = rows.mapInArrow(lambda b: _parse(False, length, b), "seed long").groupBy("seed").count().filter("count > 1").select("seed")
-    every = rows.mapInArrow(lambda b: _parse(True, length, b), "seed long, long long, uid long, lo long, n int")
-    shared, shared_path = stored(every.join(twice, "seed"), "phrases")
-    kinds, kinds_path = stored(shared.groupBy("seed", "long").agg(F.count("*").alias("m"), F.min(F.struct("uid", "lo", "n")).alias("one")), "kinds")
-    whole = shared.join(kinds.filter("m > 1").select("seed", "long"), ["seed", "long"]).select("uid", F.col("lo").alias("first"), (F.col("lo") + F.col("n") - 1).alias("last"))
-    mixed = kinds.groupBy("seed").agg(F.count("*").alias("k"), F.min("m").alias("least")).filter("k > 1 and least = 1").select("seed", (F.col("k") > HOT).alias("hot"))
+    every, every_path = stored(rows.mapInArrow(lambda b: _parse(length, item, b), "seed long, long long, uid long, lo long, n int"), "phrases")
+    # tables of their own, so that joins deal both sides anew and a seed with very many phrases can be split
+    twice, twice_path = stored(every.groupBy("seed").count().filter("count > 1").select("seed"), "twice")
+    part = F.shiftright("uid", (TOGETHER - 1).bit_length())
+    part_of = every.join(twice, "seed").withColumn("part", part).repartition(tasks(spark), "seed", "long", "part")
+    groups = part_of.groupBy("seed", "long", "part").agg(F.count("*").alias("m"), F.min(F.struct("uid", "lo", "n")).alias("one"), F.collect_list(F.struct("uid", "lo", "n")).alias("at"))
+    groups, groups_path = stored(groups, "groups")  # a row for a phrase in TOGETHER documents
+    kinds, kinds_path = stored(groups.groupBy("seed", "long").agg(F.sum("m").alias("m"), F.min("one").alias("one")), "kinds")
+    often = groups.select("seed", "long", "part", "at").join(kinds.filter("m > 1").select("seed", "long"), ["seed", "long"])
+    whole = often.repartition(tasks(spark), "part").select(F.explode("at").alias("x")).select("x.uid", F.col("x.lo").alias("first"), (F.col("x.lo") + F.col("x.n") - 1).alias("last"))
+    mixed, mixed_path = stored(kinds.groupBy("seed").agg(F.count("*").alias("k"), F.min("m").alias("least")).filter("k > 1 and least = 1").select("seed", (F.col("k") > HOT).alias("hot")), "mixed")
     edges = kinds.join(mixed, "seed").select("seed", "long", "m", "one.uid", "one.lo", "one.n", "hot")
     by_text = edges.groupBy("uid").agg(F.collect_list(F.struct("seed", "long", "m", "uid", "lo", "n", "hot")).alias("rows"))  # phrases of one text
-    cut = rows.join(by_text, "uid").select("text", "rows").mapInArrow(lambda b: _cut(length, b), "seed long, long long, m long, uid long, lo long, n int, hot boolean, bytes binary")
+    cut = rows.join(by_text, "uid").select("text", "rows").mapInArrow(lambda b: _cut(length, item, b), "seed long, long long, m long, uid long, lo long, n int, hot boolean, bytes binary")
     pieces, pieces_path = stored(cut, "edges")
     n, hot = pieces.agg(F.count("*"), F.coalesce(F.sum(F.col("hot").cast("long")), F.lit(0))).first()
     blocks = max(1, -(-(n - hot) // BLOCK_ROWS))
-    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(blocks, tasks(spark)), "block").groupBy("block").applyInPandas(lambda b: _sort_block(length, b), "uid long, first long, last long")
+    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(blocks, tasks(spark)), "block").groupBy("block").applyInPandas(lambda b: _sort_block(length, item, b), "uid long, first long, last long")
     found = whole.union(sorted_)
     if hot:
-        names, names_path = stored(pieces.filter("hot").mapInArrow(lambda b: _names(length, b), "h1 long, h2 long, m long, uid long, first long"), "names")
-        often = names.groupBy("h1", "h2").agg(F.sum("m").alias("c")).filter("c > 1").select("h1", "h2")
-        found = found.union(names.filter("m = 1").join(often, ["h1", "h2"]).select("uid", "first", F.col("first").alias("last")))
+        names, names_path = stored(pieces.filter("hot").mapInArrow(lambda b: _names(length, item, b), "h1 long, h2 long, m long, uid long, first long"), "names")
+        shared, shared_path = stored(names.groupBy("h1", "h2").agg(F.sum("m").alias("c")).filter("c > 1").select("h1", "h2"), "shared")
+        found = found.union(names.filter("m = 1").join(shared, ["h1", "h2"]).select("uid", "first", F.col("first").alias("last")))
     out, _ = stored(found, "starts")
-    drop(spark, shared_path, kinds_path, pieces_path, *([names_path] if hot else []))
+    drop(spark, every_path, twice_path, groups_path, kinds_path, mixed_path, pieces_path, *([names_path, shared_path] if hot else []))
     return out
 
 
@@ -321,9 +346,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def passage_starts(rows: DataFrame, words: int) -> DataFrame:
     """Runs uid, first, last of starts (numbers of words) of passages of so many words that start elsewhere too; rows: uid, text."""
     prepare(rows.sparkSession)
-    runs = repeat_starts(rows.mapInArrow(_coded, "uid long, text binary"), words * WORD)
-    whole = runs.select("uid", F.ceil(F.col("first") / WORD).cast("long").alias("first"), F.floor(F.col("last") / WORD).cast("long").alias("last"))
-    return whole.filter("first <= last")  # a start inside a word's hash is none
+    return repeat_starts(rows.mapInArrow(_coded, "uid long, text binary"), words, WORD)
 
 
 def _passages(text: bytes, runs: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
@@ -349,18 +372,21 @@ def spans_of(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 INNER = ("_text", "_runs", "_words")
+NUMBERS = ("_n_bytes", "_n_removed", "_n_spans", "_n_passages")
 
 
 def _remove(digest: bool, words: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without their repeats, or digests of them; passages of words go too, but with digests they are counted only."""
     frugal()
     for batch in batches:
         texts, runs = batch.column("_text").cast(pa.large_binary()).to_pylist(), batch.column("_runs").to_pylist()
         more = batch.column("_words").to_pylist() if words else [None] * len(texts)
-        out, sizes, gone, spans = [], [], [], []
+        out, sizes, gone, spans, passages = [], [], [], [], []
         for t, r, w in zip(texts, runs, more):
             cut = spans_of([(x["first"], x["last"]) for x in r]) if r else []
-            if w:
-                cut = _merged([*cut, *_passages(t, [(x["first"], x["last"]) for x in w], words)])
+            long = _merged(_passages(t, [(x["first"], x["last"]) for x in w], words)) if w else []
+            if long and not digest:
+                cut = _merged([*cut, *long])
             kept, at = [], 0
             for a, b in cut:
                 kept.append(t[at:a])
@@ -370,15 +396,20 @@ def _remove(digest: bool, words: int | None, batches: Iterator[pa.RecordBatch])
             sizes.append(len(t))
             gone.append(len(t) - len(kept))
             spans.append(len(cut))
+            passages.append(len(long))
         names = [c for c in batch.schema.names if c not in INNER]
         rest = [batch.column(c) for c in names]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.string()), *(pa.array(x, pa.int64()) for x in (sizes, gone, spans))], names=[*names, "_out", "_n_bytes", "_n_removed", "_n_spans"])
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.string()), *(pa.array(x, pa.int64()) for x in (sizes, gone, spans, passages))], names=[*names, "_out", *NUMBERS])
 
 
 def _joined(docs: DataFrame, words: int | None = None) -> DataFrame:
-    """All columns of docs under numbered names, with _text, _runs and, given a number of words, _words."""
-    numbered = docs.select(*(docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(docs.columns)), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("_text"), F.monotonically_increasing_id().alias("uid"))
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    """All columns of docs but text under numbered names, with _text, _runs and, given a number of words, _words.
+
+    The rows are numbered in a stored table, so that every later read sees the same numbers.
+    """
+    rest = [docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(docs.columns) if c != "text"]
+    numbered, _ = stored(docs.select(*rest, F.coalesce(docs["text"].cast("string"), F.lit("")).alias("_text"), F.monotonically_increasing_id().alias("uid")), "numbered", "snappy")
+    rows = numbered.select("uid", F.col("_text").alias("text"))
     by_text = lambda runs, name: runs.groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias(name))
     out = numbered.join(by_text(repeat_starts(rows), "_runs"), "uid", "left")
     if words:
@@ -387,29 +418,30 @@ def _joined(docs: DataFrame, words: int | None = None) -> DataFrame:
 
 
 def _schema(joined: DataFrame) -> str:
-    rest = ", ".join(f"{n} {t}" for n, t in joined.dtypes if n not in INNER)
-    return f"{rest}, _out string, _n_bytes long, _n_removed long, _n_spans long"
+    rest = "".join(f"{n} {t}, " for n, t in joined.dtypes if n not in INNER)
+    return f"{rest}_out string, " + ", ".join(f"{n} long" for n in NUMBERS)
 
 
-def removed(docs: DataFrame) -> DataFrame:
+def removed(docs: DataFrame, words: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row; rows keep their order of ids nowhere.
 
     Null and empty texts and those of fewer than MIN bytes lose nothing. Equal rows lose all that repeats, both alike.
-    docs is read several times and must give its rows in the same partitions each time, as a table does.
+    Given a number of words, n_passages counts a text's maximal passages, of so many words or more, made of such that start
+    elsewhere too, whatever their bytes; they are named, not removed, unless strings of MIN bytes cover them.
     """
-    slim = docs.select("doc_id", "text")
-    joined = _joined(slim).drop("c1")
-    out = joined.mapInArrow(lambda b: _remove(True, None, b), _schema(joined))
-    return out.select(F.col("c0").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_out").alias("kept_sha256"))
+    joined = _joined(docs.select("doc_id", "text"), words)
+    out = joined.mapInArrow(lambda b: _remove(True, words, b), _schema(joined))
+    more = [F.col("_n_passages").alias("n_passages")] if words else []
+    return out.select(F.col("c0").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_out").alias("kept_sha256"), *more)
 
 
 def without_repeats(docs: DataFrame, words: int | None = None) -> DataFrame:
     """All rows and columns of docs; texts lose their repeats. A character that is cut through goes whole. n_chars follows.
 
-    Given a number of words, passages of so many words or more that repeat go too, whatever their bytes; words are those
-    between ASCII white space, and A to Z count as a to z.
+    Every occurrence of a repeat goes, so none of it is left. Given a number of words, passages of so many words or more that
+    repeat go too, whatever their bytes; words are those between ASCII white space, and A to Z count as a to z.
     """
-    joined = _joined(docs, words).drop(f"c{docs.columns.index('text')}")
+    joined = _joined(docs, words)
     out = joined.mapInArrow(lambda b: _remove(False, words, b), _schema(joined))
     cols = []
     for k, c in enumerate(docs.columns):

@@ -1,6 +1,7 @@
 """Stages of the corpus pipeline against brute force, each on its own input, and odd rows and columns through all of them."""
 
 import collections
+import re
 import zlib
 
 import numpy as np
@@ -41,14 +42,21 @@ def least_of_groups(texts):
 
 
 def without_repeats(texts):
+    """What strings of 400 bytes and passages of over 50 words that start twice leave of each text."""
     raw = {i: (t or "").encode() for i, t in texts.items()}
-    seen = collections.Counter(hash(b[k : k + 400]) for b in raw.values() for k in range(len(b) - 399))
+    seen = collections.Counter(b[k : k + 400] for b in raw.values() for k in range(len(b) - 399))
+    at = {i: [(m.group().lower(), *m.span()) for m in re.finditer(rb"[^\x09-\x0d ]+", b)] for i, b in raw.items()}
+    key = lambda w, k: tuple(x[0] for x in w[k : k + 51])
+    often = collections.Counter(key(w, k) for w in at.values() for k in range(len(w) - 50))
     out = {}
     for i, b in raw.items():
         gone = np.zeros(len(b), bool)
         for k in range(len(b) - 399):
-            if seen[hash(b[k : k + 400])] > 1:
+            if seen[b[k : k + 400]] > 1:
                 gone[k : k + 400] = True
+        for k in range(len(at[i]) - 50):
+            if often[key(at[i], k)] > 1:
+                gone[at[i][k][1] : at[i][k + 50][2]] = True
         out[i] = np.frombuffer(b, np.uint8)[~gone].tobytes().decode("utf-8", "ignore")
     return out
 
