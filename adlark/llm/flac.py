@@ -4,6 +4,9 @@
 four- or five-bit parameters and escapes, wasted bits and the three ways of joining channels. It verifies CRC-8 of each
 header, CRC-16 of each frame and the stream's MD5. `decode_frames` does the same for mono frames with one Rice partition, as
 the encoder here writes them, all frames of a batch side by side: sample i of every frame is decoded in one numpy step.
+
+The encoder takes for each frame the best of the fixed predictors up to order 2 and a linear predictor of order 3, whose coefficients
+come from the frame's autocorrelation. Decoded samples leave as PCM blocks that begin at known sample offsets.
 """
 
 from __future__ import annotations
@@ -18,11 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .runtime import documents, prepare
+from .runtime import documents, prepare, tidied
 
 BLOCK = 576
 RATE = 8000
 MAX_ORDER = 2
+#: Linear predictors: coefficients, bits of each, and the shift of their sums. Their header (4 + 5 + 3 * 13 bits) fills whole bytes.
+LPC, PRECISION, SHIFT = 3, 13, 10
+LPC_BYTES = (9 + LPC * PRECISION) // 8
+LPC_KIND = 32 + LPC - 1 << 1
+PCM_BLOCK = 4096
 FIXED = ([], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1])
 
 
@@ -75,25 +83,45 @@ def coded_number(n: int) -> bytes:
 # ---------------------------------------------------------------- encoder
 
 
+def predictors(x: np.ndarray) -> np.ndarray:
+    """Quantised linear predictors (frames x LPC) by the Levinson recursion on autocorrelations; every step is elementwise, so a
+    frame's coefficients don't depend on its neighbours."""
+    wide = x.astype(np.int32)
+    r = [np.einsum("ij,ij->i", wide[:, : BLOCK - k], wide[:, k:], dtype=np.int64).astype(np.float64) for k in range(LPC + 1)]
+    error, a = r[0] * (1 + 1e-9) + 1e-9, [np.zeros(len(x)) for _ in range(LPC)]
+    for i in range(LPC):
+        k = (r[i + 1] - sum((a[j] * r[i - j] for j in range(i)), np.zeros(len(x)))) / error
+        a = [*(a[j] - k * a[i - 1 - j] for j in range(i)), k, *a[i + 1 :]]
+        error = error * (1 - k * k) + 1e-9
+    most = (1 << PRECISION - 1) - 1
+    return np.stack([np.clip(np.rint(c * (1 << SHIFT)), -most, most) for c in a], axis=1).astype(np.int64)
+
+
 def encode_frames(x: np.ndarray, number: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Mono 8-bit frames of 576 samples each (rows of x), and the byte offset of each in the result.
 
-    Each takes the fixed predictor of least absolute residual and the best Rice parameter near the residual's mean; a
-    frame that this would not shorten is verbatim, an even one constant.
+    Each takes the fixed or linear predictor of least absolute residual and the best Rice parameter near the residual's mean;
+    a frame that this would not shorten is verbatim, an even one constant.
     """
     n = len(x)
     x = x.astype(np.int16)
     order, best, res = np.zeros(n, np.int64), None, x
-    chosen = np.zeros((n, BLOCK), np.int16)
+    chosen = np.zeros((n, BLOCK), np.int32)
     for p in range(MAX_ORDER + 1):
         if p:
             res = np.diff(res, axis=1)
-        total = np.abs(res[:, MAX_ORDER - p :]).sum(axis=1, dtype=np.int64)
+        total = np.abs(res[:, LPC - p :]).sum(axis=1, dtype=np.int64)
         take = np.ones(n, bool) if best is None else total < best
         best = total if best is None else np.minimum(best, total)
         order[take] = p
         chosen[take, p:] = res[take]
-    u = ((chosen << 1) ^ (chosen >> 15)).astype(np.int32)
+    coef, wide = predictors(x), x.astype(np.int32)
+    guess = sum(coef[:, j, None].astype(np.int32) * wide[:, LPC - 1 - j : BLOCK - 1 - j] for j in range(LPC)) >> SHIFT
+    res = wide[:, LPC:] - guess
+    linear = np.abs(res).sum(axis=1, dtype=np.int64) + 2 * LPC_BYTES < best  # about what its header costs
+    order[linear] = LPC
+    chosen[linear, LPC:] = res[linear]
+    u = (chosen << 1) ^ (chosen >> 31)
     skip = np.arange(BLOCK)[None, :] < order[:, None]
     u[skip] = 0
     used = BLOCK - order
@@ -105,12 +133,13 @@ def encode_frames(x: np.ndarray, number: np.ndarray) -> tuple[bytes, np.ndarray]
         better = np.ones(n, bool) if bits is None else size < bits
         k, bits = np.where(better, this, 0 if k is None else k), np.where(better, size, 0 if bits is None else bits)
     constant = (x == x[:, :1]).all(axis=1)
-    verbatim = ~constant & (8 * order + 10 + bits >= 8 * BLOCK)
+    extra = np.where(order == LPC, LPC_BYTES, 0)
+    verbatim = ~constant & (8 * (order + extra) + 10 + bits >= 8 * BLOCK)
     rice = ~constant & ~verbatim
-    order[~rice] = 0
+    order[~rice] = extra[~rice] = 0
     heads = [h + bytes([crc(h, 8)]) for h in (b"\xff\xf8\x24\x02" + coded_number(i) for i in number.tolist())]
     head = np.array([len(h) for h in heads], np.int64)
-    body = np.where(constant, 16, np.where(verbatim, 8 + 8 * BLOCK, 18 + 8 * order + bits))
+    body = np.where(constant, 16, np.where(verbatim, 8 + 8 * BLOCK, 18 + 8 * (order + extra) + bits))
     length = head + (body + 7) // 8 + 2
     start = np.cumsum(length) - length
     words = np.zeros((int(length.sum()) + 7) // 8 + 1, np.uint64)
@@ -120,7 +149,7 @@ def encode_frames(x: np.ndarray, number: np.ndarray) -> tuple[bytes, np.ndarray]
         low = u[r].astype(np.int64)
         q = low >> kk
         size = np.where(keep, q + 1 + kk, 0)
-        end = (np.cumsum(size, axis=1) + (8 * (start + head + 1 + order) + 10)[r, None])[keep] - 1
+        end = (np.cumsum(size, axis=1) + (8 * (start + head + 1 + order + extra) + 10)[r, None])[keep] - 1
         value = ((low & (1 << kk) - 1) | 1 << kk)[keep].astype(np.uint64)
         word, shift = end >> 6, (63 - (end & 63)).astype(np.uint64)
         edge = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
@@ -132,15 +161,21 @@ def encode_frames(x: np.ndarray, number: np.ndarray) -> tuple[bytes, np.ndarray]
     place = np.repeat(start - (np.cumsum(head) - head), head) + np.arange(int(head.sum()))
     out[place] = np.frombuffer(b"".join(heads), np.uint8)
     sub = start + head
-    out[sub] = np.where(constant, 0, np.where(verbatim, 2, 16 | order << 1))
+    out[sub] = np.where(constant, 0, np.where(verbatim, 2, np.where(order == LPC, LPC_KIND, 16 | order << 1)))
     raw = (x & 0xFF).astype(np.uint8)
     out[sub[constant] + 1] = raw[constant, 0]
     if verbatim.any():
         out[sub[verbatim][:, None] + 1 + np.arange(BLOCK)] = raw[verbatim]
-    for j in range(MAX_ORDER):
+    for j in range(LPC):
         warm = rice & (order > j)
         out[sub[warm] + 1 + j] = raw[warm, j]
-    at = (sub + 1 + order)[rice]
+    linear = np.flatnonzero(rice & (order == LPC))
+    packed = np.full(len(linear), PRECISION - 1 << 5 | SHIFT, np.int64)
+    for j in range(LPC):
+        packed = packed << PRECISION | coef[linear, j] & (1 << PRECISION) - 1
+    for j in range(LPC_BYTES):
+        out[sub[linear] + 1 + LPC + j] = packed >> 8 * (LPC_BYTES - 1 - j) & 0xFF
+    at = (sub + 1 + order + extra)[rice]
     out[at] = k[rice] >> 2
     out[at + 1] |= ((k[rice] & 3) << 6).astype(np.uint8)
     check = crc_many(out, start, length - 2, 16)
@@ -208,15 +243,23 @@ def metadata(data: bytes) -> dict:
         raise ValueError("not a FLAC stream")
     at, last, out = 4, False, {"seek": []}
     while not last:
+        if at + 4 > len(data) or at + 4 + int.from_bytes(data[at + 1 : at + 4], "big") > len(data):
+            raise ValueError("the metadata ends too early")
         last, kind, n = bool(data[at] & 0x80), data[at] & 0x7F, int.from_bytes(data[at + 1 : at + 4], "big")
         b = data[at + 4 : at + 4 + n]
         if kind == 0:
+            if n != 34:
+                raise ValueError("STREAMINFO has another length")
             v = int.from_bytes(b[10:18], "big")
             out |= {"rate": v >> 44, "channels": (v >> 41 & 7) + 1, "bits": (v >> 36 & 31) + 1, "samples": v & (1 << 36) - 1, "md5": b[18:34], "block": struct.unpack(">HH", b[:4])}
         elif kind == 3:
+            if n % 18:
+                raise ValueError("a seek table has another length")
             p = np.frombuffer(b, [("sample", ">u8"), ("offset", ">u8"), ("n", ">u2")])
             out["seek"].append(p[p["sample"] != 0xFFFFFFFFFFFFFFFF])
         at += 4 + n
+    if "samples" not in out:
+        raise ValueError("STREAMINFO is missing")
     out["seek"] = np.concatenate(out["seek"]) if out["seek"] else np.zeros(0, [("sample", ">u8"), ("offset", ">u8"), ("n", ">u2")])
     return out | {"body": at}
 
@@ -346,9 +389,15 @@ def decode_frames(buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.
         raise ValueError("a frame's checksum is wrong")
     sub = start + head
     kind = buf[sub]
-    order = np.where((kind >= 16) & (kind <= 24), kind.astype(np.int64) - 16 >> 1, 0)
-    rice = (kind >= 16) & (kind <= 24) & (kind & 1 == 0)
-    at = sub + 1 + order
+    linear = kind == LPC_KIND
+    order = np.where((kind >= 16) & (kind <= 16 + 2 * MAX_ORDER), kind.astype(np.int64) - 16 >> 1, np.where(linear, LPC, 0))
+    rice = (kind >= 16) & (kind <= 16 + 2 * MAX_ORDER) & (kind & 1 == 0) | linear
+    at = sub + 1 + order + np.where(linear, LPC_BYTES, 0)
+    packed = np.zeros(n, np.int64)
+    for j in range(LPC_BYTES):
+        packed = packed << 8 | buf[sub + 1 + LPC + j]
+    if (packed[linear] >> LPC * PRECISION != (PRECISION - 1 << 5 | SHIFT)).any():
+        return None  # a predictor of other widths
     if not (rice | (kind == 0) | (kind == 2)).all() or (buf[at[rice]] >> 2).any():
         return None  # another subframe, another Rice method or several partitions
     out = np.zeros((n, BLOCK), np.int32)
@@ -367,12 +416,9 @@ def decode_frames(buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.
     window = (buf[:-3].astype(np.uint32) << 24) | (buf[1:-2].astype(np.uint32) << 16) | (buf[2:-1].astype(np.uint32) << 8) | buf[3:]
     pos, o = 8 * at[r] + 10, order[r]
     res = np.zeros((BLOCK, len(r)), np.int32)
-    begun = np.searchsorted(o, np.arange(MAX_ORDER + 3), side="right")  # frames of order i at most
     k32, back = k.astype(np.uint32), (32 - k).astype(np.uint32)
     for i in range(BLOCK):
-        m = begun[min(i, MAX_ORDER + 2)] if i < 4 else len(r)
-        if i < 4 and o.max(initial=0) > i:
-            m = int(np.searchsorted(o, i, side="right"))
+        m = int(np.searchsorted(o, i, side="right")) if i < LPC else len(r)  # frames whose first residual has come
         p = pos[:m]
         w = window[p >> 3] << (p & 7).astype(np.uint32)
         q = 32 - np.frexp(w.astype(np.float64))[1].astype(np.int64)
@@ -392,33 +438,64 @@ def decode_frames(buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.
             continue
         y = res[:, f]
         y[:p] = signed[sub[r[f]][None, :] + 1 + np.arange(p)[:, None]]
-        for i in range(p, BLOCK):
-            for j, coef in enumerate(FIXED[p]):
-                y[i] += coef * y[i - 1 - j]
+        if p == LPC:
+            coef = [packed[r[f]] >> PRECISION * (LPC - 1 - j) & (1 << PRECISION) - 1 for j in range(LPC)]
+            coef = [(c - (c >> PRECISION - 1 << PRECISION)).astype(np.int32) for c in coef]
+            for i in range(p, BLOCK):
+                y[i] += sum(c * y[i - 1 - j] for j, c in enumerate(coef)) >> SHIFT
+        else:
+            for i in range(p, BLOCK):
+                for j, c in enumerate(FIXED[p]):
+                    y[i] += c * y[i - 1 - j]
         res[:, f] = y
     out[r] = res.T
     return out
 
 
-def decode_many(streams: list[bytes]) -> list[np.ndarray]:
-    """Samples of streams; those with a seek point for each frame of the plain kind are decoded side by side."""
-    infos = [metadata(s) for s in streams]
-    base = np.cumsum([0, *map(len, streams)])
-    plain = [i for i, m in enumerate(infos) if m["channels"] == 1 and m["bits"] == 8 and m["block"] == (BLOCK, BLOCK) and len(m["seek"]) * BLOCK == m["samples"] > 0]
-    done: dict[int, np.ndarray] = {}
+def decoded(streams: list[bytes]) -> list[np.ndarray | ValueError]:
+    """Samples of streams, or what is wrong with one; those with a seek point for each frame of the plain kind are decoded side by side."""
+    infos = [_tried(metadata, s) for s in streams]
+    plain = [i for i, m in enumerate(infos) if not isinstance(m, ValueError) and m["channels"] == 1 and m["bits"] == 8 and m["block"] == (BLOCK, BLOCK) and len(m["seek"]) * BLOCK == m["samples"] > 0 and _in_order(m, streams[i])]
+    done: dict[int, np.ndarray | ValueError] = {i: m for i, m in enumerate(infos) if isinstance(m, ValueError)}
     if plain:
-        start = np.concatenate([base[i] + infos[i]["body"] + infos[i]["seek"]["offset"].astype(np.int64) for i in plain])
+        base = np.cumsum([0, *(len(streams[i]) for i in plain)])
+        start = np.concatenate([base[k] + infos[i]["body"] + infos[i]["seek"]["offset"].astype(np.int64) for k, i in enumerate(plain)])
         count = np.array([len(infos[i]["seek"]) for i in plain])
         last = np.cumsum(count) - 1
         ends = np.append(start[1:], 0)
-        ends[last] = base[np.array(plain) + 1]
-        x = decode_frames(np.frombuffer(b"".join(streams), np.uint8), start, ends - start)
-        if x is not None:
+        ends[last] = base[1:]
+        x = _tried(decode_frames, np.frombuffer(b"".join(streams[i] for i in plain), np.uint8), start, ends - start)
+        if x is not None and not isinstance(x, ValueError):
             for i, a, b in zip(plain, last + 1 - count, last + 1):
-                done[i] = x[a:b].reshape(1, -1)
-                if hashlib.md5(done[i].astype(np.int8).tobytes()).digest() != infos[i]["md5"]:
-                    raise ValueError("the stream's MD5 is wrong")
-    return [done[i] if i in done else decode(s)[0] for i, s in enumerate(streams)]
+                y = x[a:b].reshape(1, -1)
+                if hashlib.md5(y.astype(np.int8).tobytes()).digest() == infos[i]["md5"]:
+                    done[i] = y
+    return [done[i] if i in done else _tried(lambda d: decode(d)[0], s) for i, s in enumerate(streams)]
+
+
+def decode_many(streams: list[bytes]) -> list[np.ndarray]:
+    """Samples of streams; a damaged one raises what is wrong with it."""
+    out = decoded(streams)
+    for x in out:
+        if isinstance(x, ValueError):
+            raise x
+    return out
+
+
+def _tried(f, *args):
+    """What f returns, or what is wrong with its input."""
+    try:
+        return f(*args)
+    except ValueError as e:
+        return e
+    except (IndexError, KeyError, struct.error) as e:  # a reader that ran over the end of damaged bytes
+        return ValueError(f"damaged: {e!r}")
+
+
+def _in_order(info: dict, data: bytes) -> bool:
+    """Whether seek points lie in the stream, each at least a shortest frame behind the one before."""
+    at = np.append(info["seek"]["offset"].astype(np.int64), len(data) - info["body"])
+    return bool(at[0] == 0 and (np.diff(at) >= 10).all())
 
 
 # ---------------------------------------------------------------- operators
@@ -458,7 +535,12 @@ def store(docs: DataFrame) -> DataFrame:
     Repeated rows stay; equal texts give equal streams; further columns are ignored.
     """
     prepare(docs.sparkSession)
-    return documents(docs).mapInArrow(_encode, "doc_id long, n_bytes long, media binary")
+    return documents(docs).mapInArrow(lambda b: tidied(_encode(b)), "doc_id long, n_bytes long, media binary")
+
+
+def cut_pcm(x: np.ndarray, bits: int, block: int = PCM_BLOCK) -> list[tuple[int, int, bytes]]:
+    """First sample, number of samples and PCM of each block of decoded samples."""
+    return [(a, min(block, x.shape[1] - a), pcm(x[:, a : a + block], bits)) for a in range(0, x.shape[1], block)]
 
 
 def _blocks(key: str, block: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,44 +548,50 @@ def _blocks(key: str, block: int, batches: Iterator[pa.RecordBatch]) -> Iterator
         for doc, data in zip(batch.column(key).to_pylist(), batch.column("media").to_pylist()):
             if data is None:
                 continue
-            x, info = decode_many([data])[0], metadata(data)
-            at = np.arange(0, x.shape[1], block)
+            x = decoded([data])[0]
+            bad = isinstance(x, ValueError)
+            info = {"bits": None, "rate": None} if bad else metadata(data)
+            rows = [(None, None, None)] if bad else cut_pcm(x, info["bits"], block)
+            n = len(rows)
             yield pa.RecordBatch.from_pydict({
-                key: pa.array([doc] * len(at), pa.int64()), "block": pa.array(np.arange(len(at))), "first_sample": pa.array(at), "n_samples": pa.array(np.minimum(block, x.shape[1] - at)),
-                "channels": pa.array([x.shape[0]] * len(at), pa.int32()), "bits": pa.array([info["bits"]] * len(at), pa.int32()), "rate": pa.array([info["rate"]] * len(at), pa.int32()),
-                "pcm": pa.array([pcm(x[:, a : a + block], info["bits"]) for a in at.tolist()], pa.binary()),
+                key: pa.array([doc] * n, pa.int64()), "block": pa.array(range(n), pa.int64()), "first_sample": pa.array([r[0] for r in rows], pa.int64()), "n_samples": pa.array([r[1] for r in rows], pa.int64()),
+                "channels": pa.array([None if bad else x.shape[0]] * n, pa.int32()), "bits": pa.array([info["bits"]] * n, pa.int32()), "rate": pa.array([info["rate"]] * n, pa.int32()),
+                "pcm": pa.array([r[2] for r in rows], pa.binary()), "error": pa.array([str(x) if bad else None] * n, pa.string()),
             })
 
 
-def pcm_blocks(media: DataFrame, key: str = "doc_id", block: int = 4096) -> DataFrame:
-    """PCM blocks of streams in column media: key, block, first_sample (seek to it), n_samples, channels, bits, rate, pcm.
+def pcm_blocks(media: DataFrame, key: str = "doc_id", block: int = PCM_BLOCK) -> DataFrame:
+    """PCM blocks of streams in column media: key, block, first_sample (seek to it), n_samples, channels, bits, rate, pcm, error.
 
-    A null stream gives no block; a damaged one raises an error that names the checksum.
+    A null stream gives no block; a damaged one a single row whose error says what is wrong, and no samples.
     """
     prepare(media.sparkSession)
-    return media.select(key, "media").mapInArrow(lambda b: _blocks(key, block, b), f"{key} long, block long, first_sample long, n_samples long, channels int, bits int, rate int, pcm binary")
+    return media.select(key, "media").mapInArrow(lambda b: _blocks(key, block, b), f"{key} long, block long, first_sample long, n_samples long, channels int, bits int, rate int, pcm binary, error string")
+
+
+DIGEST = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "n_pcm_blocks": pa.int64(), "error": pa.string()}
+
+
+def _digest_of(media: bytes, x: np.ndarray | ValueError) -> tuple:
+    stored_ = len(media), hashlib.sha256(media).hexdigest()
+    if isinstance(x, ValueError):
+        return None, None, None, *stored_, None, None, str(x)
+    blocks = cut_pcm(x, 8)
+    signed = np.frombuffer(b"".join(b for _, _, b in blocks), np.int8)
+    data, wide, below = (signed.view(np.uint8) ^ 0x80).tobytes(), signed.astype(np.int16), signed < 0
+    feature = f"mean_abs={int(np.abs(wide).sum(dtype=np.int64)) / len(wide):.4f};crossings={int((below[1:] != below[:-1]).sum())};peak={int(np.abs(wide).max())};seconds={len(wide) / RATE:.3f}"
+    return len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-32:]), *stored_, feature, len(blocks), None
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         media = batch.column("media").to_pylist()
-        out = {"payload_bytes": [], "payload_sha256": [], "tail_crc32": [], "media_bytes": [], "media_sha256": [], "feature": []}
-        for a, b in _chunks(media):
-            for m, x in zip(media[a:b], decode_many(media[a:b])):
-                x = x[0].astype(np.int16)
-                data = (x + 128).astype(np.uint8).tobytes()
-                out["payload_bytes"].append(len(data))
-                out["payload_sha256"].append(hashlib.sha256(data).hexdigest())
-                out["tail_crc32"].append(zlib.crc32(data[-32:]))
-                out["media_bytes"].append(len(m))
-                out["media_sha256"].append(hashlib.sha256(m).hexdigest())
-                sign = x < 0
-                out["feature"].append(f"mean_abs={int(np.abs(x).sum(dtype=np.int64)) / len(x):.4f};crossings={int((sign[1:] != sign[:-1]).sum())};peak={int(np.abs(x).max())};seconds={len(x) / RATE:.3f}")
-        kinds = {k: pa.int64() if k in ("payload_bytes", "tail_crc32", "media_bytes") else pa.string() for k in out}
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array(v, kinds[k]) for k, v in out.items())], names=["doc_id", "n_bytes", *out])
+        rows = [_digest_of(m, x) for a, b in _chunks(media) for m, x in zip(media[a:b], decoded(media[a:b]))]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(DIGEST.values()))], names=["doc_id", "n_bytes", *DIGEST])
 
 
 def digests(media: DataFrame) -> DataFrame:
-    """Decode each stream of `store` again: payload length, SHA-256 and CRC-32 of its last 32 bytes, those of the stream, features."""
+    """Decode each stream of `store` to PCM blocks: payload length, SHA-256 and CRC-32 of its last 32 bytes, those of the stream,
+    features, number of blocks, and error: what is wrong with a damaged stream, whose payload columns are null."""
     prepare(media.sparkSession)
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(_digest, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(lambda b: tidied(_digest(b)), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_pcm_blocks long, error string")
