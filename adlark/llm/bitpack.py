@@ -1,6 +1,6 @@
 """Token ids in fixed-width bit-packed shards with block offsets (operator 5).
 
-A shard is one binary value:
+A shard is one file:
 
     4s magic, u32 bits, u32 ids in a block, u32 blocks, u64 ids, u64 documents
     u64[blocks + 1]     byte offset of each block behind the tables
@@ -8,31 +8,36 @@ A shard is one binary value:
     u64[documents + 1]  first id of each document in the shard
     blocks              each id in `bits` bits, least significant bit first, each block from a byte boundary
 
-All offsets are known before an id is decoded, so any block, document or range is read alone.
+All offsets are known before an id is decoded, so any block, document or range is read alone: `Shard` reads the tables and then
+just the bytes of the blocks that a range needs. `unpack`, `read_range` and `header` do the same on bytes in memory.
 
-Shards travel as a binary column of Parquet, which every store that Spark reads can hold; `unpack`, `read_range` and
-`header` work on the bytes alone.
+Workers write and read files through Arrow's file systems (file, hdfs, s3, gs, abfs). A file gets its name when it is complete,
+and a task that runs again writes the same bytes under the same name.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .pieces import encoder
-from .runtime import documents, prepare, stored, tasks
+from .runtime import documents, prepare, shared_dir, stored, tasks, tidied
 
 MAGIC = b"ABP1"
 HEAD = struct.Struct("<4sIIIQQ")
 BLOCK_IDS = 1024
 SHARD_IDS = 2_000_000
+#: Ids that a reader asks for at a time.
+READ_IDS = 1 << 18
 END_ID = 2
 
 
@@ -100,7 +105,49 @@ def unpack(data: bytes) -> np.ndarray:
     return read_range(data, 0, h["n"], h)
 
 
-def _shards(path: str, end_id: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def write_file(path: str, data: bytes) -> None:
+    """A file that appears whole or not at all."""
+    store, at = fs.FileSystem.from_uri(path)
+    store.create_dir(at.rpartition("/")[0], recursive=True)
+    unfinished = f"{at}.{uuid.uuid4().hex}"
+    with store.open_output_stream(unfinished, compression=None) as f:
+        f.write(data)
+    store.move(unfinished, at)
+
+
+class Shard:
+    """A shard's file: its tables are read at once, ids by ranges of blocks."""
+
+    def __init__(self, path: str):
+        store, at = fs.FileSystem.from_uri(path)
+        self.file = store.open_input_file(at)
+        _, _, _, blocks, _, docs = HEAD.unpack(self.file.read_at(HEAD.size, 0))
+        self.head = header(self.file.read_at(HEAD.size + 8 * (blocks + 1) + 9 * docs + 8 * (docs + 1), 0))
+
+    def __enter__(self) -> Shard:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.file.close()
+
+    def ids(self, first: int, last: int) -> np.ndarray:
+        """Ids first to last - 1; only the blocks that hold them are read."""
+        h = self.head
+        first, last = max(0, first), min(last, h["n"])
+        if last <= first:
+            return np.zeros(0, np.uint32)
+        a, b = first // h["block"], (last - 1) // h["block"] + 1
+        begin, end = int(h["offsets"][a]), int(h["offsets"][b])
+        data, n = self.file.read_at(end - begin, h["body"] + begin), min(b * h["block"], h["n"]) - a * h["block"]
+        if h["block"] * h["bits"] % 8 == 0:  # then the blocks join without gaps
+            out = unpack_bits(data, n, h["bits"])
+        else:
+            cut = (h["offsets"][a : b + 1] - begin).tolist()
+            out = np.concatenate([unpack_bits(data[x:y], min(h["block"], n - k * h["block"]), h["bits"]) for k, (x, y) in enumerate(zip(cut, cut[1:]))])
+        return out[first - a * h["block"] : last - a * h["block"]]
+
+
+def _shards(folder: str, path: str, end_id: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     enc, part = encoder(path), TaskContext.get().partitionId()
     bits = width(max(enc.size, (end_id or 0) + 1))
     docs, sizes, held, n, k = [], [], [], 0, 0
@@ -108,7 +155,8 @@ def _shards(path: str, end_id: int | None, batches: Iterator[pa.RecordBatch]) ->
     def shard() -> pa.RecordBatch:
         ids = np.concatenate(held) if held else np.zeros(0, np.uint32)
         data = pack(docs, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), ids, bits)
-        return pa.RecordBatch.from_pydict({"shard_id": pa.array([(part << 32) + k], pa.int64()), "n_docs": pa.array([len(docs)], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64()), "content": pa.array([data], pa.binary())})
+        write_file(name := f"{folder}/{part:06d}-{k:06d}.abp", data)
+        return pa.RecordBatch.from_pydict({"shard_id": pa.array([(part << 32) + k], pa.int64()), "n_docs": pa.array([len(docs)], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64()), "n_bytes": pa.array([len(data)], pa.int64()), "path": pa.array([name], pa.string())})
 
     for batch in batches:
         offsets, ids = enc.encode(batch.column("text"))
@@ -126,39 +174,46 @@ def _shards(path: str, end_id: int | None, batches: Iterator[pa.RecordBatch]) ->
         yield shard()
 
 
-def write_shards(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
-    """Encode whole texts and write bit-packed shards in ascending doc_id order to the shared folder.
+def write_shards(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID, folder: str | None = None) -> DataFrame:
+    """Encode whole texts and write files of bit-packed shards in ascending doc_id order to `folder`, by default one in the shared folder.
 
-    Columns: shard_id (ascends with doc_id), n_docs, n_ids, content. Null text: empty. Null doc_id: first, kept as null.
+    A row per file: shard_id (ascends with doc_id), n_docs, n_ids, n_bytes, path. Null text: empty. Null doc_id: first, kept as null.
     Repeated doc_ids stay separate documents, in the order of their texts. No documents: no shards. Further columns
     are ignored.
     """
     spark = docs.sparkSession
     prepare(spark)
     rows = documents(docs).repartitionByRange(tasks(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    schema = "shard_id long, n_docs long, n_ids long, content binary"
-    return stored(rows.mapInArrow(lambda b: _shards(tokenizer, end_id, b), schema), "shards")[0]
+    folder = folder or f"{shared_dir(spark)}/adlark-shards-{uuid.uuid4().hex}"
+    schema = "shard_id long, n_docs long, n_ids long, n_bytes long, path string"
+    return stored(rows.mapInArrow(lambda b: tidied(_shards(folder, tokenizer, end_id, b)), schema), "shards")[0]
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per document of each file, from ranges of READ_IDS ids (or of one longer document)."""
     for batch in batches:
-        for shard, data in zip(batch.column("shard_id").to_pylist(), batch.column("content")):
-            data = data.as_py()
-            h, ids = header(data), unpack(data)
-            flat, starts = memoryview(ids.astype("<u4").tobytes()), h["starts"]
-            yield pa.RecordBatch.from_pydict({
-                "shard_id": pa.array(np.full(len(h["doc_ids"]), shard), pa.int64()),
-                "doc_id": pa.array(h["doc_ids"], pa.int64(), mask=h["null"].astype(bool)),
-                "at": pa.array(starts[:-1], pa.int64()),
-                "n_tokens": pa.array(np.diff(starts), pa.int64()),
-                "ids_crc32": pa.array([zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(starts, starts[1:])], pa.int64()),
-            })
+        for shard, path in zip(batch.column("shard_id").to_pylist(), batch.column("path").to_pylist()):
+            with Shard(path) as s:
+                h, starts = s.head, s.head["starts"]
+                a, docs = 0, len(s.head["doc_ids"])
+                while a < docs:
+                    b = max(a + 1, int(np.searchsorted(starts, starts[a] + READ_IDS, side="right")) - 1)
+                    at = (starts[a : b + 1] - starts[a]).tolist()
+                    flat = memoryview(s.ids(int(starts[a]), int(starts[b])).astype("<u4").tobytes())
+                    yield pa.RecordBatch.from_pydict({
+                        "shard_id": pa.array(np.full(b - a, shard), pa.int64()),
+                        "doc_id": pa.array(h["doc_ids"][a:b], pa.int64(), mask=h["null"][a:b].astype(bool)),
+                        "at": pa.array(starts[a:b], pa.int64()),
+                        "n_tokens": pa.array(np.diff(starts[a : b + 1]), pa.int64()),
+                        "ids_crc32": pa.array([zlib.crc32(flat[4 * x : 4 * y]) for x, y in zip(at, at[1:])], pa.int64()),
+                    })
+                    a = b
 
 
 def read_index(shards: DataFrame) -> DataFrame:
-    """A row per document read back from the shards: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, shard_id."""
+    """A row per document read back from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, shard_id."""
     prepare(shards.sparkSession)
     before = Window.orderBy("shard_id").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard of millions of ids
     base = shards.select("shard_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
-    rows = shards.select("shard_id", "content").mapInArrow(_read, "shard_id long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    rows = shards.select("shard_id", "path").mapInArrow(lambda b: tidied(_read(b)), "shard_id long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return rows.join(base, "shard_id").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", "shard_id")
