@@ -6,24 +6,27 @@ along x, which moves its scores, weighs ETA times as much as error across it. Co
 the pairs, centroids by the weighted least squares of that loss, on a sample of SAMPLE vectors at most; every row is coded.
 
 A query's table has its inner product with each centroid; two codes are one byte, so a scan looks up and adds one
-number for two pairs. The best RERANK rows of each block by table are ranked by exact inner products in double precision.
+number for two pairs. The RERANK rows that are best by table are a query's shortlist.
 
-Queries and rows meet in blocks: a task has ROWS rows and QUERIES queries at most, whatever the tables' sizes.
+Rows are coded once, and only codes (a quarter byte a component) meet the queries, in blocks: a task has ROWS codes and
+QUERIES queries at most, whatever the tables' sizes, and gives the shortlists of its block. Those of a query's blocks
+become one, which alone is joined with the original vectors and ranked by exact inner products in double precision.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import prepare
+from .runtime import prepare, stored, tidied
 
 SAMPLE = 20_000
-ROWS, QUERIES = 8192, 4096
+ROWS, QUERIES = 65_536, 2_048
 RERANK = 128
 THRESHOLD = 0.2
 CENTROIDS = 16
@@ -111,63 +114,83 @@ def scan(codes: np.ndarray, lut: np.ndarray) -> np.ndarray:
     return out
 
 
-def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, books: np.ndarray, k: int, rerank: int) -> list[tuple[int, int, float]]:
-    """(query, row, score) of the k nearest rows in a block for each query, not itself; ties to smaller ids."""
-    order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], x[order]
-    codes, out = encode(x, books), []
-    x = x.astype(np.float64)
-    top = min(rerank, len(ids))
-    for a in range(0, len(queries), 64):
-        approx = scan(codes, tables(queries[a : a + 64], books))
+def shortlists(codes: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, books: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, row (places) and approximate score of the `most` rows best by table for each query, but those of its own id."""
+    found, top = [], min(most + 1, len(codes))
+    for a in range(0, len(queries), 32):
+        approx = scan(codes, tables(queries[a : a + 32], books))
+        approx[ids[None, :] == query_ids[a : a + 32, None]] = -np.inf
         near = np.argpartition(-approx, top - 1, axis=1)[:, :top]
-        for q, rows in enumerate(near):
-            rows = np.sort(rows[ids[rows] != query_ids[a + q]])
-            score = x[rows] @ queries[a + q].astype(np.float64)
-            best = np.lexsort((ids[rows], -score))[:k]
-            out += [(int(query_ids[a + q]), int(ids[rows[t]]), float(score[t])) for t in best]
-    return out
+        score = np.take_along_axis(approx, near, 1)
+        q, at = np.nonzero(np.isfinite(score))
+        found.append((q + a, near[q, at], score[q, at]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.float32))
+
+
+def scaled(x: np.ndarray, scale: float) -> np.ndarray:
+    """Vectors in units of the sample's largest component, so that squares and tables stay finite; for codes only."""
+    return np.clip(x / scale, -1e3, 1e3)
+
+
+def _coded(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    books, scale = model.value
+    for batch in batches:
+        if batch.num_rows:
+            x = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False))
+            codes = encode(scaled(x, scale), books)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes], pa.binary())], names=[*batch.schema.names, "code"])
 
 
-def _search(books, k: int, rerank: int, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+def _search(model, most: int, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     if not len(rows) or not len(queries):
-        return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-    found = search(rows["vec_id"].to_numpy(), np.stack(rows["embedding"].to_numpy()).astype(np.float32), queries["vec_id"].to_numpy(), np.stack(queries["embedding"].to_numpy()).astype(np.float32), books.value, k, rerank)
-    return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+        return pd.DataFrame({"query": np.zeros(0, np.int64), "row": np.zeros(0, np.int64), "approx": np.zeros(0, np.float32)})
+    codes = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1)
+    asked = np.stack(queries["embedding"].to_numpy())
+    asked = asked / np.abs(asked).max(axis=1, keepdims=True)  # the order of a query's scores stays
+    q, r, score = shortlists(codes, rows["vec_id"].to_numpy(), asked, queries["vec_id"].to_numpy(), model.value[0], most)
+    return pd.DataFrame({"query": queries["uid"].to_numpy()[q], "row": rows["uid"].to_numpy()[r], "approx": score})
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding of the rows that take part: ids and vectors that aren't null, all components finite, not all zero."""
+    """vec_id and embedding (doubles) of the rows that take part: ids and vectors that aren't null, all components finite, not all zero."""
     finite = F.forall("embedding", lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False)))
-    return vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding")).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(finite & F.exists("embedding", lambda v: v != 0)).dropDuplicates(["vec_id", "embedding"])
+    return vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(finite & F.exists("embedding", lambda v: v != 0)).dropDuplicates(["vec_id", "embedding"])
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, rerank: int = RERANK) -> DataFrame:
     """query_id, rank, vec_id, score of the k rows of largest inner product found for each row where is_query holds.
 
-    Equal rows count once; a row with the query's id isn't its neighbour. Of equal vectors only the k + 1 of smallest ids can
-    be among k nearest, so others aren't searched (they still are queries). Vectors of another length than most take no
-    part. Fewer candidates: fewer ranks. An empty table: no rows.
+    Equal rows count once; a row with the query's id isn't its neighbour. Rows of one id with different vectors are rows of
+    their own; as queries they share one list. Of equal vectors only the k + 1 of smallest ids can be among k nearest, so
+    others aren't searched (they still are queries). Vectors of another length than most take no part. Fewer candidates:
+    fewer ranks. An empty table: no rows. Further columns are ignored.
     """
     spark = vectors.sparkSession
     prepare(spark)
     good = usable(vectors)
     sizes = good.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    schema = "query_id long, vec_id long, score double"
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     good = good.filter(F.size("embedding") == sizes["d"])
     n = sizes["count"]
     sample = good.select("embedding") if n <= SAMPLE else good.filter(F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(1 << 20)) < int((1 << 20) * SAMPLE / n)).select("embedding")
-    drawn = np.stack(sample.limit(2 * SAMPLE).toPandas()["embedding"].to_numpy()).astype(np.float32)  # at most 2 * SAMPLE vectors
-    books = spark.sparkContext.broadcast(fit(drawn[np.lexsort(drawn.T[::-1])]))
+    drawn = np.stack(sample.limit(2 * SAMPLE).toPandas()["embedding"].to_numpy())  # at most 2 * SAMPLE vectors
+    scale = float(np.abs(drawn).max(initial=0.0)) or 1.0
+    model = spark.sparkContext.broadcast((fit(scaled(drawn[np.lexsort(drawn.T[::-1])], scale)), scale))
     copy = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    rows = good.withColumn("copy", copy).filter(F.col("copy") <= k + 1).drop("copy")
-    asked = good.filter(is_query)
+    marked = good.select("vec_id", "embedding", F.coalesce(is_query, F.lit(False)).alias("asked"), copy.alias("copy")).filter((F.col("copy") <= k + 1) | F.col("asked"))
+    numbered = marked.select(F.monotonically_increasing_id().alias("uid"), "vec_id", "embedding", "asked", (F.col("copy") <= k + 1).alias("searched"))
+    rows, _ = stored(numbered.mapInArrow(lambda b: tidied(_coded(model, b)), "uid long, vec_id long, embedding array<double>, asked boolean, searched boolean, code binary"), "codes")
+    codes, asked = rows.filter("searched").select("uid", "vec_id", "code"), rows.filter("asked").select("uid", "vec_id", "embedding")
     g, h = max(1, -(-n // ROWS)), max(1, -(-asked.count() // QUERIES))
     spread = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    left = rows.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(g)).cast("int")).withColumn("h", spread(h))
-    right = asked.withColumn("h", F.pmod(F.xxhash64("vec_id"), F.lit(h)).cast("int")).withColumn("g", spread(g))
-    found = left.groupBy("g", "h").cogroup(right.groupBy("g", "h")).applyInPandas(partial(_search, books, k, rerank), schema)
+    block = lambda count: F.pmod(F.xxhash64("uid"), F.lit(count)).cast("int")
+    left = codes.withColumn("g", block(g)).withColumn("h", spread(h))
+    right = asked.withColumn("h", block(h)).withColumn("g", spread(g))
+    found = left.groupBy("g", "h").cogroup(right.groupBy("g", "h")).applyInPandas(lambda a, b: _search(model, rerank, a, b), "query long, row long, approx float")
+    best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("approx"), "row"))
+    short, _ = stored(found.withColumn("place", best).filter(F.col("place") <= rerank).select("query", "row"), "shortlists")
+    exact = short.join(rows.select(F.col("uid").alias("row"), "vec_id", "embedding"), "row").join(asked.select(F.col("uid").alias("query"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("wanted")), "query")
+    score = F.aggregate(F.zip_with("embedding", "wanted", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.select("query_id", place.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
+    return exact.select("query_id", "vec_id", score.alias("score")).withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
