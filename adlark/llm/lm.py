@@ -1,8 +1,8 @@
 """Log-bilinear language model trained by noise-contrastive estimation in numpy (operator 10).
 
 Tokens are a text's words and one end. Every word that occurs COUNT times or more is a unit with vectors of its own, as context
-and as prediction, so the model grows with the corpus; only rarer words share units, by a hash of their last two bytes. The
-softmax has three levels: the most frequent words and the hashes of all others are classes, a class has groups, a group
+and as prediction, so the model grows with the corpus up to VOCABULARY words, the most frequent ones; all others share
+units, by a hash of their last two bytes, and count by themselves within them. The softmax has three levels: the most frequent words and the hashes of all others are classes, a class has groups, a group
 has units, about as many of them as there are groups. With h = T1 * r_a + T2 * r_b (diagonal T1, T2) of the two units before,
 
     p(w | b, a) = p(class | h) p(group | class, h) p(w | group, h),    each a softmax of h . q + bias
@@ -29,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import drop, prepare, stored
-from .words import count_words, words_of
+from .words import count_words, frequent, words_of
 
 TOP_WORDS, SHAPES = 96, 32
 CLASSES = TOP_WORDS + SHAPES
 COUNT = 5
+#: Most words with vectors of their own, which bounds what is sent to each worker (about 50 MB).
+VOCABULARY = 200_000
 PASSES = 1
 END = b""  # no word is empty
 
@@ -217,7 +219,7 @@ class Tables:
 class Trainer:
     """Steps of noise-contrastive estimation over tokens, in tables of its own, with a rate that falls as a row is used."""
 
-    def __init__(self, lex: Lexicon, rows: np.ndarray, seed: int, noise: int = 5, rate: float = 0.1):
+    def __init__(self, lex: Lexicon, rows: np.ndarray, seed: int, noise: int = 2, rate: float = 0.1):
         self.lex, self.t, self.noise, self.rate = lex, Tables(lex, rows.copy()), noise, rate
         self.rng = np.random.default_rng(seed)
         self.square, self.used = np.ones(len(rows), np.float32), np.zeros(len(rows), np.int64)
@@ -400,7 +402,8 @@ def score(docs: DataFrame) -> DataFrame:
     learnt = rows.filter("not held_out")
     counts, counts_path = stored(count_words(learnt, END), "counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    common = (F.col("c") >= COUNT) | (F.col("word") == F.lit(END))
+    usual = counts.filter(F.col("c") >= COUNT)
+    common = ((F.col("c") >= COUNT) & frequent(usual, VOCABULARY)) | (F.col("word") == F.lit(END))
     kind = (F.crc32(F.expr("substring(word, -2)")) % SHAPES + TOP_WORDS).cast("int")
     rare = np.ones(CLASSES)
     for r in counts.filter(~common).groupBy(kind.alias("class")).agg((F.sum("c") + F.count("*")).alias("n")).collect():
@@ -412,9 +415,8 @@ def score(docs: DataFrame) -> DataFrame:
     cells = learnt.select("text").mapInArrow(lambda b: _triples(shared, b), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     start = train(cells["cell"].to_numpy().astype(np.int64), cells["n"].to_numpy())
     if not distinct:
-        none = rows.select("doc_id", "held_out", F.size(F.split(F.trim("text"), r"[\x20\x09-\x0D]+")).alias("w"), "text")
-        empty = F.col("text").rlike(r"^[\x20\x09-\x0D]*$")
-        return none.select("doc_id", "held_out", F.when(empty, 1).otherwise(F.col("w") + 1).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_known"), F.lit(0).cast("long").alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
+        words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+        return rows.select("doc_id", "held_out", (words + 1).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_known"), F.lit(0).cast("long").alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
     model = sc.broadcast(fit(learnt.select("text"), shared, start))
     schema = "uid long, doc_id long, salt int, word binary, class int, times long, n_tokens long, n_known long, base_score double, score double"
     part = rows.select("uid", "doc_id", "text").mapInArrow(lambda b: _score(shared, model, b), schema)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -58,11 +58,11 @@ def count_words(docs: DataFrame, end: bytes | None = None, flush: int = 300_000)
     return part.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """Rows of a (word, c) table whose counts are so high that at most `limit` words have as much.
+def frequent(counts: DataFrame, limit: int) -> Column:
+    """Whether a row of a (word, c) table has so high a count that at most `limit` words have as much.
 
     Counts fall into levels a quarter of an octave wide; whole levels are taken from the top, so no sort is needed and
-    the result has a bound whatever the size of the vocabulary.
+    the rows taken have a bound whatever the size of the vocabulary.
     """
     level = F.floor(F.log2("c") * 4).cast("int")
     kept, least = 0, None
@@ -70,4 +70,9 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
         if kept + n > limit:
             break
         kept, least = kept + n, lev
-    return counts.filter(F.lit(False) if least is None else level >= least)
+    return F.lit(False) if least is None else level >= least
+
+
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The rows of a (word, c) table that are `frequent`."""
+    return counts.filter(frequent(counts, limit))
