@@ -24,13 +24,13 @@ class Config:
     lookback_days: int = 21
     half_life_days: float = 14.0
     min_pair: int = 2
-    neighbours: int = 10
-    seed_cap: int = 20
-    top_global: int = 50
-    top_category: int = 20
-    top_cell: int = 10
-    quotas: tuple[int, int, int, int, int] = (5, 8, 3, 2, 2)
-    pool: int = 20
+    neighbours: int = 50
+    seed_cap: int = 100
+    top_global: int = 500
+    top_category: int = 200
+    top_cell: int = 100
+    quotas: tuple[int, int, int, int, int] = (50, 80, 30, 20, 20)
+    pool: int = 200
     final_k: int = 10
     neg_per_pos: int = 10
     seller_cap: int = 2
@@ -40,3 +40,9 @@ class Config:
 
 
 DEFAULT = Config()
+#: Candidates and features for test users as of the end of training.
+PREDICT = Config(cutoff=DEFAULT.train_end)
+#: Fixed value: what stands for an unknown name.
+UNKNOWN = "Không xác định"
+#: Fixed value: from this first posting on a seller is new.
+NEW_SELLER_FROM = "2023-12-10"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,16 +61,22 @@ def dwell_valid(c: Column) -> Column:
     return F.when((d > 0) & (d < 3600), d)
 
 
-def dwell_bin(c: Column) -> Column:
-    return F.when(c < 5, "00-05").when(c < 15, "05-15").when(c < 30, "15-30").when(c < 60, "30-60").when(c < 180, "60-180").when(c < 600, "180-600").otherwise("600+")
-
-
-def age_bin(c: Column) -> Column:
-    return F.when(c <= 3, "a00-03").when(c <= 7, "a04-07").when(c <= 14, "a08-14").when(c <= 21, "a15-21").when(c <= 30, "a22-30").when(c <= 60, "a31-60").when(c <= 90, "a61-90").otherwise("a91+")
+def banded(c: Column, edges: Sequence[float], labels: Sequence[str], inclusive: bool = True) -> Column:
+    """The label of the first edge that c does not exceed (or, exclusively, lies below); the last label beyond all, and for null."""
+    out = None
+    for edge, label in zip(edges, labels):
+        inside = c <= edge if inclusive else c < edge
+        out = F.when(inside, label) if out is None else out.when(inside, label)
+    return out.otherwise(labels[len(edges)])
 
 
-def volume_tier(n: Column) -> Column:
-    return F.when(n == 0, "0").when(n <= 5, "1-5").when(n <= 20, "6-20").when(n <= 100, "21-100").otherwise("100+")
+#: Edges and labels of bins and tiers.
+DWELL_BINS = (5, 10, 30, 60, 180, 600), ("0-5s", "5-10s", "10-30s", "30-60s", "1-3m", "3-10m", "10m+")
+AGE_BINS = (3, 7, 14, 30, 60, 90, 180), ("00_0-3", "01_4-7", "02_8-14", "03_15-30", "04_31-60", "05_61-90", "06_91-180", "07_180+")
+IMAGE_BINS = (2, 5, 10, 15), ("00_0-2", "01_3-5", "02_6-10", "03_11-15", "04_16+")
+USER_TIERS = (0, 5, 20, 100), ("0_zero_history", "1_low_1_5", "2_mid_6_20", "3_high_21_100", "4_heavy_100+")
+SESSION_TIERS = (1, 5, 20, 100), ("1_single", "2_short_2_5", "3_medium_6_20", "4_long_21_100", "5_very_long_100+")
+ACTIVITY_TIERS = (0, 5, 50), ("0_cold", "1_low", "2_mid", "3_high")
 
 
 def days_between(later, earlier) -> Column:

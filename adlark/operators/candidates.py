@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 
-#: Rows of a top list that may be broadcast: lists are bounded by the settings times the number of categories or cities.
-SMALL = 200_000
-
-
 def top_k(df: DataFrame, by: list[str], order: list, k: int, rank: str = "rn") -> DataFrame:
     """The first k rows of each group; Catalyst prunes before the shuffle by WindowGroupLimit."""
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(rank) <= k)
@@ -23,7 +19,7 @@ def _before(df: DataFrame, cutoff: str, days: int | None = None) -> DataFrame:
 
 
 def reengagement(uid: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    g = _before(uid, cfg.cutoff).groupBy("user_id", "item_id").agg(F.sum("weighted_score").alias("w"), F.max("date").alias("last_event_date")).filter("w > 0")
+    g = _before(uid, cfg.cutoff).filter("weighted_score > 0").groupBy("user_id", "item_id").agg(F.sum("weighted_score").alias("w"), F.max("date").alias("last_event_date"))
     age = F.datediff(F.lit(cfg.cutoff).cast("date"), "last_event_date")
     scored = g.withColumn("source_score", F.round(F.col("w") * F.exp(-age * F.log(F.lit(2.0)) / cfg.half_life_days), 9))
     return top_k(scored, ["user_id"], [F.desc("source_score"), F.desc("last_event_date"), "item_id"], cfg.quotas[0]).select("user_id", "item_id", F.lit("reengagement").alias("source"), "source_score", "last_event_date")

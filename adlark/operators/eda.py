@@ -5,28 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, POSITIVE_EVENTS, Config
-from ..functions.exprs import count_if, ratio, volume_tier
+from ..config import DEFAULT, POSITIVE_EVENTS, UNKNOWN, Config
+from ..functions.exprs import ACTIVITY_TIERS, SESSION_TIERS, USER_TIERS, banded, count_if, micros, ratio
 from ..sources.tables import latest_listing
 from .candidates import top_k
 from .rollups import shares
 
-#: Spellings of the eight directions.
-DIRECTIONS = {"north": ("north", "n", "bac"), "south": ("south", "s", "nam"), "east": ("east", "e", "dong"), "west": ("west", "w", "tay"), "northeast": ("northeast", "ne", "dong bac"), "northwest": ("northwest", "nw", "tay bac"), "southeast": ("southeast", "se", "dong nam"), "southwest": ("southwest", "sw", "tay nam")}
+#: Spellings of the eight directions, lowered.
+DIRECTIONS = {
+    "Đông Bắc": ("đông bắc", "dong bac", "đông - bắc", "db", "đb"),
+    "Đông Nam": ("đông nam", "dong nam", "đông - nam", "dn", "đn"),
+    "Tây Bắc": ("tây bắc", "tay bac", "tây - bắc", "tb"),
+    "Tây Nam": ("tây nam", "tay nam", "tây - nam", "tn"),
+    "Đông": ("đông", "dong"),
+    "Tây": ("tây", "tay"),
+    "Nam": ("nam",),
+    "Bắc": ("bắc", "bac"),
+}
 
 
 def direction(c) -> F.Column:
-    out, low = None, F.lower(F.trim(c))
+    """The direction that a spelling means; unknown and null ones are UNKNOWN."""
+    out, low = None, F.lower(c)
     for name, spellings in DIRECTIONS.items():
         out = F.when(low.isin(*spellings), name) if out is None else out.when(low.isin(*spellings), name)
-    return out.otherwise("unknown")
+    return out.otherwise(UNKNOWN)
 
 
 def clean_dim(dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     end = F.lit(cfg.train_end).cast("date")
-    one = latest_listing(dim)
+    one = latest_listing(dim.filter("item_id is not null"))
     return one.select(
-        "item_id", "seller_id", F.col("category").try_cast("int").alias("category"), F.coalesce("seller_type", F.lit("unknown")).alias("seller_type"), F.coalesce("ad_type", F.lit("unknown")).alias("ad_type"), F.coalesce("city_name", F.lit("unknown")).alias("city_name"), F.coalesce("district_name", F.lit("unknown")).alias("district_name"),
+        "item_id", "seller_id", F.col("category").try_cast("int").alias("category"), "seller_type", "ad_type", direction(F.col("direction")).alias("direction_clean"), *(F.coalesce(c, F.lit(UNKNOWN)).alias(f"{c}_clean") for c in ("city_name", "district_name", "price_bucket")),
         F.col("area_sqm").try_cast("double").alias("area_sqm"), F.col("project_id").isNotNull().alias("has_project"), "posted_date", "expected_expired_date", F.datediff("expected_expired_date", "posted_date").alias("listing_lifetime_days"),
         (F.col("posted_date") > end).alias("is_post_train_end"), (F.col("expected_expired_date") < F.col("posted_date")).alias("is_expire_before_post"),
     )
@@ -34,7 +44,7 @@ def clean_dim(dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def clean_snapshot(snap: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     clip = lambda c: F.greatest(F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c)
-    return snap.filter(F.col("date") <= F.lit(cfg.train_end).cast("date")).select("item_id", "date", clip("views_24h"), clip("contacts_24h"), clip("listing_age_days"), F.col("views_24h").isNull().alias("views_was_null"))
+    return snap.filter("item_id is not null").filter(F.col("date") <= F.lit(cfg.train_end).cast("date")).select("item_id", "date", clip("views_24h"), clip("contacts_24h"), clip("listing_age_days"), F.col("views_24h").isNull().alias("views_was_null"), F.col("contacts_24h").isNull().alias("contacts_was_null"))
 
 
 def clean_interactions(rows: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -45,7 +55,7 @@ def clean_interactions(rows: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 def clean_events(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Positive events of users that are logged in, before the end of training; dwell clipped to an hour."""
     rows = events.filter(F.col("event_type").isin(*POSITIVE_EVENTS) & (F.col("is_login") == "login") & (F.col("date") <= F.lit(cfg.train_end).cast("date")) & F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
-    return rows.select("event_id", "user_id", "item_id", "event_type", "date", "category", "city_name", F.least(F.greatest(F.coalesce("dwell_time_sec", F.lit(0.0)), F.lit(0.0)), F.lit(3600.0)).alias("dwell"))
+    return rows.select("event_id", "user_id", "item_id", "event_type", "date", "category", "city_name", "session_id", "device", micros("event_ts").alias("event_us"), F.least(F.greatest(F.coalesce("dwell_time_sec", F.lit(0.0)), F.lit(0.0)), F.lit(3600.0)).alias("dwell"))
 
 
 def assert_no_leak(clean: DataFrame, cfg: Config = DEFAULT) -> None:
@@ -77,20 +87,20 @@ def cold_start(users: DataFrame, pos: DataFrame, inter: DataFrame) -> DataFrame:
     return shares(rows.groupBy("has_positive", "has_interaction").agg(F.count("*").alias("n_users")), "n_users")
 
 
-def interaction_tiers(users: DataFrame, pos: DataFrame) -> DataFrame:
-    n = pos.groupBy("user_id").agg(F.count("*").alias("n"))
-    rows = users.join(n, "user_id", "left").withColumn("tier", volume_tier(F.coalesce("n", F.lit(0))))
-    return shares(rows.groupBy("tier").agg(F.count("*").alias("n_users")), "n_users")
+def interaction_tiers(users: DataFrame, inter: DataFrame) -> DataFrame:
+    """Test users by their number of interaction rows."""
+    n = inter.groupBy("user_id").agg(F.count("*").alias("n"))
+    rows = users.join(n, "user_id", "left").withColumn("user_tier", banded(F.coalesce("n", F.lit(0)), *USER_TIERS))
+    return shares(rows.groupBy("user_tier").agg(F.count("*").alias("n_users")), "n_users")
 
 
 def event_breakdown(pos: DataFrame) -> DataFrame:
     return shares(pos.groupBy("event_type").agg(F.count("*").alias("n_events"), F.countDistinct("user_id").alias("n_users"), F.countDistinct("item_id").alias("n_items")), "n_events")
 
 
-def session_tiers(events: DataFrame) -> DataFrame:
-    n = events.groupBy("session_id").agg(F.count("*").alias("n"))
-    tier = F.when(F.col("n") == 1, "1").when(F.col("n") <= 5, "2-5").when(F.col("n") <= 20, "6-20").when(F.col("n") <= 100, "21-100").otherwise("100+")
-    return shares(n.groupBy(tier.alias("tier")).agg(F.count("*").alias("n_sessions")), "n_sessions")
+def session_tiers(pos: DataFrame) -> DataFrame:
+    n = pos.groupBy("session_id").agg(F.count("*").alias("n"))
+    return shares(n.groupBy(banded(F.col("n"), *SESSION_TIERS).alias("session_tier")).agg(F.count("*").alias("n_sessions")), "n_sessions")
 
 
 def weekly_market(snap: DataFrame) -> DataFrame:
@@ -101,25 +111,26 @@ def weekly_market(snap: DataFrame) -> DataFrame:
 def item_popularity(pos: DataFrame, snap: DataFrame, dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     end = F.lit(cfg.train_end).cast("date")
     day = F.datediff(end, "date")
-    p = pos.groupBy("item_id").agg(F.count("*").alias("pos_all"), count_if(day < 7).alias("pos_7"), count_if(day < 28).alias("pos_28"), F.countDistinct("user_id").alias("n_users"))
+    p = pos.groupBy("item_id").agg(F.count("*").alias("pos_all"), count_if(day <= 7).alias("pos_7"), count_if(day <= 28).alias("pos_28"), F.countDistinct("user_id").alias("n_users"))
     s = snap.groupBy("item_id").agg(F.sum("views_24h").alias("views"), F.sum("contacts_24h").alias("contacts"))
     rows = dim.join(p, "item_id", "left").join(s, "item_id", "left")
     z = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     cr = F.coalesce(ratio(z("contacts"), z("views")), F.lit(0.0))
     age = F.datediff(end, "posted_date")
     base = 3 * F.log10(1 + z("pos_7")) + 2 * F.log10(1 + z("pos_28")) + F.log10(1 + z("n_users")) + 1.5 * cr + F.when(F.col("seller_type") == "private", 0.25).otherwise(0.0) + F.when(age.between(0, 30), 0.20).otherwise(0.0)
-    keep = (F.col("posted_date") <= end) & (F.col("expected_expired_date") >= F.col("posted_date")) & (F.datediff(end, "expected_expired_date") <= 60) & ((z("pos_all") > 0) | (z("views") > 0))
+    expired = F.datediff(end, F.coalesce("expected_expired_date", end))
+    keep = (F.col("posted_date") <= end) & (F.col("expected_expired_date") >= F.col("posted_date")) & (expired <= 60) & ((z("pos_28") > 0) | (z("views") > 0))
     return rows.filter(keep).select("item_id", "category", "city_name", z("pos_28").cast("long").alias("pos_28"), F.round(base, 6).alias("base_score"))
 
 
 def user_profile(users: DataFrame, pos: DataFrame) -> DataFrame:
     rows = pos.join(users, "user_id", "left_semi")
-    last = F.struct("date", "event_id")
-    base = rows.groupBy("user_id").agg(F.count("*").alias("n_pos"), F.max_by("category", last).alias("last_category"), F.max_by("city_name", last).alias("last_city"))
-    top = lambda c: top_k(rows.groupBy("user_id", c).agg(F.count("*").alias("n"), F.max("date").alias("d")), ["user_id"], [F.desc("n"), F.desc("d"), c], 1).select("user_id", F.col(c).alias(f"top_{c}"))
+    last = F.struct("event_us", "event_id")
+    base = rows.groupBy("user_id").agg(F.count("*").alias("n_pos"), F.countDistinct("item_id").alias("n_items"), F.countDistinct("date").alias("n_days"), *(F.max_by(c, last).alias(f"last_{name}") for c, name in (("category", "category"), ("city_name", "city"), ("device", "device"))))
+    top = lambda c: top_k(rows.filter(F.col(c).isNotNull()).groupBy("user_id", c).agg(F.count("*").alias("n"), F.max("event_us").alias("d")), ["user_id"], [F.desc("n"), F.desc("d"), c], 1).select("user_id", F.col(c).alias(f"top_{c}"))
     out = users.join(base, "user_id", "left").join(top("category"), "user_id", "left").join(top("city_name"), "user_id", "left")
-    tier = F.when(F.coalesce("n_pos", F.lit(0)) == 0, "cold").when(F.col("n_pos") <= 5, "light").when(F.col("n_pos") <= 20, "medium").otherwise("heavy")
-    return out.select("user_id", F.coalesce("n_pos", F.lit(0)).cast("long").alias("n_pos"), "last_category", "last_city", "top_category", "top_city_name", tier.alias("activity_tier"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return out.select("user_id", zero("n_pos"), zero("n_items"), zero("n_days"), "last_category", "last_city", "last_device", "top_category", "top_city_name", banded(F.coalesce("n_pos", F.lit(0)), *ACTIVITY_TIERS).alias("activity_tier"))
 
 
 def baseline_scores(profile: DataFrame, popularity: DataFrame, k: tuple[int, int, int, int] = (10, 8, 6, 5)) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.exprs import ratio
+from ..sources.sinks import stage
 
 
 def recall_ndcg(pred: DataFrame, gt: DataFrame, k: int) -> DataFrame:
@@ -52,27 +53,64 @@ def lorenz(df: DataFrame, value: str) -> DataFrame:
     return v.select("x", F.round(F.sum("c").over(up) / F.sum("c").over(all_), 6).alias("cum_sellers"), F.round(F.sum(F.col("x") * F.col("c")).over(up) / F.nullif(F.sum(F.col("x") * F.col("c")).over(all_), F.lit(0.0)), 6).alias("cum_value"))
 
 
-def top_share(df: DataFrame, key: str, value: str, by: list[str] | None = None) -> DataFrame:
-    """Shares of the sum held by the first 10, the first hundredth and the first tenth (at least one each)."""
+def top_share(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """Shares of the sum held by the first 10, the first hundredth and the first tenth (at least one each).
+
+    Equal values are counted first, as in `gini`; how many rows of a value are among the first k follows from the rows above it.
+    """
     by = by or []
-    rows = df.withColumns({"rn": F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(value), key)), "n": F.count("*").over(Window.partitionBy(*by))})
-    part = lambda k: F.round(ratio(F.sum(F.when(F.col("rn") <= k, F.col(value)).otherwise(0)), F.sum(value)), 6)
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), part(F.lit(10)).alias("top10_share"), part(F.greatest(F.lit(1), F.floor(F.col("n") / 100))).alias("top1pct_share"), part(F.greatest(F.lit(1), F.floor(F.col("n") / 10))).alias("top10pct_share"))
+    v = df.groupBy(*by, F.col(value).cast("double").alias("x")).agg(F.count("*").alias("c"))
+    above = F.coalesce(F.sum("c").over(Window.partitionBy(*by).orderBy(F.desc("x")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    v = v.withColumns({"above": above, "n": F.sum("c").over(Window.partitionBy(*by))})
+    taken = lambda k: F.greatest(F.lit(0), F.least(F.col("c"), k - F.col("above")))
+    part = lambda k: F.round(ratio(F.sum(F.col("x") * taken(k)), F.sum(F.col("x") * F.col("c"))), 6)
+    return v.groupBy(*by).agg(F.sum("c").alias("n"), part(F.lit(10)).alias("top10_share"), part(F.greatest(F.lit(1), F.floor(F.col("n") / 100))).alias("top1pct_share"), part(F.greatest(F.lit(1), F.floor(F.col("n") / 10))).alias("top10pct_share"))
+
+
+def exposure(recs: DataFrame, dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Recommendations with seller, seller type and age at the end of training, written once for the aggregates that read them."""
+    info = dim.select("item_id", "seller_id", "seller_type", F.datediff(F.lit(cfg.train_end).cast("date"), "posted_date").alias("age"))
+    return stage(recs.select("user_id", "item_id", "rank").join(info, "item_id", "left"), "exposure")
+
+
+def _slots(rows: DataFrame, key: str) -> DataFrame:
+    """How often each key is shown, and at rank 1."""
+    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("c"), F.sum((F.col("rank") == 1).cast("long")).alias("first"))
+
+
+def _beside(one: DataFrame, *others: DataFrame) -> DataFrame:
+    for x in others:
+        one = one.crossJoin(F.broadcast(x))  # one row each
+    return one
 
 
 def marketplace_health(sub: DataFrame, dim: DataFrame, item_daily: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Exposure Gini of items and sellers, coverage, freshness, seller types, variety and concentration at rank 1."""
-    info = dim.select("item_id", "seller_id", "seller_type", F.datediff(F.lit(cfg.cutoff).cast("date"), "posted_date").alias("age"))
-    rows = sub.join(info, "item_id", "left")
-    active = item_daily.filter((F.col("date") < F.lit(cfg.cutoff).cast("date")) & (F.col("date") >= F.date_sub(F.lit(cfg.cutoff).cast("date"), 30))).agg(F.countDistinct("item_id").alias("active"))
+    """Coverage of active items, exposure Gini of items and sellers, freshness, seller types, variety and concentration at rank 1.
+
+    Active are items with a positive weight in the 30 days before the end of training.
+    """
+    rows = exposure(sub, dim, cfg)
+    items, sellers = _slots(rows, "item_id"), _slots(rows, "seller_id")
+    end = F.lit(cfg.train_end).cast("date")
+    active = item_daily.filter((F.col("date") < end) & (F.col("date") >= F.date_sub(end, 30)) & (F.col("weighted_score") > 0)).agg(F.countDistinct("item_id").alias("n_active_items"))
+    share = lambda c, of: F.round(F.coalesce(100.0 * ratio(F.sum(F.when(c, 1).otherwise(0)), F.sum(F.when(of, 1).otherwise(0))), F.lit(0.0)), 6)
+    kind = F.col("seller_type")
+    total = rows.agg(share(F.col("age") <= cfg.fresh_days, F.lit(True)).alias("fresh_slot_pct"), share(kind == "private", kind.isNotNull()).alias("private_slot_pct"), share(kind == "agent", kind.isNotNull()).alias("agent_slot_pct"))
+    users = rows.groupBy("user_id").agg(F.countDistinct("seller_id").alias("v")).agg(F.count("*").alias("n_users"), F.round(F.avg(F.when(F.col("v") > 0, F.col("v"))), 6).alias("avg_unique_sellers_per_user"))
+    top = lambda x, name: F.round(F.coalesce(100.0 * ratio(F.max("first"), F.sum("first")), F.lit(0.0)), 6).alias(name)
+    of = lambda df, what: _beside(df.agg(F.count("*").alias(f"n_distinct_{what}s"), top(df, f"top1_{what}_concentration_pct")), gini(df, "c").select(F.col("gini").alias(f"gini_{what}_exposure")))
+    out = _beside(total, users, of(items, "item"), of(sellers, "seller"), active)
+    return out.withColumn("item_coverage_pct", F.round(100.0 * F.col("n_distinct_items") / F.greatest(F.col("n_active_items"), F.lit(1)), 6))
+
+
+def variant_metrics(recs: DataFrame, dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """What a variant shows: coverage of the catalogue's items and sellers, Gini, freshness and seller types over all slots."""
+    rows = exposure(recs, dim, cfg)
     pct = lambda c: F.round(100.0 * F.avg(F.when(c, 1.0).otherwise(0.0)), 6)
-    a = rows.agg(F.count("*").alias("n_rows"), F.countDistinct("item_id").alias("n_items"), F.countDistinct("seller_id").alias("n_sellers"), pct(F.col("age") <= cfg.fresh_days).alias("fresh_pct"), pct(F.col("seller_type") == "private").alias("private_pct"), pct(F.col("seller_type") == "agent").alias("agent_pct"))
-    variety = rows.groupBy("user_id").agg(F.countDistinct("seller_id").alias("v")).agg(F.round(F.avg("v"), 6).alias("mean_sellers_per_user"))
-    first = rows.filter("rank = 1")
-    top = lambda c, name: first.groupBy(c).count().agg(F.round(F.max("count") / F.sum("count"), 6).alias(name))
-    gi = gini(rows.groupBy("item_id").agg(F.count("*").alias("c")), "c").select(F.col("gini").alias("gini_items"))
-    gs = gini(rows.filter("seller_id is not null").groupBy("seller_id").agg(F.count("*").alias("c")), "c").select(F.col("gini").alias("gini_sellers"))
-    out = a
-    for x in (variety, top("item_id", "top_item_share"), top("seller_id", "top_seller_share"), gi, gs, active):
-        out = out.crossJoin(x)  # one row each
-    return out.withColumn("item_coverage_pct", F.round(100.0 * F.col("n_items") / F.greatest(F.col("active"), F.lit(1)), 6)).drop("active")
+    total = rows.agg(pct(F.col("age") <= 7).alias("fresh_slot_pct"), pct(F.col("seller_type") == "private").alias("private_slot_pct"), pct(F.col("seller_type") == "agent").alias("agent_slot_pct"))
+    users = rows.select("user_id").distinct().agg(F.count("*").alias("n_users_with_recs"))
+    of = lambda df, what: _beside(df.agg(F.count("*").alias(f"n_distinct_{what}s_recommended")), gini(df, "c").select(F.col("gini").alias(f"gini_{what}_exposure")))
+    catalogue = dim.agg(F.countDistinct("item_id").alias("_items"), F.countDistinct("seller_id").alias("_sellers"))
+    out = _beside(total, users, of(_slots(rows, "item_id"), "item"), of(_slots(rows, "seller_id"), "seller"), catalogue)
+    cover = lambda what: F.round(100.0 * F.col(f"n_distinct_{what}s_recommended") / F.greatest(F.col(f"_{what}s"), F.lit(1)), 6)
+    return out.withColumns({"item_coverage_pct": cover("item"), "seller_coverage_pct": cover("seller")}).drop("_items", "_sellers")

@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 from ..functions.exprs import count_if, event_weight, graded_label, is_positive, recency_tier
 from .candidates import _before, top_k
-from .rollups import in_window
-
-#: The columns a ranker reads.
-NUMERIC = ("u_total_weighted u_recent_weighted u_total_pageview u_unique_items u_unique_categories u_unique_cities u_active_days u_avg_dwell u_days_since_last u_is_warm u_top_category_share "
-           "i_has_project_id i_area_sqm i_bedrooms i_bathrooms i_images_count i_age_days i_total_weighted i_recent_weighted i_total_pageview i_avg_dwell i_pop_rank_global "
-           "ui_total_weighted ui_recent_weighted ui_n_pageview ui_n_pos_events ui_max_dwell ui_n_active_days ui_days_since_last ui_days_since_first "
-           "ui_recency_tier u_activity_recency_tier i_age_tier ui_category_match ui_city_match ui_category_match_top2 ui_top_cat_match_x_share candidate_score").split()
-CATEGORICAL = "u_top_category u_top2_category i_category i_seller_type i_ad_type".split()
+from .rollups import global_rank, in_window
+
+#: The columns a ranker reads, numbers and then categories.
+NUMERIC = [
+    "candidate_score",
+    "u_total_weighted", "u_recent_weighted", "u_total_pageview", "u_unique_items", "u_unique_categories", "u_unique_cities", "u_active_days",
+    "u_avg_dwell", "u_days_since_last", "u_is_warm", "u_top_category_share", "u_top_category_share_recent",
+    "i_has_project_id", "i_area_sqm", "i_bedrooms", "i_bathrooms", "i_images_count", "i_age_days",
+    "i_total_weighted", "i_recent_weighted", "i_total_pageview", "i_avg_dwell", "i_pop_rank_global",
+    "ui_total_weighted", "ui_recent_weighted", "ui_n_pageview", "ui_n_pos_events", "ui_max_dwell", "ui_n_active_days", "ui_days_since_last", "ui_days_since_first",
+    "ui_recency_tier", "u_activity_recency_tier", "i_age_tier",
+    "ui_category_match", "ui_city_match", "ui_category_match_top2", "ui_top_cat_match_x_share",
+]
+CATEGORICAL = ["u_top_category", "u_top2_category", "i_category", "i_seller_type", "i_ad_type"]
 
 
 def validate_columns(columns: list[str]) -> list[str]:
@@ -38,14 +44,16 @@ def user_features(user_daily: DataFrame, uid: DataFrame, dim: DataFrame, cfg: Co
     cat = pairs.filter("category is not null").groupBy("user_id", "category").agg(F.sum("weighted_score").alias("w"))
     top = top_k(cat, ["user_id"], [F.desc("w"), "category"], 2).groupBy("user_id").agg(F.max(F.when(F.col("rn") == 1, F.col("category"))).alias("u_top_category"), F.max(F.when(F.col("rn") == 2, F.col("category"))).alias("u_top2_category"), F.max(F.when(F.col("rn") == 1, F.col("w"))).alias("_w1"))
     total = cat.groupBy("user_id").agg(F.sum("w").alias("_w"))
+    late = pairs.filter(recent & F.col("category").isNotNull()).groupBy("user_id", "category").agg(F.sum("weighted_score").alias("w"))
+    late = late.groupBy("user_id").agg(F.max("w").alias("_r1"), F.sum("w").alias("_r"))
     city = top_k(pairs.filter("city_name is not null").groupBy("user_id", "city_name").agg(F.sum("weighted_score").alias("w")), ["user_id"], [F.desc("w"), "city_name"], 1).select("user_id", F.col("city_name").alias("u_top_city"))
-    out = base.join(more, "user_id", "left").join(top, "user_id", "left").join(total, "user_id", "left").join(city, "user_id", "left")
+    out = base.join(more, "user_id", "left").join(top, "user_id", "left").join(total, "user_id", "left").join(late, "user_id", "left").join(city, "user_id", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return out.select(
         "user_id", "u_total_weighted", "u_recent_weighted", F.col("u_total_pageview").cast("long").alias("u_total_pageview"), zero("u_unique_items"), zero("u_unique_categories"), zero("u_unique_cities"), "u_active_days",
         F.coalesce("u_top_category", F.lit(-1)).alias("u_top_category"), F.coalesce("u_top2_category", F.lit(-1)).alias("u_top2_category"), F.coalesce("u_top_city", F.lit("")).alias("u_top_city"),
         F.round(F.coalesce("u_avg_dwell", F.lit(0.0)) + 1e-7, 4).alias("u_avg_dwell"), _since("_last", cfg).alias("u_days_since_last"), F.when(F.col("u_total_weighted") > 0, 1).otherwise(0).alias("u_is_warm"),
-        F.round(F.coalesce(F.col("_w1") / F.col("_w"), F.lit(0.0)), 6).alias("u_top_category_share"),
+        F.round(F.coalesce(F.col("_w1") / F.col("_w"), F.lit(0.0)), 6).alias("u_top_category_share"), F.round(F.coalesce(F.col("_r1") / F.col("_r"), F.lit(0.0)), 6).alias("u_top_category_share_recent"),
     )
 
 
@@ -56,14 +64,13 @@ def item_features(item_daily: DataFrame, dim: DataFrame, cfg: Config = DEFAULT)
         F.sum("weighted_score").alias("i_total_weighted"), F.sum(F.when(recent, F.col("weighted_score")).otherwise(0.0)).alias("i_recent_weighted"),
         F.sum("n_pageview").alias("i_total_pageview"), F.sum("n_unique_users").alias("i_total_user_events"), F.avg("avg_dwell").alias("i_avg_dwell"),
     )
-    from pyspark.sql import Window
-
-    ranked = act.select("item_id", F.row_number().over(Window.orderBy(F.desc("i_recent_weighted"), "item_id")).alias("i_pop_rank_global"))  # a row per active item
+    popular = act.filter("i_recent_weighted > 0").select("item_id", "i_recent_weighted")
+    ranked = global_rank(popular, [F.desc("i_recent_weighted"), F.asc("item_id")], "i_pop_rank_global").drop("i_recent_weighted")
     out = dim.join(act, "item_id", "left").join(ranked, "item_id", "left")
     d = lambda c, v: F.coalesce(c, F.lit(v)).alias(c)
     return out.select(
-        "item_id", F.coalesce("category", F.lit(-1)).alias("i_category"), F.coalesce("city_name", F.lit("")).alias("i_city_name"), F.coalesce("seller_type", F.lit("unknown")).alias("i_seller_type"), F.coalesce("ad_type", F.lit("unknown")).alias("i_ad_type"),
-        F.when(F.coalesce("project_id", F.lit("")) != "", 1).otherwise(0).alias("i_has_project_id"), F.col("area_sqm").alias("i_area_sqm"), F.col("bedrooms").alias("i_bedrooms"), F.col("bathrooms").alias("i_bathrooms"), F.col("images_count").alias("i_images_count"),
+        "item_id", F.coalesce("category", F.lit(-1)).alias("i_category"), F.coalesce("city_name", F.lit("")).alias("i_city_name"), F.col("district_name").alias("i_district_name"), F.coalesce("seller_type", F.lit("unknown")).alias("i_seller_type"), F.coalesce("ad_type", F.lit("unknown")).alias("i_ad_type"),
+        F.when(F.coalesce("project_id", F.lit("")) != "", 1).otherwise(0).alias("i_has_project_id"), *(F.coalesce(c, F.lit(0.0)).alias(f"i_{c}") for c in ("area_sqm", "bedrooms", "bathrooms", "images_count")),
         F.coalesce(_since("posted_date", cfg), F.lit(999)).alias("i_age_days"), d("i_total_weighted", 0.0), d("i_recent_weighted", 0.0), F.coalesce("i_total_pageview", F.lit(0)).cast("long").alias("i_total_pageview"),
         F.coalesce("i_total_user_events", F.lit(0)).cast("long").alias("i_total_user_events"), F.round(F.coalesce("i_avg_dwell", F.lit(0.0)), 6).alias("i_avg_dwell"), d("i_pop_rank_global", 999999),
     )
@@ -89,7 +96,7 @@ def temporal_features(pairs: DataFrame, users: DataFrame, items: DataFrame) -> D
 def ranker_input(candidates: DataFrame, users: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
     tiers = temporal_features(pairs, users, items)
     out = candidates.join(users, "user_id", "left").join(items.drop("i_total_user_events"), "item_id", "left").join(pairs, ["user_id", "item_id"], "left").join(tiers, ["user_id", "item_id"], "left")
-    defaults = {"u_total_weighted": 0.0, "u_recent_weighted": 0.0, "u_total_pageview": 0, "u_unique_items": 0, "u_unique_categories": 0, "u_unique_cities": 0, "u_active_days": 0, "u_top_category": -1, "u_top2_category": -1, "u_top_city": "", "u_avg_dwell": 0.0, "u_days_since_last": 999, "u_is_warm": 0, "u_top_category_share": 0.0,
+    defaults = {"u_total_weighted": 0.0, "u_recent_weighted": 0.0, "u_total_pageview": 0, "u_unique_items": 0, "u_unique_categories": 0, "u_unique_cities": 0, "u_active_days": 0, "u_top_category": -1, "u_top2_category": -1, "u_top_city": "", "u_avg_dwell": 0.0, "u_days_since_last": 999, "u_is_warm": 0, "u_top_category_share": 0.0, "u_top_category_share_recent": 0.0,
                 "i_category": -1, "i_city_name": "", "i_seller_type": "unknown", "i_ad_type": "unknown", "i_has_project_id": 0, "i_area_sqm": 0.0, "i_bedrooms": 0.0, "i_bathrooms": 0.0, "i_images_count": 0.0, "i_age_days": 999, "i_total_weighted": 0.0, "i_recent_weighted": 0.0, "i_total_pageview": 0, "i_avg_dwell": 0.0, "i_pop_rank_global": 999999}
     out = out.fillna(defaults)
     same = (F.when(F.col("u_top_category") == -1, -2).otherwise(F.col("u_top_category")) == F.col("i_category")).cast("int")

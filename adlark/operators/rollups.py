@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.exprs import count_if, event_weight, is_positive, micros
+from ..sources.sinks import stage
 
 
 def in_window(events: DataFrame, start: str, end: str) -> DataFrame:
@@ -52,3 +53,14 @@ def shares(counts: DataFrame, n: str, by: list[str] | None = None, name: str = "
 
 def event_share(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return shares(in_window(events, cfg.train_start, cfg.train_end).groupBy("event_type").agg(F.count("*").alias("n")), "n")
+
+
+def global_rank(df: DataFrame, order: list, name: str) -> DataFrame:
+    """A number from 1 for each row in a total order, without one task that sorts all: ranges are numbered by themselves
+    and start after the rows of those before."""
+    parts = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranked")
+    sizes = parts.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offset = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return parts.withColumn("_place", place).join(F.broadcast(offset), "_range").withColumn(name, (F.col("_before") + F.col("_place")).cast("int")).drop("_range", "_place", "_before")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, Config
-from ..functions.exprs import age_bin, count_if, dwell_bin, dwell_valid, is_direct, is_positive, micros, ratio, wilson
+from ..config import DEFAULT, NEW_SELLER_FROM, UNKNOWN, Config
+from ..functions.exprs import AGE_BINS, DWELL_BINS, IMAGE_BINS, banded, count_if, dwell_valid, is_direct, is_positive, micros, ratio, wilson
 from .candidates import top_k
 from .evaluation import gini, top_share
 from .rollups import in_window, shares
@@ -63,8 +63,9 @@ def user_positives(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def user_segments(users: DataFrame, events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     rows = in_window(events, cfg.train_start, cfg.train_end).filter("is_login = 'login'").groupBy("user_id").agg(count_if(F.col(T) == "pageview").alias("v"), count_if(is_positive(F.col(T))).alias("p"))
-    seg = F.when((F.coalesce("v", F.lit(0)) == 0) & (F.coalesce("p", F.lit(0)) == 0), "cold").when(F.coalesce("p", F.lit(0)) == 0, "view_only").when(F.col("p") < 5, "few_contacts").otherwise("active")
-    return shares(users.join(rows, "user_id", "left").groupBy(seg.alias("segment")).agg(F.count("*").alias("n_users")), "n_users")
+    viewed, contacted = (F.coalesce(c, F.lit(0)) > 0 for c in "vp")
+    seg = F.when(~viewed & ~contacted, "0_no_history").when(viewed & ~contacted, "1_browser_only").when(~viewed & contacted, "2_positive_no_pageview").otherwise("3_warm_with_positive")
+    return shares(users.join(rows, "user_id", "left").groupBy(seg.alias("user_segment")).agg(F.count("*").alias("n_users")), "n_users")
 
 
 def gap_hours(pairs: DataFrame) -> DataFrame:
@@ -88,14 +89,18 @@ def segment(category, project) -> F.Column:
     return F.when((category == 1050) | project.isNotNull(), "B2B").otherwise("C2C")
 
 
-def item_metrics(snap: DataFrame, dim: DataFrame) -> DataFrame:
-    g = snap.groupBy("item_id").agg(F.sum(F.greatest("views_24h", F.lit(0))).alias("views"), F.sum(F.greatest("contacts_24h", F.lit(0))).alias("contacts"), F.round(F.avg("listing_age_days"), 6).alias("avg_age"), F.max("listing_age_days").alias("max_age"), F.count("*").alias("n_days"))
-    d = dim.select("item_id", "seller_id", "category", "seller_type", "ad_type", "district_name", "images_count", "posted_date", segment(F.col("category"), F.col("project_id")).alias("segment"))
-    return g.join(d, "item_id", "left").withColumn("contact_rate", F.round(ratio(F.col("contacts"), F.col("views")), 6))
+def item_metrics(snap: DataFrame, dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Every listing with its views, contacts and ages up to the end of training; zeros without a snapshot."""
+    clip = lambda c: F.greatest(F.coalesce(c, F.lit(0)), F.lit(0))
+    g = snap.filter(F.col("date") <= F.lit(cfg.train_end).cast("date")).groupBy("item_id").agg(F.sum(clip("views_24h")).alias("views"), F.sum(clip("contacts_24h")).alias("contacts"), F.avg(clip("listing_age_days")).alias("avg_age"), F.max(clip("listing_age_days")).alias("max_age"), F.count("*").alias("n_days"))
+    d = dim.select("item_id", "seller_id", "category", "seller_type", "ad_type", "city_name", "district_name", "images_count", "area_sqm", "bedrooms", "price_bucket", "project_id", "posted_date", segment(F.col("category"), F.col("project_id")).alias("segment"))
+    zero = lambda c, t: F.coalesce(c, F.lit(0)).cast(t)
+    out = d.join(g, "item_id", "left").withColumns({c: zero(c, "long") for c in ("views", "contacts", "max_age", "n_days")})
+    return out.withColumn("avg_age", F.round(zero("avg_age", "double"), 6)).withColumn("contact_rate", F.round(ratio(F.col("contacts"), F.col("views")), 6))
 
 
 def seller_metrics(items: DataFrame) -> DataFrame:
-    return items.filter("seller_id is not null").groupBy("seller_id").agg(F.min("seller_type").alias("seller_type"), F.count("*").alias("n_listings"), F.sum("views").alias("views"), F.sum("contacts").alias("contacts"), count_if(F.col("contacts") > 0).alias("n_contacted"), F.min("posted_date").alias("first_post"), F.max("posted_date").alias("last_post")).withColumn("contact_rate", F.round(ratio(F.col("contacts"), F.col("views")), 6))
+    return items.groupBy("seller_id").agg(F.min("seller_type").alias("seller_type"), F.count("*").alias("n_listings"), F.sum("views").alias("views"), F.sum("contacts").alias("contacts"), count_if(F.col("contacts") > 0).alias("n_contacted"), F.min("posted_date").alias("first_post"), F.max("posted_date").alias("last_post")).withColumn("contact_rate", F.round(ratio(F.col("contacts"), F.col("views")), 6))
 
 
 def pairs_with_dim(pairs: DataFrame, dim: DataFrame) -> DataFrame:
@@ -115,22 +120,33 @@ def snapshot_rate(items: DataFrame, by: list[str]) -> DataFrame:
     return items.groupBy(*by).agg(F.count("*").alias("n_items"), F.sum("views").alias("views"), F.sum("contacts").alias("contacts")).withColumn("rate", F.round(ratio(F.col("contacts"), F.col("views")), 6))
 
 
-def age_decay(snap: DataFrame) -> DataFrame:
-    return snap.groupBy(age_bin(F.col("listing_age_days")).alias("age_bin")).agg(F.sum("views_24h").alias("views"), F.sum("contacts_24h").alias("contacts"), F.countDistinct("item_id").alias("n_items")).withColumn("rate", F.round(ratio(F.col("contacts"), F.col("views")), 6))
+def age_decay(items: DataFrame) -> DataFrame:
+    """Items by their mean age over the days with a snapshot."""
+    return items.groupBy(banded(F.col("avg_age"), *AGE_BINS).alias("age_bin")).agg(F.count("*").alias("n_items"), F.sum("views").alias("views"), F.sum("contacts").alias("contacts")).withColumn("rate", F.round(ratio(F.col("contacts"), F.col("views")), 6))
 
 
-def image_sample(items: DataFrame, least: int = 10, k: int = 5) -> DataFrame:
-    b = F.when(F.col("images_count") <= 0, "0").when(F.col("images_count") <= 3, "1-3").when(F.col("images_count") <= 6, "4-6").when(F.col("images_count") <= 10, "7-10").otherwise("11+")
-    return top_k(items.filter(F.col("views") >= least).withColumn("image_bin", b), ["image_bin"], ["item_id"], k).select("image_bin", "item_id", "contact_rate")
+def image_sample(items: DataFrame, least: int = 10, k: int = 5000) -> DataFrame:
+    """The first k items of each bucket of image counts, among those with a rate and `least` views or more."""
+    n = F.col("images_count").try_cast("double")
+    bucket = F.when(n.isNull(), "unknown").otherwise(banded(n, *IMAGE_BINS))
+    rows = items.filter((F.col("views") >= least) & F.col("contact_rate").isNotNull()).withColumn("image_bucket", bucket)
+    return top_k(rows, ["image_bucket"], ["item_id"], k).select("image_bucket", "item_id", "views", "contacts", "contact_rate")
 
 
 def geo_top(items: DataFrame, k: int = 20) -> DataFrame:
-    return items.groupBy("district_name").agg(F.count("*").alias("n_items"), F.sum("views").alias("views"), F.sum("contacts").alias("contacts")).orderBy(F.desc("contacts"), "district_name").limit(k)
+    """The districts with most contacts; those without a name don't count."""
+    rows = items.filter(F.col("district_name").isNotNull() & (F.col("district_name") != UNKNOWN))
+    g = rows.groupBy("city_name", "district_name").agg(F.count("*").alias("n_items"), F.sum("views").alias("views"), F.sum("contacts").alias("contacts"))
+    return g.withColumn("rate", F.round(ratio(F.col("contacts"), F.col("views")), 6)).orderBy(F.desc("contacts"), "city_name", "district_name").limit(k)
 
 
-def seller_cohort(items: DataFrame, sellers: DataFrame, new_from: str = "2023-12-10") -> DataFrame:
-    c = sellers.select("seller_id", F.when(F.col("first_post") >= F.lit(new_from).cast("date"), "new").otherwise("old").alias("cohort"))
-    return items.join(c, "seller_id").groupBy(F.date_trunc("week", "posted_date").cast("date").alias("week"), "cohort").agg(F.count("*").alias("n_listings"), F.countDistinct("seller_id").alias("n_sellers"), F.sum("contacts").alias("contacts"))
+def seller_cohort(items: DataFrame, new_from: str = NEW_SELLER_FROM) -> DataFrame:
+    """Listings by the week they were posted and whether their seller's first posting is recent."""
+    rows = items.filter("posted_date is not null and seller_id is not null")
+    first = rows.groupBy("seller_id").agg(F.min("posted_date").alias("first_post"))
+    cohort = F.when(F.col("first_post") >= F.lit(new_from).cast("date"), "new_seller").otherwise("established_seller")
+    g = rows.join(first, "seller_id").groupBy(cohort.alias("seller_cohort"), F.date_trunc("week", "posted_date").cast("date").alias("week")).agg(F.count("*").alias("n_listings"), F.sum("views").alias("views"), F.sum("contacts").alias("contacts"))
+    return g.withColumn("rate", F.round(ratio(F.col("contacts"), F.col("views")), 6))
 
 
 def segment_audit(dim: DataFrame) -> DataFrame:
@@ -156,7 +172,7 @@ def segment_gini(pairs: DataFrame) -> DataFrame:
     """Concentration of contacts over sellers, per segment and for all."""
     d = seller_distribution(pairs)
     both = d.unionByName(pairs.groupBy(F.lit("ALL").alias("segment"), "seller_id").agg(F.sum("is_qualified").cast("long").alias("n_qualified"), F.sum("is_qualified_pos").cast("long").alias("n_positive")).filter("n_qualified > 0"))
-    return gini(both, "n_positive", ["segment"]).drop("n").join(top_share(both, "seller_id", "n_positive", ["segment"]), "segment")
+    return gini(both, "n_positive", ["segment"]).drop("n").join(top_share(both, "n_positive", ["segment"]), "segment")
 
 
 def snapshot_gini(items: DataFrame) -> DataFrame:
@@ -182,19 +198,26 @@ def slide_core(pairs: DataFrame) -> DataFrame:
 
 
 def dwell_histogram(pairs: DataFrame) -> DataFrame:
-    rows = pairs.filter("n_pageview > 0 and max_dwell is not null")
-    return rows.groupBy(dwell_bin(F.col("max_dwell")).alias("dwell_bin")).agg(F.count("*").alias("n_pairs"), F.round(F.avg(F.when(F.col("n_pos") > 0, 1.0).otherwise(0.0)), 6).alias("positive_rate"))
+    """Viewed pairs by their longest dwell; the rate is that of qualified pairs with a contact."""
+    rows = pairs.filter("n_pageview > 0").withColumn("max_dwell", F.coalesce("max_dwell", F.lit(0.0)))
+    g = rows.groupBy(banded(F.col("max_dwell"), *DWELL_BINS, inclusive=False).alias("bin_label")).agg(F.count("*").alias("pairs"), F.sum("is_qualified_pos").cast("long").alias("positive_pairs"))
+    return g.withColumn("positive_rate", F.round(ratio(F.col("positive_pairs"), F.col("pairs")), 6))
+
+
+def event_group() -> F.Column:
+    return F.when(F.col(T) == "pageview", "pageview").when(is_direct(F.col(T)), "direct_contact").otherwise("other_interaction")
 
 
 def attribute_share(events: DataFrame, attribute: str, cfg: Config = DEFAULT) -> DataFrame:
-    g = F.when(F.col(T) == "pageview", "pageview").when(is_direct(F.col(T)), "direct").otherwise("other").alias("event_group")
-    return shares(in_window(events, cfg.train_start, cfg.train_end).groupBy(g, F.coalesce(F.col(attribute).cast("string"), F.lit("null")).alias("value")).agg(F.count("*").alias("n")), "n", ["event_group"])
+    return shares(in_window(events, cfg.train_start, cfg.train_end).groupBy(event_group().alias("event_group"), F.coalesce(F.col(attribute).cast("string"), F.lit("null")).alias("value")).agg(F.count("*").alias("n")), "n", ["event_group"])
 
 
 def dwell_audit(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    d = F.coalesce("dwell_time_sec", F.lit(0.0))
-    pct = lambda c: F.round(100.0 * F.avg(F.when(c, 1.0).otherwise(0.0)), 6)
-    return in_window(events, cfg.train_start, cfg.train_end).groupBy(T).agg(F.count("*").alias("n"), pct(d == 0).alias("zero_pct"), pct(d < 5).alias("lt5_pct"), pct(d < 30).alias("lt30_pct"), *(F.round(F.percentile(d, q), 6).alias(name) for q, name in ((0.5, "median"), (0.75, "p75"), (0.95, "p95"))))
+    """Dwell, clipped to an hour, by kind of event; events without one are counted but don't weigh."""
+    rows = in_window(events, cfg.train_start, cfg.train_end).select(event_group().alias("event_group"), F.when(F.col("dwell_time_sec").isNotNull(), F.least(F.greatest("dwell_time_sec", F.lit(0.0)), F.lit(3600.0))).alias("d"))
+    d = F.col("d")
+    pct = lambda c: F.round(100.0 * F.avg(F.when(d.isNotNull(), c.cast("double"))), 6)
+    return rows.groupBy("event_group").agg(F.count("*").alias("n_events"), F.count("d").alias("n_with_dwell"), pct(d == 0).alias("zero_pct"), pct(d < 5).alias("lt5_pct"), pct(d < 30).alias("lt30_pct"), *(F.round(F.percentile(d, q), 6).alias(name) for q, name in ((0.5, "median"), (0.75, "p75"), (0.95, "p95"))))
 
 
 def direct_audit(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -230,5 +253,6 @@ def verify_slices(pairs: DataFrame, funnel_row: DataFrame) -> DataFrame:
 
 
 def session_audit(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    s = in_window(events, cfg.train_start, cfg.train_end).groupBy("session_id").agg(F.count("*").alias("n"))
-    return s.agg(F.count("*").alias("n_sessions"), F.round(F.avg("n"), 6).alias("mean_events"), F.round(F.percentile("n", 0.5), 6).alias("median_events"), F.max("n").alias("max_events"))
+    """Events of each kind in a session that has any."""
+    s = in_window(events, cfg.train_start, cfg.train_end).groupBy("session_id", event_group().alias("event_group")).agg(F.count("*").alias("n"))
+    return s.groupBy("event_group").agg(F.count("*").alias("n_sessions"), F.round(F.percentile("n", 0.5), 6).alias("median_events"), F.round(F.avg("n"), 6).alias("mean_events"), F.round(F.percentile("n", 0.95), 6).alias("p95_events"), F.max("n").alias("max_events"))

@@ -11,6 +11,7 @@ NHARD = f"CAST(count(*) FILTER (event_type IN {HARD}) AS BIGINT)"
 CUT = "DATE '2024-01-20'"
 WIN = "date BETWEEN DATE '2024-01-01' AND DATE '2024-01-28'"
 DWELL = "CASE WHEN dwell_time_sec > 0 AND dwell_time_sec < 3600 THEN dwell_time_sec END"
+NONE = "'Không xác định'"
 SEG = "CASE WHEN category = 1050 OR project_id IS NOT NULL THEN 'B2B' ELSE 'C2C' END"
 
 
@@ -40,9 +41,9 @@ CTES = {
  CASE p_type WHEN 'STANDARD' THEN 1010 WHEN 'ECONOMY' THEN 1020 WHEN 'MEDIUM' THEN 1030 WHEN 'LARGE' THEN 1040 WHEN 'PROMO' THEN 1050 ELSE 6020 END AS category,
  p_name AS title, CASE WHEN s_suppkey % 5 = 1 THEN 'private' ELSE 'agent' END AS seller_type, CASE WHEN p_size % 2 = 0 THEN 'sell' ELSE 'let' END AS ad_type,
  p_size * CAST(2.5 AS DOUBLE) AS area_sqm, CAST(p_size % 5 AS DOUBLE) AS bedrooms, CAST(p_size % 3 AS DOUBLE) AS bathrooms, CAST(p_size % 20 AS DOUBLE) AS images_count,
- n_name AS city_name, concat(n_name, '_D', CAST(p_partkey % 3 AS VARCHAR)) AS district_name, CASE WHEN p_partkey % 7 = 0 THEN concat('PRJ', CAST(p_partkey AS VARCHAR)) END AS project_id, p_brand AS price_bucket,
+ n_name AS city_name, concat(n_name, '_D', CAST(p_partkey % 3 AS VARCHAR)) AS district_name, CASE WHEN p_partkey % 7 = 0 THEN concat('PRJ', CAST(p_partkey AS VARCHAR)) END AS project_id, p_brand AS price_bucket, CASE p_partkey % 10 WHEN 0 THEN 'đông bắc' WHEN 1 THEN 'Dong Nam' WHEN 2 THEN 'tb' WHEN 3 THEN 'tây - nam' WHEN 4 THEN 'Đông' WHEN 5 THEN 'tay' WHEN 6 THEN 'nam' WHEN 7 THEN 'BẮC' WHEN 9 THEN 'up' END AS direction,
  CAST(DATE '2023-12-01' + (p_partkey % 50) * INTERVAL '1' DAY AS DATE) AS posted_date, CAST(DATE '2023-12-01' + (p_partkey % 50 + 20 + p_size) * INTERVAL '1' DAY AS DATE) AS expected_expired_date
-FROM part JOIN supplier ON s_suppkey = (p_partkey * p_partkey) % 10 JOIN nation ON n_nationkey = s_nationkey WHERE p_partkey < 100""",
+FROM part JOIN supplier ON s_suppkey = p_partkey % (SELECT count(*) FROM supplier) JOIN nation ON n_nationkey = s_nationkey""",
     "ev": """SELECT e.event_id, e.user_id, l.item_id,
  CASE e.event_type WHEN 'view' THEN 'pageview' WHEN 'purchase' THEN 'view_phone' WHEN 'signup' THEN 'contact_chat' WHEN 'error' THEN 'contact_sms' ELSE 'other_interaction' END AS event_type,
  e.ts AS event_ts, epoch_us(e.ts) AS us, CAST(e.ts AS DATE) AS date, l.category, l.city_name,
@@ -50,7 +51,7 @@ FROM part JOIN supplier ON s_suppkey = (p_partkey * p_partkey) % 10 JOIN nation
  CASE WHEN e.event_id % 97 = 0 THEN CAST(3600 AS DOUBLE) ELSE e.value END AS dwell_time_sec, CASE WHEN e.event_id % 10 = 0 THEN 'guest' ELSE 'login' END AS is_login,
  e.user_id * 100 + EXTRACT(DAY FROM e.ts) AS session_id, CASE WHEN e.event_type = 'view' THEN 0 ELSE 1 END AS is_contact
 FROM events e JOIN dim l ON l.item_id = CAST(regexp_extract(e.props, '[0-9]+', 0) AS BIGINT)""",
-    "usr": "SELECT c_custkey AS user_id FROM customer WHERE c_custkey % 5 = 0",
+    "usr": "SELECT c_custkey AS user_id FROM customer",
     "snap": f"SELECT e.item_id, e.date, {NPV} AS views_24h, {NPOS} AS contacts_24h, CAST(date_diff('day', min(posted_date), e.date) AS INTEGER) AS listing_age_days FROM ev e JOIN dim USING (item_id) GROUP BY e.item_id, e.date",
     "inter": f"SELECT user_id, item_id, date, min(category) AS category, {NPV} AS adview_count, {NHARD} AS lead_count, CAST(count(*) FILTER (event_type = 'contact_chat') AS BIGINT) AS chat_message_count, CAST(count(*) FILTER (event_type = 'contact_sms') AS BIGINT) AS chat_turn_count FROM ev GROUP BY user_id, item_id, date",
     "ud": f"SELECT user_id, date, {NPV} AS n_pageview, {NPOS} AS n_pos_events, sum({W}) AS weighted_score, count(DISTINCT item_id) AS n_unique_items FROM ev WHERE {WIN} GROUP BY user_id, date",
@@ -58,38 +59,39 @@ FROM events e JOIN dim l ON l.item_id = CAST(regexp_extract(e.props, '[0-9]+', 0
     "uid": f"SELECT user_id, item_id, date, {NPV} AS n_pageview, {NPOS} AS n_pos_events, sum({W}) AS weighted_score, max(dwell_time_sec) AS max_dwell, min(us) AS first_event_us, max(us) AS last_event_us FROM ev WHERE {WIN} GROUP BY user_id, item_id, date",
     "ucat": f"SELECT user_id, category, {NPOS} AS n_pos_events, sum({W}) AS weighted_score, count(DISTINCT item_id) AS n_unique_items FROM ev WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-19' GROUP BY user_id, category HAVING sum({W}) > 0",
     "ucity": f"SELECT user_id, city_name, {NPOS} AS n_pos_events, sum({W}) AS weighted_score, count(DISTINCT item_id) AS n_unique_items FROM ev WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-19' GROUP BY user_id, city_name HAVING sum({W}) > 0",
-    "reeng": f"SELECT user_id, item_id, 'reengagement' AS source, source_score, last_event_date FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY source_score DESC, last_event_date DESC, item_id) AS rn FROM (SELECT user_id, item_id, max(date) AS last_event_date, round(sum(weighted_score) * exp(-date_diff('day', max(date), {CUT}) * ln(2.0::DOUBLE) / 14), 9) AS source_score FROM uid WHERE date < {CUT} GROUP BY user_id, item_id HAVING sum(weighted_score) > 0)) WHERE rn <= 5",
-    "seeds": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY w DESC, item_id) AS rn FROM (SELECT user_id, item_id, sum(weighted_score) AS w FROM uid WHERE date < {CUT} AND date >= {CUT} - 21 GROUP BY ALL HAVING sum(weighted_score) >= 1)) WHERE rn <= 20",
+    "reeng": f"SELECT user_id, item_id, 'reengagement' AS source, source_score, last_event_date FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY source_score DESC, last_event_date DESC, item_id) AS rn FROM (SELECT user_id, item_id, max(date) AS last_event_date, round(sum(weighted_score) * exp(-date_diff('day', max(date), {CUT}) * ln(2.0::DOUBLE) / 14), 9) AS source_score FROM uid WHERE date < {CUT} AND weighted_score > 0 GROUP BY user_id, item_id)) WHERE rn <= 50",
+    "seeds": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY w DESC, item_id) AS rn FROM (SELECT user_id, item_id, sum(weighted_score) AS w FROM uid WHERE date < {CUT} AND date >= {CUT} - 21 GROUP BY ALL HAVING sum(weighted_score) >= 1)) WHERE rn <= 100",
     "edge": "SELECT a.item_id AS item_a, b.item_id AS item_b, sum(a.w * b.w) AS edge_weight, count(*) AS n_co_users FROM seeds a JOIN seeds b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY ALL HAVING count(*) >= 2",
-    "matrix": "SELECT item_a, item_b, edge_weight, n_co_users FROM (SELECT *, row_number() OVER (PARTITION BY item_a ORDER BY edge_weight DESC, n_co_users DESC, item_b) AS rn FROM (SELECT * FROM edge UNION ALL SELECT item_b, item_a, edge_weight, n_co_users FROM edge)) WHERE rn <= 10",
-    "allseeds": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY w DESC, item_id) AS rn FROM (SELECT user_id, item_id, sum(weighted_score) AS w FROM uid WHERE date < {CUT} GROUP BY ALL HAVING sum(weighted_score) > 0)) WHERE rn <= 20",
-    "covis": "SELECT user_id, item_id, 'covisit' AS source, source_score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY source_score DESC, item_id) AS rn FROM (SELECT user_id, item_b AS item_id, sum(w * edge_weight) AS source_score FROM allseeds s JOIN matrix m ON s.item_id = m.item_a GROUP BY ALL)) WHERE rn <= 8",
+    "matrix": "SELECT item_a, item_b, edge_weight, n_co_users FROM (SELECT *, row_number() OVER (PARTITION BY item_a ORDER BY edge_weight DESC, n_co_users DESC, item_b) AS rn FROM (SELECT * FROM edge UNION ALL SELECT item_b, item_a, edge_weight, n_co_users FROM edge)) WHERE rn <= 50",
+    "allseeds": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY w DESC, item_id) AS rn FROM (SELECT user_id, item_id, sum(weighted_score) AS w FROM uid WHERE date < {CUT} GROUP BY ALL HAVING sum(weighted_score) > 0)) WHERE rn <= 100",
+    "covis": "SELECT user_id, item_id, 'covisit' AS source, source_score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY source_score DESC, item_id) AS rn FROM (SELECT user_id, item_b AS item_id, sum(w * edge_weight) AS source_score FROM allseeds s JOIN matrix m ON s.item_id = m.item_a GROUP BY ALL)) WHERE rn <= 80",
     "pop": f"SELECT item_id, sum(weighted_score) AS pop FROM idy WHERE date < {CUT} AND date >= {CUT} - 14 GROUP BY item_id HAVING sum(weighted_score) > 0",
     "mycat": "SELECT user_id, category FROM ucat QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY weighted_score DESC, category) = 1",
     "mycity": "SELECT user_id, city_name FROM ucity QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY weighted_score DESC, city_name) = 1",
-    "catpop": "SELECT user_id, item_id, 'category_pop' AS source, pop AS source_score FROM mycat JOIN (SELECT item_id, category, pop FROM pop JOIN dim USING (item_id) QUALIFY row_number() OVER (PARTITION BY category ORDER BY pop DESC, item_id) <= 3) USING (category)",
-    "cellpop": "SELECT user_id, item_id, 'city_cat_pop' AS source, pop AS source_score FROM mycat JOIN mycity USING (user_id) JOIN (SELECT item_id, category, city_name, pop FROM pop JOIN dim USING (item_id) QUALIFY row_number() OVER (PARTITION BY category, city_name ORDER BY pop DESC, item_id) <= 2) USING (category, city_name)",
-    "globpop": "SELECT user_id, item_id, 'global_pop' AS source, pop AS source_score FROM (SELECT DISTINCT user_id FROM ud), (SELECT item_id, pop FROM pop ORDER BY pop DESC, item_id LIMIT 2)",
+    "catpop": "SELECT user_id, item_id, 'category_pop' AS source, pop AS source_score FROM mycat JOIN (SELECT item_id, category, pop FROM pop JOIN dim USING (item_id) QUALIFY row_number() OVER (PARTITION BY category ORDER BY pop DESC, item_id) <= 30) USING (category)",
+    "cellpop": "SELECT user_id, item_id, 'city_cat_pop' AS source, pop AS source_score FROM mycat JOIN mycity USING (user_id) JOIN (SELECT item_id, category, city_name, pop FROM pop JOIN dim USING (item_id) QUALIFY row_number() OVER (PARTITION BY category, city_name ORDER BY pop DESC, item_id) <= 20) USING (category, city_name)",
+    "globpop": "SELECT user_id, item_id, 'global_pop' AS source, pop AS source_score FROM (SELECT DISTINCT user_id FROM ud), (SELECT item_id, pop FROM pop ORDER BY pop DESC, item_id LIMIT 20)",
     "srcs": "SELECT user_id, item_id, source, source_score FROM reeng UNION ALL SELECT * FROM covis UNION ALL SELECT * FROM catpop UNION ALL SELECT * FROM cellpop UNION ALL SELECT * FROM globpop",
     "scoredsrc": "SELECT *, CASE WHEN max(source_score) OVER (PARTITION BY source) > 0 THEN round(source_score / max(source_score) OVER (PARTITION BY source), 9) ELSE 0.0::DOUBLE END AS candidate_score FROM srcs",
-    "pool": "SELECT user_id, item_id, source, source_score, candidate_score FROM (SELECT * FROM scoredsrc QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY candidate_score DESC, source_score DESC, source) = 1) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY candidate_score DESC, source_score DESC, item_id) <= 20",
+    "pool": "SELECT user_id, item_id, source, source_score, candidate_score FROM (SELECT * FROM scoredsrc QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY candidate_score DESC, source_score DESC, source) = 1) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY candidate_score DESC, source_score DESC, item_id) <= 200",
     "hist": f"SELECT u.*, d.category, d.city_name FROM uid u LEFT JOIN dim d USING (item_id) WHERE u.date < {CUT} AND u.weighted_score > 0",
     "hcat": "SELECT user_id, category, sum(weighted_score) AS w, row_number() OVER (PARTITION BY user_id ORDER BY sum(weighted_score) DESC, category) AS rn FROM hist WHERE category IS NOT NULL GROUP BY user_id, category",
     "uf": f"""SELECT b.user_id, u_total_weighted, u_recent_weighted, CAST(u_total_pageview AS BIGINT) AS u_total_pageview, coalesce(u_unique_items, 0) AS u_unique_items, coalesce(u_unique_categories, 0) AS u_unique_categories, coalesce(u_unique_cities, 0) AS u_unique_cities, u_active_days,
- coalesce(c1.category, -1) AS u_top_category, coalesce(c2.category, -1) AS u_top2_category, coalesce(ct.city_name, '') AS u_top_city, round(coalesce(u_avg_dwell, 0) + 1e-7::DOUBLE, 4) AS u_avg_dwell, CAST(date_diff('day', last, {CUT}) AS INTEGER) AS u_days_since_last, CASE WHEN u_total_weighted > 0 THEN 1 ELSE 0 END AS u_is_warm, round(coalesce(c1.w / tot.w, 0), 6) AS u_top_category_share
+ coalesce(c1.category, -1) AS u_top_category, coalesce(c2.category, -1) AS u_top2_category, coalesce(ct.city_name, '') AS u_top_city, round(coalesce(u_avg_dwell, 0) + 1e-7::DOUBLE, 4) AS u_avg_dwell, CAST(date_diff('day', last, {CUT}) AS INTEGER) AS u_days_since_last, CASE WHEN u_total_weighted > 0 THEN 1 ELSE 0 END AS u_is_warm, round(coalesce(c1.w / tot.w, 0), 6) AS u_top_category_share, round(coalesce(lt.top / lt.w, 0), 6) AS u_top_category_share_recent
 FROM (SELECT user_id, sum(weighted_score) AS u_total_weighted, sum(CASE WHEN date >= {CUT} - 7 THEN weighted_score ELSE 0.0::DOUBLE END) AS u_recent_weighted, sum(n_pageview) AS u_total_pageview, count(DISTINCT date) AS u_active_days, max(date) AS last FROM ud WHERE date < {CUT} GROUP BY user_id) b
 LEFT JOIN (SELECT user_id, count(DISTINCT item_id) AS u_unique_items, avg(max_dwell) AS u_avg_dwell, count(DISTINCT category) AS u_unique_categories, count(DISTINCT city_name) AS u_unique_cities FROM hist GROUP BY user_id) m USING (user_id)
 LEFT JOIN (SELECT * FROM hcat WHERE rn = 1) c1 USING (user_id) LEFT JOIN (SELECT * FROM hcat WHERE rn = 2) c2 USING (user_id) LEFT JOIN (SELECT user_id, sum(w) AS w FROM hcat GROUP BY user_id) tot USING (user_id)
+LEFT JOIN (SELECT user_id, max(w) AS top, sum(w) AS w FROM (SELECT user_id, category, sum(weighted_score) AS w FROM hist WHERE date >= {CUT} - 7 AND category IS NOT NULL GROUP BY user_id, category) GROUP BY user_id) lt USING (user_id)
 LEFT JOIN (SELECT user_id, city_name FROM hist WHERE city_name IS NOT NULL GROUP BY user_id, city_name QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY sum(weighted_score) DESC, city_name) = 1) ct USING (user_id)""",
-    "itf": f"""SELECT d.item_id, category AS i_category, city_name AS i_city_name, seller_type AS i_seller_type, ad_type AS i_ad_type, CASE WHEN coalesce(project_id, '') <> '' THEN 1 ELSE 0 END AS i_has_project_id, area_sqm AS i_area_sqm, bedrooms AS i_bedrooms, bathrooms AS i_bathrooms, images_count AS i_images_count,
+    "itf": f"""SELECT d.item_id, category AS i_category, city_name AS i_city_name, district_name AS i_district_name, seller_type AS i_seller_type, ad_type AS i_ad_type, CASE WHEN coalesce(project_id, '') <> '' THEN 1 ELSE 0 END AS i_has_project_id, area_sqm AS i_area_sqm, bedrooms AS i_bedrooms, bathrooms AS i_bathrooms, images_count AS i_images_count,
  CAST(coalesce(date_diff('day', posted_date, {CUT}), 999) AS INTEGER) AS i_age_days, coalesce(tw, 0.0::DOUBLE) AS i_total_weighted, coalesce(rw, 0.0::DOUBLE) AS i_recent_weighted, CAST(coalesce(pv, 0) AS BIGINT) AS i_total_pageview, CAST(coalesce(nu, 0) AS BIGINT) AS i_total_user_events, round(coalesce(ad, 0.0::DOUBLE), 6) AS i_avg_dwell, CAST(coalesce(rk, 999999) AS INTEGER) AS i_pop_rank_global
-FROM dim d LEFT JOIN (SELECT *, row_number() OVER (ORDER BY rw DESC, item_id) AS rk FROM (SELECT item_id, sum(weighted_score) AS tw, sum(CASE WHEN date >= {CUT} - 14 THEN weighted_score ELSE 0.0::DOUBLE END) AS rw, sum(n_pageview) AS pv, sum(n_unique_users) AS nu, avg(avg_dwell) AS ad FROM idy WHERE date < {CUT} GROUP BY item_id)) a USING (item_id)""",
+FROM dim d LEFT JOIN (SELECT *, CASE WHEN rw > 0 THEN row_number() OVER (ORDER BY rw DESC, item_id) END AS rk FROM (SELECT item_id, sum(weighted_score) AS tw, sum(CASE WHEN date >= {CUT} - 14 THEN weighted_score ELSE 0.0::DOUBLE END) AS rw, sum(n_pageview) AS pv, sum(n_unique_users) AS nu, avg(avg_dwell) AS ad FROM idy WHERE date < {CUT} GROUP BY item_id)) a USING (item_id)""",
     "pf": f"""SELECT c.user_id, c.item_id, coalesce(tw, 0.0::DOUBLE) AS ui_total_weighted, coalesce(rw, 0.0::DOUBLE) AS ui_recent_weighted, CAST(coalesce(pv, 0) AS BIGINT) AS ui_n_pageview, CAST(coalesce(np, 0) AS BIGINT) AS ui_n_pos_events, coalesce(md, 0.0::DOUBLE) AS ui_max_dwell, coalesce(nd, 0) AS ui_n_active_days,
  CAST(coalesce(date_diff('day', last, {CUT}), 999) AS INTEGER) AS ui_days_since_last, CAST(coalesce(date_diff('day', first, {CUT}), 999) AS INTEGER) AS ui_days_since_first
 FROM pool c LEFT JOIN (SELECT user_id, item_id, sum(weighted_score) AS tw, sum(CASE WHEN date >= {CUT} - 7 THEN weighted_score ELSE 0.0::DOUBLE END) AS rw, sum(n_pageview) AS pv, sum(n_pos_events) AS np, max(max_dwell) AS md, count(DISTINCT date) AS nd, max(date) AS last, min(date) AS first FROM uid WHERE date < {CUT} GROUP BY user_id, item_id) USING (user_id, item_id)""",
     "tf": "SELECT user_id, item_id, " + ", ".join(f"CASE WHEN {d} <= 3 THEN 0 WHEN {d} <= 7 THEN 1 WHEN {d} <= 14 THEN 2 WHEN {d} <= 30 THEN 3 WHEN {d} <= 180 THEN 4 ELSE 5 END AS {n}" for d, n in (("ui_days_since_last", "ui_recency_tier"), ("coalesce(u_days_since_last, 999)", "u_activity_recency_tier"), ("coalesce(i_age_days, 999)", "i_age_tier"))) + " FROM pf LEFT JOIN uf USING (user_id) LEFT JOIN itf USING (item_id)",
     "ri": """SELECT p.*, * EXCLUDE (user_id, item_id, source, source_score, candidate_score, i_total_user_events) REPLACE (
- coalesce(u_total_weighted, 0) AS u_total_weighted, coalesce(u_recent_weighted, 0) AS u_recent_weighted, coalesce(u_total_pageview, 0) AS u_total_pageview, coalesce(u_unique_items, 0) AS u_unique_items, coalesce(u_unique_categories, 0) AS u_unique_categories, coalesce(u_unique_cities, 0) AS u_unique_cities, coalesce(u_active_days, 0) AS u_active_days, coalesce(u_top_category, -1) AS u_top_category, coalesce(u_top2_category, -1) AS u_top2_category, coalesce(u_top_city, '') AS u_top_city, coalesce(u_avg_dwell, 0) AS u_avg_dwell, coalesce(u_days_since_last, 999) AS u_days_since_last, coalesce(u_is_warm, 0) AS u_is_warm, coalesce(u_top_category_share, 0) AS u_top_category_share)
+ coalesce(u_total_weighted, 0) AS u_total_weighted, coalesce(u_recent_weighted, 0) AS u_recent_weighted, coalesce(u_total_pageview, 0) AS u_total_pageview, coalesce(u_unique_items, 0) AS u_unique_items, coalesce(u_unique_categories, 0) AS u_unique_categories, coalesce(u_unique_cities, 0) AS u_unique_cities, coalesce(u_active_days, 0) AS u_active_days, coalesce(u_top_category, -1) AS u_top_category, coalesce(u_top2_category, -1) AS u_top2_category, coalesce(u_top_city, '') AS u_top_city, coalesce(u_avg_dwell, 0) AS u_avg_dwell, coalesce(u_days_since_last, 999) AS u_days_since_last, coalesce(u_is_warm, 0) AS u_is_warm, coalesce(u_top_category_share, 0) AS u_top_category_share, coalesce(u_top_category_share_recent, 0) AS u_top_category_share_recent)
 FROM pool p LEFT JOIN uf USING (user_id) LEFT JOIN itf USING (item_id) LEFT JOIN pf USING (user_id, item_id) LEFT JOIN tf USING (user_id, item_id)""",
     "rin": "SELECT *, CAST(u_top_category <> -1 AND u_top_category = i_category AS INTEGER) AS ui_category_match, CAST(u_top_city = i_city_name AS INTEGER) AS ui_city_match, greatest(CAST(u_top_category <> -1 AND u_top_category = i_category AS INTEGER), CAST(u_top2_category <> -1 AND u_top2_category = i_category AS INTEGER)) AS ui_category_match_top2, round(CAST(u_top_category <> -1 AND u_top_category = i_category AS INTEGER) * u_top_category_share, 6) AS ui_top_cat_match_x_share FROM ri",
     "gt": f"SELECT user_id, item_id, sum({W}) AS gt_weighted_score, count(*) AS gt_n_events FROM ev WHERE date BETWEEN DATE '2024-01-21' AND DATE '2024-01-28' AND is_login = 'login' AND ({W}) > 0 GROUP BY user_id, item_id",
@@ -99,23 +101,28 @@ FROM pool p LEFT JOIN uf USING (user_id) LEFT JOIN itf USING (item_id) LEFT JOIN
     "rr": f"SELECT user_id, item_id, CAST(rk AS INTEGER) AS rank, final_score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY final_score DESC, item_id) AS rk FROM (SELECT *, round(s * CASE WHEN row_number() OVER (PARTITION BY user_id, seller_id ORDER BY s DESC, item_id) > 2 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END, 6) AS final_score FROM (SELECT sc.*, seller_id, pred_score * CASE WHEN date_diff('day', posted_date, {CUT}) <= 7 THEN 1.1::DOUBLE ELSE 1.0::DOUBLE END AS s FROM sc LEFT JOIN dim USING (item_id)))) WHERE rk <= 10",
     "gtop": "SELECT item_id, row_number() OVER (ORDER BY pop DESC, item_id) AS rank FROM pop QUALIFY rank <= 20",
     "sub": "SELECT user_id, CAST(rk AS INTEGER) AS rank, item_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY prio, rank, item_id) AS rk FROM (SELECT user_id, item_id, rank, 0 AS prio FROM raw JOIN usr USING (user_id) UNION ALL SELECT user_id, item_id, rank, 1 FROM usr, gtop WHERE NOT EXISTS (SELECT 1 FROM raw r WHERE r.user_id = usr.user_id AND r.item_id = gtop.item_id))) WHERE rk <= 10",
-    "posev": f"SELECT event_id, user_id, item_id, event_type, date, category, city_name, least(greatest(coalesce(dwell_time_sec, 0), 0), 3600) AS dwell FROM ev WHERE event_type IN {POS} AND is_login = 'login' AND date <= DATE '2024-01-28'",
+    "gp": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY s DESC, item_id) AS place FROM (SELECT sc.user_id, sc.item_id, seller_id, coalesce(seller_type = 'private', false) AS private, round(pred_score * CASE WHEN coalesce(date_diff('day', posted_date, DATE '2024-01-28'), 999) <= 7 THEN 1.05::DOUBLE ELSE 1.0::DOUBLE END, 6) AS s FROM sc LEFT JOIN dim USING (item_id))) WHERE place <= 30",
+    "gc": "SELECT *, (SELECT count(*) FROM gp o WHERE o.user_id = g.user_id AND o.seller_id = g.seller_id AND o.place < g.place) >= 3 AS beyond FROM gp g",
+    "gi": "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY beyond, place) <= 10 AS inside FROM gc",
+    "gn": "SELECT user_id, greatest(0, least(3 - count(*) FILTER (inside AND private), count(*) FILTER (NOT inside AND private), count(*) FILTER (inside AND NOT private))) AS swaps FROM gi GROUP BY user_id",
+    "greedy": "SELECT user_id, item_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY place) AS INTEGER) AS rank, s AS final_score FROM (SELECT *, row_number() OVER (PARTITION BY user_id, inside, private ORDER BY place) AS high, row_number() OVER (PARTITION BY user_id, inside, private ORDER BY place DESC) AS low FROM gi) JOIN gn USING (user_id) WHERE (inside AND (private OR low > swaps)) OR (NOT inside AND private AND high <= swaps)",
+    "posev": f"SELECT event_id, user_id, item_id, event_type, date, category, city_name, session_id, device, us AS event_us, least(greatest(coalesce(dwell_time_sec, 0), 0), 3600) AS dwell FROM ev WHERE event_type IN {POS} AND is_login = 'login' AND date <= DATE '2024-01-28'",
     "pr": f"""SELECT *, CASE WHEN n_pageview > 0 AND coalesce(max_dwell, 0) >= 30 THEN 1 ELSE 0 END AS is_qualified, CASE WHEN n_pageview > 0 AND coalesce(max_dwell, 0) >= 30 AND n_pos > 0 THEN 1 ELSE 0 END AS is_qualified_pos FROM
 (SELECT user_id, item_id, {NPV} AS n_pageview, {NPOS} AS n_pos, {NHARD} AS n_direct, max(CASE WHEN event_type = 'pageview' THEN {DWELL} END) AS max_dwell, min(CASE WHEN event_type = 'pageview' THEN us END) AS first_view_us, min(CASE WHEN event_type IN {POS} THEN us END) AS first_pos_us FROM ev WHERE {WIN} GROUP BY user_id, item_id)""",
     "pd": f"SELECT p.*, seller_id, category, seller_type, ad_type, {SEG} AS segment FROM pr p JOIN dim USING (item_id) WHERE n_pageview > 0",
-    "im": f"SELECT g.*, seller_id, category, seller_type, ad_type, district_name, images_count, posted_date, {SEG} AS segment, {rate('contacts', 'views')} AS contact_rate FROM (SELECT item_id, CAST(sum(views_24h) AS BIGINT) AS views, CAST(sum(contacts_24h) AS BIGINT) AS contacts, round(avg(listing_age_days), 6) AS avg_age, max(listing_age_days) AS max_age, count(*) AS n_days FROM snap GROUP BY item_id) g LEFT JOIN dim USING (item_id)",
+    "im": f"SELECT d.item_id, seller_id, category, seller_type, ad_type, city_name, district_name, images_count, area_sqm, bedrooms, price_bucket, project_id, posted_date, {SEG} AS segment, CAST(coalesce(views, 0) AS BIGINT) AS views, CAST(coalesce(contacts, 0) AS BIGINT) AS contacts, round(coalesce(avg_age, 0), 6) AS avg_age, CAST(coalesce(max_age, 0) AS BIGINT) AS max_age, CAST(coalesce(n_days, 0) AS BIGINT) AS n_days, {rate('contacts', 'views')} AS contact_rate FROM dim d LEFT JOIN (SELECT item_id, sum(greatest(coalesce(views_24h, 0), 0)) AS views, sum(greatest(coalesce(contacts_24h, 0), 0)) AS contacts, avg(greatest(coalesce(listing_age_days, 0), 0)) AS avg_age, max(greatest(coalesce(listing_age_days, 0), 0)) AS max_age, count(*) AS n_days FROM snap WHERE date <= DATE '2024-01-28' GROUP BY item_id) s USING (item_id)",
     "sm": f"SELECT seller_id, min(seller_type) AS seller_type, count(*) AS n_listings, CAST(sum(views) AS BIGINT) AS views, CAST(sum(contacts) AS BIGINT) AS contacts, CAST(count(*) FILTER (contacts > 0) AS BIGINT) AS n_contacted, min(posted_date) AS first_post, max(posted_date) AS last_post, {rate('sum(contacts)', 'sum(views)')} AS contact_rate FROM im GROUP BY seller_id",
     "sd": "SELECT segment, seller_id, CAST(sum(is_qualified) AS BIGINT) AS n_qualified, CAST(sum(is_qualified_pos) AS BIGINT) AS n_positive FROM pd GROUP BY segment, seller_id HAVING sum(is_qualified) > 0",
     "sdall": "SELECT * FROM sd UNION ALL SELECT 'ALL', seller_id, CAST(sum(is_qualified) AS BIGINT), CAST(sum(is_qualified_pos) AS BIGINT) FROM pd GROUP BY seller_id HAVING sum(is_qualified) > 0",
     "pop2": """SELECT item_id, category, city_name, pos_28, round(3 * log10(1 + pos_7) + 2 * log10(1 + pos_28) + log10(1 + n_users) + 1.5::DOUBLE * coalesce(contacts / nullif(views, 0), 0) + CASE WHEN seller_type = 'private' THEN 0.25::DOUBLE ELSE 0 END + CASE WHEN age BETWEEN 0 AND 30 THEN 0.20::DOUBLE ELSE 0 END, 6) AS base_score
 FROM (SELECT d.*, date_diff('day', posted_date, DATE '2024-01-28') AS age, coalesce(pos_all, 0) AS pos_all, coalesce(pos_7, 0) AS pos_7, coalesce(pos_28, 0) AS pos_28, coalesce(n_users, 0) AS n_users, coalesce(views, 0)::DOUBLE AS views, coalesce(contacts, 0)::DOUBLE AS contacts FROM dim d
- LEFT JOIN (SELECT item_id, count(*) AS pos_all, count(*) FILTER (date > DATE '2024-01-21') AS pos_7, count(*) FILTER (date > DATE '2023-12-31') AS pos_28, count(DISTINCT user_id) AS n_users FROM posev GROUP BY item_id) p USING (item_id)
- LEFT JOIN (SELECT item_id, sum(views_24h) AS views, sum(contacts_24h) AS contacts FROM snap GROUP BY item_id) s USING (item_id))
-WHERE posted_date <= DATE '2024-01-28' AND expected_expired_date >= posted_date AND date_diff('day', expected_expired_date, DATE '2024-01-28') <= 60 AND (pos_all > 0 OR views > 0)""",
-    "prof": """SELECT user_id, coalesce(n_pos, 0) AS n_pos, last_category, last_city, tc.category AS top_category, ty.city_name AS top_city_name, CASE WHEN coalesce(n_pos, 0) = 0 THEN 'cold' WHEN n_pos <= 5 THEN 'light' WHEN n_pos <= 20 THEN 'medium' ELSE 'heavy' END AS activity_tier
-FROM usr LEFT JOIN (SELECT user_id, count(*) AS n_pos, arg_max(category, (date, event_id)) AS last_category, arg_max(city_name, (date, event_id)) AS last_city FROM posev GROUP BY user_id) USING (user_id)
-LEFT JOIN (SELECT user_id, category FROM posev GROUP BY user_id, category QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, max(date) DESC, category) = 1) tc USING (user_id)
-LEFT JOIN (SELECT user_id, city_name FROM posev GROUP BY user_id, city_name QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, max(date) DESC, city_name) = 1) ty USING (user_id)""",
+ LEFT JOIN (SELECT item_id, count(*) AS pos_all, count(*) FILTER (date >= DATE '2024-01-28' - INTERVAL 7 DAY) AS pos_7, count(*) FILTER (date >= DATE '2024-01-28' - INTERVAL 28 DAY) AS pos_28, count(DISTINCT user_id) AS n_users FROM posev GROUP BY item_id) p USING (item_id)
+ LEFT JOIN (SELECT item_id, sum(views_24h) AS views, sum(contacts_24h) AS contacts FROM snap WHERE date <= DATE '2024-01-28' GROUP BY item_id) s USING (item_id))
+WHERE posted_date <= DATE '2024-01-28' AND expected_expired_date >= posted_date AND coalesce(expected_expired_date, DATE '2024-01-28') >= DATE '2024-01-28' - INTERVAL 60 DAY AND (pos_28 > 0 OR views > 0)""",
+    "prof": """SELECT user_id, coalesce(n_pos, 0) AS n_pos, coalesce(n_items, 0) AS n_items, coalesce(n_days, 0) AS n_days, last_category, last_city, last_device, tc.category AS top_category, ty.city_name AS top_city_name, CASE WHEN coalesce(n_pos, 0) = 0 THEN '0_cold' WHEN n_pos <= 5 THEN '1_low' WHEN n_pos <= 50 THEN '2_mid' ELSE '3_high' END AS activity_tier
+FROM usr LEFT JOIN (SELECT user_id, count(*) AS n_pos, count(DISTINCT item_id) AS n_items, count(DISTINCT date) AS n_days, arg_max(category, (event_us, event_id)) AS last_category, arg_max(city_name, (event_us, event_id)) AS last_city, arg_max(device, (event_us, event_id)) AS last_device FROM posev GROUP BY user_id) USING (user_id)
+LEFT JOIN (SELECT user_id, category FROM posev GROUP BY user_id, category QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, max(event_us) DESC, category) = 1) tc USING (user_id)
+LEFT JOIN (SELECT user_id, city_name FROM posev GROUP BY user_id, city_name QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, max(event_us) DESC, city_name) = 1) ty USING (user_id)""",
     "bs": """SELECT user_id, item_id, max(score) AS score FROM (
  SELECT user_id, item_id, round(500 + base_score - rn * 0.01::DOUBLE, 6) AS score FROM usr, (SELECT *, row_number() OVER (ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 10)
  UNION ALL SELECT user_id, item_id, round(800 + base_score - rn * 0.01::DOUBLE, 6) FROM prof JOIN (SELECT *, row_number() OVER (PARTITION BY category ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 8) t ON t.category = coalesce(top_category, last_category)
@@ -129,12 +136,27 @@ def recall(pred: str, k: int = 10) -> str:
     return f"SELECT count(*) AS n_users, round(avg(coalesce(hits, 0) / g::DOUBLE), 6) AS recall, round(avg(coalesce(dcg, 0) / ideal), 6) AS ndcg FROM (SELECT user_id, count(DISTINCT item_id) AS g, list_sum([1 / log2(r + 1) FOR r IN range(1, least({k}, count(DISTINCT item_id)) + 1)]) AS ideal FROM gt GROUP BY user_id) LEFT JOIN (SELECT user_id, count(*) AS hits, sum(1 / log2(rank + 1)) AS dcg FROM {pred} JOIN gt USING (user_id, item_id) WHERE rank <= {k} GROUP BY user_id) USING (user_id)"
 
 
+def shown(sub: str) -> str:
+    return f"(SELECT s.user_id, s.item_id, s.rank, seller_id, seller_type, date_diff('day', posted_date, DATE '2024-01-28') AS age FROM {sub} s LEFT JOIN dim USING (item_id))"
+
+
+def slots(x: str, key: str) -> str:
+    return f"(SELECT gini FROM ({gini(f'SELECT count(*) AS c FROM {x} WHERE {key} IS NOT NULL GROUP BY {key}', 'c')}))"
+
+
 def health(sub: str) -> str:
-    x = f"(SELECT s.*, seller_id, seller_type, date_diff('day', posted_date, {CUT}) AS age FROM {sub} s LEFT JOIN dim USING (item_id))"
-    pct = lambda c: f"round(100 * avg(CASE WHEN {c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6)"
-    top = lambda c: f"(SELECT round(max(n) / sum(n)::DOUBLE, 6) FROM (SELECT {c}, count(*) AS n FROM {x} WHERE rank = 1 GROUP BY {c}))"
-    one = lambda c: f"(SELECT gini FROM ({gini(f'SELECT count(*) AS c FROM {x} GROUP BY {c}', 'c')}))"
-    return f"SELECT count(*) AS n_rows, count(DISTINCT item_id) AS n_items, count(DISTINCT seller_id) AS n_sellers, {pct('age <= 7')} AS fresh_pct, {pct(chr(39).join(['seller_type = ', 'private', '']))} AS private_pct, {pct(chr(39).join(['seller_type = ', 'agent', '']))} AS agent_pct, (SELECT round(avg(v), 6) FROM (SELECT count(DISTINCT seller_id) AS v FROM {x} GROUP BY user_id)) AS mean_sellers_per_user, {top('item_id')} AS top_item_share, {top('seller_id')} AS top_seller_share, {one('item_id')} AS gini_items, {one('seller_id')} AS gini_sellers, round(100.0::DOUBLE * count(DISTINCT item_id) / greatest((SELECT count(DISTINCT item_id) FROM idy WHERE date < {CUT} AND date >= {CUT} - 30), 1), 6) AS item_coverage_pct FROM {x}"
+    x = shown(sub)
+    top = lambda c: f"(SELECT round(100.0::DOUBLE * max(n) / sum(n), 6) FROM (SELECT count(*) AS n FROM {x} WHERE rank = 1 AND {c} IS NOT NULL GROUP BY {c}))"
+    active = "(SELECT count(DISTINCT item_id) FROM idy WHERE date >= DATE '2024-01-28' - INTERVAL 30 DAY AND date < DATE '2024-01-28' AND weighted_score > 0)"
+    return f"SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_distinct_items, count(DISTINCT seller_id) AS n_distinct_sellers, {active} AS n_active_items, round(100.0::DOUBLE * count(DISTINCT item_id) / greatest({active}, 1), 6) AS item_coverage_pct, {slots(x, 'item_id')} AS gini_item_exposure, {slots(x, 'seller_id')} AS gini_seller_exposure, round(100.0::DOUBLE * count(*) FILTER (age <= 7) / count(*), 6) AS fresh_slot_pct, round(100.0::DOUBLE * count(*) FILTER (seller_type = 'private') / count(seller_type), 6) AS private_slot_pct, round(100.0::DOUBLE * count(*) FILTER (seller_type = 'agent') / count(seller_type), 6) AS agent_slot_pct, (SELECT round(avg(v), 6) FROM (SELECT count(DISTINCT seller_id) AS v FROM {x} WHERE seller_id IS NOT NULL GROUP BY user_id)) AS avg_unique_sellers_per_user, {top('item_id')} AS top1_item_concentration_pct, {top('seller_id')} AS top1_seller_concentration_pct FROM {x}"
+
+
+def variant(sub: str) -> str:
+    x = shown(sub)
+    pct = lambda c: f"round(100.0::DOUBLE * count(*) FILTER ({c}) / count(*), 6)"
+    cover = lambda c: f"round(100.0::DOUBLE * count(DISTINCT {c}) / greatest((SELECT count(DISTINCT {c}) FROM dim), 1), 6)"
+    private, agent = "seller_type = 'private'", "seller_type = 'agent'"
+    return f"SELECT count(DISTINCT user_id) AS n_users_with_recs, count(DISTINCT item_id) AS n_distinct_items_recommended, count(DISTINCT seller_id) AS n_distinct_sellers_recommended, {cover('item_id')} AS item_coverage_pct, {cover('seller_id')} AS seller_coverage_pct, {slots(x, 'item_id')} AS gini_item_exposure, {slots(x, 'seller_id')} AS gini_seller_exposure, {pct('age <= 7')} AS fresh_slot_pct, {pct(private)} AS private_slot_pct, {pct(agent)} AS agent_slot_pct FROM {x}"
 
 
 def share(n: str, over: str = "") -> str:
@@ -148,8 +170,8 @@ def tops(v: str) -> str:
     return ", ".join(f"{PART.format(k=k, v=v)} AS {n}" for k, n in (("10", "top10_share"), ("greatest(1, n // 100)", "top1pct_share"), ("greatest(1, n // 10)", "top10pct_share")))
 
 
-TIER = "CASE WHEN {n} = 0 THEN '0' WHEN {n} <= 5 THEN '1-5' WHEN {n} <= 20 THEN '6-20' WHEN {n} <= 100 THEN '21-100' ELSE '100+' END"
-GROUP3 = f"CASE WHEN event_type = 'pageview' THEN 'pageview' WHEN event_type IN {HARD} THEN 'direct' ELSE 'other' END"
+VARIANTS = (("baseline_popularity", "btop"), ("rank_only", "raw"), ("rank_rerank", "greedy"))
+GROUP3 = f"CASE WHEN event_type = 'pageview' THEN 'pageview' WHEN event_type IN {HARD} THEN 'direct_contact' ELSE 'other_interaction' END"
 Q = {
     "user_daily": "SELECT * FROM ud",
     "item_daily": "SELECT * REPLACE (round(avg_dwell, 6) AS avg_dwell) FROM idy",
@@ -159,8 +181,8 @@ Q = {
     "user_city": "SELECT * FROM ucity",
     "event_type_daily": f"SELECT date, event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM ev WHERE {WIN} GROUP BY date, event_type",
     "event_share": f"SELECT event_type, count(*) AS n, {share('count(*)')} AS pct FROM ev WHERE {WIN} GROUP BY event_type",
-    "clean_dim": "SELECT item_id, seller_id, category, seller_type, ad_type, city_name, district_name, area_sqm, project_id IS NOT NULL AS has_project, posted_date, expected_expired_date, CAST(date_diff('day', posted_date, expected_expired_date) AS INTEGER) AS listing_lifetime_days, posted_date > DATE '2024-01-28' AS is_post_train_end, expected_expired_date < posted_date AS is_expire_before_post FROM dim",
-    "clean_snapshot": "SELECT item_id, date, views_24h::DOUBLE AS views_24h, contacts_24h::DOUBLE AS contacts_24h, greatest(listing_age_days, 0)::DOUBLE AS listing_age_days, views_24h IS NULL AS views_was_null FROM snap WHERE date <= DATE '2024-01-28'",
+    "clean_dim": f"SELECT item_id, seller_id, category, seller_type, ad_type, CASE WHEN lower(direction) IN ('đông bắc', 'dong bac', 'đông - bắc', 'db', 'đb') THEN 'Đông Bắc' WHEN lower(direction) IN ('đông nam', 'dong nam', 'đông - nam', 'dn', 'đn') THEN 'Đông Nam' WHEN lower(direction) IN ('tây bắc', 'tay bac', 'tây - bắc', 'tb') THEN 'Tây Bắc' WHEN lower(direction) IN ('tây nam', 'tay nam', 'tây - nam', 'tn') THEN 'Tây Nam' WHEN lower(direction) IN ('đông', 'dong') THEN 'Đông' WHEN lower(direction) IN ('tây', 'tay') THEN 'Tây' WHEN lower(direction) = 'nam' THEN 'Nam' WHEN lower(direction) IN ('bắc', 'bac') THEN 'Bắc' ELSE {NONE} END AS direction_clean, coalesce(city_name, {NONE}) AS city_name_clean, coalesce(district_name, {NONE}) AS district_name_clean, coalesce(price_bucket, {NONE}) AS price_bucket_clean, area_sqm, project_id IS NOT NULL AS has_project, posted_date, expected_expired_date, CAST(date_diff('day', posted_date, expected_expired_date) AS INTEGER) AS listing_lifetime_days, posted_date > DATE '2024-01-28' AS is_post_train_end, expected_expired_date < posted_date AS is_expire_before_post FROM dim",
+    "clean_snapshot": "SELECT item_id, date, views_24h::DOUBLE AS views_24h, contacts_24h::DOUBLE AS contacts_24h, greatest(listing_age_days, 0)::DOUBLE AS listing_age_days, views_24h IS NULL AS views_was_null, contacts_24h IS NULL AS contacts_was_null FROM snap WHERE date <= DATE '2024-01-28'",
     "clean_interactions": "SELECT *, lead_count > 0 AS has_lead FROM inter WHERE date <= DATE '2024-01-28'",
     "clean_events": "SELECT * FROM posev",
     "reengagement": "SELECT * FROM reeng",
@@ -184,13 +206,15 @@ Q = {
     "linear_scores": "SELECT * FROM sc",
     "rerank_raw": "SELECT * FROM raw",
     "rerank_health": "SELECT * FROM rr",
+    "greedy_rerank": "SELECT * FROM greedy",
     "submission": "SELECT * FROM sub",
     "submission_checks": "SELECT count(*) AS n_rows, CAST(min(rank) AS BIGINT) AS min_rank, CAST(max(rank) AS BIGINT) AS max_rank, CAST(count(*) FILTER (user_id IS NULL OR item_id IS NULL OR rank IS NULL) AS BIGINT) AS n_nulls, (SELECT CAST(count(*) FILTER (n <> 10) AS BIGINT) FROM (SELECT count(*) AS n FROM sub GROUP BY user_id)) AS n_users_bad_size, (SELECT CAST(count(*) FILTER (n <> m) AS BIGINT) FROM (SELECT count(*) AS n, count(DISTINCT rank) AS m FROM sub GROUP BY user_id)) AS n_users_repeated_rank, (SELECT CAST(count(*) FILTER (n <> m) AS BIGINT) FROM (SELECT count(*) AS n, count(DISTINCT item_id) AS m FROM sub GROUP BY user_id)) AS n_users_repeated_item, (SELECT count(*) FROM (SELECT user_id FROM sub EXCEPT SELECT user_id FROM usr)) AS n_unknown_users, (SELECT count(*) FROM (SELECT user_id FROM usr EXCEPT SELECT user_id FROM sub)) AS n_missing_users, (SELECT count(*) FROM (SELECT item_id FROM sub EXCEPT SELECT item_id FROM dim)) AS n_unknown_items, (SELECT count(*) * 10 FROM usr) AS n_rows_expected FROM sub",
     "recall_ndcg": recall("raw"),
     "candidate_recall": "SELECT count(*) AS n_pairs, " + ", ".join(f"round(avg(CASE WHEN r <= {k} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS hit_at_{k}" for k in (5, 10, 20)) + " FROM gt LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY candidate_score DESC, source_score DESC, item_id) AS r FROM pool) USING (user_id, item_id)",
     "source_breakdown": "SELECT source, count(*) AS n, count(DISTINCT p.user_id) AS n_users, CAST(count(gt_n_events) AS BIGINT) AS hits, round(100.0::DOUBLE * count(gt_n_events) / count(*), 6) AS hit_pct FROM pool p LEFT JOIN gt USING (user_id, item_id) GROUP BY source",
     "marketplace_health": health("sub"),
-    "variant_comparison": " UNION ALL ".join(f"SELECT *, '{v}' AS variant FROM ({health(s)}), ({recall(s)})" for v, s in (("baseline", "btop"), ("rank_only", "raw"), ("rank_rerank", "rr"))),
+    "variant_comparison": " UNION ALL ".join(f"SELECT *, '{v}' AS variant FROM ({recall(s)}), ({variant(s)})" for v, s in VARIANTS),
+    "variant_deltas": "SELECT round(a.recall - b.recall, 6) AS delta_recall, round(a.gini_item_exposure - b.gini_item_exposure, 6) AS delta_gini_item, round(a.fresh_slot_pct - b.fresh_slot_pct, 6) AS delta_fresh_pp FROM " + ", ".join(f"(SELECT * FROM ({recall(s)}), ({variant(s)})) {alias}" for alias, s in (("a", "greedy"), ("b", "raw"))),
     "item_popularity": "SELECT * FROM pop2",
     "user_profile": "SELECT * FROM prof",
     "baseline_top10": "SELECT * FROM btop",
@@ -201,17 +225,17 @@ Q = {
     "eda_04_city_demand": "SELECT city_name, count(*) AS n_events, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM posev GROUP BY city_name ORDER BY n_events DESC, city_name LIMIT 20",
     "eda_05_weekly_events": "SELECT CAST(date_trunc('week', date) AS DATE) AS week, count(*) AS n_events, count(DISTINCT user_id) AS wau, count(DISTINCT item_id) AS n_items FROM posev GROUP BY week",
     "eda_06_cold_start": f"SELECT has_positive, has_interaction, count(*) AS n_users, {share('count(*)')} AS pct FROM (SELECT user_id IN (SELECT user_id FROM posev) AS has_positive, user_id IN (SELECT user_id FROM inter) AS has_interaction FROM usr) GROUP BY ALL",
-    "eda_07_interaction_tier": f"SELECT tier, count(*) AS n_users, {share('count(*)')} AS pct FROM (SELECT {TIER.format(n='coalesce(n, 0)')} AS tier FROM usr LEFT JOIN (SELECT user_id, count(*) AS n FROM posev GROUP BY user_id) USING (user_id)) GROUP BY tier",
+    "eda_07_interaction_tier": f"SELECT user_tier, count(*) AS n_users, {share('count(*)')} AS pct FROM (SELECT CASE WHEN n = 0 THEN '0_zero_history' WHEN n <= 5 THEN '1_low_1_5' WHEN n <= 20 THEN '2_mid_6_20' WHEN n <= 100 THEN '3_high_21_100' ELSE '4_heavy_100+' END AS user_tier FROM (SELECT u.user_id, count(i.item_id) AS n FROM usr u LEFT JOIN (SELECT * FROM inter WHERE date <= DATE '2024-01-28') i ON i.user_id = u.user_id GROUP BY u.user_id)) GROUP BY user_tier",
     "eda_08_event_types": f"SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, {share('count(*)')} AS pct FROM posev GROUP BY event_type",
-    "eda_09_session_tier": f"SELECT tier, count(*) AS n_sessions, {share('count(*)')} AS pct FROM (SELECT CASE WHEN count(*) = 1 THEN '1' WHEN count(*) <= 5 THEN '2-5' WHEN count(*) <= 20 THEN '6-20' WHEN count(*) <= 100 THEN '21-100' ELSE '100+' END AS tier FROM ev GROUP BY session_id) GROUP BY tier",
-    "eda_10_weekly_market": f"SELECT CAST(date_trunc('week', date) AS DATE) AS week, CAST(sum(v) AS BIGINT) AS views, CAST(sum(c) AS BIGINT) AS contacts, round(avg(a), 6) AS mean_daily_active, {rate('sum(c)', 'sum(v)')} AS contact_rate FROM (SELECT date, sum(views_24h) AS v, sum(contacts_24h) AS c, count(DISTINCT item_id) AS a FROM snap GROUP BY date) GROUP BY week",
+    "eda_09_session_tier": f"SELECT session_tier, count(*) AS n_sessions, {share('count(*)')} AS pct FROM (SELECT CASE WHEN count(*) = 1 THEN '1_single' WHEN count(*) <= 5 THEN '2_short_2_5' WHEN count(*) <= 20 THEN '3_medium_6_20' WHEN count(*) <= 100 THEN '4_long_21_100' ELSE '5_very_long_100+' END AS session_tier FROM posev GROUP BY session_id) GROUP BY session_tier",
+    "eda_10_weekly_market": f"SELECT CAST(date_trunc('week', date) AS DATE) AS week, sum(v) AS views, sum(c) AS contacts, round(avg(a), 6) AS mean_daily_active, {rate('sum(c)', 'sum(v)')} AS contact_rate FROM (SELECT date, sum(greatest(coalesce(views_24h::DOUBLE, 0), 0)) AS v, sum(greatest(coalesce(contacts_24h::DOUBLE, 0), 0)) AS c, count(DISTINCT item_id) AS a FROM snap WHERE date <= DATE '2024-01-28' GROUP BY date) GROUP BY week",
     "pair_flags": "SELECT * FROM pr",
     "d30_funnel": f"SELECT *, round(100 * n2_qualified::DOUBLE / nullif(n1_pairs, 0), 6) AS qualified_pct, round(100 * n3_positive_inside::DOUBLE / nullif(n2_qualified, 0), 6) AS contact_rate_pct, round(100 * n3_direct_inside::DOUBLE / nullif(n2_qualified, 0), 6) AS direct_rate_pct FROM (SELECT CAST(count(*) FILTER (n_pageview > 0) AS BIGINT) AS n1_pairs, CAST(sum(is_qualified) AS BIGINT) AS n2_qualified, CAST(count(*) FILTER (n_pos > 0) AS BIGINT) AS n3_positive_all, CAST(sum(is_qualified_pos) AS BIGINT) AS n3_positive_inside, CAST(count(*) FILTER (is_qualified = 1 AND n_direct > 0) AS BIGINT) AS n3_direct_inside FROM pr)",
     "daily_counts": f"SELECT *, {rate('positives', 'pageviews')} AS positive_intensity, {rate('directs', 'pageviews')} AS direct_intensity FROM (SELECT date, {NPV} AS pageviews, {NPOS} AS positives, {NHARD} AS directs FROM ev WHERE {WIN} GROUP BY date)",
     "daily_pair_rates": f"SELECT *, round(avg(rate) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rate_7 FROM (SELECT date, count(*) AS viewed_pairs, CAST(sum(p) AS BIGINT) AS converted_pairs, {rate('sum(p)', 'count(*)')} AS rate FROM (SELECT date, user_id, item_id, max(CAST(event_type IN {POS} AS INTEGER)) AS p FROM ev WHERE {WIN} GROUP BY ALL HAVING bool_or(event_type = 'pageview')) GROUP BY date)",
     "dwell_quantiles": f"SELECT count(*) AS n, round(quantile_cont(d, 0.25), 6) AS q25, round(quantile_cont(d, 0.5), 6) AS q50, round(quantile_cont(d, 0.75), 6) AS q75 FROM (SELECT {DWELL} AS d, event_type, us, min(CASE WHEN event_type IN {POS} THEN us END) OVER (PARTITION BY session_id) AS f FROM ev WHERE {WIN}) WHERE event_type = 'pageview' AND d IS NOT NULL AND us <= f",
     "user_positives": f"SELECT user_id, count(*) AS n_events, count(DISTINCT item_id) AS n_items, count(DISTINCT date) AS n_days FROM ev WHERE {WIN} AND event_type IN {POS} AND is_login = 'login' GROUP BY user_id",
-    "cold_start_segments": f"SELECT segment, count(*) AS n_users, {share('count(*)')} AS pct FROM (SELECT CASE WHEN coalesce(v, 0) = 0 AND coalesce(p, 0) = 0 THEN 'cold' WHEN coalesce(p, 0) = 0 THEN 'view_only' WHEN p < 5 THEN 'few_contacts' ELSE 'active' END AS segment FROM usr LEFT JOIN (SELECT user_id, {NPV} AS v, {NPOS} AS p FROM ev WHERE {WIN} AND is_login = 'login' GROUP BY user_id) USING (user_id)) GROUP BY segment",
+    "cold_start_segments": f"SELECT user_segment, count(*) AS n_users, {share('count(*)')} AS pct FROM (SELECT CASE WHEN v = 0 AND p = 0 THEN '0_no_history' WHEN v > 0 AND p = 0 THEN '1_browser_only' WHEN v = 0 AND p > 0 THEN '2_positive_no_pageview' ELSE '3_warm_with_positive' END AS user_segment FROM (SELECT user_id, coalesce(v, 0) AS v, coalesce(p, 0) AS p FROM usr LEFT JOIN (SELECT user_id, {NPV} AS v, {NPOS} AS p FROM ev WHERE {WIN} AND is_login = 'login' GROUP BY user_id) USING (user_id))) GROUP BY user_segment",
     "gap_hours": "SELECT count(*) AS n, round(quantile_cont(g, 0.5), 6) AS median_hours, round(avg(g), 6) AS mean_hours FROM (SELECT (first_pos_us - first_view_us) / 3.6e9::DOUBLE AS g FROM pr) WHERE g >= 0",
     "category_heatmap": f"SELECT view_category, contact_category, count(*) AS n_users, {share('count(*)', 'PARTITION BY view_category')} AS row_pct FROM (SELECT user_id, category AS view_category FROM hm WHERE v > 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY v DESC, category) = 1) JOIN (SELECT user_id, category AS contact_category FROM hm WHERE p > 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY p DESC, category) = 1) USING (user_id) GROUP BY view_category, contact_category",
     "device_surface": f"SELECT device, replace(surface, 'adview', 'ad_view') AS surface, event_type, count(*) AS n FROM ev WHERE {WIN} GROUP BY ALL",
@@ -221,10 +245,10 @@ Q = {
     "cr_by_ad_seller": cr("pd", "ad_type, seller_type"),
     "snapshot_cr_category": f"SELECT category, count(*) AS n_items, CAST(sum(views) AS BIGINT) AS views, CAST(sum(contacts) AS BIGINT) AS contacts, {rate('sum(contacts)', 'sum(views)')} AS rate FROM im GROUP BY category",
     "snapshot_cr_ad_seller": f"SELECT ad_type, seller_type, count(*) AS n_items, CAST(sum(views) AS BIGINT) AS views, CAST(sum(contacts) AS BIGINT) AS contacts, {rate('sum(contacts)', 'sum(views)')} AS rate FROM im GROUP BY ALL",
-    "age_decay": f"SELECT CASE WHEN listing_age_days <= 3 THEN 'a00-03' WHEN listing_age_days <= 7 THEN 'a04-07' WHEN listing_age_days <= 14 THEN 'a08-14' WHEN listing_age_days <= 21 THEN 'a15-21' WHEN listing_age_days <= 30 THEN 'a22-30' WHEN listing_age_days <= 60 THEN 'a31-60' WHEN listing_age_days <= 90 THEN 'a61-90' ELSE 'a91+' END AS age_bin, CAST(sum(views_24h) AS BIGINT) AS views, CAST(sum(contacts_24h) AS BIGINT) AS contacts, count(DISTINCT item_id) AS n_items, {rate('sum(contacts_24h)', 'sum(views_24h)')} AS rate FROM snap GROUP BY age_bin",
-    "image_sample": "SELECT image_bin, item_id, contact_rate FROM (SELECT *, CASE WHEN images_count <= 0 THEN '0' WHEN images_count <= 3 THEN '1-3' WHEN images_count <= 6 THEN '4-6' WHEN images_count <= 10 THEN '7-10' ELSE '11+' END AS image_bin FROM im WHERE views >= 10) QUALIFY row_number() OVER (PARTITION BY image_bin ORDER BY item_id) <= 5",
-    "geo_top": "SELECT district_name, count(*) AS n_items, CAST(sum(views) AS BIGINT) AS views, CAST(sum(contacts) AS BIGINT) AS contacts FROM im GROUP BY district_name ORDER BY contacts DESC, district_name LIMIT 20",
-    "seller_cohort": "SELECT CAST(date_trunc('week', im.posted_date) AS DATE) AS week, CASE WHEN first_post >= DATE '2023-12-10' THEN 'new' ELSE 'old' END AS cohort, count(*) AS n_listings, count(DISTINCT im.seller_id) AS n_sellers, CAST(sum(im.contacts) AS BIGINT) AS contacts FROM im JOIN sm ON im.seller_id = sm.seller_id GROUP BY ALL",
+    "age_decay": f"SELECT CASE WHEN avg_age <= 3 THEN '00_0-3' WHEN avg_age <= 7 THEN '01_4-7' WHEN avg_age <= 14 THEN '02_8-14' WHEN avg_age <= 30 THEN '03_15-30' WHEN avg_age <= 60 THEN '04_31-60' WHEN avg_age <= 90 THEN '05_61-90' WHEN avg_age <= 180 THEN '06_91-180' ELSE '07_180+' END AS age_bin, count(*) AS n_items, CAST(sum(views) AS BIGINT) AS views, CAST(sum(contacts) AS BIGINT) AS contacts, {rate('sum(contacts)', 'sum(views)')} AS rate FROM im GROUP BY age_bin",
+    "image_sample": "SELECT image_bucket, item_id, views, contacts, contact_rate FROM (SELECT *, CASE WHEN images_count IS NULL THEN 'unknown' WHEN images_count <= 2 THEN '00_0-2' WHEN images_count <= 5 THEN '01_3-5' WHEN images_count <= 10 THEN '02_6-10' WHEN images_count <= 15 THEN '03_11-15' ELSE '04_16+' END AS image_bucket FROM im WHERE views >= 10 AND contact_rate IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY image_bucket ORDER BY item_id) <= 5000",
+    "geo_top": f"SELECT city_name, district_name, count(*) AS n_items, CAST(sum(views) AS BIGINT) AS views, CAST(sum(contacts) AS BIGINT) AS contacts, {rate('sum(contacts)', 'sum(views)')} AS rate FROM im WHERE district_name IS NOT NULL AND district_name <> {NONE} GROUP BY city_name, district_name ORDER BY contacts DESC, city_name, district_name LIMIT 20",
+    "seller_cohort": f"SELECT CASE WHEN first_post >= DATE '2023-12-10' THEN 'new_seller' ELSE 'established_seller' END AS seller_cohort, CAST(date_trunc('week', posted_date) AS DATE) AS week, count(*) AS n_listings, CAST(sum(views) AS BIGINT) AS views, CAST(sum(contacts) AS BIGINT) AS contacts, {rate('sum(contacts)', 'sum(views)')} AS rate FROM im JOIN (SELECT seller_id, min(posted_date) AS first_post FROM im WHERE posted_date IS NOT NULL GROUP BY seller_id) USING (seller_id) WHERE posted_date IS NOT NULL GROUP BY ALL",
     "segment_audit": f"SELECT {SEG} AS segment, seller_type, category, count(*) AS n_items, count(DISTINCT seller_id) AS n_sellers FROM dim GROUP BY ALL",
     "segment_overall": f"SELECT * FROM ({cr('pd', 'segment')}) JOIN (SELECT segment, count(DISTINCT user_id) FILTER (is_qualified = 1) AS n_users, count(DISTINCT item_id) FILTER (is_qualified = 1) AS n_items, count(DISTINCT seller_id) FILTER (is_qualified = 1) AS n_sellers FROM pd GROUP BY segment) USING (segment)",
     "segment_volume": f"SELECT *, {share('n_qualified', 'PARTITION BY segment')} AS volume_pct FROM ({cr('pd', 'segment, ad_type, seller_type')})",
@@ -237,11 +261,11 @@ Q = {
     "lorenz_items": "SELECT DISTINCT x, round(count(*) OVER (ORDER BY x) / count(*) OVER ()::DOUBLE, 6) AS cum_sellers, round(sum(x) OVER (ORDER BY x) / nullif(sum(x) OVER (), 0), 6) AS cum_value FROM (SELECT contacts::DOUBLE AS x FROM im)",
     "top_share_items": f"SELECT count(*) AS n, {tops('contacts')} FROM (SELECT *, row_number() OVER (ORDER BY contacts DESC, item_id) AS rn, count(*) OVER () AS n FROM im)",
     "slide_core": f"SELECT *, {rate('pairs_q', 'pairs')} AS q_rate, {rate('pairs_p', 'pairs_q')} AS cr, {rate('users_p', 'users_q')} AS user_cr, {rate('items_p', 'items_q')} AS item_cr FROM (SELECT count(*) AS pairs, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items, count(DISTINCT seller_id) AS sellers, count(DISTINCT user_id) FILTER (is_qualified = 1) AS users_q, count(DISTINCT item_id) FILTER (is_qualified = 1) AS items_q, count(DISTINCT user_id) FILTER (is_qualified_pos = 1) AS users_p, count(DISTINCT item_id) FILTER (is_qualified_pos = 1) AS items_p, CAST(sum(is_qualified) AS BIGINT) AS pairs_q, CAST(sum(is_qualified_pos) AS BIGINT) AS pairs_p FROM pd)",
-    "dwell_hist": "SELECT CASE WHEN max_dwell < 5 THEN '00-05' WHEN max_dwell < 15 THEN '05-15' WHEN max_dwell < 30 THEN '15-30' WHEN max_dwell < 60 THEN '30-60' WHEN max_dwell < 180 THEN '60-180' WHEN max_dwell < 600 THEN '180-600' ELSE '600+' END AS dwell_bin, count(*) AS n_pairs, round(avg(CASE WHEN n_pos > 0 THEN 1.0::DOUBLE ELSE 0 END), 6) AS positive_rate FROM pr WHERE n_pageview > 0 AND max_dwell IS NOT NULL GROUP BY dwell_bin",
+    "dwell_hist": f"SELECT CASE WHEN d < 5 THEN '0-5s' WHEN d < 10 THEN '5-10s' WHEN d < 30 THEN '10-30s' WHEN d < 60 THEN '30-60s' WHEN d < 180 THEN '1-3m' WHEN d < 600 THEN '3-10m' ELSE '10m+' END AS bin_label, count(*) AS pairs, CAST(sum(is_qualified_pos) AS BIGINT) AS positive_pairs, {rate('sum(is_qualified_pos)', 'count(*)')} AS positive_rate FROM (SELECT *, coalesce(max_dwell, 0) AS d FROM pr WHERE n_pageview > 0) GROUP BY bin_label",
     "audit_surface": f"SELECT *, {share('n', 'PARTITION BY event_group')} AS pct FROM (SELECT {GROUP3} AS event_group, surface AS value, count(*) AS n FROM ev WHERE {WIN} GROUP BY ALL)",
     "audit_device": f"SELECT *, {share('n', 'PARTITION BY event_group')} AS pct FROM (SELECT {GROUP3} AS event_group, device AS value, count(*) AS n FROM ev WHERE {WIN} GROUP BY ALL)",
-    "audit_dwell": f"SELECT event_type, count(*) AS n, round(100 * avg(CASE WHEN d = 0 THEN 1.0::DOUBLE ELSE 0 END), 6) AS zero_pct, round(100 * avg(CASE WHEN d < 5 THEN 1.0::DOUBLE ELSE 0 END), 6) AS lt5_pct, round(100 * avg(CASE WHEN d < 30 THEN 1.0::DOUBLE ELSE 0 END), 6) AS lt30_pct, round(quantile_cont(d, 0.5), 6) AS median, round(quantile_cont(d, 0.75), 6) AS p75, round(quantile_cont(d, 0.95), 6) AS p95 FROM (SELECT event_type, coalesce(dwell_time_sec, 0) AS d FROM ev WHERE {WIN}) GROUP BY event_type",
-    "audit_session": f"SELECT count(*) AS n_sessions, round(avg(n), 6) AS mean_events, round(quantile_cont(n, 0.5), 6) AS median_events, max(n) AS max_events FROM (SELECT session_id, count(*) AS n FROM ev WHERE {WIN} GROUP BY session_id)",
+    "audit_dwell": f"SELECT event_group, count(*) AS n_events, count(d) AS n_with_dwell, round(100.0::DOUBLE * count(*) FILTER (d = 0) / count(d), 6) AS zero_pct, round(100.0::DOUBLE * count(*) FILTER (d < 5) / count(d), 6) AS lt5_pct, round(100.0::DOUBLE * count(*) FILTER (d < 30) / count(d), 6) AS lt30_pct, round(quantile_cont(d, 0.5), 6) AS median, round(quantile_cont(d, 0.75), 6) AS p75, round(quantile_cont(d, 0.95), 6) AS p95 FROM (SELECT {GROUP3} AS event_group, CASE WHEN dwell_time_sec IS NOT NULL THEN least(greatest(dwell_time_sec, 0), 3600) END AS d FROM ev WHERE {WIN}) GROUP BY event_group",
+    "audit_session": f"SELECT event_group, count(*) AS n_sessions, round(quantile_cont(n, 0.5), 6) AS median_events, round(avg(n), 6) AS mean_events, round(quantile_cont(n, 0.95), 6) AS p95_events, max(n) AS max_events FROM (SELECT session_id, {GROUP3} AS event_group, count(*) AS n FROM ev WHERE {WIN} GROUP BY ALL) GROUP BY event_group",
     "audit_dc_cr": f"SELECT *, round(100 * (1 - n_direct::DOUBLE / nullif(n_full, 0)), 6) AS drop_pct FROM (SELECT count(*) AS n_qualified, CAST(count(*) FILTER (p > 0) AS BIGINT) AS n_full, CAST(count(*) FILTER (k > 0) AS BIGINT) AS n_direct FROM (SELECT max(CASE WHEN event_type = 'pageview' THEN least(greatest(coalesce(dwell_time_sec, 0), 0), 3599.999::DOUBLE) END) AS d, {NPOS} AS p, {NHARD} AS k FROM ev WHERE {WIN} GROUP BY user_id, item_id) WHERE d >= 30)",
     "audit_flag_crosstab": "SELECT event_type, CAST(count(*) FILTER (is_contact = 0) AS BIGINT) AS flag_0, CAST(count(*) FILTER (is_contact = 1) AS BIGINT) AS flag_1 FROM ev GROUP BY event_type",
     "exposure_vs_cr": f"SELECT *, {share('n_pairs')} AS exposure_pct FROM ({cr('pd', 'seller_type')})",

@@ -16,7 +16,7 @@ from ..sources import tables as t
 
 
 #: Stages that several later ones read; each is written once per query, so events are not scanned and shuffled again for each reader.
-KEPT = {"item_daily", "uid", "user_category", "pool", "raw", "submission"}
+KEPT = {"item_daily", "uid", "user_category", "pool", "scored", "raw", "submission"}
 
 
 class Stages:
@@ -116,7 +116,7 @@ class Stages:
         return st.seller_metrics(self.items)
 
     def make_popularity(self):
-        return eda.item_popularity(self.pos, self.snap, self.dim)
+        return eda.item_popularity(self.pos, eda.clean_snapshot(self.snap), self.dim)
 
     def make_profile(self):
         return eda.user_profile(self.users, self.pos)
@@ -136,13 +136,22 @@ def _gbt(s: Stages) -> DataFrame:
 
 
 def _variants(s: Stages) -> DataFrame:
+    greedy = sinks.stage(ranking.greedy_rerank(s.scored, s.dim, C.train_end), "greedy")
     out = None
-    for name, rows in (("baseline", s.baseline.select("user_id", "item_id", "rank")), ("rank_only", s.raw.select("user_id", "item_id", "rank")), ("rank_rerank", ranking.rerank_health(s.scored, s.dim).select("user_id", "item_id", "rank"))):
-        m = evaluation.marketplace_health(rows, s.dim, s.item_daily).crossJoin(evaluation.recall_ndcg(rows, s.gt, C.final_k)).withColumn("variant", F.lit(name))
+    for name, rows in (("baseline_popularity", s.baseline), ("rank_only", s.raw), ("rank_rerank", greedy)):
+        m = evaluation.recall_ndcg(rows, s.gt, C.final_k).crossJoin(F.broadcast(evaluation.variant_metrics(rows, s.dim))).withColumn("variant", F.lit(name))  # one row each
         out = m if out is None else out.unionByName(m)
     return out
 
 
+def _deltas(s: Stages) -> DataFrame:
+    """What re-ranking changes against ranking alone."""
+    v = _variants(s).filter("variant <> 'baseline_popularity'")
+    after, before = (lambda c, n=n: F.sum(F.when(F.col("variant") == n, F.col(c)).otherwise(0.0)) for n in ("rank_rerank", "rank_only"))
+    delta = lambda c, name: F.round(after(c) - before(c), 6).alias(name)
+    return v.agg(delta("recall", "delta_recall"), delta("gini_item_exposure", "delta_gini_item"), delta("fresh_slot_pct", "delta_fresh_pp"))
+
+
 QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "user_daily": lambda s: s.user_daily,
     "item_daily": lambda s: _rounded(s.fresh("item_daily"), "avg_dwell"),
@@ -178,7 +187,7 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "gbt_scores": _gbt,
     "rerank_raw": lambda s: s.fresh("raw"),
     "rerank_health": lambda s: ranking.rerank_health(s.scored, s.dim),
-    "greedy_rerank": lambda s: ranking.greedy_rerank(s.scored, s.dim, C.cutoff),
+    "greedy_rerank": lambda s: ranking.greedy_rerank(s.scored, s.dim, C.train_end),
     "submission": lambda s: s.fresh("submission"),
     "submission_checks": lambda s: ranking.submission_checks(s.submission, s.users, s.dim),
     "recall_ndcg": lambda s: evaluation.recall_ndcg(s.raw, s.gt, C.final_k),
@@ -186,6 +195,7 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "source_breakdown": lambda s: evaluation.source_breakdown(s.pool, s.gt),
     "marketplace_health": lambda s: evaluation.marketplace_health(s.submission, s.dim, s.item_daily),
     "variant_comparison": _variants,
+    "variant_deltas": _deltas,
     "item_popularity": lambda s: s.popularity,
     "user_profile": lambda s: s.profile,
     "baseline_top10": lambda s: s.baseline,
@@ -196,10 +206,10 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "eda_04_city_demand": lambda s: eda.demand(s.pos, "city_name").orderBy(F.desc("n_events"), "city_name").limit(20),
     "eda_05_weekly_events": lambda s: eda.weekly(s.pos),
     "eda_06_cold_start": lambda s: eda.cold_start(s.users, s.pos, s.inter),
-    "eda_07_interaction_tier": lambda s: eda.interaction_tiers(s.users, s.pos),
+    "eda_07_interaction_tier": lambda s: eda.interaction_tiers(s.users, eda.clean_interactions(s.inter)),
     "eda_08_event_types": lambda s: eda.event_breakdown(s.pos),
-    "eda_09_session_tier": lambda s: eda.session_tiers(s.events),
-    "eda_10_weekly_market": lambda s: eda.weekly_market(s.snap),
+    "eda_09_session_tier": lambda s: eda.session_tiers(s.pos),
+    "eda_10_weekly_market": lambda s: eda.weekly_market(eda.clean_snapshot(s.snap)),
     "pair_flags": lambda s: s.pairs,
     "d30_funnel": lambda s: st.funnel(s.pairs),
     "daily_counts": lambda s: st.daily_counts(s.events),
@@ -216,10 +226,10 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "cr_by_ad_seller": lambda s: st.contact_rate(s.pairs_dim, ["ad_type", "seller_type"]),
     "snapshot_cr_category": lambda s: st.snapshot_rate(s.items, ["category"]),
     "snapshot_cr_ad_seller": lambda s: st.snapshot_rate(s.items, ["ad_type", "seller_type"]),
-    "age_decay": lambda s: st.age_decay(s.snap),
+    "age_decay": lambda s: st.age_decay(s.items),
     "image_sample": lambda s: st.image_sample(s.items),
     "geo_top": lambda s: st.geo_top(s.items),
-    "seller_cohort": lambda s: st.seller_cohort(s.items, s.sellers),
+    "seller_cohort": lambda s: st.seller_cohort(s.items),
     "segment_audit": lambda s: st.segment_audit(s.dim),
     "segment_overall": lambda s: st.segment_overall(s.pairs_dim),
     "segment_volume": lambda s: st.segment_volume(s.pairs_dim),
@@ -230,7 +240,7 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "segment_comparison": lambda s: st.comparison(s.pairs_dim),
     "gini_item_contacts": lambda s: evaluation.gini(s.items, "contacts"),
     "lorenz_items": lambda s: evaluation.lorenz(s.items, "contacts"),
-    "top_share_items": lambda s: evaluation.top_share(s.items, "item_id", "contacts"),
+    "top_share_items": lambda s: evaluation.top_share(s.items, "contacts"),
     "slide_core": lambda s: st.slide_core(s.pairs_dim),
     "dwell_hist": lambda s: st.dwell_histogram(s.pairs),
     "audit_surface": lambda s: st.attribute_share(s.events, "surface"),
