@@ -79,6 +79,12 @@ SESSION_TIERS = (1, 5, 20, 100), ("1_single", "2_short_2_5", "3_medium_6_20", "4
 ACTIVITY_TIERS = (0, 5, 50), ("0_cold", "1_low", "2_mid", "3_high")
 
 
+def flag(c: Column) -> Column:
+    """1 for true, whether it comes as a boolean, a number or a word; else 0."""
+    yes = F.coalesce(c.try_cast("boolean"), F.lit(False)) | F.coalesce(c.try_cast("int") == 1, F.lit(False))
+    return F.when(yes, 1).otherwise(0)
+
+
 def days_between(later, earlier) -> Column:
     return F.datediff(later, earlier)
 

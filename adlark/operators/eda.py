@@ -94,8 +94,10 @@ def interaction_tiers(users: DataFrame, inter: DataFrame) -> DataFrame:
     return shares(rows.groupBy("user_tier").agg(F.count("*").alias("n_users")), "n_users")
 
 
-def event_breakdown(pos: DataFrame) -> DataFrame:
-    return shares(pos.groupBy("event_type").agg(F.count("*").alias("n_events"), F.countDistinct("user_id").alias("n_users"), F.countDistinct("item_id").alias("n_items")), "n_events")
+def event_breakdown(pos: DataFrame, exact: bool = True) -> DataFrame:
+    """exact=False counts users and items by sketches, which merge without a second shuffle: for tables too large to sort."""
+    n = F.countDistinct if exact else F.approx_count_distinct
+    return shares(pos.groupBy("event_type").agg(F.count("*").alias("n_events"), n("user_id").alias("n_users"), n("item_id").alias("n_items")), "n_events")
 
 
 def session_tiers(pos: DataFrame) -> DataFrame:
@@ -149,7 +151,7 @@ def baseline_scores(profile: DataFrame, popularity: DataFrame, k: tuple[int, int
         p.join(tops[3], ["category", "city_name"]).select(*take, score(1000), F.lit("cat_city").alias("source")),
     ]
     rows = pools[0].unionByName(pools[1]).unionByName(pools[2]).unionByName(pools[3])
-    return rows.groupBy("user_id", "item_id").agg(F.max("score").alias("score"), F.max_by("source", "score").alias("source"))
+    return rows.groupBy("user_id", "item_id").agg(F.max("score").alias("score"), F.max_by("source", F.struct("score", "source")).alias("source"))
 
 
 def baseline_top(scores: DataFrame, k: int = 10) -> DataFrame:

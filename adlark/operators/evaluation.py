@@ -67,6 +67,16 @@ def top_share(df: DataFrame, value: str, by: list[str] | None = None) -> DataFra
     return v.groupBy(*by).agg(F.sum("c").alias("n"), part(F.lit(10)).alias("top10_share"), part(F.greatest(F.lit(1), F.floor(F.col("n") / 100))).alias("top1pct_share"), part(F.greatest(F.lit(1), F.floor(F.col("n") / 10))).alias("top10pct_share"))
 
 
+def top_tenth(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """n, their sum, the number of the first tenth (rounded up) and its share of the sum, by groups."""
+    v = df.groupBy(*by, F.col(value).cast("double").alias("x")).agg(F.count("*").alias("c"))
+    above = F.coalesce(F.sum("c").over(Window.partitionBy(*by).orderBy(F.desc("x")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    v = v.withColumns({"above": above, "k": F.greatest(F.lit(1), F.ceil(F.sum("c").over(Window.partitionBy(*by)) * 0.10)).cast("long")})
+    taken = F.greatest(F.lit(0), F.least(F.col("c"), F.col("k") - F.col("above")))
+    total = F.sum(F.col("x") * F.col("c"))
+    return v.groupBy(*by).agg(F.sum("c").alias("n_sellers_with_positive"), total.cast("long").alias("total_lead_pairs"), F.max("k").alias("top10_n_sellers"), F.round(ratio(F.sum(F.col("x") * taken), total), 6).alias("top10_share"))
+
+
 def exposure(recs: DataFrame, dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Recommendations with seller, seller type and age at the end of training, written once for the aggregates that read them."""
     info = dim.select("item_id", "seller_id", "seller_type", F.datediff(F.lit(cfg.train_end).cast("date"), "posted_date").alias("age"))

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, NEW_SELLER_FROM, UNKNOWN, Config
-from ..functions.exprs import AGE_BINS, DWELL_BINS, IMAGE_BINS, banded, count_if, dwell_valid, is_direct, is_positive, micros, ratio, wilson
+from ..functions.exprs import AGE_BINS, DWELL_BINS, IMAGE_BINS, banded, count_if, dwell_valid, flag, is_direct, is_positive, micros, ratio, wilson
 from .candidates import top_k
-from .evaluation import gini, top_share
+from .evaluation import gini, top_share, top_tenth
 from .rollups import in_window, shares
 
 T = "event_type"
@@ -28,9 +28,9 @@ def pair_flags(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def funnel(pairs: DataFrame) -> DataFrame:
     view, q = F.col("n_pageview") > 0, F.col("is_qualified") == 1
-    out = pairs.agg(count_if(view).alias("n1_pairs"), count_if(q).alias("n2_qualified"), count_if(F.col("n_pos") > 0).alias("n3_positive_all"), count_if(q & (F.col("n_pos") > 0)).alias("n3_positive_inside"), count_if(q & (F.col("n_direct") > 0)).alias("n3_direct_inside"))
+    out = pairs.agg(count_if(view).alias("n1_pairs"), count_if(q).alias("n2_qualified"), count_if(F.col("n_pos") > 0).alias("n3_positive_all"), count_if(F.col("n_direct") > 0).alias("n3_direct_all"), count_if(q & (F.col("n_pos") > 0)).alias("n3_positive_inside"), count_if(q & (F.col("n_direct") > 0)).alias("n3_direct_inside"))
     pct = lambda a, b, name: F.round(100 * ratio(F.col(a), F.col(b)), 6).alias(name)
-    return out.select("*", pct("n2_qualified", "n1_pairs", "qualified_pct"), pct("n3_positive_inside", "n2_qualified", "contact_rate_pct"), pct("n3_direct_inside", "n2_qualified", "direct_rate_pct"))
+    return out.select("*", pct("n2_qualified", "n1_pairs", "qualified_pct"), pct("n3_positive_inside", "n2_qualified", "contact_rate_pct"), pct("n3_direct_inside", "n2_qualified", "direct_rate_pct"), pct("n3_positive_all", "n1_pairs", "total_positive_pct"))
 
 
 def daily_counts(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -233,8 +233,84 @@ def flag_crosstab(events: DataFrame) -> DataFrame:
     return events.groupBy(T).agg(count_if(F.col("is_contact") == 0).alias("flag_0"), count_if(F.col("is_contact") == 1).alias("flag_1"))
 
 
+def pair_view(df: DataFrame) -> DataFrame:
+    """The columns slide tables read, from a pair table of any shape: missing ones get neutral values, flags and numbers any type."""
+    has = set(df.columns)
+    name = lambda c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("unknown")) if c in has else F.lit("unknown")
+    number = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) if c in has else F.lit(0.0)
+    some = lambda c: F.col(c) if c in has else F.lit(None).cast("string")
+    q = flag(F.col("is_qualified")) if "is_qualified" in has else F.when((number("max_dwell") >= 30) | (number("n_pos") > 0), 1).otherwise(0)
+    p = flag(F.col("is_qualified_pos")) if "is_qualified_pos" in has else F.when(number("n_pos") > 0, 1).otherwise(0)
+    return df.select(*(some(c).alias(c) for c in ("user_id", "item_id", "seller_id", "category")), *(name(c).alias(c) for c in ("seller_type", "ad_type")), *(number(c).alias(c) for c in ("n_pageview", "n_pos", "n_direct", "max_dwell")), q.alias("q_pair"), p.alias("q_pos_pair"))
+
+
+def slide_rates(view: DataFrame) -> DataFrame:
+    """Contact rates by ad and seller type, with the items seen and contacted."""
+    items = F.countDistinct(F.when(F.col("q_pos_pair") == 1, F.col("item_id")))
+    g = view.groupBy("ad_type", "seller_type").agg(F.count("*").alias("observed_pairs"), F.sum("q_pair").cast("long").alias("d30_engaged_pairs"), F.sum("q_pos_pair").cast("long").alias("d30_positive_pairs"), F.countDistinct("item_id").alias("observed_items"), items.alias("contacted_items"))
+    r = lambda b: F.round(ratio(F.col("d30_positive_pairs"), F.col(b)), 6)
+    return g.withColumns({"cr_d30": r("d30_engaged_pairs"), "cr_observed": r("observed_pairs")})
+
+
+def slide_concentration(view: DataFrame) -> DataFrame:
+    """How leads concentrate on sellers, by kind of seller: share of the first tenth (rounded up) and Gini, over sellers with a lead."""
+    kind = F.when(F.col("seller_type") == "agent", "B2B_agent").when(F.col("seller_type") == "private", "C2C_private").otherwise("unknown")
+    s = view.filter("seller_id is not null").groupBy(kind.alias("seller_group"), "seller_id").agg(F.sum("q_pos_pair").cast("long").alias("leads")).filter("leads > 0")
+    return gini(s, "leads", ["seller_group"]).drop("n").join(top_tenth(s, "leads", ["seller_group"]), "seller_group")
+
+
+def cold_tiers(counts: DataFrame) -> DataFrame:
+    """The four tiers of test users, from their counts by has_positive and has_interaction."""
+    p, i = flag(F.col("has_positive")) == 1, flag(F.col("has_interaction")) == 1
+    tier = F.when(p & i, "warm_positive").when(p, "positive_no_pageview").when(i, "browser_only").otherwise("no_history")
+    return shares(counts.groupBy(tier.alias("tier")).agg(F.sum("n_users").alias("n_users")), "n_users")
+
+
+def summary_metrics(funnel_row: DataFrame, cold: DataFrame, pairs: DataFrame, pairs_dim: DataFrame, sellers: DataFrame) -> DataFrame:
+    """branch, metric, value and description of the numbers that slides quote."""
+    f = lambda branch, df, metric, value, text: df.select(F.lit(branch).alias("branch"), metric.alias("metric") if isinstance(metric, F.Column) else F.lit(metric).alias("metric"), F.round(value.cast("double"), 6).alias("value"), F.lit(text).alias("description"))
+    c = F.col
+    gap = (c("first_pos_us") - c("first_view_us")) / F.lit(3.6e9)
+    hours = pairs.withColumn("g", gap).filter("g >= 0 and g <= 720").agg(F.percentile("g", 0.5).alias("v")).filter("v is not null")
+    cat = contact_rate(pairs_dim, ["category"]).filter("rate is not null").orderBy(F.desc("rate"), "category").limit(1)
+    seg = segment_overall(pairs_dim)
+    con = segment_gini(pairs_dim)
+    rows = [
+        *(f("A1", funnel_row, m, c(col), t) for m, col, t in (
+            ("N1_pageview_pairs", "n1_pairs", "pairs of user and item with a page view"), ("N2_qualified_pairs_d30", "n2_qualified", "pairs with a dwell of 30 seconds or more"),
+            ("N3_qualified_pos_pairs_d30", "n3_positive_inside", "qualified pairs with a positive event"), ("CR_D30_overall_pct", "contact_rate_pct", "contact rate of qualified pairs"),
+            ("N3_qualified_dc_pos_pairs_d30", "n3_direct_inside", "qualified pairs with a direct contact"), ("CR_D30_dc_only_pct", "direct_rate_pct", "contact rate by direct contacts alone"),
+            ("P_total_positive_over_pageview_pct", "total_positive_pct", "positive pairs over pairs with a page view"))),
+        f("A1", funnel_row, "D_selected_sec", F.lit(30.0), "least dwell of a qualified pair"),
+        f("A2", cold.filter("user_segment = '0_no_history'"), "test_no_history_pct", c("pct"), "test users without history"),
+        f("A2", hours, "median_view_to_contact_hours", c("v"), "median hours from first view to first contact, up to 30 days"),
+        f("A3", gini(sellers.filter("seller_id is not null"), "contacts"), "seller_contact_gini", c("gini"), "concentration of contacts on sellers"),
+        f("A3", cat, "best_category_by_cr_d30", c("category"), "category of the highest contact rate"),
+        f("A3", cat, "best_category_cr_d30_pct", 100 * c("rate"), "its contact rate"),
+        f("A3", contact_rate(pairs_dim.filter("ad_type is not null and seller_type is not null"), ["ad_type", "seller_type"]), F.concat(F.lit("cr_d30_pct__"), c("ad_type"), F.lit("_"), c("seller_type")), 100 * c("rate"), "contact rate by ad and seller type"),
+        f("A3_seg", seg, F.concat(F.lit("cr_d30_pct__"), c("segment")), 100 * c("rate"), "contact rate of a segment"),
+        f("A3_seg", seg, F.concat(F.lit("qualified_pairs__"), c("segment")), c("n_qualified"), "qualified pairs of a segment"),
+        f("A3_seg", con, F.concat(F.lit("gini_d30__"), c("segment")), c("gini"), "concentration of leads on sellers of a segment"),
+        f("A3_seg", con.filter("segment <> 'ALL' and top10pct_share is not null"), F.concat(F.lit("top10pct_share__"), c("segment")), c("top10pct_share"), "leads of the first tenth of sellers"),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 def exposure_vs_rate(pairs: DataFrame) -> DataFrame:
-    return shares(contact_rate(pairs, ["seller_type"]), "n_pairs", None, "exposure_pct")
+    rows = shares(contact_rate(pairs, ["seller_type"]), "n_pairs", None, "exposure_pct")
+    items = pairs.groupBy("seller_type").agg(F.countDistinct("item_id").alias("n_listings"))
+    return rows.join(items, "seller_type").withColumns({"pageview_per_listing": F.round(ratio(F.col("n_pairs"), F.col("n_listings")), 2), "qualified_per_listing": F.round(ratio(F.col("n_qualified"), F.col("n_listings")), 2), "qualifying_rate_pct": F.round(100 * ratio(F.col("n_qualified"), F.col("n_pairs")), 2), "cr_d30_pct": F.round(100 * ratio(F.col("n_positive"), F.col("n_qualified")), 2)})
+
+
+def exposure_ratios(table: DataFrame) -> DataFrame:
+    """Each measure of private sellers and agents side by side, and how many times as large the agents' is."""
+    measures = ["n_listings", "n_pairs", "n_qualified", "n_positive", "pageview_per_listing", "qualified_per_listing", "qualifying_rate_pct", "cr_d30_pct"]
+    long = table.select("seller_type", F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in measures))).alias("x")).select("seller_type", "x.metric", "x.v")
+    of = lambda kind: F.max(F.when(F.col("seller_type") == kind, F.col("v"))).alias(kind)
+    return long.groupBy("metric").agg(of("private"), of("agent")).withColumn("ratio_agent_over_private", F.round(F.try_divide("agent", "private"), 2))
 
 
 def segment_seller_crosstab(pairs: DataFrame) -> DataFrame:

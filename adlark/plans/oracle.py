@@ -123,11 +123,11 @@ WHERE posted_date <= DATE '2024-01-28' AND expected_expired_date >= posted_date
 FROM usr LEFT JOIN (SELECT user_id, count(*) AS n_pos, count(DISTINCT item_id) AS n_items, count(DISTINCT date) AS n_days, arg_max(category, (event_us, event_id)) AS last_category, arg_max(city_name, (event_us, event_id)) AS last_city, arg_max(device, (event_us, event_id)) AS last_device FROM posev GROUP BY user_id) USING (user_id)
 LEFT JOIN (SELECT user_id, category FROM posev GROUP BY user_id, category QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, max(event_us) DESC, category) = 1) tc USING (user_id)
 LEFT JOIN (SELECT user_id, city_name FROM posev GROUP BY user_id, city_name QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, max(event_us) DESC, city_name) = 1) ty USING (user_id)""",
-    "bs": """SELECT user_id, item_id, max(score) AS score FROM (
- SELECT user_id, item_id, round(500 + base_score - rn * 0.01::DOUBLE, 6) AS score FROM usr, (SELECT *, row_number() OVER (ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 10)
- UNION ALL SELECT user_id, item_id, round(800 + base_score - rn * 0.01::DOUBLE, 6) FROM prof JOIN (SELECT *, row_number() OVER (PARTITION BY category ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 8) t ON t.category = coalesce(top_category, last_category)
- UNION ALL SELECT user_id, item_id, round(650 + base_score - rn * 0.01::DOUBLE, 6) FROM prof JOIN (SELECT *, row_number() OVER (PARTITION BY city_name ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 6) t ON t.city_name = coalesce(top_city_name, last_city)
- UNION ALL SELECT user_id, item_id, round(1000 + base_score - rn * 0.01::DOUBLE, 6) FROM prof JOIN (SELECT *, row_number() OVER (PARTITION BY category, city_name ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 5) t ON t.category = coalesce(top_category, last_category) AND t.city_name = coalesce(top_city_name, last_city)) GROUP BY user_id, item_id""",
+    "bs": """SELECT user_id, item_id, max(score) AS score, arg_max(source, (score, source)) AS source FROM (
+ SELECT user_id, item_id, round(500 + base_score - rn * 0.01::DOUBLE, 6) AS score, 'global' AS source FROM usr, (SELECT *, row_number() OVER (ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 10)
+ UNION ALL SELECT user_id, item_id, round(800 + base_score - rn * 0.01::DOUBLE, 6), 'category' FROM prof JOIN (SELECT *, row_number() OVER (PARTITION BY category ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 8) t ON t.category = coalesce(top_category, last_category)
+ UNION ALL SELECT user_id, item_id, round(650 + base_score - rn * 0.01::DOUBLE, 6), 'city' FROM prof JOIN (SELECT *, row_number() OVER (PARTITION BY city_name ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 6) t ON t.city_name = coalesce(top_city_name, last_city)
+ UNION ALL SELECT user_id, item_id, round(1000 + base_score - rn * 0.01::DOUBLE, 6), 'cat_city' FROM prof JOIN (SELECT *, row_number() OVER (PARTITION BY category, city_name ORDER BY base_score DESC, pos_28 DESC, item_id) AS rn FROM pop2 QUALIFY rn <= 5) t ON t.category = coalesce(top_category, last_category) AND t.city_name = coalesce(top_city_name, last_city)) GROUP BY user_id, item_id""",
     "btop": "SELECT user_id, CAST(rk AS INTEGER) AS rank, item_id, score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rk FROM bs) WHERE rk <= 10",
 }
 
@@ -208,7 +208,7 @@ Q = {
     "rerank_health": "SELECT * FROM rr",
     "greedy_rerank": "SELECT * FROM greedy",
     "submission": "SELECT * FROM sub",
-    "submission_checks": "SELECT count(*) AS n_rows, CAST(min(rank) AS BIGINT) AS min_rank, CAST(max(rank) AS BIGINT) AS max_rank, CAST(count(*) FILTER (user_id IS NULL OR item_id IS NULL OR rank IS NULL) AS BIGINT) AS n_nulls, (SELECT CAST(count(*) FILTER (n <> 10) AS BIGINT) FROM (SELECT count(*) AS n FROM sub GROUP BY user_id)) AS n_users_bad_size, (SELECT CAST(count(*) FILTER (n <> m) AS BIGINT) FROM (SELECT count(*) AS n, count(DISTINCT rank) AS m FROM sub GROUP BY user_id)) AS n_users_repeated_rank, (SELECT CAST(count(*) FILTER (n <> m) AS BIGINT) FROM (SELECT count(*) AS n, count(DISTINCT item_id) AS m FROM sub GROUP BY user_id)) AS n_users_repeated_item, (SELECT count(*) FROM (SELECT user_id FROM sub EXCEPT SELECT user_id FROM usr)) AS n_unknown_users, (SELECT count(*) FROM (SELECT user_id FROM usr EXCEPT SELECT user_id FROM sub)) AS n_missing_users, (SELECT count(*) FROM (SELECT item_id FROM sub EXCEPT SELECT item_id FROM dim)) AS n_unknown_items, (SELECT count(*) * 10 FROM usr) AS n_rows_expected FROM sub",
+    "submission_checks": "SELECT *, n_users_repeated_rank = 0 AND n_users_repeated_item = 0 AND n_bad_ranks = 0 AND n_unknown_users = 0 AND n_unknown_items = 0 AND max_rows_per_user <= 10 AS is_valid FROM (SELECT count(*) AS n_rows, CAST(count(*) FILTER (rank < 1 OR rank > 10) AS BIGINT) AS n_bad_ranks, (SELECT max(n) FROM (SELECT count(*) AS n FROM sub GROUP BY user_id)) AS max_rows_per_user, CAST(min(rank) AS BIGINT) AS min_rank, CAST(max(rank) AS BIGINT) AS max_rank, CAST(count(*) FILTER (user_id IS NULL OR item_id IS NULL OR rank IS NULL) AS BIGINT) AS n_nulls, (SELECT CAST(count(*) FILTER (n <> 10) AS BIGINT) FROM (SELECT count(*) AS n FROM sub GROUP BY user_id)) AS n_users_bad_size, (SELECT CAST(count(*) FILTER (n <> m) AS BIGINT) FROM (SELECT count(*) AS n, count(DISTINCT rank) AS m FROM sub GROUP BY user_id)) AS n_users_repeated_rank, (SELECT CAST(count(*) FILTER (n <> m) AS BIGINT) FROM (SELECT count(*) AS n, count(DISTINCT item_id) AS m FROM sub GROUP BY user_id)) AS n_users_repeated_item, (SELECT count(*) FROM (SELECT user_id FROM sub EXCEPT SELECT user_id FROM usr)) AS n_unknown_users, (SELECT count(*) FROM (SELECT user_id FROM usr EXCEPT SELECT user_id FROM sub)) AS n_missing_users, (SELECT count(*) FROM (SELECT item_id FROM sub EXCEPT SELECT item_id FROM dim)) AS n_unknown_items, (SELECT count(*) * 10 FROM usr) AS n_rows_expected FROM sub)",
     "recall_ndcg": recall("raw"),
     "candidate_recall": "SELECT count(*) AS n_pairs, " + ", ".join(f"round(avg(CASE WHEN r <= {k} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS hit_at_{k}" for k in (5, 10, 20)) + " FROM gt LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY candidate_score DESC, source_score DESC, item_id) AS r FROM pool) USING (user_id, item_id)",
     "source_breakdown": "SELECT source, count(*) AS n, count(DISTINCT p.user_id) AS n_users, CAST(count(gt_n_events) AS BIGINT) AS hits, round(100.0::DOUBLE * count(gt_n_events) / count(*), 6) AS hit_pct FROM pool p LEFT JOIN gt USING (user_id, item_id) GROUP BY source",
@@ -230,7 +230,7 @@ Q = {
     "eda_09_session_tier": f"SELECT session_tier, count(*) AS n_sessions, {share('count(*)')} AS pct FROM (SELECT CASE WHEN count(*) = 1 THEN '1_single' WHEN count(*) <= 5 THEN '2_short_2_5' WHEN count(*) <= 20 THEN '3_medium_6_20' WHEN count(*) <= 100 THEN '4_long_21_100' ELSE '5_very_long_100+' END AS session_tier FROM posev GROUP BY session_id) GROUP BY session_tier",
     "eda_10_weekly_market": f"SELECT CAST(date_trunc('week', date) AS DATE) AS week, sum(v) AS views, sum(c) AS contacts, round(avg(a), 6) AS mean_daily_active, {rate('sum(c)', 'sum(v)')} AS contact_rate FROM (SELECT date, sum(greatest(coalesce(views_24h::DOUBLE, 0), 0)) AS v, sum(greatest(coalesce(contacts_24h::DOUBLE, 0), 0)) AS c, count(DISTINCT item_id) AS a FROM snap WHERE date <= DATE '2024-01-28' GROUP BY date) GROUP BY week",
     "pair_flags": "SELECT * FROM pr",
-    "d30_funnel": f"SELECT *, round(100 * n2_qualified::DOUBLE / nullif(n1_pairs, 0), 6) AS qualified_pct, round(100 * n3_positive_inside::DOUBLE / nullif(n2_qualified, 0), 6) AS contact_rate_pct, round(100 * n3_direct_inside::DOUBLE / nullif(n2_qualified, 0), 6) AS direct_rate_pct FROM (SELECT CAST(count(*) FILTER (n_pageview > 0) AS BIGINT) AS n1_pairs, CAST(sum(is_qualified) AS BIGINT) AS n2_qualified, CAST(count(*) FILTER (n_pos > 0) AS BIGINT) AS n3_positive_all, CAST(sum(is_qualified_pos) AS BIGINT) AS n3_positive_inside, CAST(count(*) FILTER (is_qualified = 1 AND n_direct > 0) AS BIGINT) AS n3_direct_inside FROM pr)",
+    "d30_funnel": f"SELECT *, round(100 * n2_qualified::DOUBLE / nullif(n1_pairs, 0), 6) AS qualified_pct, round(100 * n3_positive_inside::DOUBLE / nullif(n2_qualified, 0), 6) AS contact_rate_pct, round(100 * n3_direct_inside::DOUBLE / nullif(n2_qualified, 0), 6) AS direct_rate_pct, round(100 * n3_positive_all::DOUBLE / nullif(n1_pairs, 0), 6) AS total_positive_pct FROM (SELECT CAST(count(*) FILTER (n_pageview > 0) AS BIGINT) AS n1_pairs, CAST(sum(is_qualified) AS BIGINT) AS n2_qualified, CAST(count(*) FILTER (n_pos > 0) AS BIGINT) AS n3_positive_all, CAST(count(*) FILTER (n_direct > 0) AS BIGINT) AS n3_direct_all, CAST(sum(is_qualified_pos) AS BIGINT) AS n3_positive_inside, CAST(count(*) FILTER (is_qualified = 1 AND n_direct > 0) AS BIGINT) AS n3_direct_inside FROM pr)",
     "daily_counts": f"SELECT *, {rate('positives', 'pageviews')} AS positive_intensity, {rate('directs', 'pageviews')} AS direct_intensity FROM (SELECT date, {NPV} AS pageviews, {NPOS} AS positives, {NHARD} AS directs FROM ev WHERE {WIN} GROUP BY date)",
     "daily_pair_rates": f"SELECT *, round(avg(rate) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rate_7 FROM (SELECT date, count(*) AS viewed_pairs, CAST(sum(p) AS BIGINT) AS converted_pairs, {rate('sum(p)', 'count(*)')} AS rate FROM (SELECT date, user_id, item_id, max(CAST(event_type IN {POS} AS INTEGER)) AS p FROM ev WHERE {WIN} GROUP BY ALL HAVING bool_or(event_type = 'pageview')) GROUP BY date)",
     "dwell_quantiles": f"SELECT count(*) AS n, round(quantile_cont(d, 0.25), 6) AS q25, round(quantile_cont(d, 0.5), 6) AS q50, round(quantile_cont(d, 0.75), 6) AS q75 FROM (SELECT {DWELL} AS d, event_type, us, min(CASE WHEN event_type IN {POS} THEN us END) OVER (PARTITION BY session_id) AS f FROM ev WHERE {WIN}) WHERE event_type = 'pageview' AND d IS NOT NULL AND us <= f",
@@ -268,13 +268,145 @@ Q = {
     "audit_session": f"SELECT event_group, count(*) AS n_sessions, round(quantile_cont(n, 0.5), 6) AS median_events, round(avg(n), 6) AS mean_events, round(quantile_cont(n, 0.95), 6) AS p95_events, max(n) AS max_events FROM (SELECT session_id, {GROUP3} AS event_group, count(*) AS n FROM ev WHERE {WIN} GROUP BY ALL) GROUP BY event_group",
     "audit_dc_cr": f"SELECT *, round(100 * (1 - n_direct::DOUBLE / nullif(n_full, 0)), 6) AS drop_pct FROM (SELECT count(*) AS n_qualified, CAST(count(*) FILTER (p > 0) AS BIGINT) AS n_full, CAST(count(*) FILTER (k > 0) AS BIGINT) AS n_direct FROM (SELECT max(CASE WHEN event_type = 'pageview' THEN least(greatest(coalesce(dwell_time_sec, 0), 0), 3599.999::DOUBLE) END) AS d, {NPOS} AS p, {NHARD} AS k FROM ev WHERE {WIN} GROUP BY user_id, item_id) WHERE d >= 30)",
     "audit_flag_crosstab": "SELECT event_type, CAST(count(*) FILTER (is_contact = 0) AS BIGINT) AS flag_0, CAST(count(*) FILTER (is_contact = 1) AS BIGINT) AS flag_1 FROM ev GROUP BY event_type",
-    "exposure_vs_cr": f"SELECT *, {share('n_pairs')} AS exposure_pct FROM ({cr('pd', 'seller_type')})",
+    "exposure_vs_cr": f"SELECT *, {share('n_pairs')} AS exposure_pct, round(n_pairs / n_listings::DOUBLE, 2) AS pageview_per_listing, round(n_qualified / n_listings::DOUBLE, 2) AS qualified_per_listing, round(100 * n_qualified / n_pairs::DOUBLE, 2) AS qualifying_rate_pct, round(100 * n_positive / nullif(n_qualified, 0)::DOUBLE, 2) AS cr_d30_pct FROM ({cr('pd', 'seller_type')}) JOIN (SELECT seller_type, count(DISTINCT item_id) AS n_listings FROM pd GROUP BY seller_type) USING (seller_type)",
     "segment_seller_crosstab": "SELECT coalesce(segment, 'Total') AS segment, CAST(count(*) FILTER (seller_type = 'private') AS BIGINT) AS private, CAST(count(*) FILTER (seller_type = 'agent') AS BIGINT) AS agent, count(*) AS total FROM pd GROUP BY ROLLUP (segment)",
     "verify_slices": " UNION ALL ".join(f"SELECT '{b}' AS slice, CAST(sum(q) AS BIGINT) AS sum_qualified, CAST(sum(p) AS BIGINT) AS sum_positive, sum(q) = (SELECT sum(is_qualified) FROM pr) AS qualified_ok, sum(p) = (SELECT sum(is_qualified_pos) FROM pr) AS positive_ok FROM (SELECT {b}, sum(is_qualified) AS q, sum(is_qualified_pos) AS p FROM pd GROUP BY {b})" for b in ("category", "seller_type", "segment")),
 }
+
+
+def checks(rows: list[tuple[str, str, str, str]]) -> str:
+    """check, value, status and source of each check."""
+    return " UNION ALL ".join(f"SELECT '{name}' AS \"check\", round(({value})::DOUBLE, 6) AS value, {status} AS status FROM ({source})" for name, value, status, source in rows)
+
+
+def fails(cond: str, otherwise: str = "OK") -> str:
+    return f"CASE WHEN {cond} THEN 'FAIL' ELSE '{otherwise}' END"
+
+
+def summed(x: str) -> str:
+    return f"SELECT *, (n2 - q) * 100.0::DOUBLE / greatest(n2, 1) AS lost2, (n3 - p) * 100.0::DOUBLE / greatest(n3, 1) AS lost3 FROM (SELECT sum(n_qualified) AS q, sum(n_positive) AS p, 100.0::DOUBLE * sum(rate * n_qualified) FILTER (n_qualified > 0) / nullif(sum(n_qualified) FILTER (n_qualified > 0), 0) AS mean_pct, count(*) FILTER (rate IS NULL) AS n_null, count(*) FILTER (rate < 0 OR rate > 1) AS n_outside, max(rate) AS most FROM ({x})), (SELECT n2_qualified AS n2, n3_positive_inside AS n3, contact_rate_pct AS whole_pct FROM ({Q['d30_funnel']}))"
+
+
+def band(whole: str, part: str, lost: str) -> str:
+    return f"CASE WHEN abs({whole} - {part}) <= 1 THEN 'OK' WHEN abs({lost}) > 10 THEN 'FAIL' WHEN abs({lost}) > 3 THEN 'WARN' ELSE 'OK' END"
+
+
+def d30_checks() -> str:
+    cat, combo = summed(cr("pd", "category")), summed(cr("pd WHERE ad_type IS NOT NULL AND seller_type IS NOT NULL", "ad_type, seller_type"))
+    rows = [
+        ("category_qualified_missing_pct", "lost2", band("n2", "q", "lost2"), cat),
+        ("category_positive_missing_pct", "lost3", band("n3", "p", "lost3"), cat),
+        ("ad_seller_qualified_missing_pct", "lost2", fails("lost2 > 10"), combo),
+        ("category_weighted_mean_diff_pp", "whole_pct - mean_pct", fails("coalesce(abs(whole_pct - mean_pct) > 0.1, true)"), cat),
+    ]
+    for name, x in (("category", cat), ("ad_seller", combo)):
+        rows += [
+            (f"{name}_null_rates", "n_null", fails("n_null > 0"), x),
+            (f"{name}_rates_outside_0_1", "n_outside", fails("n_outside > 0"), x),
+            (f"{name}_most_against_whole", "most * 100 / whole_pct", "CASE WHEN most * 100 > 3 * whole_pct THEN 'WARN' ELSE 'OK' END", x),
+        ]
+    return checks(rows)
+
+
+PROXY = "SELECT category, count(*) AS n_listings, CAST(count(project_id) AS BIGINT) AS n_with_project_id, CAST(count(*) FILTER (category = 1050 OR project_id IS NOT NULL) AS BIGINT) AS n_b2b, CAST(count(*) FILTER (NOT (category = 1050 OR project_id IS NOT NULL)) AS BIGINT) AS n_c2c, round(100 * count(project_id) / count(*)::DOUBLE, 6) AS pct_with_project_id, round(100 * count(*) FILTER (category = 1050 OR project_id IS NOT NULL) / count(*)::DOUBLE, 6) AS pct_b2b FROM dim GROUP BY category"
+
+
+def segment_checks() -> str:
+    audit = f"SELECT sum(n_listings) AS n, sum(n_b2b) AS b, sum(n_c2c) AS c, 100 * sum(CASE WHEN category <> 1050 THEN n_with_project_id ELSE 0 END) / greatest(sum(n_listings), 1)::DOUBLE AS hidden FROM ({PROXY})"
+    s = summed(cr("pd", "segment"))
+    outside = lambda q, c, top: f"SELECT count(*) FILTER (NOT coalesce({c} >= 0 AND {c} <= {top}, false)) AS n FROM ({q})"
+    volume = lambda name: f"SELECT coalesce(sum(is_qualified) FILTER (segment = '{name}'), 0) AS q FROM pd"
+    return checks([
+        ("listings_outside_segments", "n - b - c", fails("b + c <> n"), audit),
+        ("hidden_b2b_pct", "hidden", "CASE WHEN hidden > 1 THEN 'WARN' ELSE 'OK' END", audit),
+        ("segment_qualified_missing_pct", "lost2", fails("lost2 > 5"), s),
+        ("segment_weighted_mean_diff_pp", "whole_pct - mean_pct", fails("coalesce(abs(whole_pct - mean_pct) > 0.5, true)"), s),
+        *((f"{name}_qualified", "q", fails("q = 0"), volume(name)) for name in ("B2B", "C2C")),
+        ("segment_rates_outside_0_1", "n", fails("n > 0"), outside(cr("pd", "segment"), "rate", 1)),
+        ("segment_ginis_outside_0_1", "n", fails("n > 0"), outside(Q["segment_gini"], "gini", 1)),
+        ("volume_shares_outside_0_1", "n", fails("n > 0"), outside(Q["segment_volume"], "volume_pct", 100.01)),
+    ])
+
+
+def verdicts() -> str:
+    one = lambda angle, q, verdict: f"SELECT '{angle}' AS angle, round(v::DOUBLE, 6) AS value, {verdict} AS verdict FROM ({q}) WHERE v IS NOT NULL"
+    group = "event_group = 'other_interaction'"
+    rows = " UNION ALL ".join([
+        one("A1_surface", f"SELECT max(pct) AS v FROM ({Q['audit_surface']}) WHERE {group}", "CASE WHEN v > 50 THEN 'concentrated' WHEN v > 25 THEN 'partial' ELSE 'spread' END"),
+        one("B1_dwell", f"SELECT zero_pct AS v FROM ({Q['audit_dwell']}) WHERE {group}", "CASE WHEN v > 80 THEN 'noise_signal' WHEN v < 30 THEN 'real_engagement' ELSE 'mixed' END"),
+        one("B2_session_freq", f"SELECT max(median_events) FILTER ({group}) / greatest(max(median_events) FILTER (event_group = 'direct_contact'), 0.5) AS v FROM ({Q['audit_session']})", "CASE WHEN v > 5 THEN 'noise_signal' ELSE 'normal' END"),
+        one("C_dc_only_cr", f"SELECT drop_pct AS v FROM ({Q['audit_dc_cr']})", "CASE WHEN v > 80 THEN 'story_collapses' WHEN v < 30 THEN 'story_holds' ELSE 'story_partial' END"),
+        one("D_is_contact_flag", f"SELECT 100.0::DOUBLE * flag_1 / (flag_0 + flag_1) AS v FROM ({Q['audit_flag_crosstab']}) WHERE event_type = 'other_interaction'", "CASE WHEN v > 90 THEN 'btc_treats_as_contact' WHEN v > 30 AND v < 90 THEN 'btc_inconsistent' ELSE 'btc_not_contact' END"),
+    ])
+    return f"WITH vs AS ({rows}), calls AS (SELECT count(*) FILTER (verdict IN ('noise_signal', 'story_collapses', 'btc_not_contact')) AS bad, count(*) FILTER (verdict IN ('real_engagement', 'story_holds', 'btc_treats_as_contact')) AS good FROM vs) SELECT * FROM vs UNION ALL SELECT 'final_call', (good - bad)::DOUBLE, CASE WHEN bad = 0 AND good >= 2 THEN 'keep' WHEN bad >= 2 THEN 'change' ELSE 'mixed' END FROM calls"
+
+
+def summary() -> str:
+    one = lambda branch, metric, value, text, q: f"SELECT '{branch}' AS branch, {metric} AS metric, round(({value})::DOUBLE, 6) AS value, '{text}' AS description FROM ({q})"
+    f, cat, seg, con = Q["d30_funnel"], f"SELECT * FROM ({cr('pd', 'category')}) WHERE rate IS NOT NULL ORDER BY rate DESC, category LIMIT 1", cr("pd", "segment"), Q["segment_gini"]
+    a1 = (("N1_pageview_pairs", "n1_pairs", "pairs of user and item with a page view"), ("N2_qualified_pairs_d30", "n2_qualified", "pairs with a dwell of 30 seconds or more"), ("N3_qualified_pos_pairs_d30", "n3_positive_inside", "qualified pairs with a positive event"), ("CR_D30_overall_pct", "contact_rate_pct", "contact rate of qualified pairs"), ("N3_qualified_dc_pos_pairs_d30", "n3_direct_inside", "qualified pairs with a direct contact"), ("CR_D30_dc_only_pct", "direct_rate_pct", "contact rate by direct contacts alone"), ("P_total_positive_over_pageview_pct", "total_positive_pct", "positive pairs over pairs with a page view"), ("D_selected_sec", "30", "least dwell of a qualified pair"))
+    return " UNION ALL ".join([
+        *(one("A1", f"'{m}'", v, t, f) for m, v, t in a1),
+        one("A2", "'test_no_history_pct'", "pct", "test users without history", f"SELECT * FROM ({Q['cold_start_segments']}) WHERE user_segment = '0_no_history'"),
+        one("A2", "'median_view_to_contact_hours'", "v", "median hours from first view to first contact, up to 30 days", "SELECT median(g) AS v FROM (SELECT (first_pos_us - first_view_us) / 3.6e9::DOUBLE AS g FROM pr) WHERE g >= 0 AND g <= 720 HAVING count(*) > 0"),
+        one("A3", "'seller_contact_gini'", "gini", "concentration of contacts on sellers", gini("SELECT contacts FROM sm WHERE seller_id IS NOT NULL", "contacts")),
+        one("A3", "'best_category_by_cr_d30'", "category", "category of the highest contact rate", cat),
+        one("A3", "'best_category_cr_d30_pct'", "100 * rate", "its contact rate", cat),
+        one("A3", "concat('cr_d30_pct__', ad_type, '_', seller_type)", "100 * rate", "contact rate by ad and seller type", cr("pd WHERE ad_type IS NOT NULL AND seller_type IS NOT NULL", "ad_type, seller_type")),
+        one("A3_seg", "concat('cr_d30_pct__', segment)", "100 * rate", "contact rate of a segment", seg),
+        one("A3_seg", "concat('qualified_pairs__', segment)", "n_qualified", "qualified pairs of a segment", seg),
+        one("A3_seg", "concat('gini_d30__', segment)", "gini", "concentration of leads on sellers of a segment", con),
+        one("A3_seg", "concat('top10pct_share__', segment)", "top10pct_share", "leads of the first tenth of sellers", f"SELECT * FROM ({con}) WHERE segment <> 'ALL' AND top10pct_share IS NOT NULL"),
+    ])
+
+
+START = "DATE '2024-01-21'"
+CTES["apos"] = f"SELECT DISTINCT user_id, item_id FROM posev WHERE date < {START}"
+CTES["aneg"] = "SELECT user_id, item_id, source, row_number() OVER (PARTITION BY user_id ORDER BY md5(concat_ws('|', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), '42')), item_id) AS rn FROM bs WHERE user_id IN (SELECT user_id FROM apos) AND NOT EXISTS (SELECT 1 FROM apos p WHERE p.user_id = bs.user_id AND p.item_id = bs.item_id)"
+CTES["apairs"] = "SELECT p.user_id, p.item_id, 1 AS label, coalesce(source, 'positive_outside_pool') AS x_candidate_source FROM apos p LEFT JOIN bs ON bs.user_id = p.user_id AND bs.item_id = p.item_id UNION ALL SELECT user_id, item_id, 0, source FROM aneg WHERE rn <= 10"
+CTES["aitems"] = f"SELECT d.item_id, category AS i_category, ad_type AS i_ad_type, seller_type AS i_seller_type, seller_id AS i_seller_id, area_sqm AS i_area_sqm, bedrooms AS i_bedrooms, bathrooms AS i_bathrooms, images_count AS i_images_count, city_name AS i_city_name, coalesce(age, 0)::DOUBLE AS i_listing_age_days, coalesce(v7, 0)::DOUBLE AS i_views_7d, coalesce(c7, 0)::DOUBLE AS i_contacts_7d, coalesce(v28, 0)::DOUBLE AS i_views_28d, coalesce(c28, 0)::DOUBLE AS i_contacts_28d, CASE WHEN coalesce(v28, 0) > 0 THEN round(c28::DOUBLE / v28, 6) ELSE 0.0::DOUBLE END AS i_contact_rate_28d FROM dim d LEFT JOIN (SELECT item_id, sum(views_24h) FILTER (date >= {START} - INTERVAL 7 DAY) AS v7, sum(contacts_24h) FILTER (date >= {START} - INTERVAL 7 DAY) AS c7, sum(views_24h) FILTER (date >= {START} - INTERVAL 28 DAY) AS v28, sum(contacts_24h) FILTER (date >= {START} - INTERVAL 28 DAY) AS c28, max(greatest(coalesce(listing_age_days, 0), 0)) AS age FROM snap WHERE date < {START} GROUP BY item_id) s USING (item_id)"
+CTES["ausers"] = f"SELECT user_id, n AS u_n_positives, i AS u_n_distinct_items, c AS u_n_distinct_categories, CAST(date_diff('day', last, {START}) AS DOUBLE) AS u_days_since_last_event, category AS u_top_category, city_name AS u_top_city, 0 AS u_n_pageviews FROM (SELECT user_id, count(*) AS n, count(DISTINCT item_id) AS i, count(DISTINCT category) AS c, max(date) AS last FROM posev WHERE date < {START} GROUP BY user_id) LEFT JOIN (SELECT user_id, category FROM posev WHERE date < {START} GROUP BY user_id, category QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, category) = 1) USING (user_id) LEFT JOIN (SELECT user_id, city_name FROM posev WHERE date < {START} GROUP BY user_id, city_name QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, city_name) = 1) USING (user_id)"
+CTES["apopular"] = f"SELECT item_id FROM posev WHERE date < {START} GROUP BY item_id ORDER BY count(*) DESC, item_id LIMIT 5000"
+CTES["pv"] = "SELECT user_id, item_id, seller_id, category, coalesce(nullif(seller_type, ''), 'unknown') AS seller_type, coalesce(nullif(ad_type, ''), 'unknown') AS ad_type, n_pageview::DOUBLE AS n_pageview, n_pos::DOUBLE AS n_pos, n_direct::DOUBLE AS n_direct, coalesce(max_dwell, 0)::DOUBLE AS max_dwell, is_qualified AS q_pair, is_qualified_pos AS q_pos_pair FROM pd"
+CTES["leads"] = "SELECT CASE seller_type WHEN 'agent' THEN 'B2B_agent' WHEN 'private' THEN 'C2C_private' ELSE 'unknown' END AS seller_group, seller_id, CAST(sum(q_pos_pair) AS BIGINT) AS leads FROM pv WHERE seller_id IS NOT NULL GROUP BY ALL HAVING sum(q_pos_pair) > 0"
 CTES["hm"] = f"SELECT user_id, category, {NPV} AS v, {NPOS} AS p FROM ev WHERE {WIN} AND is_login = 'login' AND category IS NOT NULL GROUP BY user_id, category"
 
 
+Q |= {
+    "alt_item_features": "SELECT * FROM aitems",
+    "alt_user_features": "SELECT * FROM ausers",
+    "alt_training_pairs": "SELECT * FROM apairs",
+    "alt_popular_pairs": "SELECT user_id, item_id, 1 AS label, 'random' AS x_candidate_source FROM apos UNION ALL SELECT user_id, item_id, 0, 'random' FROM (SELECT u.user_id, i.item_id, row_number() OVER (PARTITION BY u.user_id ORDER BY md5(concat_ws('|', CAST(u.user_id AS VARCHAR), CAST(i.item_id AS VARCHAR), '42')), i.item_id) AS rn FROM (SELECT DISTINCT user_id FROM apos) u, apopular i WHERE NOT EXISTS (SELECT 1 FROM apos p WHERE p.user_id = u.user_id AND p.item_id = i.item_id)) WHERE rn <= 10",
+    "alt_training_frame": "SELECT *, CAST(coalesce(u_top_category = i_category, false) AS INTEGER) AS x_category_match, CAST(coalesce(u_top_city = i_city_name, false) AS INTEGER) AS x_city_match, 0 AS x_user_saw_item_before, 0 AS x_user_contacted_seller_before FROM apairs LEFT JOIN aitems USING (item_id) LEFT JOIN ausers USING (user_id)",
+    "alt_holdout": "SELECT DISTINCT user_id, item_id FROM posev WHERE date BETWEEN DATE '2024-01-21' AND DATE '2024-01-28'",
+    "pair_view": "SELECT * FROM pv",
+    "slide_rates": f"SELECT ad_type, seller_type, count(*) AS observed_pairs, CAST(sum(q_pair) AS BIGINT) AS d30_engaged_pairs, CAST(sum(q_pos_pair) AS BIGINT) AS d30_positive_pairs, count(DISTINCT item_id) AS observed_items, count(DISTINCT CASE WHEN q_pos_pair = 1 THEN item_id END) AS contacted_items, {rate('sum(q_pos_pair)', 'sum(q_pair)')} AS cr_d30, {rate('sum(q_pos_pair)', 'count(*)')} AS cr_observed FROM pv GROUP BY ALL",
+    "slide_concentration": f"SELECT seller_group, gini, n_sellers_with_positive, total_lead_pairs, top10_n_sellers, top10_share FROM ({gini('SELECT * FROM leads', 'leads', 'seller_group')}) JOIN (SELECT seller_group, count(*) AS n_sellers_with_positive, CAST(sum(leads) AS BIGINT) AS total_lead_pairs, any_value(k) AS top10_n_sellers, round(sum(leads) FILTER (rn <= k) / sum(leads)::DOUBLE, 6) AS top10_share FROM (SELECT *, row_number() OVER (PARTITION BY seller_group ORDER BY leads DESC) AS rn, greatest(1, CAST(ceil(count(*) OVER (PARTITION BY seller_group) * 0.10::DOUBLE) AS BIGINT)) AS k FROM leads) GROUP BY seller_group) USING (seller_group)",
+    "cold_tiers": f"SELECT tier, CAST(sum(n_users) AS BIGINT) AS n_users, round(100.0::DOUBLE * sum(n_users) / sum(sum(n_users)) OVER (), 2) AS pct FROM (SELECT n_users, CASE WHEN has_positive AND has_interaction THEN 'warm_positive' WHEN has_positive THEN 'positive_no_pageview' WHEN has_interaction THEN 'browser_only' ELSE 'no_history' END AS tier FROM ({Q['eda_06_cold_start']})) GROUP BY tier",
+    "summary_metrics": summary(),
+    "exposure_ratios": f"SELECT metric, max(v) FILTER (seller_type = 'private') AS private, max(v) FILTER (seller_type = 'agent') AS agent, round(max(v) FILTER (seller_type = 'agent') / nullif(max(v) FILTER (seller_type = 'private'), 0), 2) AS ratio_agent_over_private FROM (UNPIVOT (SELECT seller_type, n_listings::DOUBLE AS n_listings, n_pairs::DOUBLE AS n_pairs, n_qualified::DOUBLE AS n_qualified, n_positive::DOUBLE AS n_positive, pageview_per_listing, qualified_per_listing, qualifying_rate_pct, cr_d30_pct FROM ({Q['exposure_vs_cr']})) ON n_listings, n_pairs, n_qualified, n_positive, pageview_per_listing, qualified_per_listing, qualifying_rate_pct, cr_d30_pct INTO NAME metric VALUE v) GROUP BY metric",
+    "segment_proxy": PROXY,
+    "verify_d30": d30_checks(),
+    "verify_segments": segment_checks(),
+    "other_interaction_verdicts": verdicts(),
+}
+#: As of the end of training, for test users.
+LATER = (("DATE '2024-01-20'", "DATE '2024-01-28'"), ("DATE '2024-01-19'", "DATE '2024-01-27'"))
+PREDICTED = {
+    "merge_candidates_predict": "SELECT * FROM pool",
+    "ranker_input_predict": "SELECT * FROM rin",
+}
+
+
+def _later(name: str, sql: str) -> str:
+    for a, b in LATER:
+        sql = sql.replace(a, b)
+    if name == "srcs":
+        return f"SELECT * FROM ({sql}) WHERE user_id IN (SELECT user_id FROM usr)"
+    return sql.replace("(SELECT DISTINCT user_id FROM ud)", "usr") if name == "globpop" else sql
+
+
 def oracle_sql() -> dict[str, str]:
-    with_ = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items())
-    return {name: f"{with_}\nSELECT * FROM ({sql})" for name, sql in Q.items()}
+    made = lambda change: "WITH " + ",\n".join(f"{name} AS ({change(name, sql)})" for name, sql in CTES.items())
+    now, later = made(lambda name, sql: sql), made(_later)
+    return {name: f"{now}\nSELECT * FROM ({sql})" for name, sql in Q.items()} | {name: f"{later}\nSELECT * FROM ({sql})" for name, sql in PREDICTED.items()}

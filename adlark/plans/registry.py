@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT as C
+from ..config import PREDICT, Config
+from ..operators import altranker, eda, evaluation, features, ranking, rollups, verify
 from ..operators import candidates as ca
-from ..operators import eda, evaluation, features, ranking, rollups
 from ..operators import storyline as st
+from ..operators.lambdarank import LambdaRanker, ndcg
 from ..sources import sinks
 from ..sources import tables as t
 
 
 #: Stages that several later ones read; each is written once per query, so events are not scanned and shuffled again for each reader.
-KEPT = {"item_daily", "uid", "user_category", "pool", "scored", "raw", "submission"}
+KEPT = {"item_daily", "uid", "user_category", "pool", "scored", "raw", "submission", "base_scores", "alt_pairs"}
 
 
 class Stages:
-    """The tables that queries share, each made from the one before when a query asks for it."""
+    """The tables that queries share, each made from the one before when a query asks for it; cfg sets windows and cutoff."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir, self._made = spark, sf_dir, {}
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = C):
+        self.spark, self.dir, self.cfg, self._made = spark, sf_dir, cfg, {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or f"make_{name}" not in dir(type(self)):
@@ -49,41 +52,53 @@ class Stages:
     def make_snap(self):
         return t.snapshot(self.spark, self.dir)
 
+    def make_snap_clean(self):
+        return eda.clean_snapshot(self.snap, self.cfg)
+
     def make_inter(self):
         return t.interactions(self.spark, self.dir)
 
     def make_user_daily(self):
-        return rollups.user_daily(self.events)
+        return rollups.user_daily(self.events, self.cfg)
 
     def make_item_daily(self):
-        return rollups.item_daily(self.events)
+        return rollups.item_daily(self.events, self.cfg)
 
     def make_uid(self):
-        return rollups.user_item_daily(self.events)
+        return rollups.user_item_daily(self.events, self.cfg)
+
+    def _last_day(self) -> str:
+        return (date.fromisoformat(self.cfg.cutoff) - timedelta(1)).isoformat()
 
     def make_user_category(self):
-        return rollups.user_attribute(self.events, "category", "2024-01-19")
+        return rollups.user_attribute(self.events, "category", self._last_day(), self.cfg)
 
     def make_user_city(self):
-        return rollups.user_attribute(self.events, "city_name", "2024-01-19")
+        return rollups.user_attribute(self.events, "city_name", self._last_day(), self.cfg)
 
     def make_matrix(self):
-        return ca.covisit_matrix(self.uid)
+        return ca.covisit_matrix(self.uid, self.cfg)
+
+    def make_asked(self):
+        """Users that get candidates: all with activity, or the test users as of the end of training."""
+        return self.users if self.cfg == PREDICT else self.user_daily.select("user_id").distinct()
 
     def make_sources(self):
-        return [ca.reengagement(self.uid), ca.covisit_candidates(self.uid, self.matrix), ca.category_pop(self.item_daily, self.dim, self.user_category), ca.city_cat_pop(self.item_daily, self.dim, self.user_category, self.user_city), ca.global_pop(self.item_daily, self.user_daily)]
+        c = self.cfg
+        return [ca.reengagement(self.uid, c), ca.covisit_candidates(self.uid, self.matrix, c), ca.category_pop(self.item_daily, self.dim, self.user_category, c), ca.city_cat_pop(self.item_daily, self.dim, self.user_category, self.user_city, c), ca.global_pop(self.item_daily, self.asked, c)]
 
     def make_pool(self):
-        return ca.merge(self.sources)
+        sources = [s.join(self.asked, "user_id", "left_semi") for s in self.sources] if self.cfg == PREDICT else self.sources
+        return ca.merge(sources, self.cfg)
 
     def make_user_features(self):
-        return features.user_features(self.user_daily, self.uid, self.dim)
+        return features.user_features(self.user_daily, self.uid, self.dim, self.cfg)
 
     def make_item_features(self):
-        return features.item_features(self.item_daily, self.dim)
+        return features.item_features(self.item_daily, self.dim, self.cfg)
 
     def make_pair_features(self):
-        return features.pair_features(self.uid, self.pool)
+        return features.pair_features(self.uid, self.pool, self.cfg)
 
     def make_ranker_input(self):
         return features.ranker_input(self.pool, self.user_features, self.item_features, self.pair_features)
@@ -91,14 +106,17 @@ class Stages:
     def make_gt(self):
         return features.ground_truth(self.events)
 
+    def make_labelled(self):
+        return features.labelled(self.pool, self.gt)
+
     def make_scored(self):
         return ranking.LinearRanker().score(self.ranker_input)
 
     def make_raw(self):
-        return ranking.rerank_raw(self.scored)
+        return ranking.rerank_raw(self.scored, self.cfg)
 
     def make_submission(self):
-        return ranking.submission(self.raw, self.users, self.item_daily, self.dim)
+        return ranking.submission(self.raw, self.users, self.item_daily, self.dim, self.cfg)
 
     def make_pos(self):
         return eda.clean_events(self.events)
@@ -109,6 +127,12 @@ class Stages:
     def make_pairs_dim(self):
         return st.pairs_with_dim(self.pairs, self.dim)
 
+    def make_pair_view(self):
+        return st.pair_view(self.pairs_dim)
+
+    def make_funnel(self):
+        return st.funnel(self.pairs)
+
     def make_items(self):
         return st.item_metrics(self.snap, self.dim)
 
@@ -116,13 +140,25 @@ class Stages:
         return st.seller_metrics(self.items)
 
     def make_popularity(self):
-        return eda.item_popularity(self.pos, eda.clean_snapshot(self.snap), self.dim)
+        return eda.item_popularity(self.pos, self.snap_clean, self.dim)
 
     def make_profile(self):
         return eda.user_profile(self.users, self.pos)
 
+    def make_base_scores(self):
+        return eda.baseline_scores(self.profile, self.popularity)
+
     def make_baseline(self):
-        return eda.baseline_top(eda.baseline_scores(self.profile, self.popularity))
+        return eda.baseline_top(self.base_scores)
+
+    def make_alt_items(self):
+        return altranker.item_features(self.snap_clean, self.dim, C.gt_start)
+
+    def make_alt_users(self):
+        return altranker.user_features(self.pos, C.gt_start)
+
+    def make_alt_pairs(self):
+        return altranker.training_pairs(self.pos, self.base_scores, C.gt_start)
 
 
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -135,6 +171,33 @@ def _gbt(s: Stages) -> DataFrame:
     return ranking.GbtRanker(use, iterations=5, depth=3).fit(rows).transform(rows).select("user_id", "item_id", "pred_score")
 
 
+def _lambda(s: Stages):
+    """A ranker fitted to graded labels on sampled pairs of nine tenths of the users, stopped by the others."""
+    rows = features.sampled(s.labelled).join(features.user_split(s.user_daily), "user_id").join(s.ranker_input, ["user_id", "item_id"])
+    return LambdaRanker(features.NUMERIC, rounds=8, patience=3).fit(sinks.stage(rows, "training"))
+
+
+def _lambda_ndcg(s: Stages) -> DataFrame:
+    """NDCG of held-out users' whole candidate lists: by the fitted ranker and by candidate scores."""
+    scores = _lambda(s).transform(s.ranker_input)
+    held = s.labelled.join(features.user_split(s.user_daily).filter("is_val = 1"), "user_id").join(scores, ["user_id", "item_id"])
+    kept = sinks.stage(held, "held")
+    return ndcg(kept, "pred_score").withColumn("ranker", F.lit("lambdarank")).unionByName(ndcg(kept, "candidate_score").withColumn("ranker", F.lit("candidate_score")))
+
+
+def _alt_frame(s: Stages) -> DataFrame:
+    return altranker.training_frame(s.alt_pairs, s.alt_items, s.alt_users)
+
+
+def _alt_scores(s: Stages) -> DataFrame:
+    """The second ranker: fitted to its frame, a fifth of the users held out; ten candidates for each test user."""
+    numbers = [c for c in (*altranker.ITEM_FEATURES, *altranker.USER_FEATURES, *altranker.CROSS_FEATURES) if c not in ("i_ad_type", "i_seller_type", "u_top_city", "x_candidate_source")]
+    frame = _alt_frame(s)
+    rows = sinks.stage(frame.join(altranker.valid_users(frame), "user_id"), "alt")
+    pool = s.base_scores.select("user_id", "item_id", F.col("source").alias("x_candidate_source"))
+    return altranker.ranked(LambdaRanker(numbers, rounds=5, patience=2).fit(rows).transform(altranker.training_frame(pool, s.alt_items, s.alt_users)))
+
+
 def _variants(s: Stages) -> DataFrame:
     greedy = sinks.stage(ranking.greedy_rerank(s.scored, s.dim, C.train_end), "greedy")
     out = None
@@ -162,7 +225,7 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "event_type_daily": lambda s: rollups.event_type_daily(s.events),
     "event_share": lambda s: rollups.event_share(s.events),
     "clean_dim": lambda s: eda.clean_dim(s.dim),
-    "clean_snapshot": lambda s: eda.clean_snapshot(s.snap),
+    "clean_snapshot": lambda s: s.snap_clean,
     "clean_interactions": lambda s: eda.clean_interactions(s.inter),
     "clean_events": lambda s: s.pos,
     "reengagement": lambda s: s.sources[0],
@@ -179,8 +242,8 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "ranker_input": lambda s: s.ranker_input,
     "feature_diagnostics": lambda s: features.diagnostics(s.user_features),
     "internal_gt": lambda s: s.gt,
-    "graded_labels": lambda s: features.labelled(s.pool, s.gt),
-    "negative_sample": lambda s: features.sampled(features.labelled(s.pool, s.gt)),
+    "graded_labels": lambda s: s.labelled,
+    "negative_sample": lambda s: features.sampled(s.labelled),
     "user_split": lambda s: features.user_split(s.user_daily),
     "group_sizes": lambda s: features.group_sizes(s.pool),
     "linear_scores": lambda s: s.scored.select("user_id", "item_id", "pred_score"),
@@ -209,9 +272,9 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "eda_07_interaction_tier": lambda s: eda.interaction_tiers(s.users, eda.clean_interactions(s.inter)),
     "eda_08_event_types": lambda s: eda.event_breakdown(s.pos),
     "eda_09_session_tier": lambda s: eda.session_tiers(s.pos),
-    "eda_10_weekly_market": lambda s: eda.weekly_market(eda.clean_snapshot(s.snap)),
+    "eda_10_weekly_market": lambda s: eda.weekly_market(s.snap_clean),
     "pair_flags": lambda s: s.pairs,
-    "d30_funnel": lambda s: st.funnel(s.pairs),
+    "d30_funnel": lambda s: s.funnel,
     "daily_counts": lambda s: st.daily_counts(s.events),
     "daily_pair_rates": lambda s: st.daily_pair_rates(s.events),
     "dwell_quantiles": lambda s: st.dwell_quantiles(s.events),
@@ -251,9 +314,36 @@ QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "audit_flag_crosstab": lambda s: st.flag_crosstab(s.events),
     "exposure_vs_cr": lambda s: st.exposure_vs_rate(s.pairs_dim),
     "segment_seller_crosstab": lambda s: st.segment_seller_crosstab(s.pairs_dim),
-    "verify_slices": lambda s: st.verify_slices(s.pairs_dim, st.funnel(s.pairs)),
+    "alt_item_features": lambda s: s.alt_items,
+    "alt_user_features": lambda s: s.alt_users,
+    "alt_training_pairs": lambda s: s.alt_pairs,
+    "alt_popular_pairs": lambda s: altranker.popular_pairs(s.pos, C.gt_start),
+    "alt_training_frame": _alt_frame,
+    "alt_holdout": lambda s: altranker.holdout(s.pos, C.gt_start, C.gt_end),
+    "alt_ranker_top10": _alt_scores,
+    "lambdarank_scores": lambda s: _lambda(s).transform(s.ranker_input),
+    "lambdarank_ndcg": _lambda_ndcg,
+    "pair_view": lambda s: s.pair_view,
+    "slide_rates": lambda s: st.slide_rates(s.pair_view),
+    "slide_concentration": lambda s: st.slide_concentration(s.pair_view),
+    "cold_tiers": lambda s: st.cold_tiers(eda.cold_start(s.users, s.pos, s.inter)),
+    "summary_metrics": lambda s: st.summary_metrics(s.funnel, st.user_segments(s.users, s.events), s.pairs, s.pairs_dim, s.sellers),
+    "exposure_ratios": lambda s: st.exposure_ratios(st.exposure_vs_rate(s.pairs_dim)),
+    "segment_proxy": lambda s: verify.segment_proxy(s.dim),
+    "verify_d30": lambda s: verify.verify_d30(s.pairs_dim, s.funnel),
+    "verify_segments": lambda s: verify.verify_segments(s.pairs_dim, s.dim, s.funnel),
+    "other_interaction_verdicts": lambda s: verify.other_interaction_verdicts(st.attribute_share(s.events, "surface"), st.dwell_audit(s.events), st.session_audit(s.events), st.direct_audit(s.events), st.flag_crosstab(s.events)),
+    "verify_slices": lambda s: st.verify_slices(s.pairs_dim, s.funnel),
+}
+
+
+#: The same stages as of the end of training, for test users.
+AT_PREDICTION: dict[str, Callable[[Stages], DataFrame]] = {
+    "merge_candidates_predict": lambda s: s.fresh("pool"),
+    "ranker_input_predict": lambda s: s.ranker_input,
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, sf_dir, f=f: f(Stages(spark, sf_dir))) for name, f in QUERIES.items()}
+    made = {name: (lambda spark, sf_dir, f=f: f(Stages(spark, sf_dir))) for name, f in QUERIES.items()}
+    return made | {name: (lambda spark, sf_dir, f=f: f(Stages(spark, sf_dir, PREDICT))) for name, f in AT_PREDICTION.items()}
