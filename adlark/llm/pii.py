@@ -18,6 +18,8 @@ of each character within its class.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +50,10 @@ class Cipher:
     """SQL expressions of the permutations under a key."""
 
     def __init__(self, key: str, rounds: int = ROUNDS):
-        self.key, self.rounds = key.encode().hex(), rounds
+        if not key:
+            raise ValueError("pseudonyms need a key")
+        # plans and event logs show a derived key, not the caller's
+        self.key, self.rounds = hashlib.sha256(b"pseudonyms:" + key.encode()).hexdigest(), rounds
 
     def _hash(self, kind: str, other: str, turn: str = "i") -> str:
         return f"sha2(concat('{self.key}:{kind}:', {turn}, ':', {other}), 256)"
