@@ -31,6 +31,9 @@ LPC, PRECISION, SHIFT = 3, 13, 10
 LPC_BYTES = (9 + LPC * PRECISION) // 8
 LPC_KIND = 32 + LPC - 1 << 1
 PCM_BLOCK = 4096
+#: Frames of a seek point, and the name of the metadata block that has the length of each frame in two bytes.
+SEEK_FRAMES = 16
+SIZES = b"adlk"
 FIXED = ([], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1])
 
 
@@ -184,7 +187,7 @@ def encode_frames(x: np.ndarray, number: np.ndarray) -> tuple[bytes, np.ndarray]
 
 
 def encode_many(payloads: list[bytes]) -> list[bytes]:
-    """A mono stream of 8-bit samples for each payload (byte - 128; a multiple of 576 bytes), with a seek point a frame."""
+    """A mono stream of 8-bit samples for each payload (byte - 128; a multiple of 576 bytes), with seek points and frames' lengths."""
     count = np.array([len(p) // BLOCK for p in payloads], np.int64)
     if not len(count):
         return []
@@ -197,10 +200,12 @@ def encode_many(payloads: list[bytes]) -> list[bytes]:
         size = np.diff(at[a : a + c + 1])
         md5 = hashlib.md5(signed[a : a + c].tobytes()).digest()
         info = struct.pack(">HH", BLOCK, BLOCK) + int(size.min()).to_bytes(3, "big") + int(size.max()).to_bytes(3, "big") + (RATE << 44 | 7 << 36 | c * BLOCK).to_bytes(8, "big") + md5
-        points = np.zeros(c, [("sample", ">u8"), ("offset", ">u8"), ("n", ">u2")])
-        points["sample"], points["offset"], points["n"] = np.arange(c) * BLOCK, at[a : a + c] - at[a], BLOCK
+        points = np.zeros(-(-c // SEEK_FRAMES), [("sample", ">u8"), ("offset", ">u8"), ("n", ">u2")])
+        points["sample"], points["offset"], points["n"] = np.arange(0, c, SEEK_FRAMES) * BLOCK, (at[a : a + c] - at[a])[::SEEK_FRAMES], BLOCK
         blocks = [(0, info)]
-        for k in range(0, c, 900_000):  # a metadata block has 24 bits for its length
+        for k in range(0, c, 8_000_000):  # a metadata block has 24 bits for its length
+            blocks.append((2, SIZES + size[k : k + 8_000_000].astype("<u2").tobytes()))
+        for k in range(0, len(points), 900_000):
             blocks.append((3, points[k : k + 900_000].tobytes()))
         meta = b"".join(bytes([kind | 0x80 * (j == len(blocks) - 1)]) + len(b).to_bytes(3, "big") + b for j, (kind, b) in enumerate(blocks))
         out.append(b"fLaC" + meta + data[at[a] : at[a + c]])
@@ -238,10 +243,10 @@ class Bits:
 
 
 def metadata(data: bytes) -> dict:
-    """STREAMINFO, the seek points that aren't placeholders, and the byte where frames begin."""
+    """STREAMINFO, the seek points that aren't placeholders, frames' lengths if they are there, and the byte where frames begin."""
     if data[:4] != b"fLaC":
         raise ValueError("not a FLAC stream")
-    at, last, out = 4, False, {"seek": []}
+    at, last, out = 4, False, {"seek": [], "sizes": []}
     while not last:
         if at + 4 > len(data) or at + 4 + int.from_bytes(data[at + 1 : at + 4], "big") > len(data):
             raise ValueError("the metadata ends too early")
@@ -252,6 +257,8 @@ def metadata(data: bytes) -> dict:
                 raise ValueError("STREAMINFO has another length")
             v = int.from_bytes(b[10:18], "big")
             out |= {"rate": v >> 44, "channels": (v >> 41 & 7) + 1, "bits": (v >> 36 & 31) + 1, "samples": v & (1 << 36) - 1, "md5": b[18:34], "block": struct.unpack(">HH", b[:4])}
+        elif kind == 2 and b[:4] == SIZES and n % 2 == 0:
+            out["sizes"].append(np.frombuffer(b[4:], "<u2").astype(np.int64))
         elif kind == 3:
             if n % 18:
                 raise ValueError("a seek table has another length")
@@ -261,6 +268,7 @@ def metadata(data: bytes) -> dict:
     if "samples" not in out:
         raise ValueError("STREAMINFO is missing")
     out["seek"] = np.concatenate(out["seek"]) if out["seek"] else np.zeros(0, [("sample", ">u8"), ("offset", ">u8"), ("n", ">u2")])
+    out["sizes"] = np.concatenate(out["sizes"]) if out["sizes"] else np.zeros(0, np.int64)
     return out | {"body": at}
 
 
@@ -453,14 +461,14 @@ def decode_frames(buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.
 
 
 def decoded(streams: list[bytes]) -> list[np.ndarray | ValueError]:
-    """Samples of streams, or what is wrong with one; those with a seek point for each frame of the plain kind are decoded side by side."""
+    """Samples of streams, or what is wrong with one; those that give the lengths of their frames, all of the plain kind, are decoded side by side."""
     infos = [_tried(metadata, s) for s in streams]
-    plain = [i for i, m in enumerate(infos) if not isinstance(m, ValueError) and m["channels"] == 1 and m["bits"] == 8 and m["block"] == (BLOCK, BLOCK) and len(m["seek"]) * BLOCK == m["samples"] > 0 and _in_order(m, streams[i])]
+    plain = [i for i, m in enumerate(infos) if not isinstance(m, ValueError) and m["channels"] == 1 and m["bits"] == 8 and m["block"] == (BLOCK, BLOCK) and len(m["sizes"]) * BLOCK == m["samples"] > 0 and m["sizes"].min() >= 10 and m["body"] + m["sizes"].sum() == len(streams[i])]
     done: dict[int, np.ndarray | ValueError] = {i: m for i, m in enumerate(infos) if isinstance(m, ValueError)}
     if plain:
         base = np.cumsum([0, *(len(streams[i]) for i in plain)])
-        start = np.concatenate([base[k] + infos[i]["body"] + infos[i]["seek"]["offset"].astype(np.int64) for k, i in enumerate(plain)])
-        count = np.array([len(infos[i]["seek"]) for i in plain])
+        start = np.concatenate([base[k] + infos[i]["body"] + np.cumsum(infos[i]["sizes"]) - infos[i]["sizes"] for k, i in enumerate(plain)])
+        count = np.array([len(infos[i]["sizes"]) for i in plain])
         last = np.cumsum(count) - 1
         ends = np.append(start[1:], 0)
         ends[last] = base[1:]
@@ -492,12 +500,6 @@ def _tried(f, *args):
         return ValueError(f"damaged: {e!r}")
 
 
-def _in_order(info: dict, data: bytes) -> bool:
-    """Whether seek points lie in the stream, each at least a shortest frame behind the one before."""
-    at = np.append(info["seek"]["offset"].astype(np.int64), len(data) - info["body"])
-    return bool(at[0] == 0 and (np.diff(at) >= 10).all())
-
-
 # ---------------------------------------------------------------- operators
 
 

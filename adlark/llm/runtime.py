@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import functools
 import os
@@ -91,18 +92,34 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFrame, str]:
+def stored(df: DataFrame, name: str, codec: str = "zstd", level: int = 3) -> tuple[DataFrame, str]:
     """Write df to a table in the shared folder and read it again: lineage ends there and lost executors cost nothing done before."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/adlark-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    _left(spark).add(path)
+    df.write.option("compression", codec).option("parquet.compression.codec.zstd.level", level).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def _left(spark: SparkSession) -> set[str]:
+    """Scratch tables of this application that are still there; they go when Python ends, if the session is still up."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_adlark_left"):
+        sc._adlark_left = set()
+
+        def clean() -> None:
+            with contextlib.suppress(Exception):  # the session may have been stopped
+                drop(spark, *list(sc._adlark_left))
+
+        atexit.register(clean)
+    return sc._adlark_left
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Delete scratch tables that nothing will read again."""
     jvm = spark.sparkContext._jvm
     for path in paths:
+        _left(spark).discard(path)
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
