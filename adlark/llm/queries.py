@@ -54,7 +54,7 @@ def op10_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_flac_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .flac import digests, store
 
-    return digests(stored(store(table(spark, sf_dir, "documents")), "media")[0])
+    return digests(stored(store(table(spark, sf_dir, "documents")), "media", level=9)[0])
 
 
 def op9_ranked_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

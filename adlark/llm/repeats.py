@@ -16,9 +16,9 @@ of all suffixes of the block: by the dictionary suffix up to the next trigger, t
 on. A string repeats exactly if a neighbour in that order shares its MIN bytes. A seed with more than HOT different phrases
 would make a block too large; its strings are named by a 128-bit hash and counted instead, which any number of tasks share.
 
-Passages of a number of words, whatever their bytes, are found in the same way: a text becomes a string of words, each known by
-a hash of 64 bits, and a symbol of a string is a word where it is a byte above. `item` is the bytes of a symbol, 1 or WORD;
-lengths and places count symbols.
+Passages of a number of words, whatever their bytes, are found in the same way and by the same jobs: a text becomes a string of
+words, each known by a hash of 64 bits, and a symbol of a string is a word where it is a byte above. `item` is the bytes of a
+symbol, 1 or WORD; lengths and places count symbols. A search is an item and a length; seeds of different searches differ.
 
 Equality of phrases as wholes, and of hot strings, is that of polynomial hashes modulo 2**64; strings made to defeat these
 (Thue-Morse words of thousands of symbols) are out of scope.
@@ -36,7 +36,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import drop, frugal, prepare, stored, tasks
-from .words import words_of
 
 MIN = 400
 GRAM = 8
@@ -49,8 +48,25 @@ BUFFER = 1 << 20
 _POS = np.uint64((1 << 24) - 1)
 _MAP = np.random.default_rng(3).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-#: Documents whose occurrences of one phrase travel as one row.
-TOGETHER = 16
+#: Bytes between words, and what each byte counts as in a word: A to Z as a to z.
+_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
+
+
+def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word of a text, and the byte behind it."""
+    edge = np.flatnonzero(np.diff(_WHITE[buf], prepend=True, append=True))
+    return edge[::2], edge[1::2]
+
+
+def coded(text: bytes) -> bytes:
+    """A text as a string of WORD bytes for each of its words, a hash of it."""
+    buf = np.frombuffer(text, np.uint8)
+    start, end = word_spans(buf)
+    if not len(start):
+        return b""
+    h = Hashes(_LOWER[buf]).of(start, end) ^ (end - start).astype(np.uint64) * np.uint64(_BASE[1])
+    return h.astype("<u8").tobytes()
 
 
 def symbols(data: bytes, item: int) -> np.ndarray:
@@ -133,9 +149,8 @@ def phrases(buf: np.ndarray, size: np.ndarray, length: int = MIN) -> tuple[np.nd
     return text[new], at[new], at[last], trigger[new]
 
 
-def _batches(batch: pa.RecordBatch, column: str, length: int, item: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _batches(texts: list[np.ndarray], length: int, item: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows whose texts have BUFFER bytes together, or one longer text in overlapping parts: first row, offset in it, symbols, sizes."""
-    texts = [symbols(b or b"", item) for b in batch.column(column).cast(pa.large_binary()).to_pylist()]
     a, held, most = 0, 0, BUFFER // item
     for i, t in enumerate([*texts, None]):
         if t is None or held + len(t) > most:
@@ -153,18 +168,54 @@ def _batches(batch: pa.RecordBatch, column: str, length: int, item: int) -> Iter
             held += len(t)
 
 
-def _parse(length: int, item: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _salt(item: int, length: int) -> np.uint64:
+    return np.uint64((item * 0x9E3779B97F4A7C15 + length * 0xD1342543DE82EF95) & (1 << 64) - 1)
+
+
+def _coded_all(raw: list[bytes]) -> list[np.ndarray]:
+    """Words of texts, hashed over all texts at once, but for long ones."""
+    out: list[np.ndarray | None] = [symbols(coded(t), WORD) if len(t) > BUFFER else None for t in raw]
+    a, held = 0, 0
+    for i, t in enumerate([*raw, None]):
+        if t is None or len(t) > BUFFER or held + len(t) > BUFFER:
+            part = [k for k in range(a, i) if out[k] is None]
+            if part:  # texts joined by a blank, which ends their last words
+                size = np.array([len(raw[k]) for k in part], np.int64)
+                buf = np.frombuffer(b" ".join(raw[k] for k in part), np.uint8)
+                start, _ = word_spans(buf)
+                flat = symbols(coded(buf.tobytes()), WORD)
+                cut = np.searchsorted(start, np.cumsum(size + 1) - (size + 1))
+                for k, x in zip(part, np.split(flat, cut[1:])):
+                    out[k] = x
+            a, held = i, 0
+        held += len(t or b"")
+    return out
+
+
+def _parse(searches: tuple[tuple[int, int], ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
     for batch in batches:
-        for row, skip, buf, size in _batches(batch, "text", length, item):
-            text, lo, hi, trigger = phrases(buf, size, length)
-            if not len(text):
-                continue
-            h = Hashes(buf)
-            seed = h.of(trigger, trigger + length - span(length) + 1).view(np.int64)
-            base = (np.cumsum(size) - size)[text]
-            uid = batch.column("uid").to_numpy()[row + text]
-            yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(h.of(lo, hi + length).view(np.int64)), pa.array(uid), pa.array(lo - base + skip), pa.array((hi - lo + 1).astype(np.int32))], names=["seed", "long", "uid", "lo", "n"])
+        raw = [b or b"" for b in batch.column("text").cast(pa.large_binary()).to_pylist()]
+        uids = batch.column("uid").to_numpy()
+        for item, length in searches:
+            texts = _coded_all(raw) if item == WORD else [symbols(b, 1) for b in raw]
+            for row, skip, buf, size in _batches(texts, length, item):
+                text, lo, hi, trigger = phrases(buf, size, length)
+                if not len(text):
+                    continue
+                h = Hashes(buf)
+                seed = h.of(trigger, trigger + length - span(length) + 1) ^ _salt(item, length)
+                base = (np.cumsum(size) - size)[text]
+                long = h.of(lo, hi + length)
+                # occurrences of a phrase in these texts travel as one row
+                order = np.lexsort((long, seed))
+                new = np.flatnonzero(np.r_[True, (np.diff(seed[order]) != 0) | (np.diff(long[order]) != 0)])
+                cut, first = pa.array(np.append(new, len(order)).astype(np.int32)), order[new]
+                occurs = pa.StructArray.from_arrays([pa.array(uids[row + text[order]]), pa.array((lo - base + skip)[order]), pa.array((hi - lo + 1)[order].astype(np.int32))], names=["uid", "lo", "n"])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(seed[first].view(np.int64)), pa.array(long[first].view(np.int64)), pa.array(np.diff(np.append(new, len(order)))),
+                    pa.array(np.full(len(new), item, np.int8)), pa.ListArray.from_arrays(cut, occurs),
+                ], names=["seed", "long", "m", "item", "at"])
 
 
 # ---------------------------------------------------------------- suffix arrays of a block
@@ -256,104 +307,92 @@ def _runs(flag: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
-def _sort_block(length: int, item: int, block: pd.DataFrame) -> pd.DataFrame:
+def _sort_block(lengths: dict[int, int], block: pd.DataFrame) -> pd.DataFrame:
     frugal()
-    block = block.sort_values(["seed", "long"])
-    found = repeated(block["bytes"].tolist(), block["n"].tolist(), block["m"].tolist(), length, item)
+    block, item = block.sort_values(["seed", "long"]), int(block["item"].iloc[0])
+    found = repeated(block["bytes"].tolist(), block["n"].tolist(), block["m"].tolist(), lengths[item], item)
     rows = [(uid, lo + a, lo + b) for uid, lo, m, flag in zip(block["uid"], block["lo"], block["m"], found) if m == 1 for a, b in _runs(flag)]
-    return pd.DataFrame(rows, columns=["uid", "first", "last"], dtype="int64")
+    return pd.DataFrame(rows, columns=["uid", "first", "last"], dtype="int64").assign(item=np.int8(item))
 
 
-def _cut(length: int, item: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(lengths: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The symbols of each listed phrase of a text."""
     frugal()
+    kinds = {"n": pa.int32(), "bytes": pa.binary(), "hot": pa.bool_(), "item": pa.int8()}
     for batch in batches:
         for text, rows in zip(batch.column("text").cast(pa.large_binary()), batch.column("rows").to_pylist()):
-            text, uid = text.as_py(), None
             if rows:
-                keys = list(rows[0])
-                cols = {k: [r[k] for r in rows] for k in keys}
-                cols["bytes"] = [text[r["lo"] * item : (r["lo"] + r["n"] + length - 1) * item] for r in rows]
-                kind = {"n": pa.int32(), "bytes": pa.binary(), "hot": pa.bool_()}
-                yield pa.RecordBatch.from_arrays([pa.array(cols[k], kind.get(k, pa.int64())) for k in cols], names=list(cols))
+                data = {1: text.as_py()}
+                if any(r["item"] == WORD for r in rows):
+                    data[WORD] = coded(data[1])
+                cols = {k: [r[k] for r in rows] for k in rows[0]}
+                cols["bytes"] = [data[r["item"]][r["lo"] * r["item"] : (r["lo"] + r["n"] + lengths[r["item"]] - 1) * r["item"]] for r in rows]
+                yield pa.RecordBatch.from_arrays([pa.array(cols[k], kinds.get(k, pa.int64())) for k in cols], names=list(cols))
 
 
-def _names(length: int, item: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _names(lengths: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """128-bit names of all strings of phrases."""
     frugal()
-    for batch in batches:
-        texts = batch.column("bytes").to_pylist()
-        for k in range(0, len(texts), 2000):
-            part = texts[k : k + 2000]
-            size = np.array([len(t) // item for t in part], np.int64)
-            count = size - length + 1
-            buf = symbols(b"".join(part), item)
-            row = np.repeat(np.arange(len(part)), count)
-            at = np.arange(int(count.sum())) + np.repeat(np.cumsum(size) - size - (np.cumsum(count) - count), count)
-            rel = at - (np.cumsum(size) - size)[row]
-            col = lambda c: batch.column(c).to_numpy()[k : k + 2000][row]
-            yield pa.RecordBatch.from_arrays([pa.array(Hashes(buf).of(at, at + length).view(np.int64)), pa.array(Hashes(buf, 1).of(at, at + length).view(np.int64)), pa.array(col("m")), pa.array(col("uid")), pa.array(col("lo") + rel)], names=["h1", "h2", "m", "uid", "first"])
+    for whole in batches:
+        for item, length in lengths.items():
+            batch = whole.filter(pa.array(whole.column("item").to_numpy() == item))
+            texts = batch.column("bytes").to_pylist()
+            for k in range(0, len(texts), 2000):
+                part = texts[k : k + 2000]
+                size = np.array([len(t) // item for t in part], np.int64)
+                count = size - length + 1
+                buf = symbols(b"".join(part), item)
+                row = np.repeat(np.arange(len(part)), count)
+                at = np.arange(int(count.sum())) + np.repeat(np.cumsum(size) - size - (np.cumsum(count) - count), count)
+                rel = at - (np.cumsum(size) - size)[row]
+                col = lambda c: batch.column(c).to_numpy()[k : k + 2000][row]
+                name = Hashes(buf).of(at, at + length) ^ _salt(item, length)
+                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(Hashes(buf, 1).of(at, at + length).view(np.int64)), pa.array(col("m")), pa.array(col("uid")), pa.array(col("lo") + rel), pa.array(np.full(len(at), item, np.int8))], names=["h1", "h2", "m", "uid", "first", "item"])
 
 
 # ---------------------------------------------------------------- operator
 
 
-def repeat_starts(rows: DataFrame, length: int = MIN, item: int = 1) -> DataFrame:
-    """Runs uid, first, last of starts (numbers of symbols) of strings of `length` symbols that start elsewhere too; rows: uid, text.
+def repeat_starts(rows: DataFrame, length: int | None = MIN, words: int | None = None) -> DataFrame:
+    """Runs item, uid, first, last of starts of strings that start elsewhere too; rows: uid, text, a stored table.
 
-    rows must be a stored table, or cost little and give the same rows each time.
+    Item 1: strings of `length` bytes, places in bytes. Item WORD: passages of so many words, places in words.
     """
     spark = rows.sparkSession
     prepare(spark)
-    every, every_path = stored(rows.mapInArrow(lambda b: _parse(length, item, b), "seed long, long long, uid long, lo long, n int"), "phrases")
+    searches = (*([(1, length)] if length else []), *([(WORD, words)] if words else []))
+    lengths = dict(searches)
+    schema = "seed long, long long, m long, item byte, at array<struct<uid: bigint, lo: bigint, n: int>>"
+    every, every_path = stored(rows.mapInArrow(lambda b: _parse(searches, b), schema), "phrases")
     # tables of their own, so that joins deal both sides anew and a seed with very many phrases can be split
-    twice, twice_path = stored(every.groupBy("seed").count().filter("count > 1").select("seed"), "twice")
-    part = F.shiftright("uid", (TOGETHER - 1).bit_length())
-    part_of = every.join(twice, "seed").withColumn("part", part).repartition(tasks(spark), "seed", "long", "part")
-    groups = part_of.groupBy("seed", "long", "part").agg(F.count("*").alias("m"), F.min(F.struct("uid", "lo", "n")).alias("one"), F.collect_list(F.struct("uid", "lo", "n")).alias("at"))
-    groups, groups_path = stored(groups, "groups")  # a row for a phrase in TOGETHER documents
-    kinds, kinds_path = stored(groups.groupBy("seed", "long").agg(F.sum("m").alias("m"), F.min("one").alias("one")), "kinds")
-    often = groups.select("seed", "long", "part", "at").join(kinds.filter("m > 1").select("seed", "long"), ["seed", "long"])
-    whole = often.repartition(tasks(spark), "part").select(F.explode("at").alias("x")).select("x.uid", F.col("x.lo").alias("first"), (F.col("x.lo") + F.col("x.n") - 1).alias("last"))
+    twice, twice_path = stored(every.groupBy("seed").agg(F.sum("m").alias("c")).filter("c > 1").select("seed"), "twice")
+    groups, groups_path = stored(every.join(twice, "seed"), "groups")
+    one = F.struct(F.col("at")[0]["uid"].alias("uid"), F.col("at")[0]["lo"].alias("lo"), F.col("at")[0]["n"].alias("n"), "item")
+    kinds, kinds_path = stored(groups.groupBy("seed", "long").agg(F.sum("m").alias("m"), F.min(one).alias("one")), "kinds")
+    often = groups.join(kinds.filter("m > 1").select("seed", "long"), ["seed", "long"]).withColumn("part", F.xxhash64("seed", F.col("at")[0]["uid"]))
+    whole = often.repartition(tasks(spark), "part").select("item", F.explode("at").alias("x")).select("x.uid", F.col("x.lo").alias("first"), (F.col("x.lo") + F.col("x.n") - 1).alias("last"), "item")
     mixed, mixed_path = stored(kinds.groupBy("seed").agg(F.count("*").alias("k"), F.min("m").alias("least")).filter("k > 1 and least = 1").select("seed", (F.col("k") > HOT).alias("hot")), "mixed")
-    edges = kinds.join(mixed, "seed").select("seed", "long", "m", "one.uid", "one.lo", "one.n", "hot")
-    by_text = edges.groupBy("uid").agg(F.collect_list(F.struct("seed", "long", "m", "uid", "lo", "n", "hot")).alias("rows"))  # phrases of one text
-    cut = rows.join(by_text, "uid").select("text", "rows").mapInArrow(lambda b: _cut(length, item, b), "seed long, long long, m long, uid long, lo long, n int, hot boolean, bytes binary")
+    edges = kinds.join(mixed, "seed").select("seed", "long", "m", "one.uid", "one.lo", "one.n", "one.item", "hot")
+    by_text = edges.groupBy("uid").agg(F.collect_list(F.struct("seed", "long", "m", "uid", "lo", "n", "item", "hot")).alias("rows"))  # phrases of one text
+    cut = rows.join(by_text, "uid").select("text", "rows").mapInArrow(lambda b: _cut(lengths, b), "seed long, long long, m long, uid long, lo long, n int, item byte, hot boolean, bytes binary")
     pieces, pieces_path = stored(cut, "edges")
     n, hot = pieces.agg(F.count("*"), F.coalesce(F.sum(F.col("hot").cast("long")), F.lit(0))).first()
     blocks = max(1, -(-(n - hot) // BLOCK_ROWS))
-    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(blocks, tasks(spark)), "block").groupBy("block").applyInPandas(lambda b: _sort_block(length, item, b), "uid long, first long, last long")
-    found = whole.union(sorted_)
+    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(2 * blocks, tasks(spark)), "item", "block").groupBy("item", "block").applyInPandas(lambda b: _sort_block(lengths, b), "uid long, first long, last long, item byte")
+    found = whole.unionByName(sorted_)
     if hot:
-        names, names_path = stored(pieces.filter("hot").mapInArrow(lambda b: _names(length, item, b), "h1 long, h2 long, m long, uid long, first long"), "names")
+        names, names_path = stored(pieces.filter("hot").mapInArrow(lambda b: _names(lengths, b), "h1 long, h2 long, m long, uid long, first long, item byte"), "names")
         shared, shared_path = stored(names.groupBy("h1", "h2").agg(F.sum("m").alias("c")).filter("c > 1").select("h1", "h2"), "shared")
-        found = found.union(names.filter("m = 1").join(shared, ["h1", "h2"]).select("uid", "first", F.col("first").alias("last")))
+        found = found.unionByName(names.filter("m = 1").join(shared, ["h1", "h2"]).select("uid", "first", F.col("first").alias("last"), "item"))
     out, _ = stored(found, "starts")
     drop(spark, every_path, twice_path, groups_path, kinds_path, mixed_path, pieces_path, *([names_path, shared_path] if hot else []))
     return out
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as strings of WORD bytes for each of their words, a hash of it."""
-    frugal()
-    for batch in batches:
-        bounds, index, vocab = words_of(batch.column("text"))
-        name = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=WORD).digest() for w in vocab.to_pylist()), "<u8")
-        code = name[index].tobytes()
-        yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array([code[a * WORD : b * WORD] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())], names=["uid", "text"])
-
-
-def passage_starts(rows: DataFrame, words: int) -> DataFrame:
-    """Runs uid, first, last of starts (numbers of words) of passages of so many words that start elsewhere too; rows: uid, text."""
-    prepare(rows.sparkSession)
-    return repeat_starts(rows.mapInArrow(_coded, "uid long, text binary"), words, WORD)
-
-
 def _passages(text: bytes, runs: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
     """Ranges of bytes of the passages at these runs of words, from the first word's first byte to the last one's last."""
-    white = np.isin(np.frombuffer(text, np.uint8), np.array([9, 10, 11, 12, 13, 32], np.uint8))
-    edge = np.flatnonzero(np.diff(np.r_[True, white, True].astype(np.int8)))
-    return [(int(edge[2 * a]), int(edge[2 * (b + words - 1) + 1])) for a, b in runs]
+    start, end = word_spans(np.frombuffer(text, np.uint8))
+    return [(int(start[a]), int(end[b + words - 1])) for a, b in runs]
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -410,11 +449,10 @@ def _joined(docs: DataFrame, words: int | None = None) -> DataFrame:
     rest = [docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(docs.columns) if c != "text"]
     numbered, _ = stored(docs.select(*rest, F.coalesce(docs["text"].cast("string"), F.lit("")).alias("_text"), F.monotonically_increasing_id().alias("uid")), "numbered", "snappy")
     rows = numbered.select("uid", F.col("_text").alias("text"))
-    by_text = lambda runs, name: runs.groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias(name))
-    out = numbered.join(by_text(repeat_starts(rows), "_runs"), "uid", "left")
-    if words:
-        out = out.join(by_text(passage_starts(rows, words), "_words"), "uid", "left")
-    return out.drop("uid")
+    run = F.struct("first", "last")
+    of = lambda item: F.collect_list(F.when(F.col("item") == item, run))
+    by_text = repeat_starts(rows, MIN, words).groupBy("uid").agg(of(1).alias("_runs"), *([of(WORD).alias("_words")] if words else []))
+    return numbered.join(by_text, "uid", "left").drop("uid")
 
 
 def _schema(joined: DataFrame) -> str:
