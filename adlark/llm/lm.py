@@ -2,17 +2,20 @@
 
 Tokens are a text's words and one end. Every word that occurs COUNT times or more is a unit with vectors of its own, as context
 and as prediction, so the model grows with the corpus up to VOCABULARY words, the most frequent ones; all others share
-units, by a hash of their last two bytes, and count by themselves within them. The softmax has three levels: the most frequent words and the hashes of all others are classes, a class has groups, a group
-has units, about as many of them as there are groups. With h = T1 * r_a + T2 * r_b (diagonal T1, T2) of the two units before,
+units, by a hash of their last two bytes, and count by themselves within them. The softmax has three levels: the most
+frequent words and the hashes of all others are classes, a class has groups, a group has units, about as many of them as there
+are groups:
 
-    p(w | b, a) = p(class | h) p(group | class, h) p(w | group, h),    each a softmax of h . q + bias
+    p(w | b, a) = p(class | classes of b, a) p(group | class, h) p(w | group, h),    h = T1 * r_a + T2 * r_b
 
-and a rarer word has its smoothed share of its unit, (count + 1) / (tokens + words + 1). Scores are exact.
+with diagonal T1, T2, each a softmax of the context's vector with those of what is predicted, and biases; a rarer word has its
+smoothed share of its unit, (count + 1) / (tokens + words + 1). Scores are exact.
 
-Training starts from a model of the classes alone, fitted on the driver to counted class triples, of which there are at most
-CLASSES + 1 squared times CLASSES. Its vectors are the first ones of the units. Then a pass reads all training tokens: every
-task steps through its own by noise-contrastive estimation, with noise from the same parent at each level, and the tables
-of the tasks are averaged, each row by how often a task used it, in whole numbers, so the order of tasks has no effect.
+Both parts are trained by noise-contrastive estimation. The classes' model is fitted on the driver to counted class triples, of
+which there are at most CLASSES + 1 squared times CLASSES; matrix products give its probabilities after all contexts once.
+Its vectors are the first ones of the units. Then a pass reads all training tokens: every task steps through its own, with noise
+from the same parent at each level, and the tables of the tasks are averaged, each row by how often a task used it, in whole
+numbers, so the order of tasks has no effect.
 
 Words with vectors, and these, go to each worker; the counts of all others meet the documents in a join.
 """
@@ -28,15 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import drop, prepare, stored
-from .words import count_words, frequent, words_of
+from .runtime import drop, prepare, stored, tidied
+from .words import Spans, count_words, frequent, hashes
 
 TOP_WORDS, SHAPES = 96, 32
 CLASSES = TOP_WORDS + SHAPES
 COUNT = 5
-#: Most words with vectors of their own, which bounds what is sent to each worker (about 50 MB).
-VOCABULARY = 200_000
+#: Most words with vectors of their own, which bounds what is sent to each worker (about 25 MB).
+VOCABULARY = 100_000
 PASSES = 1
+#: Bits of hashes by which units are found.
+PREFIX = 18
+#: Tokens of a step of the pass.
+STEP = 8192
 END = b""  # no word is empty
 
 
@@ -45,6 +52,10 @@ def shape(word: bytes) -> int:
     return TOP_WORDS + zlib.crc32(word[-2:]) % SHAPES
 
 
+#: shape() by a word's last two bytes (the last one alone: 65536 and on).
+_SHAPE_OF = np.array([shape(bytes([k >> 8, k & 255])) for k in range(1 << 16)] + [shape(bytes([k])) for k in range(256)], np.int64)
+
+
 @dataclass
 class LogBilinear:
     """r, q: vectors of context and predicted classes; t: position weights; bias. Class CLASSES stands before a text."""
@@ -74,7 +85,7 @@ class LogBilinear:
         return self._table
 
 
-def train(cells: np.ndarray, counts: np.ndarray, dim: int = 24, noise: int = 12, batch: int = 2048, steps: int = 1500, seed: int = 7) -> LogBilinear:
+def train(cells: np.ndarray, counts: np.ndarray, dim: int = 16, noise: int = 12, batch: int = 2048, steps: int = 1500, seed: int = 7) -> LogBilinear:
     """Fit to counted class triples, coded ((before * n) + last) * CLASSES + class with n = CLASSES + 1, by NCE with Adam.
 
     Noise is the distribution of classes. Equal input gives equal models. Without counts the model is uniform.
@@ -132,6 +143,7 @@ class Lexicon:
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.word = dict(zip(words, place.tolist()))
+        self._index([w for w in words if w != END], place[[k for k, w in enumerate(words) if w != END]])
         self.backed = np.concatenate([np.zeros(TOP_WORDS, np.int64), place[len(words) :]])
         self.seen = seen[order]
         self.known = np.where(order < len(words), self.seen, -1).astype(np.int64)
@@ -144,12 +156,48 @@ class Lexicon:
         self.group = (np.cumsum(groups) - groups)[self.kind] + inside // wide[self.kind]
         self.group_kind = np.repeat(np.arange(CLASSES), groups)
 
+    def _index(self, words: list[bytes], place: np.ndarray) -> None:
+        """Units by hash: hashes in order, and where those with the same first PREFIX bits begin."""
+        size = np.array([len(w) for w in words], np.int64)
+        end = np.cumsum(size)
+        h = hashes(np.frombuffer(b"".join(words), np.uint8), end - size, end)
+        order = np.argsort(h)
+        self.hash, self.hash_unit = np.append(h[order], np.uint64(0)), np.append(place[order], -1)
+        self.first = np.searchsorted(h[order] >> np.uint64(64 - PREFIX), np.arange((1 << PREFIX) + 1, dtype=np.uint64))
+
+    def units_of(self, spans: Spans) -> np.ndarray:
+        """Units of words by their hashes; what has no vectors is in the unit of its shape."""
+        prefix = (spans.hash >> np.uint64(64 - PREFIX)).astype(np.int64)
+        at, stop = self.first[prefix], self.first[prefix + 1]
+        unit = np.full(len(at), -1, np.int64)
+        left = np.flatnonzero(at < stop)
+        while len(left):
+            same = self.hash[at[left]] == spans.hash[left]
+            unit[left[same]] = self.hash_unit[at[left[same]]]
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < stop[left]]
+        rare = np.flatnonzero(unit < 0)
+        last = spans.buf[spans.end[rare] - 1].astype(np.int64)
+        two = spans.end[rare] - spans.start[rare] > 1
+        pair = np.where(two, spans.buf[np.maximum(spans.end[rare] - 2, 0)].astype(np.int64) << 8 | last, (1 << 16) + last)
+        unit[rare] = self.backed[_SHAPE_OF[pair]]
+        return unit
+
     def units(self, vocab: list[bytes]) -> np.ndarray:
         return np.array([self.word[w] if w in self.word else self.backed[shape(w)] for w in vocab], np.int64)
 
     def classes(self, vocab: list[bytes]) -> np.ndarray:
         return self.kind[self.units(vocab)]
 
+    def families(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of classes, groups and units: the parent of each, and of each parent the number of children and the first one."""
+        out = []
+        for parent, _ in self.levels():
+            size = np.bincount(parent)
+            out.append((parent, size, np.cumsum(size) - size))
+        return out
+
     def levels(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of classes, groups and units: the parent of each, in order, and how often each occurs."""
         by = lambda x, n: np.bincount(x, self.seen, n)
@@ -191,38 +239,49 @@ class Tables:
         h = self.t[0] * self.r[last] + self.t[1] * self.r[before]
         return np.column_stack([h, np.ones(len(h), np.float32)])
 
-    def log10(self, lex: Lexicon, before: np.ndarray, last: np.ndarray, unit: np.ndarray) -> np.ndarray:
-        """log10 probability of units after contexts."""
+    def log10(self, lex: Lexicon, before: np.ndarray, last: np.ndarray, unit: np.ndarray, classes: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of units after contexts; classes: the table of a classes' model, in place of a softmax of the first level.
+
+        Units are numbered by class and group, so tokens in the order of their units are slices of a class and of a group.
+        """
         out = np.zeros(len(unit))
-        at = [lex.kind[unit], lex.group[unit], unit]
-        for level, (parent, _) in enumerate(lex.levels()):
-            size = np.bincount(parent)
-            start = np.cumsum(size) - size
+        if classes is not None:
+            kind = np.append(lex.kind, CLASSES)
+            out = classes[kind[before] * (CLASSES + 1) + kind[last], lex.kind[unit]] * np.log(10)
+        order = np.argsort(unit)
+        at = [lex.kind[unit[order]], lex.group[unit[order]], unit[order]]
+        for level, (parent, size, start) in enumerate(lex.families()):
+            if level == 0 and classes is not None:
+                continue
             up = parent[at[level]]
-            order = np.argsort(up, kind="stable")
-            order = order[size[up[order]] > 1]  # an only child is certain
-            q = self.q(level)
-            edge = np.flatnonzero(np.diff(up[order], prepend=-1, append=-1)) if len(order) else []
-            for a, b in zip(edge[:-1], edge[1:]):
-                p = up[order[a]]
+            some = np.flatnonzero(size[up] > 1)  # an only child is certain
+            if not len(some):
+                continue
+            h = self.hidden(before[order[some]], last[order[some]])
+            q, edge, child = self.q(level), np.flatnonzero(np.diff(up[some], prepend=-1, append=-1)), at[level][some]
+            gain = np.empty(len(some))
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                p = up[some[a]]
                 part = q[start[p] : start[p] + size[p]].T
-                step = max(256, 4_000_000 // int(size[p]))
+                step = max(256, 1_000_000 // int(size[p]))
                 for k in range(a, b, step):
-                    i = order[k : min(k + step, b)]
-                    x = self.hidden(before[i], last[i]) @ part
+                    to = min(k + step, b)
+                    x = h[k:to] @ part
                     x -= x.max(axis=1, keepdims=True)
-                    own = x[np.arange(len(i)), at[level][i] - start[p]]
-                    out[i] += own - np.log(np.exp(x, out=x).sum(axis=1))
+                    own = x[np.arange(to - k), child[k:to] - start[p]]
+                    gain[k:to] = own - np.log(np.exp(x, out=x).sum(axis=1))
+            out[order[some]] += gain
         return out / np.log(10)
 
 
 class Trainer:
     """Steps of noise-contrastive estimation over tokens, in tables of its own, with a rate that falls as a row is used."""
 
-    def __init__(self, lex: Lexicon, rows: np.ndarray, seed: int, noise: int = 2, rate: float = 0.1):
+    def __init__(self, lex: Lexicon, rows: np.ndarray, seed: int, noise: int = 1, rate: float = 0.1):
         self.lex, self.t, self.noise, self.rate = lex, Tables(lex, rows.copy()), noise, rate
         self.rng = np.random.default_rng(seed)
         self.square, self.used = np.ones(len(rows), np.float32), np.zeros(len(rows), np.int64)
+        self.open = np.bincount(lex.kind)[lex.kind] > 1
         self.levels = []
         for parent, seen in lex.levels():
             cum, size = np.cumsum(seen), np.bincount(parent)
@@ -231,37 +290,46 @@ class Trainer:
             low = np.concatenate([[0], top[:-1]])
             self.levels.append((parent, size, cum, low, top, end - size, end - 1, np.log(noise * seen / (top - low)[parent]).astype(np.float32)))
 
-    def _move(self, row: np.ndarray, grad: np.ndarray) -> None:
-        order = np.argsort(row, kind="stable")
-        row = row[order]
-        first = np.flatnonzero(np.diff(row, prepend=-1))
-        own, total = row[first], np.add.reduceat(grad[order], first, axis=0)
-        self.used[own] += np.diff(first, append=len(row))
-        self.square[own] += (total * total).mean(axis=1)
-        self.t.rows[own, : total.shape[1]] -= self.rate * total / np.sqrt(self.square[own])[:, None]
+    def _move(self, row: np.ndarray, total: np.ndarray) -> None:
+        """Steps of different rows along their gradients."""
+        self.square[row] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+        self.t.rows[row, : total.shape[1]] -= (self.rate / np.sqrt(self.square[row]))[:, None] * total
 
     def step(self, before: np.ndarray, last: np.ndarray, unit: np.ndarray) -> None:
+        """Groups and units against noise of their own parent. Units alone in their class teach nothing here."""
+        learn = np.flatnonzero(self.open[unit])
+        before, last, unit = before[learn], last[learn], unit[learn]
+        if not len(unit):
+            return
         t, dim = self.t, self.t.r.shape[1]
         ra, rb = t.r[last], t.r[before]
         h = np.column_stack([t.t[0] * ra + t.t[1] * rb, np.ones(len(unit), np.float32)])
         dh, moves = np.zeros((len(unit), dim), np.float32), []
-        for level, at in enumerate((self.lex.kind[unit], self.lex.group[unit], unit)):
+        for level, at in ((1, self.lex.group[unit]), (2, unit)):
             parent, size, cum, low, top, first, final, log_kn = self.levels[level]
             i = np.flatnonzero(size[parent[at]] > 1)
             if not len(i):
                 continue
             p = parent[at[i]]
             drawn = np.searchsorted(cum, low[p][:, None] + self.rng.random((len(i), self.noise)) * (top - low)[p][:, None], side="right")
-            c = np.column_stack([at[i], np.clip(drawn, first[p][:, None], final[p][:, None])])
+            c, hi = np.column_stack([at[i], np.clip(drawn, first[p][:, None], final[p][:, None])]), h[i]
             q = t.q(level)[c]
-            g = 1 / (1 + np.exp(-np.clip(np.matmul(q, h[i][:, :, None])[:, :, 0] - log_kn[c], -30, 30)))
+            g = 1 / (1 + np.exp(-np.clip(np.matmul(q, hi[:, :, None])[:, :, 0] - log_kn[c], -30, 30)))
             g[:, 0] -= 1  # the first of each row is data, the others are noise
             dh[i] += np.matmul(g[:, None, :], q)[:, 0, :dim]
-            moves.append((t.cut[level + 2] + c.ravel(), (g[:, :, None] * h[i][:, None, :]).reshape(-1, dim + 1)))
-        moves.append((np.concatenate([last, before]), np.concatenate([dh * t.t[0], dh * t.t[1]])))
+            row = (t.cut[level + 2] + c).ravel()
+            order = np.argsort(row)
+            edge = np.flatnonzero(np.diff(row[order], prepend=-1))
+            own = row[order[edge]]
+            self.used[own] += np.diff(edge, append=len(row))
+            moves.append((own, np.add.reduceat(g.ravel()[order][:, None] * hi[order // c.shape[1]], edge, axis=0)))
+        row, grad = np.concatenate([last, before]), np.concatenate([dh * t.t[0], dh * t.t[1]])
+        order = np.argsort(row)
+        edge = np.flatnonzero(np.diff(row[order], prepend=-1))
+        moves.append((row[order[edge]], np.add.reduceat(grad[order], edge, axis=0)))
         moves.append((t.cut[1] + np.arange(2), np.stack([(dh * ra).mean(0), (dh * rb).mean(0)])))
-        for row, grad in moves:
-            self._move(row, grad)
+        for row, total in moves:
+            self._move(row, total)
 
 
 POINT = 1 << 12
@@ -272,12 +340,13 @@ def _pass(lex, rows, seed: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
     """What one task's tokens changed in the tables: in blocks of ROWS, the rows it used, their use and steps of 1 / POINT."""
     lex, made = lex.value, None
     for batch in batches:
-        bounds, _, unit, _ = _sequences(lex, batch.column("text"))
+        bounds, unit, _ = _sequences(lex, batch.column("text"))
         made = made or Trainer(lex, rows.value, seed)
         before, last = _before(bounds, unit, len(lex.kind))
+        made.used[: len(lex.kind) + 1] += np.bincount(np.concatenate([before, last]), minlength=len(lex.kind) + 1)
         order = made.rng.permutation(len(unit))
-        for k in range(0, len(order), 2048):
-            i = order[k : k + 2048]
+        for k in range(0, len(order), STEP):
+            i = order[k : k + STEP]
             made.step(before[i], last[i], unit[i])
     if made:
         used = np.flatnonzero(made.used)
@@ -307,7 +376,7 @@ def fit(texts: DataFrame, lex, start: LogBilinear, passes: int = PASSES) -> np.n
     width = rows.shape[1]
     for seed in range(passes):
         held = sc.broadcast(rows)
-        part = texts.mapInArrow(lambda b, held=held, seed=seed: _pass(lex, held, seed, b), "block long, id binary, n binary, steps binary")
+        part = texts.mapInArrow(lambda b, held=held, seed=seed: tidied(_pass(lex, held, seed, b)), "block long, id binary, n binary, steps binary")
         rows = rows.copy()
         for r in part.groupBy("block").applyInArrow(lambda t: _mean(width, t), "id binary, mean binary").collect():
             i = np.frombuffer(r["id"], np.int64)
@@ -316,12 +385,11 @@ def fit(texts: DataFrame, lex, start: LogBilinear, passes: int = PASSES) -> np.n
     return rows
 
 
-def _sequences(lex: Lexicon, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """bounds, word index and unit of each token, and the vocabulary; each text's end is the vocabulary's last word."""
-    bounds, index, vocab = words_of(texts)
-    vocab = [*vocab.to_pylist(), END]
-    token = np.insert(index, bounds[1:], len(vocab) - 1)
-    return bounds + np.arange(len(bounds)), token, lex.units(vocab)[token], vocab
+def _sequences(lex: Lexicon, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Spans]:
+    """bounds, unit of each token, and the words; each text's last token is its end."""
+    spans = Spans(texts)
+    unit = np.insert(lex.units_of(spans), spans.bounds[1:], lex.word.get(END, -1))
+    return spans.bounds + np.arange(len(spans.bounds)), unit, spans
 
 
 def _before(bounds: np.ndarray, x: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -339,46 +407,50 @@ def _triples(lex, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     lex = lex.value
     total = np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int64)
     for batch in batches:
-        bounds, _, unit, _ = _sequences(lex, batch.column("text"))
+        bounds, unit, _ = _sequences(lex, batch.column("text"))
         if len(unit):
             cls = lex.kind[unit]
             before, last = _before(bounds, cls, CLASSES)
-            cell, n = np.unique((before * (CLASSES + 1) + last) * CLASSES + cls, return_counts=True)
-            total[cell] += n
+            total += np.bincount((before * (CLASSES + 1) + last) * CLASSES + cls, minlength=len(total))
     cell = np.flatnonzero(total)
     for k in range(0, len(cell), 500_000):
         part = cell[k : k + 500_000]
         yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["cell", "n"])
 
 
-def _score(lex, rows, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score(lex, model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lex = lex.value
-    tables = Tables(lex, rows.value)
+    rows, classes = model.value
+    tables = Tables(lex, rows)
     floor = lex.tokens + lex.distinct + 1
     names = ["uid", "doc_id", "salt", "word", "class", "times", "n_tokens", "n_known", "base_score", "score"]
     for batch in batches:
-        bounds, token, unit, vocab = _sequences(lex, batch.column("text"))
+        bounds, unit, spans = _sequences(lex, batch.column("text"))
         n, uid = len(bounds) - 1, batch.column("uid").to_numpy()
         if not n:
             continue
-        own = lex.units(vocab)
-        known, kind = lex.known[own] >= 0, lex.kind[own]
-        base = np.where(known, np.log10((np.maximum(lex.known[own], 0) + 1) / floor), 0.0)
+        count = lex.known[unit]
+        known = count >= 0
+        base = np.where(known, np.log10((np.maximum(count, 0) + 1) / floor), 0.0)
         by_doc = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  each text has a token
-        model_part = tables.log10(lex, *_before(bounds, unit, len(lex.kind)), unit)
+        model_part = tables.log10(lex, *_before(bounds, unit, len(lex.kind)), unit, classes)
         none = pa.nulls(n, pa.binary())
         yield pa.RecordBatch.from_arrays([
             pa.array(uid), batch.column("doc_id"), pa.array((uid % 997 + 1).astype(np.int32)), none, pa.nulls(n, pa.int32()), pa.array(np.zeros(n, np.int64)),
-            pa.array(np.diff(bounds)), pa.array(by_doc(known[token].astype(np.int64))), pa.array(by_doc(base[token])), pa.array(by_doc(model_part)),
+            pa.array(np.diff(bounds)), pa.array(by_doc(known.astype(np.int64))), pa.array(by_doc(base)), pa.array(by_doc(model_part)),
         ], names=names)
-        rare = np.flatnonzero(~known[token])
+        words = np.delete(known, bounds[1:] - 1)
+        rare = np.flatnonzero(~words)
         if len(rare):
-            doc = np.searchsorted(bounds, rare, side="right") - 1
-            pair, times = np.unique(doc * len(vocab) + token[rare], return_counts=True)
-            doc, word = pair // len(vocab), pair % len(vocab)
-            z, zf = pa.nulls(len(pair), pa.int64()), pa.nulls(len(pair), pa.float64())
+            doc = np.searchsorted(spans.bounds, rare, side="right") - 1
+            order = np.lexsort((spans.hash[rare], doc))
+            rare, doc = rare[order], doc[order]
+            new = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (spans.hash[rare[1:]] != spans.hash[rare[:-1]])])
+            times, rare, doc = np.diff(new, append=len(rare)), rare[new], doc[new]
+            kind = lex.kind[np.delete(unit, bounds[1:] - 1)[rare]]
+            z, zf = pa.nulls(len(rare), pa.int64()), pa.nulls(len(rare), pa.float64())
             yield pa.RecordBatch.from_arrays([
-                pa.array(uid[doc]), z, pa.array(np.zeros(len(pair), np.int32)), pa.array(vocab, pa.binary()).take(pa.array(word)), pa.array(kind[word].astype(np.int32)), pa.array(times.astype(np.int64)),
+                pa.array(uid[doc]), z, pa.array(np.zeros(len(rare), np.int32)), pa.array(spans.bytes(rare), pa.binary()), pa.array(kind.astype(np.int32)), pa.array(times.astype(np.int64)),
                 z, z, zf, zf,
             ], names=names)
 
@@ -412,14 +484,14 @@ def score(docs: DataFrame) -> DataFrame:
     words, often = [bytes(w) for w in head["word"].to_pylist()], head["c"].to_numpy()
     order = sorted(range(len(words)), key=lambda k: (-often[k], words[k]))
     shared = sc.broadcast(Lexicon([words[k] for k in order], often[order], rare, int(tokens), int(distinct)))
-    cells = learnt.select("text").mapInArrow(lambda b: _triples(shared, b), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = learnt.select("text").mapInArrow(lambda b: tidied(_triples(shared, b)), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     start = train(cells["cell"].to_numpy().astype(np.int64), cells["n"].to_numpy())
     if not distinct:
         words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
         return rows.select("doc_id", "held_out", (words + 1).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_known"), F.lit(0).cast("long").alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
-    model = sc.broadcast(fit(learnt.select("text"), shared, start))
+    model = sc.broadcast((fit(learnt.select("text"), shared, start), start.table()))
     schema = "uid long, doc_id long, salt int, word binary, class int, times long, n_tokens long, n_known long, base_score double, score double"
-    part = rows.select("uid", "doc_id", "text").mapInArrow(lambda b: _score(shared, model, b), schema)
+    part = rows.select("uid", "doc_id", "text").mapInArrow(lambda b: tidied(_score(shared, model, b)), schema)
     least = counts.select("word", F.lit(0).alias("salt"), "c")
     totals = F.lit(rare.tolist())[F.col("class")]
     more = F.coalesce("c", F.lit(0)) + 1
