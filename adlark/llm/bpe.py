@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .pieces import BYTE_PATTERN, LOOSE, SPLIT
-from .runtime import drop, prepare, stored
-from .words import most_frequent
+from .runtime import drop, prepare, stored, tidied
+from .words import most_frequent, whole
 
 HEAD_WORDS = 1_500_000
 LONG_BYTES = 200
@@ -99,6 +99,12 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
+#: Parts that the pattern surely takes as one word: letters of Latin blocks, whose classes all Unicode versions agree on.
+LETTERS = " ?[A-Za-z\\x{C0}-\\x{D6}\\x{D8}-\\x{F6}\\x{F8}-\\x{24F}]+"
+#: And that it takes as two: marks follow.
+MARKS = ",.;:!?"
+
+
 class Splitter:
     """Words (matches of the pattern) of texts, by the distinct parts of a batch."""
 
@@ -109,7 +115,7 @@ class Splitter:
         """bounds, index of each part in the vocabulary, and the distinct parts; all but a text's first begin with their space."""
         import pyarrow.compute as pc
 
-        texts = texts.cast(pa.large_string()).fill_null("")
+        texts = whole(texts.cast(pa.large_string()).fill_null(""))
         if len(texts) == 0:
             return np.zeros(1, np.int64), np.zeros(0, np.int64), []
         loose = pc.match_substring_regex(texts, LOOSE).to_numpy(zero_copy_only=False)
@@ -129,6 +135,21 @@ class Splitter:
         return bounds, index, [" " + v for v in vocab] + [vocab[k] for k in starts.tolist()]
 
 
+    def words(self, parts: list[str]) -> tuple[np.ndarray, list[str]]:
+        """How many words each part has, and the words."""
+        import pyarrow.compute as pc
+
+        column, found, find = pa.array(parts, pa.large_string()), [(p,) for p in parts], self.find
+        plain, marked = (pc.match_substring_regex(column, f"^{LETTERS}{end}$").to_numpy(zero_copy_only=False) for end in ("", f"[{MARKS}]+"))
+        for k in np.flatnonzero(marked).tolist():
+            p = parts[k]
+            w = p.rstrip(MARKS)
+            found[k] = w, p[len(w) :]
+        for k in np.flatnonzero(~(plain | marked)).tolist():
+            found[k] = find(parts[k])
+        return np.fromiter(map(len, found), np.int64, len(found)), [w for x in found for w in x]
+
+
 def _count(flush: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     split, total = Splitter(), {}
 
@@ -137,10 +158,10 @@ def _count(flush: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
     for batch in batches:
         _, index, vocab = split.parts(batch.column("text"))
-        for v, c in zip(vocab, np.bincount(index, minlength=len(vocab)).tolist()):
+        each, words = split.words(vocab)
+        for w, c in zip(words, np.repeat(np.bincount(index, minlength=len(vocab)), each).tolist()):
             if c:
-                for w in split.find(v):
-                    total[w] = total.get(w, 0) + c
+                total[w] = total.get(w, 0) + c
         if len(total) > flush:
             yield rows()
             total.clear()
@@ -160,10 +181,9 @@ def _lookup(head, path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
     head_flat, head_at = head_ids.values.to_numpy(), head_ids.offsets.to_numpy().astype(np.int64) if len(head) else np.zeros(1, np.int64)
     for batch in batches:
         bounds, index, vocab = split.parts(batch.column("text"))
-        found = [split.find(v) for v in vocab]
-        part_words = np.array([len(x) for x in found], np.int64)
-        coded = pa.array([w for x in found for w in x], pa.string()).dictionary_encode()
-        del found
+        part_words, flat_words = split.words(vocab)
+        coded = pa.array(flat_words, pa.string()).dictionary_encode()
+        del flat_words
         word_of, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
         at = pc.index_in(words, value_set=head_words)
         rare = at.is_null().to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, bool)
@@ -231,7 +251,7 @@ def _coded(docs: DataFrame, rank_file: str) -> DataFrame:
     prepare(spark)
     ranks = read_ranks(rank_file)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts = rows.select("text").mapInArrow(lambda b: _count(200_000, b), "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counts = rows.select("text").mapInArrow(lambda b: tidied(_count(200_000, b)), "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
     usual, path = stored(counts.filter((F.octet_length("word") <= LONG_BYTES) & (F.col("c") > 1)), "words")
     coded = most_frequent(usual, HEAD_WORDS).select("word", encode_words("array(word)", ranks)[0].alias("ids")).toArrow()
     drop(spark, path)
@@ -240,7 +260,7 @@ def _coded(docs: DataFrame, rank_file: str) -> DataFrame:
         f.write_table(coded)
     table = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
     del coded, sink
-    found = rows.mapInArrow(lambda b: _lookup(table, rank_file, b), "doc_id long, coded binary, rare array<string>")
+    found = rows.mapInArrow(lambda b: tidied(_lookup(table, rank_file, b)), "doc_id long, coded binary, rare array<string>")
     return found.select("doc_id", "coded", encode_words("rare", ranks).alias("rare_ids"))
 
 
@@ -284,4 +304,4 @@ def decode(coded: DataFrame, rank_file: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, rank_file: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each whole text."""
-    return _coded(docs, rank_file).mapInArrow(lambda b: _digests(rank_file, b), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _coded(docs, rank_file).mapInArrow(lambda b: tidied(_digests(rank_file, b)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
