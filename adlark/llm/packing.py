@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pieces import encoder
-from .runtime import documents, prepare, tasks, tidied
+from .runtime import documents, prepare, tidied
 
 CAPACITY = 4096
 GROUP_DOCS = 512
@@ -105,4 +105,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     rows = documents(docs).withColumn("bin", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))
     coded = rows.mapInArrow(lambda b: tidied(_encode(tokenizer, end_id, b)), "doc_id long, bin long, ids binary, item int")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return coded.repartition(max(tasks(spark), 1), "bin").groupBy("bin").applyInPandas(lambda g: _pack(capacity, g), schema)
+    return coded.groupBy("bin").applyInPandas(lambda g: _pack(capacity, g), schema)

@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from .words import whole
+
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A space that no word follows: there a text can't be cut at each space.
@@ -35,7 +37,7 @@ def byte_alphabet() -> dict[int, str]:
 class PieceEncoder:
     """Encodes texts by a tokenizers JSON file. limit: distinct pieces kept, which bounds a worker's memory."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         self.t = Tokenizer.from_file(path)
@@ -71,7 +73,7 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) into the ids of all texts, and those ids."""
-        texts = texts.cast(pa.large_string()).fill_null("")
+        texts = whole(texts.cast(pa.large_string()).fill_null(""))
         if len(texts) == 0:
             return np.zeros(1, np.int64), np.zeros(0, np.uint32)
         if len(self.cache) > self.limit:

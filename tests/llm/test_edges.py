@@ -209,3 +209,62 @@ def test_odd_vectors(spark):
     got = {(r.query_id, r.rank): r.vec_id for r in ann.nearest(df, F.col("vec_id") % 20 == 0).collect()}
     assert got == {(0, 1): 3, (0, 2): 4, (0, 3): 20, (20, 1): 0, (20, 2): 3, (20, 3): 4}
     assert ann.nearest(df.filter("vec_id in (5, 6)"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_words_of_a_slice():
+    from adlark.llm.pieces import encoder
+    from adlark.llm.words import words_of
+
+    texts = [f"Word{k} two\tthree  {k}\n" * (k % 7) for k in range(300)]
+    long = pa.array(texts)
+    for part in (long.slice(100, 50), pa.record_batch([long], names=["t"]).slice(100, 50).column("t").cast(pa.large_string())):
+        bounds, index, vocab = words_of(part)
+        got = [[vocab[i].as_py().decode() for i in index[a:b]] for a, b in zip(bounds, bounds[1:])]
+        assert got == [t.lower().split() for t in texts[100:150]]
+        e = encoder(public("byte_bpe_50k.json"))
+        a, b = e.encode(part), e.encode(pa.array(texts[100:150]))
+        assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+
+
+def test_words_by_their_bytes():
+    """The words of the passage search are those of the contract."""
+    texts = ["", " ", "a", " A b\tc\x0b\x0cd\r\ne ", "é É x" * 3, "x" * 50, "\x1c one\x85two"]
+    for t in texts:
+        start, end = repeats.word_spans(np.frombuffer(t.encode(), np.uint8))
+        words = [t.encode()[a:b] for a, b in zip(start, end)]
+        import re
+
+        assert words == re.findall(rb"[^\x20\x09-\x0D]+", t.encode())
+        assert len(repeats.coded(t.encode())) == 8 * len(words)
+    raw = [t.encode() for t in texts]
+    assert [x.tobytes() for x in repeats._coded_all(raw)] == [repeats.coded(t) for t in raw]
+    assert repeats.coded(b"One two ONE") == repeats.coded(b"one  Two\none")
+
+
+def test_packing_takes_the_cheapest_sequence_with_room():
+    """The plan against a walk that looks at every sequence each time."""
+    rng = np.random.default_rng(8)
+    for trial in range(40):
+        sizes = rng.integers(0, 40 if trial % 2 else 12, rng.integers(0, 60))
+        capacity, cost = 16, lambda n: n + n * n / 16
+        rest = [(int(n) % capacity, d) for d, n in enumerate(sizes) if n % capacity]
+        total = sum(n for n, _ in rest)
+        room = [capacity] * (total // capacity) + [b for b in (16, 8, 4, 2, 1) if total % capacity & b]
+        used, spent, want, left = [0] * len(room), [0.0] * len(room), {}, []
+        for n, d in sorted(rest, key=lambda x: (-x[0], x[1])):
+            fits = [s for s in range(len(room)) if room[s] - used[s] >= n]
+            if fits:
+                s = min(fits, key=lambda s: (spent[s], s))
+                want[d], used[s], spent[s] = (s, used[s]), used[s] + n, spent[s] + cost(n)
+            else:
+                left.append(d)
+        got = packing.plan(sizes, capacity)
+        full = sum(int(n) // capacity for n in sizes)
+        ends = {d: (s - full, at) for d, start, n, s, at in got if s >= full and start == sizes[d] // capacity * capacity and n == sizes[d] % capacity}
+        assert all(ends[d] == x for d, x in want.items())
+        held = np.zeros((full + len(room), capacity), int)
+        for d, start, n, s, at in got:
+            held[s, at : at + n] += 1
+        assert held.max(initial=0) <= 1 and held.sum() == sizes.sum()
+        assert all(held[full + s, : room[s]].all() and not held[full + s, room[s] :].any() for s in range(len(room)))
+        assert {d for d, *_ in got if d in left} == set(left)
