@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 
 from .pieces import BYTE_PATTERN, LOOSE, SPLIT
 from .runtime import drop, prepare, stored, tidied
-from .words import most_frequent, whole
+from .words import hashes, most_frequent, whole
 
 HEAD_WORDS = 1_500_000
 LONG_BYTES = 200
-BUCKETS = 16384
+BUCKETS = 65536
 
 
 @lru_cache(maxsize=2)
@@ -169,27 +169,66 @@ def _count(flush: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield rows()
 
 
+PREFIX = 20
+
+
+def _ranges(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of strings, and where each begins and ends."""
+    words = whole(words.cast(pa.large_string()))
+    cut = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1) if len(words) else np.zeros(1, np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8, int(cut[-1])) if cut[-1] else np.zeros(0, np.uint8)
+    return data, cut[:-1], cut[1:]
+
+
+class Head:
+    """Ids of the frequent words by a 64-bit hash of the word, without the words: what is sent to the workers."""
+
+    def __init__(self, coded: pa.Table):
+        coded = coded.combine_chunks()
+        words = coded["word"].chunk(0) if len(coded) else pa.array([], pa.string())
+        ids = coded["ids"].chunk(0) if len(coded) else pa.array([], pa.list_(pa.int32()))
+        h = hashes(*_ranges(words))
+        order = np.argsort(h, kind="stable")
+        at = ids.offsets.to_numpy().astype(np.int64) if len(ids) else np.zeros(1, np.int64)
+        size = np.diff(at)[order]
+        self.hash, self.size = h[order], size.astype(np.int32)
+        self.start = np.cumsum(size) - size
+        gather = np.repeat(at[:-1][order] - self.start, size) + np.arange(int(size.sum()))
+        self.ids = ids.values.to_numpy().astype(np.int32)[gather] if len(ids) else np.zeros(0, np.int32)
+        self.first = np.searchsorted(self.hash >> np.uint64(64 - PREFIX), np.arange((1 << PREFIX) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """The place of each word, or -1."""
+        h = hashes(*_ranges(words))
+        prefix = (h >> np.uint64(64 - PREFIX)).astype(np.int64)
+        at, stop, out = self.first[prefix].astype(np.int64), self.first[prefix + 1], np.full(len(h), -1, np.int64)
+        left = np.flatnonzero(at < stop)
+        while len(left):
+            same = self.hash[at[left]] == h[left]
+            out[left[same]] = at[left[same]]
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < stop[left]]
+        return out
+
+
 def _lookup(head, path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of each text as int32, with -1 - k for the k-th of its words that the head lacks."""
     import pyarrow.compute as pc
 
-    split, ranks = Splitter(), read_ranks(path)
-    with pa.ipc.open_stream(head.value) as f:
-        head = f.read_all().combine_chunks()
-    head_words = head["word"].chunk(0) if len(head) else pa.array([], pa.string())
-    head_ids = head["ids"].chunk(0) if len(head) else pa.array([], pa.list_(pa.int32()))
-    head_flat, head_at = head_ids.values.to_numpy(), head_ids.offsets.to_numpy().astype(np.int64) if len(head) else np.zeros(1, np.int64)
+    split, ranks, head = Splitter(), read_ranks(path), head.value
+    head_flat = head.ids
     for batch in batches:
         bounds, index, vocab = split.parts(batch.column("text"))
         part_words, flat_words = split.words(vocab)
         coded = pa.array(flat_words, pa.string()).dictionary_encode()
         del flat_words
         word_of, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-        at = pc.index_in(words, value_set=head_words)
-        rare = at.is_null().to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, bool)
-        at = at.fill_null(0).to_numpy().astype(np.int64)
-        size = np.where(rare, 1, np.diff(head_at)[at] if len(head) else 1)
-        start = np.where(rare, len(head_flat), head_at[at])
+        at = head.find(words)
+        rare = at < 0
+        at = np.maximum(at, 0)
+        size = np.where(rare, 1, head.size[at] if len(head.size) else 1).astype(np.int64)
+        start = np.where(rare, len(head_flat), head.start[at] if len(head.size) else 0)
         long_ids, n = [np.array([-1], np.int32)], len(head_flat) + 1
         for k in np.flatnonzero(rare & (pc.binary_length(words).to_numpy() > LONG_BYTES)).tolist():
             ids = np.array(merge_long(words[k].as_py().encode(), ranks), np.int32)
@@ -255,11 +294,8 @@ def _coded(docs: DataFrame, rank_file: str) -> DataFrame:
     usual, path = stored(counts.filter((F.octet_length("word") <= LONG_BYTES) & (F.col("c") > 1)), "words")
     coded = most_frequent(usual, HEAD_WORDS).select("word", encode_words("array(word)", ranks)[0].alias("ids")).toArrow()
     drop(spark, path)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, coded.schema) as f:
-        f.write_table(coded)
-    table = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    del coded, sink
+    table = spark.sparkContext.broadcast(Head(coded))
+    del coded
     found = rows.mapInArrow(lambda b: tidied(_lookup(table, rank_file, b)), "doc_id long, coded binary, rare array<string>")
     return found.select("doc_id", "coded", encode_words("rare", ranks).alias("rare_ids"))
 
