@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-#: Every string of 400 bytes is named by its digest; starts whose name occurs twice are merged into spans.
-OP2 = """
+#: Every string of 400 bytes is named by its digest; starts whose name occurs twice are merged into spans. So are passages of 51 words.
+OP2 = r"""
 with raw as (select doc_id, encode(coalesce(text, '')) as b from documents),
   sized as (select doc_id, b, octet_length(b) as n from raw),
   starts as (select doc_id, unnest(generate_series(1, n - 399)) as p, b from sized where n >= 400),
@@ -16,10 +16,16 @@ with raw as (select doc_id, encode(coalesce(text, '')) as b from documents),
   parts as (select doc_id, since as a, first - 1 as z from edges
             union all select doc_id, max(last) + 1, 1 << 30 from spans group by doc_id),
   kept as (select doc_id, string_agg(case when z < a then '' else hex(b[a:z]) end, '' order by a) as x from parts join sized using (doc_id) group by doc_id),
-  counts as (select doc_id, sum(last - first + 1) as gone, count(*) as spans from spans group by doc_id)
+  counts as (select doc_id, sum(last - first + 1) as gone, count(*) as spans from spans group by doc_id),
+  words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+  places as (select doc_id, unnest(generate_series(1, len(w) - 50)) as p, w from words where len(w) >= 51),
+  windows as (select doc_id, p, md5(array_to_string(w[p:p + 50], ' ')) as h from places),
+  shared as (select h from windows group by h having count(*) > 1),
+  passages as (select doc_id, sum(fresh::int) as n_passages
+               from (select doc_id, p > lag(p, 1, -1000) over (partition by doc_id order by p) + 50 as fresh from windows semi join shared using (h)) group by doc_id)
 select doc_id, n::bigint as n_bytes, coalesce(gone, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans,
-  sha256(coalesce(unhex(x), b)) as kept_sha256
-from sized left join counts using (doc_id) left join kept using (doc_id)
+  sha256(coalesce(unhex(x), b)) as kept_sha256, coalesce(n_passages, 0)::bigint as n_passages
+from sized left join counts using (doc_id) left join kept using (doc_id) left join passages using (doc_id)
 """
 
 #: Two sets with a similarity of 0.75 share one of their rarest n - ceil(0.75 n) + 1 shingles; such pairs are counted in full.
