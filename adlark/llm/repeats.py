@@ -212,7 +212,9 @@ def _parse(searches: tuple[tuple[int, int], ...], batches: Iterator[pa.RecordBat
                 long = h.of(lo, hi + length)
                 # occurrences of a phrase in these texts travel as one row
                 order = np.lexsort((long, seed))
-                new = np.flatnonzero(np.r_[True, (np.diff(seed[order]) != 0) | (np.diff(long[order]) != 0)])
+                kind = np.flatnonzero(np.r_[True, (np.diff(seed[order]) != 0) | (np.diff(long[order]) != 0)])
+                inside = np.arange(len(order)) - np.repeat(kind, np.diff(np.append(kind, len(order))))
+                new = np.flatnonzero(inside % 16 == 0)  # 16 of them at most
                 cut, first = pa.array(np.append(new, len(order)).astype(np.int32)), order[new]
                 occurs = pa.StructArray.from_arrays([pa.array(uids[row + text[order]]), pa.array((lo - base + skip)[order]), pa.array((hi - lo + 1)[order].astype(np.int32))], names=["uid", "lo", "n"])
                 yield pa.RecordBatch.from_arrays([
