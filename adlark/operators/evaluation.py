@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,13 +12,16 @@ from ..functions.exprs import ratio
 from ..sources.sinks import stage
 
 
-def recall_ndcg(pred: DataFrame, gt: DataFrame, k: int) -> DataFrame:
-    """Means over users with ground truth; users without predictions count 0."""
+def recall_ndcg(pred: DataFrame, gt: DataFrame, k: int, groups: DataFrame | None = None) -> DataFrame:
+    """Means over users with ground truth; users without predictions count 0. groups: a few values of a column of pred, a row for each."""
+    by = groups.columns if groups else []
     size = gt.groupBy("user_id").agg(F.countDistinct("item_id").alias("g"))
-    hits = pred.filter(F.col("rank") <= k).join(gt.select("user_id", "item_id").distinct(), ["user_id", "item_id"]).groupBy("user_id").agg(F.count("*").alias("hits"), F.sum(1.0 / F.log2(F.col("rank") + 1.0)).alias("dcg"))
+    size = size.crossJoin(F.broadcast(groups)) if groups else size
+    hits = pred.filter(F.col("rank") <= k).join(gt.select("user_id", "item_id").distinct(), ["user_id", "item_id"]).groupBy(*by, "user_id").agg(F.count("*").alias("hits"), F.sum(1.0 / F.log2(F.col("rank") + 1.0)).alias("dcg"))
     ideal = F.aggregate(F.sequence(F.lit(1), F.least(F.lit(k), F.col("g")).cast("int")), F.lit(0.0), lambda a, r: a + 1.0 / F.log2(r + 1.0))
-    per = size.join(hits, "user_id", "left").select(F.coalesce(F.col("hits") / F.col("g"), F.lit(0.0)).alias("recall"), F.coalesce(F.col("dcg") / ideal, F.lit(0.0)).alias("ndcg"))
-    return per.agg(F.count("*").alias("n_users"), F.round(F.avg("recall"), 6).alias("recall"), F.round(F.avg("ndcg"), 6).alias("ndcg"))
+    per = size.join(hits, [*by, "user_id"], "left").select(*by, F.coalesce(F.col("hits") / F.col("g"), F.lit(0.0)).alias("recall"), F.coalesce(F.col("dcg") / ideal, F.lit(0.0)).alias("ndcg"))
+    out = per.groupBy(*by).agg(F.count("*").alias("n_users"), F.round(F.avg("recall"), 6).alias("recall"), F.round(F.avg("ndcg"), 6).alias("ndcg"))
+    return groups.join(F.broadcast(out), by, "left").withColumn("n_users", F.coalesce("n_users", F.lit(0))) if groups else out  # a few rows
 
 
 def candidate_recall(cands: DataFrame, gt: DataFrame, ks: tuple[int, ...] = (5, 10, 20)) -> DataFrame:
@@ -77,15 +82,15 @@ def top_tenth(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     return v.groupBy(*by).agg(F.sum("c").alias("n_sellers_with_positive"), total.cast("long").alias("total_lead_pairs"), F.max("k").alias("top10_n_sellers"), F.round(ratio(F.sum(F.col("x") * taken), total), 6).alias("top10_share"))
 
 
-def exposure(recs: DataFrame, dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def exposure(recs: DataFrame, dim: DataFrame, cfg: Config = DEFAULT, by: Sequence[str] = ()) -> DataFrame:
     """Recommendations with seller, seller type and age at the end of training, written once for the aggregates that read them."""
     info = dim.select("item_id", "seller_id", "seller_type", F.datediff(F.lit(cfg.train_end).cast("date"), "posted_date").alias("age"))
-    return stage(recs.select("user_id", "item_id", "rank").join(info, "item_id", "left"), "exposure")
+    return stage(recs.select(*by, "user_id", "item_id", "rank").join(info, "item_id", "left"), "exposure")
 
 
-def _slots(rows: DataFrame, key: str) -> DataFrame:
+def _slots(rows: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
     """How often each key is shown, and at rank 1."""
-    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("c"), F.sum((F.col("rank") == 1).cast("long")).alias("first"))
+    return rows.filter(F.col(key).isNotNull()).groupBy(*by, key).agg(F.count("*").alias("c"), F.sum((F.col("rank") == 1).cast("long")).alias("first"))
 
 
 def _beside(one: DataFrame, *others: DataFrame) -> DataFrame:
@@ -115,12 +120,22 @@ def marketplace_health(sub: DataFrame, dim: DataFrame, item_daily: DataFrame, cf
 
 def variant_metrics(recs: DataFrame, dim: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """What a variant shows: coverage of the catalogue's items and sellers, Gini, freshness and seller types over all slots."""
-    rows = exposure(recs, dim, cfg)
+    one = recs.sparkSession.range(1).select(F.lit(0).alias("_one"))
+    return shown(exposure(recs.withColumn("_one", F.lit(0)), dim, cfg, ["_one"]), dim, one).drop("_one")
+
+
+def shown(rows: DataFrame, dim: DataFrame, groups: DataFrame) -> DataFrame:
+    """`variant_metrics` of each group of an exposure table, one plan for all; groups: a few values of a column of it, a row for each."""
+    by = groups.columns
     pct = lambda c: F.round(100.0 * F.avg(F.when(c, 1.0).otherwise(0.0)), 6)
-    total = rows.agg(pct(F.col("age") <= 7).alias("fresh_slot_pct"), pct(F.col("seller_type") == "private").alias("private_slot_pct"), pct(F.col("seller_type") == "agent").alias("agent_slot_pct"))
-    users = rows.select("user_id").distinct().agg(F.count("*").alias("n_users_with_recs"))
-    of = lambda df, what: _beside(df.agg(F.count("*").alias(f"n_distinct_{what}s_recommended")), gini(df, "c").select(F.col("gini").alias(f"gini_{what}_exposure")))
+    total = rows.groupBy(*by).agg(pct(F.col("age") <= 7).alias("fresh_slot_pct"), pct(F.col("seller_type") == "private").alias("private_slot_pct"), pct(F.col("seller_type") == "agent").alias("agent_slot_pct"))
+    users = rows.select(*by, "user_id").distinct().groupBy(*by).agg(F.count("*").alias("n_users_with_recs"))
+    of = lambda what: gini(_slots(rows, f"{what}_id", by), "c", by).select(*by, F.col("n").alias(f"n_distinct_{what}s_recommended"), F.col("gini").alias(f"gini_{what}_exposure"))
     catalogue = dim.agg(F.countDistinct("item_id").alias("_items"), F.countDistinct("seller_id").alias("_sellers"))
-    out = _beside(total, users, of(_slots(rows, "item_id"), "item"), of(_slots(rows, "seller_id"), "seller"), catalogue)
+    out = groups
+    for part in (total, users, of("item"), of("seller")):
+        out = out.join(F.broadcast(part), by, "left")  # a few rows
+    out = _beside(out, catalogue)
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_users_with_recs", "n_distinct_items_recommended", "n_distinct_sellers_recommended", "gini_item_exposure", "gini_seller_exposure")}  # groups without rows
     cover = lambda what: F.round(100.0 * F.col(f"n_distinct_{what}s_recommended") / F.greatest(F.col(f"_{what}s"), F.lit(1)), 6)
-    return out.withColumns({"item_coverage_pct": cover("item"), "seller_coverage_pct": cover("seller")}).drop("_items", "_sellers")
+    return out.withColumns(zero).withColumns({"item_coverage_pct": cover("item"), "seller_coverage_pct": cover("seller")}).drop("_items", "_sellers")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import date, timedelta
 
@@ -40,6 +41,10 @@ class Stages:
         """A stage that nothing else will read."""
         return getattr(type(self), f"make_{name}")(self)
 
+    def keep(self, *names: str) -> None:
+        """Write these stages as tables as well; for queries with so many readers that their plans fill the driver's memory."""
+        self._made |= {name: sinks.stage(getattr(self, name), name) for name in names}
+
     def make_events(self):
         return t.events(self.spark, self.dir)
 
@@ -199,12 +204,13 @@ def _alt_scores(s: Stages) -> DataFrame:
 
 
 def _variants(s: Stages) -> DataFrame:
-    greedy = sinks.stage(ranking.greedy_rerank(s.scored, s.dim, C.train_end), "greedy")
-    out = None
-    for name, rows in (("baseline_popularity", s.baseline), ("rank_only", s.raw), ("rank_rerank", greedy)):
-        m = evaluation.recall_ndcg(rows, s.gt, C.final_k).crossJoin(F.broadcast(evaluation.variant_metrics(rows, s.dim))).withColumn("variant", F.lit(name))  # one row each
-        out = m if out is None else out.unionByName(m)
-    return out
+    """All variants in one table and one plan, listings and events written once: the driver's memory holds no plan for each."""
+    s.keep("dim", "events")
+    made = {"baseline_popularity": s.baseline, "rank_only": s.fresh("raw"), "rank_rerank": ranking.greedy_rerank(s.scored, s.dim, C.train_end)}
+    recs = functools.reduce(DataFrame.unionByName, (rows.select("user_id", "item_id", "rank", F.lit(name).alias("variant")) for name, rows in made.items()))
+    rows, names = evaluation.exposure(recs, s.dim, by=["variant"]), s.spark.createDataFrame([(name,) for name in made], "variant string")
+    both = evaluation.recall_ndcg(rows, s.gt, C.final_k, names).join(F.broadcast(evaluation.shown(rows, s.dim, names)), "variant")  # a row for each variant
+    return both.select(*(c for c in both.columns if c != "variant"), "variant")
 
 
 def _deltas(s: Stages) -> DataFrame:

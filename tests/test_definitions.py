@@ -12,6 +12,7 @@ from adlark.functions import exprs
 from adlark.operators import altranker, candidates, eda, evaluation, features, ranking, rollups, verify
 from adlark.operators import storyline as st
 from adlark.operators.lambdarank import LambdaRanker, ndcg, stepper
+from adlark.plans import registry
 from adlark.sources import sinks, tables
 
 DAY = dt.date(2024, 1, 20)
@@ -238,3 +239,29 @@ def test_folders_and_views(spark, data):
 def test_listings_and_users_are_whole_tables(spark, data):
     assert tables.listing(spark, data).count() == tables.read(spark, data, "part").count()
     assert tables.test_users(spark, data).count() == tables.read(spark, data, "customer").count()
+
+
+def test_variants_share_one_plan(spark, monkeypatch):
+    written = []
+    whole = sinks.stage
+    for module in (sinks, evaluation):
+        monkeypatch.setattr(module, "stage", lambda df, name: written.append(name) or whole(df, name))
+    got = {r.variant: r.asDict() for r in registry.queries()["variant_comparison"](spark, "/root/testdata/sf0.001").collect()}
+    assert sorted(got) == ["baseline_popularity", "rank_only", "rank_rerank"]
+    assert [written.count(name) for name in ("exposure", "dim", "events", "greedy")] == [1, 1, 1, 0]
+
+
+def test_groups_without_rows_have_a_row(spark):
+    recs = spark.createDataFrame([("a", 1, 10, 1), ("a", 1, 11, 2), ("b", 2, 10, 1)], "kind string, user_id long, item_id long, rank int")
+    dim = spark.createDataFrame([(10, 5, "private", "2024-01-25"), (11, 6, "agent", None)], "item_id long, seller_id long, seller_type string, posted_date string").withColumn("posted_date", F.col("posted_date").cast("date"))
+    gt = spark.createDataFrame([(1, 11), (2, 12)], "user_id long, item_id long")
+    groups = spark.createDataFrame([("a",), ("b",), ("c",)], "kind string")
+    found = {r.kind: r.asDict() for r in evaluation.recall_ndcg(recs, gt, 10, groups).join(evaluation.shown(evaluation.exposure(recs, dim, by=["kind"]), dim, groups), "kind").collect()}
+    assert len(found) == 3
+    for g, row in found.items():
+        own = recs.filter(F.col("kind") == g)
+        want = evaluation.recall_ndcg(own, gt, 10).first().asDict() | evaluation.variant_metrics(own, dim).first().asDict()
+        assert {k: v for k, v in row.items() if k != "kind"} == want
+    assert found["c"]["n_users"] == 2 and found["c"]["n_users_with_recs"] == 0 and found["c"]["gini_item_exposure"] == 0.0 and found["c"]["fresh_slot_pct"] is None
+    none = evaluation.recall_ndcg(recs, gt.limit(0), 10, groups).collect()
+    assert sorted((r.kind, r.n_users, r.recall) for r in none) == [("a", 0, None), ("b", 0, None), ("c", 0, None)]
