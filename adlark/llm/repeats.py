@@ -44,6 +44,8 @@ WORD = 8
 PASSAGE = 51
 HOT = 2048
 BLOCK_ROWS = 1_000
+#: Rows whose numbers differ in their last NEAR bits only give their runs together.
+NEAR = 8
 BUFFER = 1 << 20
 _POS = np.uint64((1 << 24) - 1)
 _MAP = np.random.default_rng(3).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -355,6 +357,21 @@ def _names(lengths: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterat
                 yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(Hashes(buf, 1).of(at, at + length).view(np.int64)), pa.array(col("m")), pa.array(col("uid")), pa.array(col("lo") + rel), pa.array(np.full(len(at), item, np.int8))], names=["h1", "h2", "m", "uid", "first", "item"])
 
 
+def _runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of the occurrences of phrases; neighbours in a text become one."""
+    frugal()
+    for batch in batches:
+        at = batch.column("at")
+        uid, lo, n = (x.to_numpy() for x in at.flatten().flatten())
+        if not len(uid):
+            continue
+        item = np.repeat(batch.column("item").to_numpy(), at.value_lengths().to_numpy())
+        order = np.lexsort((lo, uid, item))
+        item, uid, lo, last = item[order], uid[order], lo[order], (lo + n - 1)[order]
+        new = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | (uid[1:] != uid[:-1]) | (lo[1:] != last[:-1] + 1)])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (uid[new], lo[new], last[np.r_[new[1:], len(uid)] - 1], item[new])], names=["uid", "first", "last", "item"])
+
+
 # ---------------------------------------------------------------- operator
 
 
@@ -374,8 +391,9 @@ def repeat_starts(rows: DataFrame, length: int | None = MIN, words: int | None =
     groups, groups_path = stored(every.join(twice, "seed"), "groups")
     one = F.struct(F.col("at")[0]["uid"].alias("uid"), F.col("at")[0]["lo"].alias("lo"), F.col("at")[0]["n"].alias("n"), "item")
     kinds, kinds_path = stored(groups.groupBy("seed", "long").agg(F.sum("m").alias("m"), F.min(one).alias("one")), "kinds")
-    often = groups.join(kinds.filter("m > 1").select("seed", "long"), ["seed", "long"]).withColumn("part", F.xxhash64("seed", F.col("at")[0]["uid"]))
-    whole = often.repartition(tasks(spark), "part").select("item", F.explode("at").alias("x")).select("x.uid", F.col("x.lo").alias("first"), (F.col("x.lo") + F.col("x.n") - 1).alias("last"), "item")
+    # occurrences of neighbouring texts meet, so that runs leave and not phrases: copies of a long passage have many of these
+    often = groups.join(kinds.filter("m > 1").select("seed", "long"), ["seed", "long"]).select("item", "at", F.shiftright(F.col("at")[0]["uid"], NEAR).alias("near"))
+    whole = often.repartition(tasks(spark), "near").sortWithinPartitions("near").select("item", "at").mapInArrow(_runs_of, "uid long, first long, last long, item byte")
     mixed, mixed_path = stored(kinds.groupBy("seed").agg(F.count("*").alias("k"), F.min("m").alias("least")).filter("k > 1 and least = 1").select("seed", (F.col("k") > HOT).alias("hot")), "mixed")
     edges = kinds.join(mixed, "seed").select("seed", "long", "m", "one.uid", "one.lo", "one.n", "one.item", "hot")
     by_text = edges.groupBy("uid").agg(F.collect_list(F.struct("seed", "long", "m", "uid", "lo", "n", "item", "hot")).alias("rows"))  # phrases of one text
