@@ -14,18 +14,21 @@ Suffix sorting, for the edges. Their bytes meet in blocks of seeds. A block is p
 prefix-free phrases that end at triggers, and a parse. The suffix array of the dictionary and that of the parse give the order
 of all suffixes of the block: by the dictionary suffix up to the next trigger, then by the rank of the parse from there
 on. A string repeats exactly if a neighbour in that order shares its MIN bytes. A seed with more than HOT different phrases
-would make a block too large; its strings are named by a 128-bit hash and counted instead, which any number of tasks share.
+would make a block too large; each of its phrases is cut by the distance of its starts from the trigger, and a piece's seed is
+what all strings of its distances have in common, which is more. Pieces that occur again, or alone, are settled; seeds that are still
+too large are cut anew, to a quarter, down to strings of one start, whose seed and long hash are a name of 128 bits.
 
 Passages of a number of words, whatever their bytes, are found in the same way and by the same jobs: a text becomes a string of
 words, each known by a hash of 64 bits, and a symbol of a string is a word where it is a byte above. `item` is the bytes of a
 symbol, 1 or WORD; lengths and places count symbols. A search is an item and a length; seeds of different searches differ.
 
-Equality of phrases as wholes, and of hot strings, is that of polynomial hashes modulo 2**64; strings made to defeat these
+Equality of phrases and their pieces as wholes is that of polynomial hashes modulo 2**64; strings made to defeat these
 (Thue-Morse words of thousands of symbols) are out of scope.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -228,19 +231,39 @@ def _parse(searches: tuple[tuple[int, int], ...], batches: Iterator[pa.RecordBat
 # ---------------------------------------------------------------- suffix arrays of a block
 
 
+def _first_like(key: np.ndarray) -> np.ndarray:
+    """For each of some sorted keys, the place of the first of its kind."""
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return np.repeat(first, np.diff(np.append(first, len(key))))
+
+
 def ranks(symbols: np.ndarray, left: np.ndarray, limit: int) -> np.ndarray:
-    """Rank of the suffix from each position on among all, by prefix doubling; left: symbols to the end of its string, itself included."""
-    _, rank = np.unique(symbols, return_inverse=True)
-    rank, width, n = rank.astype(np.int64), 1, len(symbols)
+    """Rank of the suffix from each position on among all, by prefix doubling; left: symbols to the end of its string, itself included.
+
+    The rank is the number of lesser ones. As many symbols as fit in 63 bits come first; later rounds sort only suffixes that are still tied.
+    """
+    n = len(symbols)
+    bits = (int(symbols.max(initial=0)) + 1).bit_length()
+    width, key = min(max(1, 63 // bits), max(1, limit)), np.zeros(n, np.int64)
+    for k in range(width):
+        go = slice(0, n - k) if k < n else slice(0, 0)
+        key <<= bits
+        key[go] |= np.where(left[go] > k, symbols[k:] + 1, 0)
+    tied, rank = np.argsort(key), np.empty(n, np.int64)  # tied: in the order of ranks
+    rank[tied] = _first_like(key[tied])
     while width < limit:
-        after = np.zeros(n, np.int64)
-        go = np.flatnonzero(left > width)
-        after[go] = rank[go + width] + 1
-        _, new = np.unique(rank * (n + 2) + after, return_inverse=True)
-        rank = new.astype(np.int64)
-        width *= 2
-        if len(rank) and rank.max() == n - 1:
+        now = rank[tied]
+        same = now[1:] == now[:-1]
+        many = np.r_[False, same] | np.r_[same, False] if len(now) else np.zeros(0, bool)
+        tied, now = tied[many], now[many]
+        if not len(tied):
             break
+        after = np.where(left[tied] > width, rank[np.minimum(tied + width, n - 1)] + 1, 0)
+        key = now * (n + 2) + after
+        order = np.argsort(key)
+        tied, key, now = tied[order], key[order], now[order]
+        rank[tied] = now + _first_like(key) - _first_like(now)  # behind the lesser ones of the same rank
+        width *= 2
     return rank
 
 
@@ -309,17 +332,19 @@ def repeated(texts: list[bytes], starts: list[int], weight: list[int], length: i
     return np.split(out, np.cumsum(count)[:-1]) if len(count) else []
 
 
-def _runs(flag: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.r_[0, flag.astype(np.int8), 0]))
-    return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
-
-
 def _sort_block(lengths: dict[int, int], block: pd.DataFrame) -> pd.DataFrame:
     frugal()
     block, item = block.sort_values(["seed", "long"]), int(block["item"].iloc[0])
-    found = repeated(block["bytes"].tolist(), block["n"].tolist(), block["m"].tolist(), lengths[item], item)
-    rows = [(uid, lo + a, lo + b) for uid, lo, m, flag in zip(block["uid"], block["lo"], block["m"], found) if m == 1 for a, b in _runs(flag)]
-    return pd.DataFrame(rows, columns=["uid", "first", "last"], dtype="int64").assign(item=np.int8(item))
+    n, once = block["n"].to_numpy(), block["m"].to_numpy() == 1
+    found = repeated(block["bytes"].tolist(), n.tolist(), block["m"].tolist(), lengths[item], item)
+    row = np.repeat(np.arange(len(n)), n)
+    flag = np.concatenate(found) & once[row]
+    step = np.r_[True, row[1:] != row[:-1]]  # runs end with their row
+    first = np.flatnonzero(flag & (step | ~np.r_[False, flag[:-1]]))
+    last = np.flatnonzero(flag & np.r_[step[1:] | ~flag[1:], True])
+    at = block["lo"].to_numpy() - (np.cumsum(n) - n)
+    of = row[first]
+    return pd.DataFrame({"uid": block["uid"].to_numpy()[of], "first": first + at[of], "last": last + at[of], "item": np.full(len(of), item, np.int8)})
 
 
 def _cut(lengths: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,24 +362,31 @@ def _cut(lengths: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator
                 yield pa.RecordBatch.from_arrays([pa.array(cols[k], kinds.get(k, pa.int64())) for k in cols], names=list(cols))
 
 
-def _names(lengths: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """128-bit names of all strings of phrases."""
+def _finer(lengths: dict[int, int], widths: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases cut by the distance of their starts from the trigger, at multiples of a width; equal strings get into equal cuts."""
     frugal()
     for whole in batches:
-        for item, length in lengths.items():
+        for (item, length), width in zip(lengths.items(), widths.values()):
             batch = whole.filter(pa.array(whole.column("item").to_numpy() == item))
             texts = batch.column("bytes").to_pylist()
             for k in range(0, len(texts), 2000):
                 part = texts[k : k + 2000]
-                size = np.array([len(t) // item for t in part], np.int64)
-                count = size - length + 1
-                buf = symbols(b"".join(part), item)
-                row = np.repeat(np.arange(len(part)), count)
-                at = np.arange(int(count.sum())) + np.repeat(np.cumsum(size) - size - (np.cumsum(count) - count), count)
-                rel = at - (np.cumsum(size) - size)[row]
-                col = lambda c: batch.column(c).to_numpy()[k : k + 2000][row]
-                name = Hashes(buf).of(at, at + length) ^ _salt(item, length)
-                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(Hashes(buf, 1).of(at, at + length).view(np.int64)), pa.array(col("m")), pa.array(col("uid")), pa.array(col("lo") + rel), pa.array(np.full(len(at), item, np.int8))], names=["h1", "h2", "m", "uid", "first", "item"])
+                data = b"".join(part)
+                buf = symbols(data, item)
+                text, lo, hi, trigger = phrases(buf, np.array([len(t) // item for t in part], np.int64), length)
+                low = (trigger - hi) // width
+                count = (trigger - lo) // width - low + 1
+                row = np.repeat(np.arange(len(text)), count)
+                near = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + low[row]) * width  # least distance of a cut
+                first, last = np.maximum(trigger[row] - near - width + 1, lo[row]), np.minimum(trigger[row] - near, hi[row])
+                common = trigger[row] - near
+                seed = Hashes(buf).of(common, common - width + 1 + length) ^ _salt(item, length) ^ (near + 1).astype(np.uint64) * np.uint64(_BASE[1])
+                col = lambda c: batch.column(c).to_numpy()[k : k + 2000][text[row]]
+                cuts = [data[x * item : (y + length) * item] for x, y in zip(first.tolist(), last.tolist())]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(seed.view(np.int64)), pa.array(Hashes(buf, 1).of(first, last + length).view(np.int64)), pa.array(col("m")), pa.array(col("uid")), pa.array(col("lo") + first - lo[row]),
+                    pa.array((last - first + 1).astype(np.int32)), pa.array(np.full(len(row), item, np.int8)), pa.array(cuts, pa.binary()),
+                ], names=["seed", "long", "m", "uid", "lo", "n", "item", "bytes"])
 
 
 def _runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,16 +431,30 @@ def repeat_starts(rows: DataFrame, length: int | None = MIN, words: int | None =
     by_text = edges.groupBy("uid").agg(F.collect_list(F.struct("seed", "long", "m", "uid", "lo", "n", "item", "hot")).alias("rows"))  # phrases of one text
     cut = rows.join(by_text, "uid").select("text", "rows").mapInArrow(lambda b: _cut(lengths, b), "seed long, long long, m long, uid long, lo long, n int, item byte, hot boolean, bytes binary")
     pieces, pieces_path = stored(cut, "edges")
-    n, hot = pieces.agg(F.count("*"), F.coalesce(F.sum(F.col("hot").cast("long")), F.lit(0))).first()
-    blocks = max(1, -(-(n - hot) // BLOCK_ROWS))
-    sorted_ = pieces.filter("not hot").withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(2 * blocks, tasks(spark)), "item", "block").groupBy("item", "block").applyInPandas(lambda b: _sort_block(lengths, b), "uid long, first long, last long, item byte")
-    found = whole.unionByName(sorted_)
-    if hot:
-        names, names_path = stored(pieces.filter("hot").mapInArrow(lambda b: _names(lengths, b), "h1 long, h2 long, m long, uid long, first long, item byte"), "names")
-        shared, shared_path = stored(names.groupBy("h1", "h2").agg(F.sum("m").alias("c")).filter("c > 1").select("h1", "h2"), "shared")
-        found = found.unionByName(names.filter("m = 1").join(shared, ["h1", "h2"]).select("uid", "first", F.col("first").alias("last"), "item"))
-    out, _ = stored(found, "starts")
-    drop(spark, every_path, twice_path, groups_path, kinds_path, mixed_path, pieces_path, *([names_path, shared_path] if hot else []))
+    found, ready, paths, level = whole, [pieces], [pieces_path], 0
+    size = lambda df: df.agg(F.count("*"), F.coalesce(F.sum(F.col("hot").cast("long")), F.lit(0))).first()
+    n, hot = size(pieces)
+    total = n - hot
+    while hot:
+        level += 1
+        widths = {item: -(-span(length) // 4**level) for item, length in lengths.items()}
+        last = max(widths.values()) == 1
+        finer, finer_path = stored(ready[-1].filter("hot").mapInArrow(lambda b, w=widths: _finer(lengths, w, b), "seed long, long long, m long, uid long, lo long, n int, item byte, bytes binary"), "finer")
+        kinds_, kinds_path_ = stored(finer.groupBy("seed", "long").agg(F.sum("m").alias("m"), F.first(F.struct("uid", "lo", "n", "item", "bytes")).alias("one")), "finer-kinds")
+        again = finer.filter("m = 1").join(kinds_.filter("m > 1").select("seed", "long"), ["seed", "long"])  # phrases of more occurrences have gone already
+        found = found.unionByName(again.select("uid", F.col("lo").alias("first"), (F.col("lo") + F.col("n") - 1).alias("last"), "item"))
+        mixed_ = kinds_.groupBy("seed").agg(F.count("*").alias("k"), F.min("m").alias("least")).filter("k > 1 and least = 1").select("seed", ((F.col("k") > HOT) & F.lit(not last)).alias("hot"))
+        rest, rest_path = stored(kinds_.join(mixed_, "seed").select("seed", "long", "m", "one.*", "hot"), "finer-edges")
+        n, hot = size(rest)
+        total += n - hot
+        ready.append(rest)
+        paths += [finer_path, kinds_path_, rest_path]
+    blocks = max(1, -(-total // BLOCK_ROWS))
+    columns = ("seed", "long", "m", "uid", "lo", "n", "item", "bytes")
+    edges_ = functools.reduce(DataFrame.unionByName, (df.filter("not hot").select(*columns) for df in ready))
+    sorted_ = edges_.withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks))).repartition(min(2 * blocks, tasks(spark)), "item", "block").groupBy("item", "block").applyInPandas(lambda b: _sort_block(lengths, b), "uid long, first long, last long, item byte")
+    out, _ = stored(found.unionByName(sorted_), "starts")
+    drop(spark, every_path, twice_path, groups_path, kinds_path, mixed_path, *paths)
     return out
 
 

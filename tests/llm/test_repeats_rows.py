@@ -8,6 +8,14 @@ import pytest
 from adlark.llm import repeats
 
 
+def near_copies(n):
+    base = [hashlib.md5(str(k).encode()).hexdigest()[: 3 + k % 7] for k in range(420)]
+    for k in range(n):
+        words = list(base)
+        words[k * len(base) // n] = f"w{k}"
+        yield " ".join(words)
+
+
 def brute(texts):
     raw = [t.encode() for t in texts]
     seen = collections.Counter(b[k : k + 400] for b in raw for k in range(len(b) - 399))
@@ -43,3 +51,21 @@ def test_runs_leave_not_phrases(spark, tmp_path, counted):
     got = {r.doc_id: r.kept_sha256 for r in repeats.removed(table(spark, tmp_path / "d", texts), 51).collect()}
     assert [got[k] for k in range(len(texts))] == list(brute(texts))
     assert counted["phrases"] and counted["starts"] <= 6 * len(texts)  # bytes and words, whole phrases and edges
+
+
+@pytest.mark.parametrize("hot", [1, 8, 10_000])
+def test_hot_seeds_make_few_rows(spark, tmp_path, counted, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    texts = [*near_copies(80), "x" * 900, "ab" * 500]
+    got = {r.doc_id: (r.kept_sha256, r.n_passages) for r in repeats.removed(table(spark, tmp_path / "d", texts), 51).collect()}
+    assert [got[k][0] for k in range(len(texts))] == list(brute(texts))
+    if hot == 8:
+        assert counted["finer"] and max(counted["finer"], counted["names"]) < 5 * counted["edges"]
+
+
+def test_hot_seeds_give_the_same_passages(spark, tmp_path, monkeypatch):
+    docs = table(spark, tmp_path / "d", [*near_copies(80), "x" * 900])
+    want = sorted(map(tuple, repeats.removed(docs, 51).collect()))
+    for hot in (1, 8):
+        monkeypatch.setattr(repeats, "HOT", hot)
+        assert sorted(map(tuple, repeats.removed(docs, 51).collect())) == want
