@@ -6,11 +6,13 @@ along x, which moves its scores, weighs ETA times as much as error across it. Co
 the pairs, centroids by the weighted least squares of that loss, on a sample of SAMPLE vectors at most; every row is coded.
 
 A query's table has its inner product with each centroid; two codes are one byte, so a scan looks up and adds one
-number for two pairs. The RERANK rows that are best by table are a query's shortlist.
+number for two pairs. The RERANK rows that are best by table are a query's shortlist. The k-th of their exact scores is a
+floor for the k nearest, and a row's score is at most its approximation plus |query| |residual|: rows whose bound is below
+the floor are out, and the others are ranked by exact inner products in double precision. So the result is exact whatever
+the rows; codes decide how many rows need their vectors, and vectors that lie close together only take longer.
 
-Rows are coded once, and only codes (a quarter byte a component) meet the queries, in blocks: a task has ROWS codes and
-QUERIES queries at most, whatever the tables' sizes, and gives the shortlists of its block. Those of a query's blocks
-become one, which alone is joined with the original vectors and ranked by exact inner products in double precision.
+Rows are coded once and meet the queries in blocks: a task has ROWS rows and QUERIES queries at most (fewer, if vectors are
+long), whatever the tables' sizes, and gives the k nearest of its block; the nearest of a query's blocks become one list.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import prepare, stored, tidied
+from .runtime import prepare, stored, tasks, tidied
 
 SAMPLE = 20_000
-ROWS, QUERIES = 65_536, 2_048
+ROWS, QUERIES = 65_536, 16_384
+BLOCK_BYTES = 32 << 20
+PARALLEL_ROWS = 4_096
 RERANK = 128
 THRESHOLD = 0.2
 CENTROIDS = 16
@@ -100,6 +104,16 @@ def encode(x: np.ndarray, books: np.ndarray) -> np.ndarray:
     return codes[:, ::2] | codes[:, 1::2] << 4
 
 
+def errors(x: np.ndarray, codes: np.ndarray, books: np.ndarray) -> np.ndarray:
+    """For each vector a number that times |query| bounds the error of an approximate score, rounding in `scan` included."""
+    halves = np.stack([codes & 15, codes >> 4], axis=2).reshape(len(codes), -1)
+    made = books[np.arange(books.shape[0])[None, :], halves]
+    with np.errstate(over="ignore", invalid="ignore"):
+        missed = np.sqrt(((_padded(x) - made) ** 2).sum(axis=(1, 2)))
+    most = (missed + (codes.shape[1] + 4) * 2.0**-22 * np.sqrt((made**2).sum(axis=(1, 2)))) * (1 + 1e-9)
+    return np.where(np.isnan(most), np.inf, most)
+
+
 def tables(queries: np.ndarray, books: np.ndarray) -> np.ndarray:
     """Inner products of queries with the centroids of two pairs at a time: queries x bytes x 256."""
     one = np.einsum("qmd,mkd->qmk", _padded(queries), books).astype(np.float32)
@@ -114,17 +128,42 @@ def scan(codes: np.ndarray, lut: np.ndarray) -> np.ndarray:
     return out
 
 
-def shortlists(codes: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, books: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, row (places) and approximate score of the `most` rows best by table for each query, but those of its own id."""
-    found, top = [], min(most + 1, len(codes))
-    for a in range(0, len(queries), 32):
-        approx = scan(codes, tables(queries[a : a + 32], books))
-        approx[ids[None, :] == query_ids[a : a + 32, None]] = -np.inf
-        near = np.argpartition(-approx, top - 1, axis=1)[:, :top]
-        score = np.take_along_axis(approx, near, 1)
-        q, at = np.nonzero(np.isfinite(score))
-        found.append((q + a, near[q, at], score[q, at]))
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.float32))
+def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products, summed from the first component to the last."""
+    return np.cumsum(x * q, axis=1)[:, -1] + 0.0
+
+
+def nearest_in(codes: np.ndarray, most: np.ndarray, x: np.ndarray, ids: np.ndarray, asked: np.ndarray, asked_ids: np.ndarray, books: np.ndarray, scale: float, k: int, rerank: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, row (places) and score of the k rows of largest inner product for each query, but those of its own id."""
+    found = []
+    largest = np.abs(asked).max(axis=1, keepdims=True)
+    small = asked / largest  # queries of moderate numbers: their tables stay finite
+    length = np.sqrt((small**2).sum(axis=1))
+    peak = np.abs(x).max(axis=1)
+    rounding = 4 * x.shape[1] * 2.0**-52 * peak * np.sqrt(((x / peak[:, None]) ** 2).sum(axis=1))  # of a score, in units of |query|
+    for a in range(0, len(asked), 32):
+        approx = scan(codes, tables(small[a : a + 32], books))
+        for i, q in enumerate(asked[a : a + 32], a):
+            row, own, unit = approx[i - a], ids == asked_ids[i], length[i] * largest[i, 0]
+            row[own] = -np.inf
+            short = np.argpartition(row, -rerank)[-rerank:] if rerank < len(row) else np.arange(len(row))
+            short = short[~own[short]]
+            with np.errstate(over="ignore", invalid="ignore"):
+                floor = _kth(x[short] @ q - rounding[short] * unit, k)
+                at = np.flatnonzero(~own & ~((row + length[i] * most) * (scale * largest[i, 0]) < floor - abs(floor) * 1e-9 - 1e-300))
+                rough, slack = x[at] @ q, rounding[at] * unit  # in an order of its own: only those near the k-th are summed in turn
+                at = at[~(rough + slack < _kth(rough - slack, k))]
+                score = products(x[at], q)
+            order = np.lexsort((ids[at], -np.where(np.isnan(score), np.inf, score), ~np.isnan(score)))[:k]  # not a number first, as in Spark
+            found.append((np.full(len(order), i), at[order], score[order]))
+    return tuple(np.concatenate(f) for f in zip(*found))
+
+
+def _kth(scores: np.ndarray, k: int) -> float:
+    """The k-th largest, what isn't a number counting as the largest; -inf if there are fewer."""
+    if len(scores) < k:
+        return -np.inf
+    return float(np.partition(np.where(np.isnan(scores), np.inf, scores), -k)[-k])
 
 
 def scaled(x: np.ndarray, scale: float) -> np.ndarray:
@@ -132,23 +171,27 @@ def scaled(x: np.ndarray, scale: float) -> np.ndarray:
     return np.clip(x / scale, -1e3, 1e3)
 
 
-def _coded(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coded(model, kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     books, scale = model.value
     for batch in batches:
         if batch.num_rows:
             x = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False))
             codes = encode(scaled(x, scale), books)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes], pa.binary())], names=[*batch.schema.names, "code"])
+            most = errors(x / scale, codes, books)
+            packed = [pa.array([r.tobytes() for r in part], pa.binary()) for part in (codes, x.astype(kind))]
+            names = ["uid", "vec_id", "asked", "searched"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), packed[0], pa.array(most), packed[1]], names=[*names, "code", "most", "vector"])
 
 
-def _search(model, most: int, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+def _search(model, kind: str, k: int, rerank: int, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     if not len(rows) or not len(queries):
-        return pd.DataFrame({"query": np.zeros(0, np.int64), "row": np.zeros(0, np.int64), "approx": np.zeros(0, np.float32)})
-    codes = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1)
-    asked = np.stack(queries["embedding"].to_numpy())
-    asked = asked / np.abs(asked).max(axis=1, keepdims=True)  # the order of a query's scores stays
-    q, r, score = shortlists(codes, rows["vec_id"].to_numpy(), asked, queries["vec_id"].to_numpy(), model.value[0], most)
-    return pd.DataFrame({"query": queries["uid"].to_numpy()[q], "row": rows["uid"].to_numpy()[r], "approx": score})
+        return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+    books, scale = model.value
+    matrix = lambda column, t: np.frombuffer(b"".join(column), t).reshape(len(column), -1)
+    codes, x, asked = matrix(rows["code"], np.uint8), matrix(rows["vector"], kind).astype(np.float64), matrix(queries["vector"], kind).astype(np.float64)
+    ids, asked_ids = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
+    q, r, score = nearest_in(codes, rows["most"].to_numpy(), x, ids, asked, asked_ids, books, scale, k, rerank)
+    return pd.DataFrame({"query_id": asked_ids[q], "vec_id": ids[r], "score": score})
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -158,7 +201,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, rerank: int = RERANK) -> DataFrame:
-    """query_id, rank, vec_id, score of the k rows of largest inner product found for each row where is_query holds.
+    """query_id, rank, vec_id, score of the k rows of largest inner product for each row where is_query holds.
 
     Equal rows count once; a row with the query's id isn't its neighbour. Rows of one id with different vectors are rows of
     their own; as queries they share one list. Of equal vectors only the k + 1 of smallest ids can be among k nearest, so
@@ -180,17 +223,16 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, rerank: int = RERANK) ->
     copy = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
     marked = good.select("vec_id", "embedding", F.coalesce(is_query, F.lit(False)).alias("asked"), copy.alias("copy")).filter((F.col("copy") <= k + 1) | F.col("asked"))
     numbered = marked.select(F.monotonically_increasing_id().alias("uid"), "vec_id", "embedding", "asked", (F.col("copy") <= k + 1).alias("searched"))
-    rows, _ = stored(numbered.mapInArrow(lambda b: tidied(_coded(model, b)), "uid long, vec_id long, embedding array<double>, asked boolean, searched boolean, code binary"), "codes")
-    codes, asked = rows.filter("searched").select("uid", "vec_id", "code"), rows.filter("asked").select("uid", "vec_id", "embedding")
-    g, h = max(1, -(-n // ROWS)), max(1, -(-asked.count() // QUERIES))
+    kind = "<f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
+    rows, _ = stored(numbered.mapInArrow(lambda b: tidied(_coded(model, kind, b)), "uid long, vec_id long, asked boolean, searched boolean, code binary, most double, vector binary"), "codes")
+    left, right = rows.filter("searched").select("uid", "vec_id", "code", "most", "vector"), rows.filter("asked").select("uid", "vec_id", "vector")
+    fit_in = lambda count: max(1, min(count, BLOCK_BYTES // (8 * sizes["d"])))
+    g, h = max(1, -(-n // fit_in(ROWS))), max(1, -(-right.count() // fit_in(QUERIES)))
+    g = max(g, min(-(-tasks(spark) // h), -(-n // PARALLEL_ROWS)))  # small tables: a task for each core
     spread = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     block = lambda count: F.pmod(F.xxhash64("uid"), F.lit(count)).cast("int")
-    left = codes.withColumn("g", block(g)).withColumn("h", spread(h))
-    right = asked.withColumn("h", block(h)).withColumn("g", spread(g))
-    found = left.groupBy("g", "h").cogroup(right.groupBy("g", "h")).applyInPandas(lambda a, b: _search(model, rerank, a, b), "query long, row long, approx float")
-    best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("approx"), "row"))
-    short, _ = stored(found.withColumn("place", best).filter(F.col("place") <= rerank).select("query", "row"), "shortlists")
-    exact = short.join(rows.select(F.col("uid").alias("row"), "vec_id", "embedding"), "row").join(asked.select(F.col("uid").alias("query"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("wanted")), "query")
-    score = F.aggregate(F.zip_with("embedding", "wanted", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+    left = left.withColumn("g", block(g)).withColumn("h", spread(h))
+    right = right.withColumn("h", block(h)).withColumn("g", spread(g))
+    found = left.groupBy("g", "h").cogroup(right.groupBy("g", "h")).applyInPandas(lambda a, b: _search(model, kind, k, rerank, a, b), "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return exact.select("query_id", "vec_id", score.alias("score")).withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -200,6 +200,26 @@ def test_vectors_over_several_blocks(spark, monkeypatch):
     assert all(s == pytest.approx(float(x[q] @ x[j]), rel=1e-12) for q, v in got.items() for j, s in v.items())
 
 
+@pytest.mark.parametrize("rows", ["clusters", "close", "heavy", "ties"])
+def test_vectors_that_codes_do_not_tell_apart(spark, rows, monkeypatch):
+    """More near rows than a shortlist holds: the lists are those of brute force all the same, for each query."""
+    monkeypatch.setattr(ann, "PARALLEL_ROWS", 700)
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(4, 32))
+    x = centre[rng.integers(0, 4, 1600)] + (0.1 if rows == "clusters" else 1e-4) * rng.normal(size=(1600, 32))
+    if rows == "heavy":
+        x = rng.normal(size=(1600, 32)) * rng.pareto(1.0, size=(1600, 1)) * np.geomspace(1, 1e-3, 32)
+    if rows == "ties":
+        x = np.eye(32)[rng.integers(0, 3, 1600)] + np.eye(32)[rng.integers(0, 32, 1600)]
+    x = x.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    scores = {q: np.cumsum(x * x[q], axis=1)[:, -1] for q in range(0, 1600, 20)}
+    assert got == {q: [int(j) for j in np.lexsort((np.arange(1600), -s)) if j != q][:20] for q, s in scores.items()}
+
+
 def test_odd_vectors(spark):
     one, two, nan, inf = [1.0, 0.0, 2.0, 1e300], [0.5, 0.5, 0.5, 0.5], [float("nan"), 1.0, 1.0, 1.0], [float("inf"), 1.0, 1.0, 1.0]
     rows = [(0, one), (0, one), (None, one), (20, two), (3, two), (4, two), (5, [0.0] * 4), (6, nan), (7, inf), (8, None), (9, [None, 1.0, 1.0, 1.0]), (10, [1.0, 2.0])]
