@@ -23,10 +23,22 @@ from ..sources import tables as t
 KEPT = {"item_daily", "uid", "user_category", "pool", "scored", "raw", "submission", "base_scores", "alt_pairs"}
 
 
+#: Bytes of a table that Spark may broadcast without a hint: its own 10 MB of Parquet are over a million listings or users in the driver.
+MOST_BROADCAST = 256 << 10
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Keep tables that grow out of the driver's memory; a lower threshold of the session stays."""
+    if spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() > MOST_BROADCAST:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(MOST_BROADCAST))
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")  # the same, then
+
+
 class Stages:
     """The tables that queries share, each made from the one before when a query asks for it; cfg sets windows and cutoff."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = C):
+        _bounded(spark)
         self.spark, self.dir, self.cfg, self._made = spark, sf_dir, cfg, {}
 
     def __getattr__(self, name: str) -> DataFrame:

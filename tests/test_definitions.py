@@ -265,3 +265,23 @@ def test_groups_without_rows_have_a_row(spark):
     assert found["c"]["n_users"] == 2 and found["c"]["n_users_with_recs"] == 0 and found["c"]["gini_item_exposure"] == 0.0 and found["c"]["fresh_slot_pct"] is None
     none = evaluation.recall_ndcg(recs, gt.limit(0), 10, groups).collect()
     assert sorted((r.kind, r.n_users, r.recall) for r in none) == [("a", 0, None), ("b", 0, None), ("c", 0, None)]
+
+
+def test_growing_tables_are_not_broadcast(spark, tmp_path):
+    """A supplier table of some MB of Parquet goes through a shuffle; only the 25 nations and the one-row count, with hints, don't."""
+    for name in ("part", "nation"):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        rows = rows.join(spark.range(1000)).withColumn("p_partkey", F.col("p_partkey") + 1000 * F.col("id")).drop("id") if name == "part" else rows
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.range(300_000).selectExpr("id AS s_suppkey", "concat('Supplier#', hash(id)) AS s_name", "id % 25 AS s_nationkey", "CAST(hash(id) AS double) AS s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        s = registry.Stages(spark, str(tmp_path))
+        assert s.dim._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == 2
+        assert s.dim.count() == s.dim.select("item_id").distinct().count() > 0
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        registry.Stages(spark, str(tmp_path))
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
