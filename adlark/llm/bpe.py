@@ -1,9 +1,10 @@
 """Byte-level BPE with ranks, encoding by Spark's higher-order functions and decoding by joining byte pieces (operator 9).
 
-Each match of the vocabulary's pattern is a word. A word's bytes, written in hexadecimal so that joining strings joins bytes,
-are folded by `aggregate`: the state is the array of pieces with the rank of each neighbouring pair's union; a step
-merges the first pair of least rank and looks up two new ranks. The ranks are a literal: an array of small maps, picked by
-CRC-32 of the piece, since a map of Spark's is searched from end to end.
+Each match of the vocabulary's pattern is a word. A word's bytes are folded by `aggregate`: the state is an array in which pieces, as
+ids, take turns with the rank of their union with the next piece, between two pieces that unite with nothing; a step
+merges the first pair of least rank and looks up two new ranks. A rank is the id of the union, so no bytes are joined. The ranks of
+pairs are a literal, an array that rows of the left piece share (`pair_table`). Pieces that no merges reach are looked up before, in
+small maps picked by CRC-32 of the word in hexadecimal, since a map of Spark's is searched from end to end.
 
 Distinct words are encoded once: words are counted over all texts, and the frequent ones, of which there are HEAD_WORDS at
 most, are encoded in one pass and sent to the workers. A text's other words are encoded in its own row by the same
@@ -18,6 +19,7 @@ import hashlib
 import heapq
 import json
 import zlib
+from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +36,9 @@ from .words import hashes, most_frequent, whole
 HEAD_WORDS = 1_500_000
 LONG_BYTES = 200
 BUCKETS = 65536
+#: Bits of a rank; and what is added to an id in the fold's state, where it is then above all ranks.
+SHIFT = 17
+PIECE = 1 << SHIFT
 
 
 @lru_cache(maxsize=2)
@@ -52,34 +57,81 @@ def rank_literal(ranks: dict[bytes, int]) -> str:
     return f"from_json('{json.dumps(maps, separators=(',', ':'))}', 'array<map<string,int>>')"
 
 
+def pair_table(ranks: dict[bytes, int]) -> tuple[int, np.ndarray, np.ndarray, dict[bytes, int]]:
+    """The number of ids, offsets by id, owned ranks, and pieces that no merges reach: neighbours a, b are united to the id at offsets[a] + b, if a owns it.
+
+    The rows of a table of pairs are laid over each other, the longest first, where they meet no other; an entry has its owner,
+    plus PIECE, above SHIFT bits and the rank below. A piece has one pair: merges outside a piece's bytes don't change the order of
+    those within, so whatever the word, its bytes come to the two parts that they come to alone.
+    """
+    rows: dict[int, dict[int, int]] = {}
+    apart = {}
+    for piece, rank in ranks.items():
+        parts = merge_long(piece, ranks, False)
+        if len(parts) == 2:
+            rows.setdefault(parts[0], {})[parts[1]] = rank
+        elif len(piece) > 1:
+            apart[piece] = rank
+    n = max(ranks.values()) + 1
+    if any(bytes([b]) not in ranks for b in range(256)) or n >= 1 << SHIFT:
+        raise ValueError(f"ranks have all 256 bytes and are below {(1 << SHIFT) - 1}")
+    span, rng = 3 * sum(map(len, rows.values())) + 1, np.random.default_rng(1)
+    offsets, owned, end = np.zeros(n + 1, np.int64), np.zeros(span + n + 1, np.int64), span + n + 1
+    free = np.ones(len(owned), bool)
+    for a, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+        b = np.fromiter(row, np.int64, len(row))
+        for k in range(12):
+            tried = rng.integers(0, span, min(8 << k, max(8, 200_000 // len(b))))
+            fits = np.flatnonzero(free[tried[:, None] + b].all(axis=1))
+            if len(fits):
+                offsets[a] = tried[fits[0]]
+                break
+        else:  # beyond all others
+            offsets[a], end = end, end + n + 1
+            owned, free = np.concatenate([owned, np.zeros(n + 1, np.int64)]), np.concatenate([free, np.ones(n + 1, bool)])
+        free[offsets[a] + b] = False
+        owned[offsets[a] + b] = (a + PIECE) << SHIFT | np.fromiter(row.values(), np.int64, len(row))
+    return n, offsets, owned, apart
+
+
 def encode_words(words: str, ranks: dict[bytes, int]) -> Column:
     """Ids (array<array<int>>) of each word of an array<string> column, the fold described above. A null array stays null."""
-
-    def rank(piece: str) -> str:
-        return f"try_element_at(t[cast(crc32({piece}) % {BUCKETS} as int)], {piece})"
-
-    step = f"""
-      element_at(transform(array(coalesce(array_position(s.r, array_min(s.r)), 0L)), k -> if(k = 0, s,
-        element_at(transform(array(concat(element_at(s.p, int(k)), element_at(s.p, int(k) + 1))), m -> named_struct(
-          'p', concat(slice(s.p, 1, int(k) - 1), array(m), slice(s.p, int(k) + 2, size(s.p))),
-          'r', concat(slice(s.r, 1, greatest(int(k) - 2, 0)),
-                      if(k > 1, array({rank("concat(element_at(s.p, int(k) - 1), m)")}), array()),
-                      if(k < size(s.r), array({rank("concat(m, element_at(s.p, int(k) + 2))")}), array()),
-                      slice(s.r, int(k) + 2, size(s.r))))), 1))), 1)"""
-    fold = f"""
-      transform(aggregate(sequence(1, length(h) div 2),
-        element_at(transform(array(transform(sequence(1, length(h) div 2), i -> substring(h, 2 * i - 1, 2))), b ->
-          named_struct('p', b, 'r', if(size(b) < 2, cast(array() as array<int>),
-            transform(sequence(1, greatest(size(b) - 1, 1)), i -> {rank("concat(element_at(b, i), try_element_at(b, i + 1))")})))), 1),
-        (s, i) -> {step}).p, x -> {rank("x")})"""
-    whole = rank("h")
-    each = f"element_at(transform(array({whole}), w -> if(h = '', cast(array() as array<int>), if(w is null, {fold}, array(w)))), 1)"
-    return F.expr(f"element_at(transform(array({rank_literal(ranks)}), t -> transform({words}, x -> element_at(transform(array(hex(encode(x, 'UTF-8'))), h -> {each}), 1))), 1)")
-
-
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a word by a heap of neighbouring pairs: O(n log n)."""
-    if word in ranks:
+    n, offsets, owned, apart = pair_table(ranks)
+    edge, none = n + PIECE, PIECE
+
+    def literal(x: np.ndarray) -> str:
+        return f"from_json('{json.dumps(x.tolist(), separators=(',', ':'))}', 'array<bigint>')"
+
+    def union(a: str, b: str) -> str:
+        return f"(v[d[{a} - {PIECE}L] + {b}] ^ shiftleft({a}, {SHIFT}))"
+
+    def let(value: str, name: str, body: str) -> str:
+        return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+    merged = f"""concat(slice(q, 1, i - 3), array({union("q[i - 4]", "p")}, p, {union("p", "q[i + 2]")}), slice(q, i + 3, size(q)))"""
+    step = let("array_min(q)", "m", f"if(m >= {1 << SHIFT}L, q, {let('int(array_position(q, m))', 'i', let(f'm + {PIECE}L', 'p', merged))})")
+    pairs = f"flatten(transform(sequence(0, size(c) - 2), k -> array(c[k], {union('c[k]', 'c[k + 1]')})))"
+    pairs = f"if(size(c) < 2, cast(array() as array<bigint>), {pairs})"
+    first = f"concat(array({edge}L, {none}L), {pairs}, array(c[size(c) - 1], {none}L, {edge}L))"
+    ids = f"q -> transform(sequence(3, size(q) - 2, 2), k -> int(q[k - 1] - {PIECE}L))"
+    pieces = "transform(split(decode(encode(x, 'UTF-8'), 'ISO-8859-1'), ''), y -> b[ascii(y)])"
+    fold = let(pieces, "c", f"aggregate(sequence(1, size(c)), {first}, (q, j) -> {step}, {ids})")
+    each = f"if(x = '', cast(array() as array<int>), {fold})"
+    if apart:
+        known = f"try_element_at(t[cast(crc32(h) % {BUCKETS} as int)], h)"
+        each = let("hex(encode(x, 'UTF-8'))", "h", let(known, "w", f"if(w is null, {each}, array(w))"))
+    every = f"transform({words}, x -> {each})"
+    single = np.array([ranks[bytes([k])] + PIECE for k in range(256)])
+    for name, value in [("b", literal(single)), ("d", literal(offsets - PIECE)), ("v", literal(owned)), *([("t", rank_literal(apart))] if apart else [])]:
+        every = let(value, name, every)
+    return F.expr(every)
+
+
+def merge_long(word: bytes, ranks: dict[bytes, int], whole: bool = True) -> list[int]:
+    """Ids of a word by a heap of neighbouring pairs: O(n log n). Not whole: those before the last merge, if the word is a piece."""
+    if not whole:
+        ranks = ChainMap({word: None}, ranks) if len(word) > 1 else ranks
+    elif word in ranks:
         return [ranks[word]]
     n = len(word)
     end, nxt, prev, alive = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
@@ -191,9 +243,9 @@ class Head:
         order = np.argsort(h, kind="stable")
         at = ids.offsets.to_numpy().astype(np.int64) if len(ids) else np.zeros(1, np.int64)
         size = np.diff(at)[order]
-        self.hash, self.size = h[order], size.astype(np.int32)
-        self.start = np.cumsum(size) - size
-        gather = np.repeat(at[:-1][order] - self.start, size) + np.arange(int(size.sum()))
+        start = np.cumsum(size) - size
+        gather = np.repeat(at[:-1][order] - start, size) + np.arange(int(size.sum()))
+        self.hash, self.size, self.start = h[order], size.astype(np.uint8), start.astype(np.int32)  # a word has at most LONG_BYTES ids
         self.ids = ids.values.to_numpy().astype(np.int32)[gather] if len(ids) else np.zeros(0, np.int32)
         self.first = np.searchsorted(self.hash >> np.uint64(64 - PREFIX), np.arange((1 << PREFIX) + 1, dtype=np.uint64)).astype(np.int32)
 
@@ -235,7 +287,7 @@ def _lookup(head, path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             rare[k], start[k], size[k] = False, n, len(ids)
             long_ids.append(ids)
             n += len(ids)
-        flat = np.concatenate([head_flat, *long_ids])
+        extra = np.concatenate(long_ids)
         # a text's parts, their words, their ids
         first = np.cumsum(part_words) - part_words
         each = part_words[index]
@@ -244,7 +296,10 @@ def _lookup(head, path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         word_bounds = np.concatenate([[0], ends])[bounds]
         each = size[text_words]
         ends = np.cumsum(each)
-        ids = flat[np.repeat(start[text_words] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        place = np.repeat(start[text_words] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)
+        own = place >= len(head_flat)
+        ids = head_flat[np.where(own, 0, place)] if len(head_flat) else np.empty(len(place), np.int32)
+        ids[own] = extra[place[own] - len(head_flat)]
         id_bounds = np.concatenate([[0], ends])[word_bounds]
         here = np.flatnonzero(rare[text_words])
         doc = np.searchsorted(word_bounds, here, side="right") - 1
