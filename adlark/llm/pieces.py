@@ -20,6 +20,8 @@ from .words import whole
 
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters that both patterns take as one match where they follow a word.
+MARKS = ",.;:!?"
 #: A space that no word follows: there a text can't be cut at each space.
 LOOSE = " (?:[\\pZ\\x09-\\x0d\\x1c-\\x1f\\x85]|$)"
 SPLIT = regex.compile(r" (?=\S)")
@@ -55,8 +57,8 @@ class PieceEncoder:
         """Ids of one match of the vocabulary's pattern."""
         got = self.cache.get(p)
         if got is None:
-            mapped = p.encode("utf-8").decode("latin-1").translate(self.latin)
-            got = self.cache[p] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            mapped = p if p.isalpha() and p.isascii() else p.encode("utf-8").decode("latin-1").translate(self.latin)
+            got = self.cache[p] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
         return got
 
     def part(self, w: str) -> bytes:
@@ -68,7 +70,13 @@ class PieceEncoder:
             return b""
         if not w.isascii() and max(w) >= STABLE:
             return np.array(self.t.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        found = self.find(w.lower() if self.by_word else w)
+        if self.by_word:
+            w = w.lower()
+        word = w.rstrip(MARKS)
+        if (word if self.by_word or word[:1] != " " else word[1:]).isalpha():  # letters, then marks or none: no need for the pattern
+            got = self.cache.get(word) or self._piece(word)
+            return got if len(word) == len(w) else got + self._piece(w[len(word) :])
+        found = self.find(w)
         return self._piece(found[0]) if len(found) == 1 else b"".join(map(self._piece, found))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -89,11 +97,11 @@ class PieceEncoder:
             words, bounds = words.slice(bounds[0], bounds[-1] - bounds[0]), bounds - bounds[0]
         coded = words.dictionary_encode()
         index = coded.indices.to_numpy().astype(np.int64)
-        vocab, part = coded.dictionary.to_pylist(), self.part
+        vocab, part, get = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.part, self.cache.get
         if self.by_word:
-            ids = [part(w) for w in vocab]
+            ids = [get(w) or part(w) for w in vocab]
         else:
-            ids = [part(" " + w) for w in vocab]
+            ids = [get(w) or part(w) for w in [" " + w for w in vocab]]
             first = bounds[:-1]
             ids += [part(vocab[k]) for k in index[first]]  # nothing stands before a text's first part
             index[first] = len(vocab) + np.arange(len(first))
