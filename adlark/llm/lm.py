@@ -292,8 +292,10 @@ class Trainer:
 
     def _move(self, row: np.ndarray, total: np.ndarray) -> None:
         """Steps of different rows along their gradients."""
-        self.square[row] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-        self.t.rows[row, : total.shape[1]] -= (self.rate / np.sqrt(self.square[row]))[:, None] * total
+        square = self.square[row] + np.einsum("ij,ij->i", total, total) / total.shape[1]
+        moved = self.t.rows.take(row, axis=0)
+        moved[:, : total.shape[1]] -= (self.rate / np.sqrt(square))[:, None] * total
+        self.square[row], self.t.rows[row] = square, moved
 
     def step(self, before: np.ndarray, last: np.ndarray, unit: np.ndarray) -> None:
         """Groups and units against noise of their own parent. Units alone in their class teach nothing here."""
@@ -302,8 +304,9 @@ class Trainer:
         if not len(unit):
             return
         t, dim = self.t, self.t.r.shape[1]
-        ra, rb = t.r[last], t.r[before]
-        h = np.column_stack([t.t[0] * ra + t.t[1] * rb, np.ones(len(unit), np.float32)])
+        ra, rb = (t.rows.take(x, axis=0)[:, :dim] for x in (last, before))
+        h = np.ones((len(unit), dim + 1), np.float32)
+        h[:, :dim] = t.t[0] * ra + t.t[1] * rb
         dh, moves = np.zeros((len(unit), dim), np.float32), []
         for level, at in ((1, self.lex.group[unit]), (2, unit)):
             parent, size, cum, low, top, first, final, log_kn = self.levels[level]
@@ -312,21 +315,21 @@ class Trainer:
                 continue
             p = parent[at[i]]
             drawn = np.searchsorted(cum, low[p][:, None] + self.rng.random((len(i), self.noise)) * (top - low)[p][:, None], side="right")
-            c, hi = np.column_stack([at[i], np.clip(drawn, first[p][:, None], final[p][:, None])]), h[i]
-            q = t.q(level)[c]
-            g = 1 / (1 + np.exp(-np.clip(np.matmul(q, hi[:, :, None])[:, :, 0] - log_kn[c], -30, 30)))
-            g[:, 0] -= 1  # the first of each row is data, the others are noise
-            dh[i] += np.matmul(g[:, None, :], q)[:, 0, :dim]
+            c, hi = np.column_stack([at[i], np.clip(drawn, first[p][:, None], final[p][:, None])]), h.take(i, axis=0)
             row = (t.cut[level + 2] + c).ravel()
+            q = t.rows.take(row, axis=0).reshape(*c.shape, dim + 1)
+            g = 1 / (1 + np.exp(-np.clip(np.einsum("nkd,nd->nk", q, hi) - log_kn[c], -30, 30)))
+            g[:, 0] -= 1  # the first of each row is data, the others are noise
+            dh[i] += np.einsum("nk,nkd->nd", g, q)[:, :dim]
             order = np.argsort(row)
             edge = np.flatnonzero(np.diff(row[order], prepend=-1))
             own = row[order[edge]]
             self.used[own] += np.diff(edge, append=len(row))
-            moves.append((own, np.add.reduceat(g.ravel()[order][:, None] * hi[order // c.shape[1]], edge, axis=0)))
+            moves.append((own, np.add.reduceat(g.ravel()[order][:, None] * hi.take(order // c.shape[1], axis=0), edge, axis=0)))
         row, grad = np.concatenate([last, before]), np.concatenate([dh * t.t[0], dh * t.t[1]])
         order = np.argsort(row)
         edge = np.flatnonzero(np.diff(row[order], prepend=-1))
-        moves.append((row[order[edge]], np.add.reduceat(grad[order], edge, axis=0)))
+        moves.append((row[order[edge]], np.add.reduceat(grad.take(order, axis=0), edge, axis=0)))
         moves.append((t.cut[1] + np.arange(2), np.stack([(dh * ra).mean(0), (dh * rb).mean(0)])))
         for row, total in moves:
             self._move(row, total)
