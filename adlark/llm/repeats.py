@@ -267,6 +267,19 @@ def ranks(symbols: np.ndarray, left: np.ndarray, limit: int) -> np.ndarray:
     return rank
 
 
+def kinds(*names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of things with several names, one of each kind, and the kind of each. The first name tells nearly all kinds apart."""
+    order = np.argsort(names[0], kind="stable")
+    same = [x[order[1:]] == x[order[:-1]] for x in names]
+    if (same[0] & ~np.logical_and.reduce(same)).any():
+        order = np.lexsort(names[::-1])
+        same = [x[order[1:]] == x[order[:-1]] for x in names]
+    new = np.r_[True, ~np.logical_and.reduce(same)][: len(order)]
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    return order[new], kind
+
+
 def corpus_order(texts: list[bytes], places: np.ndarray, rate: int = 4, item: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Places (positions in the joined texts) in the order of their suffixes, by prefix-free parsing, and the joined symbols.
 
@@ -289,9 +302,7 @@ def corpus_order(texts: list[bytes], places: np.ndarray, rate: int = 4, item: in
     stop = np.where(closing, text_end[begin], stop)
     # dictionary: distinct phrases, by two hashes and length; the last of a text has the end symbol too
     h = Hashes(buf)
-    name = np.stack([h.of(begin, stop), Hashes(buf, 1).of(begin, stop), (2 * (stop - begin) + closing).astype(np.uint64)], axis=1)
-    _, example, phrase = np.unique(name, axis=0, return_index=True, return_inverse=True)
-    phrase = phrase.ravel()
+    example, phrase = kinds(h.of(begin, stop), Hashes(buf, 1).of(begin, stop), 2 * (stop - begin) + closing)
     length = (stop - begin + closing)[example]
     start = np.cumsum(length) - length
     inside = np.arange(int(length.sum())) - np.repeat(start, length)
