@@ -37,23 +37,61 @@ PASSAGE = 3
 #: What the raw model expects of a bucket is added so many times to both counts: of features, of texts.
 PRIOR, TEXT_PRIOR = 20.0, 4.0
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_SHAPE = bytes(ord("a") if 97 <= b <= 122 or b > 127 else ord("A") if 65 <= b <= 90 else ord("0") if 48 <= b <= 57 else b for b in range(256))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_MARK = np.isin(np.arange(256), list(MARKS))
+_SHAPE = np.array([ord("a") if 97 <= b <= 122 or b > 127 else ord("A") if 65 <= b <= 90 else ord("0") if 48 <= b <= 57 else b for b in range(256)], np.uint8)
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, _CRC >> 1 ^ np.uint32(0xEDB88320), _CRC >> 1)
+#: Longer ranges get their CRC one by one.
+LONG = 64
+
+
+def crcs(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """zlib.crc32 of each range of a buffer, a byte of all ranges at a time."""
+    size = end - start
+    long = size > LONG
+    steps = np.where(long, 0, size).astype(np.int16)
+    order = np.argsort(steps, kind="stable")[::-1]  # ranges with a k-th byte come first, for any k
+    many = len(steps) - np.cumsum(np.bincount(steps, minlength=1))
+    at, crc = start[order], np.full(len(steps), 0xFFFFFFFF, np.uint32)
+    for k, n in enumerate(many[:-1].tolist()):
+        crc[:n] = _CRC[(crc[:n] ^ buf[at[:n] + k]) & 255] ^ crc[:n] >> 8
+    out = np.empty(len(steps), np.int64)
+    out[order] = ~crc
+    for i in np.flatnonzero(long).tolist():
+        out[i] = zlib.crc32(buf[start[i] : end[i]])
+    return out
 
 
-def shape(word: bytes) -> bytes:
-    """The word's classes of characters, each run once: b"Word," is b"Aa,", b"WORD!!" is b"A!"."""
-    s = word.translate(_SHAPE)
-    return bytes(c for k, c in enumerate(s) if k == 0 or s[k - 1] != c)
+def stripped(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of a buffer without marks at their ends; those of marks alone are empty."""
+    plain = ~_MARK[raw]
+    place, before = np.flatnonzero(plain), np.concatenate([[0], np.cumsum(plain)])
+    first, last = before[start], before[end]
+    some = first < last
+    a, z = start.copy(), start.copy()
+    a[some], z[some] = place[first[some]], place[last[some] - 1] + 1
+    return a, z
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """bounds of texts, and for each word its bucket and that of its shape after the shape before it."""
+    """bounds of texts, and for each word its bucket and that of its shape after the shape before it.
+
+    A shape has the word's classes of characters, each run once: that of "Word," is "Aa,", that of "WORD!!" is "A!".
+    """
     bounds, index, vocab = words_of(texts, lower=False)
-    words = vocab.to_pylist()
-    word = np.array([zlib.crc32(w.lower().strip(MARKS)) % BUCKETS for w in words], np.int64)
-    kind = np.array([zlib.crc32(shape(w)) % SHAPES for w in words], np.int64)
     if not len(index):
         return bounds, index, index
+    edges = np.frombuffer(vocab.buffers()[1], np.int64)[vocab.offset : vocab.offset + len(vocab) + 1]
+    raw = np.frombuffer(vocab.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+    edges = edges - edges[0]
+    word = crcs(_LOWER[raw], *stripped(raw, edges[:-1], edges[1:])) % BUCKETS
+    shape = _SHAPE[raw]
+    fresh = np.append(True, shape[1:] != shape[:-1])
+    fresh[edges[:-1]] = True
+    runs = np.concatenate([[0], np.cumsum(fresh)])[edges]
+    kind = crcs(shape[fresh], runs[:-1], runs[1:]) % SHAPES
     k = kind[index]
     before = np.empty_like(k)
     before[1:] = k[:-1]
@@ -68,7 +106,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) * (2 * BUCKETS)
         for bucket in (word, pair + BUCKETS):
             total += np.bincount(bucket, minlength=2 * BUCKETS)
-            texts += np.bincount(np.unique(doc + bucket) % (2 * BUCKETS), minlength=2 * BUCKETS)
+            each = np.sort(doc + bucket)
+            texts += np.bincount(each[np.diff(each, prepend=-1) > 0] % (2 * BUCKETS), minlength=2 * BUCKETS)
     full = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full]), pa.array(texts[full])], names=["bucket", "n", "texts"])
 
@@ -185,25 +224,27 @@ def fit(docs: DataFrame, labels: DataFrame):
 
 
 def _threshold(docs: DataFrame, labels: DataFrame, k: int | None):
+    """The log ratios, the shift, the least key that is kept, and a stored table of doc_id as c0, _weight and _key with its path."""
     spark = docs.sparkSession
     prepare(spark)
     ratios, cut, shift = fit(docs, labels)
-    keys, path = stored(weighed(docs.select("doc_id", "text"), ratios, shift, False).select("_weight", "_key"), "keys")
+    keys, path = stored(weighed(docs.select("doc_id", "text"), ratios, shift, False), "keys")
     least = top_k(keys, keys.filter(F.col("_weight") >= cut).count() if k is None else k)
-    drop(spark, path)
-    return ratios, shift, least
+    return ratios, shift, least, keys, path
 
 
 def score(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """doc_id, log_weight, gumbel_key and kept for each row. Null and empty texts have weight 0, or the shift if that is less.
 
-    Equal rows agree, so where rows tie at the k-th key all of them are kept.
+    Rows come from the stored table that the threshold was found in, so texts are weighed once. Equal rows agree, so where rows
+    tie at the k-th key all of them are kept.
     """
-    ratios, shift, least = _threshold(docs, labels, k)
-    return weighed(docs.select("doc_id", "text"), ratios, shift, False).select(F.col("c0").alias("doc_id"), F.col("_weight").alias("log_weight"), F.col("_key").alias("gumbel_key"), (F.col("_key") >= least).alias("kept"))
+    *_, least, keys, _ = _threshold(docs, labels, k)
+    return keys.select(F.col("c0").alias("doc_id"), F.col("_weight").alias("log_weight"), F.col("_key").alias("gumbel_key"), (F.col("_key") >= least).alias("kept"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """The rows of docs, with all their columns, that `score` keeps."""
-    ratios, shift, least = _threshold(docs, labels, k)
+    ratios, shift, least, _, path = _threshold(docs, labels, k)
+    drop(docs.sparkSession, path)
     return weighed(docs, ratios, shift).filter(F.col("_key") >= least).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
